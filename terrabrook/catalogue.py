@@ -1,4 +1,446 @@
-"""Registered queries over the driver tables, with the DuckDB SQL that gives the same rows."""
+"""Registered queries over the driver tables, with the DuckDB SQL that gives the same rows.
+
+The tables hold no places, so customers, parts, orders and events stand in: customers get exact
+derived coordinates, orders are jobs, lineitems their results, events the hits of a limiter.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import email, geo, text, url
+from .operators import analytics
+from .operators import relational as R
+from .plans import seeds
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+BOX = (40.30, -3.80, 40.50, -3.60)
+
+
+def query(oracle: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        k.alias("place_id"), F.col("c_name").alias("title"), (k * 37 % 1800 / 10.0 - 90).alias("lat"), (k * 91 % 3600 / 10.0 - 180).alias("lon"), "c_nationkey", "c_acctbal", "c_mktsegment"
+    )
+
+
+PLACES = "places AS (SELECT c_custkey AS place_id, c_name AS title, (c_custkey * 37 % 1800) / 10.0::DOUBLE - 90 AS lat, (c_custkey * 91 % 3600) / 10.0::DOUBLE - 180 AS lon, c_nationkey, c_acctbal, c_mktsegment FROM customer)"
+METRES = "2 * 6371000 * atan2(sqrt({h}), sqrt(1 - ({h})))"
+
+
+def metres(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    h = f"pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2)"
+    return METRES.format(h=h)
+
+
+@query(f"WITH {PLACES}, d AS (SELECT place_id, {metres('48.0', '11.0', 'lat', 'lon')} AS m FROM places) SELECT place_id, round(m, 3) AS distance_m FROM d WHERE m <= 3000000")
+def radius_search(spark, sf_dir):
+    found = R.radius_search(places(spark, sf_dir), 48.0, 11.0, 3_000_000)
+    return found.select("place_id", F.round("distance_m", 3).alias("distance_m"))
+
+
+CENTRES = "centres AS (SELECT n_nationkey AS query_id, (n_nationkey * 613 % 1200) / 10.0::DOUBLE - 60 AS q_lat, (n_nationkey * 911 % 3600) / 10.0::DOUBLE - 180 AS q_lon FROM nation)"
+
+
+@query(f"""WITH {PLACES}, {CENTRES}, d AS (SELECT query_id, place_id, {metres('q_lat', 'q_lon', 'lat', 'lon')} AS m FROM places, centres),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY m, place_id) AS rank FROM d WHERE m <= 2000000)
+SELECT query_id, place_id, rank, round(m, 3) AS distance_m FROM r WHERE rank <= 21""")
+def radius_topk_per_query(spark, sf_dir):
+    k = F.col("n_nationkey")
+    centres = table(spark, sf_dir, "nation").select(k.alias("query_id"), (k * 613 % 1200 / 10.0 - 60).alias("q_lat"), (k * 911 % 3600 / 10.0 - 180).alias("q_lon"))
+    found = R.nearest_per_query(places(spark, sf_dir), centres, 2_000_000, 21)
+    return found.select("query_id", "place_id", F.col("rank").cast("long").alias("rank"), F.round("distance_m", 3).alias("distance_m"))
+
+
+@query(f"WITH {PLACES} SELECT place_id, lat, lon FROM places WHERE {metres('10.0', '20.0', 'lat', 'lon')} <= 1500000")
+def bbox_prefilter(spark, sf_dir):
+    p = places(spark, sf_dir)
+    box = geo.within_box(F.col("lat"), F.col("lon"), F.lit(10.0), F.lit(20.0), 1_500_000)
+    return p.filter(box).filter(geo.haversine_m(F.lit(10.0), F.lit(20.0), F.col("lat"), F.col("lon")) <= 1_500_000).select("place_id", "lat", "lon")
+
+
+GRID = """steps AS (SELECT 1 / 111.32::DOUBLE AS a, 1 / (111.32::DOUBLE * cos(radians((40.30 + 40.50)::DOUBLE / 2))) AS b),
+counts AS (SELECT a, b, ceil((40.50::DOUBLE - 40.30::DOUBLE) / a - 0.5)::BIGINT AS n, ceil((-3.60::DOUBLE - -3.80::DOUBLE) / b - 0.5)::BIGINT AS m FROM steps),
+cells AS (SELECT i AS lat_index, j AS lon_index, 40.30::DOUBLE + a * (i + 0.5::DOUBLE) AS lat, -3.80::DOUBLE + b * (j + 0.5::DOUBLE) AS lon FROM counts, unnest(range(n)) AS x(i), unnest(range(m)) AS y(j))"""
+
+
+@query(f"WITH {GRID} SELECT lat_index, lon_index, round(lat, 9) AS lat, round(lon, 9) AS lon, printf('%f,%f', lat, lon) AS geo FROM cells")
+def grid_cells(spark, sf_dir):
+    cells = seeds.grid_cells(spark, BOX, 1.0)
+    return cells.select("lat_index", "lon_index", F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"), geo.coordinate_text(F.col("lat"), F.col("lon")).alias("geo"))
+
+
+@query("""WITH b(box, s, w, n, e, km) AS (VALUES ('a', 38.0077, 23.6719, 38.0257, 23.6947, 0.5), ('b', 89.90, 0, 89.95, 20, 1), ('c', 40.30, -3.80, 40.50, -3.60, 1), ('d', 52.34, 13.09, 52.68, 13.76, 1)),
+t AS (SELECT box, (n - s)::DOUBLE / (km / 111.32::DOUBLE) AS x, (e - w)::DOUBLE / (km / (111.32::DOUBLE * cos(radians((s + n)::DOUBLE / 2)))) AS y FROM b)
+SELECT box, (ceil(x) * ceil(y))::BIGINT AS estimate, (ceil(x - 0.5) * ceil(y - 0.5))::BIGINT AS generated FROM t""")
+def grid_estimate(spark, sf_dir):
+    boxes = {"a": ((38.0077, 23.6719, 38.0257, 23.6947), 0.5), "b": ((89.90, 0.0, 89.95, 20.0), 1.0), "c": (BOX, 1.0), "d": ((52.34, 13.09, 52.68, 13.76), 1.0)}
+    product = lambda p: p[0] * p[1]
+    return spark.createDataFrame([(k, product(seeds.axis_counts(b, km, True)), product(seeds.axis_counts(b, km))) for k, (b, km) in boxes.items()], "box string, estimate long, generated long")
+
+
+@query(f"WITH {GRID} SELECT n_nationkey || '-' || lat_index || '-' || lon_index AS id, n_name AS text, printf('%f,%f', lat, lon) AS geo FROM nation, cells")
+def grid_seed_jobs(spark, sf_dir):
+    queries = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("text"))
+    return seeds.grid_seed_jobs(queries, seeds.grid_cells(spark, BOX, 1.0), 15).select("id", "text", "geo")
+
+
+@query("""WITH l AS (SELECT CASE p_partkey % 4 WHEN 0 THEN '  ' || p_name || ' #!# id' || p_partkey WHEN 1 THEN p_name WHEN 2 THEN '   ' ELSE ' #!# only' || p_partkey || '#!#x' END AS v FROM part),
+t AS (SELECT trim(v) AS v, strpos(trim(v), '#!#') AS k FROM l WHERE trim(v) <> ''),
+s AS (SELECT CASE WHEN k > 0 THEN trim(substr(v, 1, k - 1)) ELSE v END AS text, CASE WHEN k > 0 THEN trim(substr(v, k + 3)) ELSE '' END AS id FROM t)
+SELECT text, id, CASE WHEN text = '' THEN 'query text is empty' END AS error FROM s""")
+def seed_parse(spark, sf_dir):
+    k = F.col("p_partkey")
+    line = F.when(k % 4 == 0, F.concat(F.lit("  "), "p_name", F.lit(" #!# id"), k)).when(k % 4 == 1, F.col("p_name")).when(k % 4 == 2, "   ").otherwise(F.concat(F.lit(" #!# only"), k, F.lit("#!#x")))
+    return seeds.parse_query_lines(table(spark, sf_dir, "part").select(line.alias("value")))
+
+
+@query("""SELECT id, text, 'https://www.google.com/maps/search/' || replace(replace(text, '#', '%23'), ' ', '+') || CASE WHEN id % 2 = 0 THEN '/@1.5,2.5,14z' ELSE '' END || '?hl=en' AS url
+FROM (SELECT n_nationkey AS id, n_name || ' cafe #1' AS text FROM nation)""")
+def search_urls(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.concat("n_name", F.lit(" cafe #1")).alias("text"))
+    return n.select("id", "text", url.search_url(F.col("text"), F.when(F.col("id") % 2 == 0, "1.5, 2.5").otherwise(""), F.lit(14), F.lit("en")).alias("url"))
+
+
+@query("""SELECT place_id, '!4m12!1m3!1d3826.9!2d' || printf('%.4f', lon) || '!3d' || printf('%.4f', lat) || '!2m3!1f0!2f0!3f0!3m2!1i1024!2i768!4f14.0!7i20!8i0' AS pb
+FROM (SELECT c_custkey AS place_id, (c_custkey * 37 % 1800) / 10.0::DOUBLE - 90 AS lat, (c_custkey * 91 % 3600) / 10.0::DOUBLE - 180 AS lon FROM customer)""")
+def fast_search_parameters(spark, sf_dir):
+    p = places(spark, sf_dir)
+    return p.select("place_id", url.fast_search_parameters(F.col("title"), F.lit("en"), F.col("lat"), F.col("lon"), F.lit(14.0))["pb"].alias("pb"))
+
+
+@query("""WITH r AS (SELECT p_name AS k, (row_number() OVER (ORDER BY p_partkey, p_name) - 1) AS i FROM part)
+SELECT i // 100 AS part, count(*) AS n, string_agg(k, '|' ORDER BY i) AS keywords FROM r GROUP BY 1""")
+def keyword_chunks(spark, sf_dir):
+    return seeds.keyword_chunks(table(spark, sf_dir, "part"), "p_name", "p_partkey")
+
+
+@query("SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text")
+def dedup_first_wins(spark, sf_dir):
+    return R.first_wins(table(spark, sf_dir, "documents").select("doc_id", "text"), ["text"], ["doc_id"])
+
+
+@query("SELECT source, substr(text, 1, 20) AS prefix, min(doc_id) AS doc_id FROM documents GROUP BY 1, 2")
+def near_dup_suppress(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("source", F.left("text", F.lit(20)).alias("prefix"), "doc_id")
+    return R.first_wins(docs, ["source", "prefix"], ["doc_id"]).select("source", "prefix", "doc_id")
+
+
+ADDRESS = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+
+
+@query(rf"""WITH m AS (SELECT doc_id, regexp_extract_all(text, '{ADDRESS}') AS e FROM documents), u AS (SELECT doc_id, e, unnest(range(1, len(e) + 1)) AS i FROM m)
+SELECT doc_id, e[i] AS email, min(i) AS first_at FROM u GROUP BY 1, 2""")
+def email_regex(spark, sf_dir):
+    found = table(spark, sf_dir, "documents").filter(F.contains("text", F.lit("@"))).select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(email.ADDRESS), F.lit(0))).alias("i", "email"))
+    return found.groupBy("doc_id", "email").agg((F.min("i") + 1).cast("long").alias("first_at"))
+
+
+@query("""SELECT page_id, 'info' || page_id || '@shop.example, x' || page_id || '@shop.example' AS emails FROM pages""")
+def email_mailto(spark, sf_dir):
+    k = F.col("page_id").cast("string")
+    html = F.concat(F.lit('<p><A class="x" href="mailto:info'), k, F.lit('@shop.example?subject=hi">m</a><br><a href=\'mailto: x'), k, F.lit("@shop.example '>n</a><a href=\"mailto:bad\">b</a><a href=\"mailto:info"), k, F.lit('@shop.example">again</a> other@body.example'))
+    return table(spark, sf_dir, "pages").select("page_id", text.listed(email.page_emails(html)).alias("emails"))
+
+
+@query(rf"SELECT page_id, array_to_string(list_distinct(regexp_extract_all(html, '{ADDRESS}')), ', ') AS emails FROM pages WHERE len(regexp_extract_all(html, '{ADDRESS}')) = 1")
+def email_pages(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").filter(F.size(F.regexp_extract_all("html", F.lit(email.ADDRESS), F.lit(0))) == 1)
+    return p.select("page_id", text.listed(email.page_emails(F.col("html"))).alias("emails"))
+
+
+@query("""WITH s AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN '' WHEN 1 THEN url WHEN 2 THEN 'https://facebook.com/' || page_id WHEN 3 THEN 'https://instagram.com/' || page_id ELSE 'https://twitter.com/' || page_id END AS site FROM pages)
+SELECT page_id, site <> '' AND NOT (contains(site, 'facebook') OR contains(site, 'instragram') OR contains(site, 'twitter')) AS eligible FROM s""")
+def site_eligible(spark, sf_dir):
+    k = F.col("page_id")
+    site = F.when(k % 5 == 0, "").when(k % 5 == 1, F.col("url")).when(k % 5 == 2, F.concat(F.lit("https://facebook.com/"), k)).when(k % 5 == 3, F.concat(F.lit("https://instagram.com/"), k)).otherwise(F.concat(F.lit("https://twitter.com/"), k))
+    return table(spark, sf_dir, "pages").select("page_id", url.eligible_for_email(site).alias("eligible"))
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 3 = 2 THEN url ELSE 'https://shop.example/p a?i=' || page_id || '&x=1' END AS site,
+CASE WHEN page_id % 3 = 2 THEN url WHEN page_id % 3 = 1 THEN 'https://www.google.com/about/' || page_id ELSE 'https://shop.example/p a?i=' || page_id || '&x=1' END AS absolute FROM pages""")
+def url_unwrap(spark, sf_dir):
+    k = F.col("page_id").cast("string")
+    wrapped = F.concat(F.lit("https://www.google.com/url?q=https%3A%2F%2Fshop.example%2Fp+a%3Fi%3D"), k, F.lit("%26x%3D1&sa=U"))
+    relative = F.concat(F.lit("/url?q=https%3A%2F%2Fshop.example%2Fp+a%3Fi%3D"), k, F.lit("%26x%3D1"))
+    given = F.when(F.col("page_id") % 3 == 2, F.col("url")).when(F.col("page_id") % 3 == 1, relative).otherwise(wrapped)
+    other = F.when(F.col("page_id") % 3 == 1, F.concat(F.lit("/about/"), k)).otherwise(given)
+    return table(spark, sf_dir, "pages").select("page_id", url.unwrap(given).alias("site"), url.normalized(other).alias("absolute"))
+
+
+@query("SELECT p_partkey, p_name AS name, '\\u0000' || p_brand AS brand FROM part")
+def nul_strip(spark, sf_dir):
+    dirty = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("\u0000"), "p_name", F.lit("\u0000")).alias("name"), F.concat(F.lit("\\u0000"), "p_brand").alias("brand"))
+    return R.strip_nul(dirty)
+
+
+@query("""SELECT p_partkey::VARCHAR AS id, p_name AS title, printf('%f', p_retailprice) AS price, '["' || p_brand || '","' || p_type || '"]' AS categories, 'null' AS hours FROM part""")
+def csv_row(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.col("p_retailprice").alias("price"), F.array("p_brand", "p_type").alias("categories"), F.lit(None).cast("map<string,array<string>>").alias("open_hours"))
+    return R.csv_rows(p, {"open_hours": "hours"})
+
+
+@query(r"""SELECT p_partkey, p_partkey || '-' || regexp_replace(p_name || '/ä.', '[^A-Za-z0-9_-]', '_', 'g') || '.json' AS file, substr(regexp_replace(regexp_replace(lower(p_name || ' (x)'), '[^\w\s-]', '', 'g'), '\s+', '_', 'g'), 1, 100) AS client FROM part""")
+def safe_filename(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", text.file_name(F.col("p_partkey"), F.concat("p_name", F.lit("/ä."))).alias("file"), text.client_file_name(F.concat(F.lit("  "), "p_name", F.lit(" (x) "))).alias("client"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN s >= 86400 THEN (s // 86400) || 'd ' || (s % 86400 // 3600) || 'h ' || (s % 3600 // 60) || 'm' WHEN s >= 3600 THEN (s // 3600) || 'h ' || (s % 3600 // 60) || 'm' ELSE (s // 60) || 'm' END AS up,
+strftime(o_orderdate, '%b %d, %Y %H:%M:%S') AS shown FROM (SELECT o_orderkey, o_orderdate, o_orderkey * 997 % 200000 AS s FROM orders)""")
+def display_texts(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.duration_text(F.col("o_orderkey") * 997 % 200000).alias("up"), text.display_time(F.col("o_orderdate")).alias("shown"))
+
+
+def code_sql() -> str:
+    digits = []
+    for k in range(4, -1, -1):
+        digits += [f"substr('{geo.CODE_ALPHABET}', (({v} // {20**k}) % 20 + 1)::INT, 1)" for v in ("a", "b")]
+    return f"WITH {PLACES}, v AS (SELECT place_id, least(1439999, floor(lat * 8000)::BIGINT + 720000) AS a, (floor(lon * 8000)::BIGINT + 1440000) % 2880000 AS b FROM places) SELECT place_id, {' || '.join(digits[:8])} || '+' || {' || '.join(digits[8:])} AS code FROM v"
+
+
+@query(code_sql())
+def plus_codes(spark, sf_dir):
+    return places(spark, sf_dir).select("place_id", geo.plus_code(F.col("lat"), F.col("lon")).alias("code"))
+
+
+@query("""SELECT l_suppkey, r AS rating, count(*) FILTER (1 + l_linenumber % 5 = r) AS n FROM lineitem, unnest([1, 2, 3, 4, 5]) AS x(r) GROUP BY 1, 2""")
+def rating_histogram(spark, sf_dir):
+    return analytics.rating_histogram(table(spark, sf_dir, "lineitem").select("l_suppkey", (F.col("l_linenumber") % 5 + 1).alias("rating")), "l_suppkey", "rating")
+
+
+@query("SELECT dayname(ts) AS day, hour(ts)::INT AS hour, count(*) AS traffic FROM events GROUP BY 1, 2")
+def popular_times(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(text.day_name(F.weekday("ts") + 1).alias("day"), F.hour("ts").alias("hour"))
+    return e.groupBy("day", "hour").agg(F.count("*").alias("traffic"))
+
+
+@query("""SELECT c_custkey::VARCHAR AS source_id, c_name AS name, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS rating, CASE WHEN c_custkey % 3 <> 0 THEN (c_custkey * 37 % 1800) / 10.0::DOUBLE END AS latitude,
+n_name AS city, r_name AS state, CASE WHEN c_custkey % 2 = 0 THEN 'full_address=addr' || c_custkey || ';' ELSE '' END || CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'emails=b@x.example;' END AS attributes
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def lead_projection(spark, sf_dir):
+    k = F.col("c_custkey")
+    joined = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    empty = {c: F.lit("").alias(c) for c in (*R.LEAD_ATTRIBUTES, "web_site", "phone")}
+    p = joined.select(
+        F.col("c_name").alias("title"), k.cast("string").alias("data_id"), F.when(k % 3 != 0, k * 37 % 1800 / 10.0).otherwise(0.0).alias("latitude"), F.lit(0.0).alias("longitude"), F.col("c_acctbal").alias("review_rating"), F.lit(0).alias("review_count"),
+        F.concat(F.lit("addr"), k).alias("address"), F.struct(F.when(k % 2 == 0, "").otherwise("street").alias("street"), F.col("n_name").alias("city"), F.col("r_name").alias("state"), F.lit("").alias("country"), F.lit("").alias("postal_code")).alias("complete_address"),
+        F.array("c_mktsegment").alias("categories"), F.when(k % 5 == 0, F.array(F.lit("a@x.example"))).otherwise(F.array(F.lit("a@x.example"), F.lit("b@x.example"))).alias("emails"), *empty.values(),
+    )
+    shown = F.array_join(F.transform("attributes", lambda a: F.concat(a["name"], F.lit("="), a["value"], F.lit(";"))), "")
+    return R.leads(p).select("source_id", "name", "rating", F.when(F.col("latitude").isNotNull() & (F.col("latitude") != 0), F.col("latitude")).alias("latitude"), "city", "state", shown.alias("attributes"))
+
+
+ORACLES["lead_projection"] = ORACLES["lead_projection"].replace("CASE WHEN c_custkey % 3 <> 0 THEN (c_custkey * 37 % 1800) / 10.0::DOUBLE END", "nullif(CASE WHEN c_custkey % 3 <> 0 THEN (c_custkey * 37 % 1800) / 10.0::DOUBLE ELSE 0 END, 0)")
+
+
+def reviewed(spark, sf_dir) -> DataFrame:
+    """Parts as places: lineitems are their reviews."""
+    l = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("review_count"), F.round(F.avg(1 + F.col("l_linenumber") % 5), 6).alias("review_rating"))
+    return table(spark, sf_dir, "part").join(l, F.col("p_partkey") == F.col("l_partkey")).select(F.col("p_partkey").alias("place_id"), F.col("p_brand").alias("category"), "review_count", "review_rating")
+
+
+REVIEWED = "p AS (SELECT p_partkey AS place_id, p_brand AS category, count(*) AS review_count, round(avg(1 + l_linenumber % 5), 6) AS review_rating FROM part JOIN lineitem ON p_partkey = l_partkey GROUP BY 1, 2)"
+
+
+@query(f"WITH {REVIEWED} SELECT * FROM p WHERE review_count > 25 ORDER BY review_rating DESC, review_count DESC, place_id LIMIT 20")
+def highest_ratings(spark, sf_dir):
+    return analytics.highest_rated(reviewed(spark, sf_dir), 25)
+
+
+@query(f"WITH {REVIEWED} SELECT place_id, review_count FROM p WHERE review_count > 35")
+def min_reviews(spark, sf_dir):
+    return reviewed(spark, sf_dir).filter(F.col("review_count") > 35).select("place_id", "review_count")
+
+
+@query("SELECT p_brand AS category, count(*) AS places FROM part GROUP BY 1")
+def category_counts(spark, sf_dir):
+    return analytics.category_counts(table(spark, sf_dir, "part").withColumnRenamed("p_brand", "category"))
+
+
+@query("SELECT c_nationkey, round(avg(c_acctbal), 6) AS avg_rating, count(*) AS places FROM customer GROUP BY 1")
+def avg_rating_by_area(spark, sf_dir):
+    return analytics.area_ratings(places(spark, sf_dir).withColumnRenamed("c_acctbal", "review_rating"), "c_nationkey").withColumn("avg_rating", F.round("avg_rating", 6))
+
+
+@query("SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 <> 0 AND s_suppkey % 4 = 0")
+def no_email_sites(spark, sf_dir):
+    k = F.col("s_suppkey")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", F.when(k % 3 != 0, "https://x.example").otherwise("").alias("web_site"), F.when(k % 4 != 0, F.array(F.lit("a@x.example"))).alias("emails"))
+    return analytics.without_email(s).select("s_suppkey")
+
+
+@query("SELECT DISTINCT user_id FROM events WHERE dayname(ts) = 'Sunday'")
+def open_on_day(spark, sf_dir):
+    days = table(spark, sf_dir, "events").groupBy("user_id", text.day_name(F.weekday("ts") + 1).alias("day")).agg(F.array(F.lit("9-17")).alias("hours"))
+    hours = days.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("day", "hours"))).alias("open_hours"))
+    return analytics.open_on(hours, "Sunday").select("user_id")
+
+
+@query("""SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'O' AND (o_orderdate, o_orderkey) < (TIMESTAMP '1999-06-01', 500) ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 100""")
+def job_list_page(spark, sf_dir):
+    from datetime import datetime
+
+    jobs = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "O").select("o_orderkey", "o_orderdate")
+    return R.keyset_page(jobs, 1000, (datetime(1999, 6, 1), 500), "o_orderdate", "o_orderkey")
+
+
+@query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'P' ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1")
+def next_pending_job(spark, sf_dir):
+    return R.keyset_page(table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "P").select("o_orderkey", "o_orderdate"), 1, None, "o_orderdate", "o_orderkey")
+
+
+STATES = ["available", "scheduled", "retryable", "pending", "running", "completed", "discarded", "cancelled"]
+
+
+@query("""WITH s AS (SELECT o_orderkey, ['available', 'scheduled', 'retryable', 'pending', 'running', 'completed', 'discarded', 'cancelled'][(o_orderkey % 8 + 1)::INT] AS state FROM orders),
+m AS (SELECT *, CASE WHEN state IN ('available', 'scheduled', 'retryable', 'pending') THEN 'pending' WHEN state IN ('running', 'completed') THEN state ELSE 'failed' END AS listed FROM s)
+SELECT o_orderkey, listed, CASE WHEN state = 'pending' THEN '' ELSE listed END AS single FROM m""")
+def job_status(spark, sf_dir):
+    state = F.get(F.array(*[F.lit(s) for s in STATES]), (F.col("o_orderkey") % 8).cast("int"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", R.job_status(state).alias("listed"), R.job_status(state, listing=False).alias("single"))
+
+
+@query("SELECT o_orderkey, count(l_orderkey) AS result_count FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1")
+def job_result_counts(spark, sf_dir):
+    return R.result_counts(table(spark, sf_dir, "orders").select("o_orderkey"), table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey")
+
+
+@query("""SELECT count(*) FILTER (o_orderdate >= DATE '2001-01-01') AS jobs_today, (SELECT coalesce(sum(l_quantity), 0)::BIGINT FROM lineitem) AS total_results FROM orders""")
+def dashboard_stats(spark, sf_dir):
+    jobs = table(spark, sf_dir, "orders").agg(F.count_if(F.col("o_orderdate") >= F.lit("2001-01-01").cast("date")).alias("jobs_today"))
+    return jobs.crossJoin(table(spark, sf_dir, "lineitem").agg(F.coalesce(F.sum("l_quantity"), F.lit(0)).cast("long").alias("total_results")))  # one row each
+
+
+@query("""SELECT s_nationkey AS host, count(*) AS expected, count(*) FILTER (s_suppkey % 3 <> 0) AS up, coalesce(sum(s_suppkey) FILTER (s_suppkey % 3 <> 0), 0)::BIGINT AS jobs,
+CASE WHEN count(*) FILTER (s_suppkey % 3 <> 0) = count(*) THEN 'ok' WHEN count(*) FILTER (s_suppkey % 3 <> 0) = 0 THEN 'down' ELSE 'degraded' END AS status FROM supplier GROUP BY 1""")
+def worker_rollup(spark, sf_dir):
+    return R.worker_rollup(table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("host"), (F.col("s_suppkey") % 3 != 0).alias("reachable"), F.col("s_suppkey").alias("jobs")))
+
+
+@query("SELECT o_orderkey, o_orderpriority, 'queued' AS status FROM orders ORDER BY o_orderpriority, o_orderdate, o_orderkey LIMIT 50")
+def claim_batch(spark, sf_dir):
+    return R.claim(table(spark, sf_dir, "orders"), [F.col("o_orderpriority"), F.col("o_orderdate"), F.col("o_orderkey")], 50).select("o_orderkey", "o_orderpriority", "status")
+
+
+@query("SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderdate < DATE '1998-01-01') GROUP BY 1")
+def retention_cleanup(spark, sf_dir):
+    jobs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus", "o_orderdate")
+    expired = (F.col("o_orderstatus") == "F") & (F.col("o_orderdate") < F.lit("1998-01-01").cast("date"))
+    return R.retained(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey"), jobs, "l_orderkey", expired).groupBy("l_suppkey").agg(F.count("*").alias("n"))
+
+
+@query("SELECT 'orders' AS kept, count(*) AS n FROM orders WHERE o_orderkey % 7 <> 0 UNION ALL SELECT 'results', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 7 = 0)")
+def cascade_delete(spark, sf_dir):
+    jobs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
+    left = R.retained(table(spark, sf_dir, "lineitem").select("l_orderkey"), jobs, "l_orderkey", F.col("l_orderkey") % 7 == 0)
+    return jobs.filter(F.col("l_orderkey") % 7 != 0).agg(F.count("*").alias("n")).select(F.lit("orders").alias("kept"), "n").union(left.agg(F.count("*").alias("n")).select(F.lit("results"), "n"))
+
+
+@query("""WITH u AS (SELECT o_orderkey, o_orderpriority || '-' || s AS keyword, o_totalprice + s AS price, s FROM orders, (VALUES (1), (2)) AS x(s) WHERE o_orderkey % 3 = 0),
+n AS (SELECT o_orderkey + 1000000 AS o_orderkey, o_orderpriority AS keyword, o_totalprice AS price, 1 AS s FROM orders WHERE o_orderkey % 5 = 0)
+SELECT o_orderkey, o_orderpriority AS keyword, o_totalprice + CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 0 END AS price FROM orders UNION ALL SELECT o_orderkey, keyword, price FROM n""")
+def upsert_last_wins(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("keyword"), F.col("o_totalprice").alias("price"))
+    twice = o.filter(F.col("o_orderkey") % 3 == 0).withColumn("seq", F.explode(F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))))
+    updates = twice.select("o_orderkey", F.concat_ws("-", "keyword", "seq").alias("keyword"), (F.col("price") + F.col("seq")).alias("price"), "seq")
+    new = o.filter(F.col("o_orderkey") % 5 == 0).select((F.col("o_orderkey") + 1_000_000).alias("o_orderkey"), "keyword", "price", F.lit(1).cast("long").alias("seq"))
+    return R.upsert_last_wins(o, updates.unionByName(new), "o_orderkey", "seq", ["keyword"])
+
+
+@query("SELECT c_custkey, c_acctbal FROM customer UNION ALL SELECT c_custkey + 100000, c_acctbal FROM customer WHERE c_custkey % 4 = 0")
+def insert_ignore(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    new = c.select("c_custkey", (F.col("c_acctbal") + 1).alias("c_acctbal")).unionByName(c.filter(F.col("c_custkey") % 4 == 0).withColumn("c_custkey", F.col("c_custkey") + 100_000))
+    return R.insert_ignore(c, new, "c_custkey", ["c_acctbal"])
+
+
+@query("""WITH RECURSIVE e AS (SELECT user_id, event_id, epoch_us(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+w AS (SELECT user_id, event_id, t, i, t AS start, 1 AS n FROM e WHERE i = 1 UNION ALL
+SELECT e.user_id, e.event_id, e.t, e.i, CASE WHEN e.t >= w.start + 86400000000 THEN e.t ELSE w.start END, CASE WHEN e.t >= w.start + 86400000000 THEN 1 ELSE w.n + 1 END FROM w JOIN e ON e.user_id = w.user_id AND e.i = w.i + 1)
+SELECT user_id, event_id, n::BIGINT AS counter, n <= 3 AS allowed, greatest(3 - n, 0)::BIGINT AS remaining, start / 1000000.0::DOUBLE + 86400 AS reset_at FROM w""")
+def fixed_window_rate_limit(spark, sf_dir):
+    return R.fixed_windows(table(spark, sf_dir, "events"), "user_id", "ts", "event_id", 86400, 3)
+
+
+@query("SELECT o_orderkey, count(l_orderkey) AS places_found, count(l_orderkey) FILTER (l_linestatus = 'F') AS places_done, count(l_orderkey) FILTER (l_linestatus = 'F') >= count(l_orderkey) AS done FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1")
+def completion_barrier(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("places_found"), F.count_if(F.col("l_linestatus") == "F").alias("places_done"))
+    jobs = table(spark, sf_dir, "orders").select("o_orderkey", F.lit(1).alias("seeds"), F.lit(1).alias("seeds_done")).join(l, "o_orderkey", "left").na.fill(0, ["places_found", "places_done"])
+    return R.barrier(jobs).select("o_orderkey", "places_found", "places_done", "done")
+
+
+@query("""WITH e AS (SELECT user_id AS job_id, event_id AS seq, CASE event_type WHEN 'signup' THEN 'register' WHEN 'purchase' THEN 'flush' WHEN 'error' THEN 'discard' ELSE 'add' END AS op FROM events),
+b AS (SELECT job_id, min(seq) FILTER (op = 'register') AS opened, min(seq) FILTER (op IN ('flush', 'discard')) AS closed, arg_min(op, seq) FILTER (op IN ('flush', 'discard')) AS ended FROM e GROUP BY 1),
+c AS (SELECT b.job_id, ended, count(*) FILTER (op = 'add' AND seq > opened AND (closed IS NULL OR seq < closed)) AS result_count, count(*) FILTER (op = 'add') AS adds FROM b JOIN e USING (job_id) GROUP BY 1, 2)
+SELECT job_id, result_count, adds - result_count AS dropped, CASE WHEN ended = 'discard' THEN 'discarded' WHEN ended IS NULL THEN 'running' WHEN result_count > 0 THEN 'completed' ELSE 'failed' END AS status FROM c""")
+def collector(spark, sf_dir):
+    kind = F.col("event_type")
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("job_id"), F.col("event_id").alias("seq"), F.when(kind == "signup", "register").when(kind == "purchase", "flush").when(kind == "error", "discard").otherwise("add").alias("op"))
+    return R.collected(e).select("job_id", "result_count", "dropped", "status")
+
+
+@query("""SELECT c_custkey, sha256('key' || c_custkey) AS key_hash, CASE WHEN c_custkey > 1000 THEN 'not found' WHEN c_custkey % 10 = 0 THEN 'revoked' ELSE 'ok' END AS verdict FROM customer""")
+def api_key_lookup(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.sha2(F.concat(F.lit("key"), F.col("c_custkey")), 256).alias("key_hash"))
+    known = c.filter(F.col("c_custkey") <= 1000).select("key_hash", (F.col("c_custkey") % 10 == 0).alias("revoked"))
+    return c.join(known, "key_hash", "left").select("c_custkey", "key_hash", F.when(F.col("revoked").isNull(), "not found").when(F.col("revoked"), "revoked").otherwise("ok").alias("verdict"))
+
+
+@query("""SELECT s_suppkey, 'c1,c' || s_suppkey || ',c3' AS codes, CASE WHEN s_suppkey = 1 THEN 'c1,c3' WHEN s_suppkey = 3 THEN 'c1,c3' WHEN s_suppkey % 2 = 0 THEN 'c1,c3' ELSE 'c' || s_suppkey || ',c3' END AS rest FROM supplier""")
+def one_time_code(spark, sf_dir):
+    k = F.col("s_suppkey")
+    codes = F.concat(F.lit("c1,c"), k, F.lit(",c3"))
+    used = F.when((k == 1) | (k == 3) | (k % 2 == 0), F.concat(F.lit("c"), k)).otherwise(F.lit("c1"))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", codes.alias("codes"), R.remove_first(codes, used).alias("rest"))
+
+
+@query("""SELECT s_suppkey, CASE WHEN st = 'provisioning' AND s_suppkey % 2 = 0 THEN 'active' WHEN st <> 'active' AND s_suppkey % 5 = 0 THEN 'active' ELSE st END AS status
+FROM (SELECT s_suppkey, ['provisioning', 'active', 'failed', 'deleted'][(s_suppkey % 4 + 1)::INT] AS st FROM supplier) WHERE st NOT IN ('deleted')""")
+def active_workers(spark, sf_dir):
+    k = F.col("s_suppkey")
+    st = F.get(F.array(*[F.lit(x) for x in ("provisioning", "active", "failed", "deleted")]), (k % 4).cast("int"))
+    w = table(spark, sf_dir, "supplier").select("s_suppkey", st.alias("st")).filter(~F.col("st").isin("deleted"))
+    return w.select("s_suppkey", F.when((F.col("st") == "provisioning") & (k % 2 == 0), "active").when((F.col("st") != "active") & (k % 5 == 0), "active").otherwise(F.col("st")).alias("status"))
+
+
+@query("""WITH r AS (SELECT o_orderkey, CASE WHEN o_custkey % 5 = 0 THEN '' ELSE 'q' END AS keyword, (o_orderkey % 25)::INT AS zoom, (o_orderkey % 120)::INT AS depth, (o_orderkey % 400)::INT AS timeout FROM orders)
+SELECT o_orderkey, CASE WHEN keyword = '' THEN 'keyword is required' WHEN zoom > 21 THEN 'zoom must be between 0 and 21' WHEN depth NOT BETWEEN 1 AND 100 THEN 'depth must be between 1 and 100' WHEN timeout NOT BETWEEN 1 AND 300 THEN 'timeout must be between 1 and 300' END AS error,
+CASE WHEN timeout <= 0 OR timeout > 300 THEN 300 ELSE timeout END AS effective FROM r""")
+def request_validation(spark, sf_dir):
+    k = F.col("o_orderkey")
+    r = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 5 == 0, "").otherwise("q").alias("keyword"), (k % 25).cast("int").alias("zoom"), (k % 120).cast("int").alias("depth"), (k % 400).cast("int").alias("timeout"))
+    error = seeds.request_errors(F.col("zoom"), F.lit(0.0), F.col("depth"), F.col("timeout"), F.col("keyword"), F.lit("en"))
+    return r.select("o_orderkey", error.alias("error"), seeds.effective_timeout(F.col("timeout")).alias("effective"))
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE c_custkey / 10.0::DOUBLE END AS lat, CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE c_custkey / 20.0::DOUBLE END AS lon FROM customer""")
+def geo_parse(spark, sf_dir):
+    k = F.col("c_custkey")
+    given = F.when(k % 3 == 0, F.concat(k.cast("string"), F.lit(",x"))).otherwise(F.concat((k / 10.0).cast("string"), F.lit(", "), (k / 20.0).cast("string")))
+    return table(spark, sf_dir, "customer").select("c_custkey", geo.coordinates(given).alias("g")).select("c_custkey", "g.lat", "g.lon")
+
+
+@query("SELECT o_orderkey, round(o_totalprice / nullif(o_orderkey % 50, 0), 6) AS per_minute FROM orders")
+def average_rate(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.round(F.try_divide("o_totalprice", F.col("o_orderkey") % 50), 6).alias("per_minute"))
+
 
-QUERIES = {}
-ORACLES = {}

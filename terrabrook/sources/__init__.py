@@ -1 +1,60 @@
-"""terrabrook.sources"""
+"""Readers of captured inputs and writers of results."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.relational import csv_rows, quarantined
+
+WRITERS: dict[str, Callable[[DataFrame, str], None]] = {}
+
+
+def read_query_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path)
+
+
+def read_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """One captured document per file: path and payload."""
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload"))
+
+
+def register_writer(name: str, write: Callable[[DataFrame, str], None]) -> None:
+    """A custom sink under a name, used by write_results."""
+    WRITERS[name] = write
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    csv_rows(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def write_json(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def write_parquet(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
+def write_parts(df: DataFrame, path: str, job: str) -> None:
+    """CSV parts under a folder per job, on any file system Spark knows."""
+    csv_rows(df).write.mode("overwrite").partitionBy(job).option("header", True).csv(path)
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 50, **options: str) -> DataFrame:
+    """Appends the rows fit to store in batches; returns those set aside."""
+    good, bad = quarantined(df, [c for c, t in df.dtypes if t == "string"])
+    good.write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", batch).options(**options).mode("append").save()
+    return bad
+
+
+for _name, _write in (("csv", write_csv), ("json", write_json), ("parquet", write_parquet)):
+    register_writer(_name, _write)
+
+
+def write_results(df: DataFrame, kind: str, path: str) -> None:
+    if kind not in WRITERS:
+        raise ValueError(f"no writer named {kind}")
+    WRITERS[kind](df, path)

@@ -1 +1,68 @@
-"""terrabrook.streaming"""
+"""Structured Streaming forms of the stateful steps."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.query import StreamingQuery
+
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def event_stream(spark: SparkSession, path: str, schema: T.StructType, time: str, files_per_trigger: int = 1) -> DataFrame:
+    """A file stream whose NTZ event time is cast, so that it takes a watermark; the source's rate is bounded."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path).withColumn(time, F.col(time).cast("timestamp"))
+
+
+def stream_dedup(events: DataFrame, keys: list[str], time: str, late: str) -> DataFrame:
+    """First of each key within the watermark."""
+    return events.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
+
+
+class WindowLimiter(StatefulProcessor):
+    """The fixed-window limiter with (start, counter) per key as state."""
+
+    def __init__(self, width_us: int):
+        self.width_us = width_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("window", "start long, n long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        start, n = self.state.get() if self.state.exists() else (0, 0)
+        for pdf in rows:
+            pdf = pdf.sort_values(["t", "o"])
+            starts, counts = [], []
+            for t in pdf["t"]:
+                start, n = (t, 1) if n == 0 or t >= start + self.width_us else (start, n + 1)
+                starts.append(start)
+                counts.append(n)
+            yield pd.DataFrame({"key": [key[0]] * len(pdf), "o": pdf["o"].to_numpy(), "n": counts, "start": starts})
+        self.state.update((int(start), int(n)))
+
+    def close(self) -> None:
+        pass
+
+
+def stream_rate_limit(events: DataFrame, key: str, time: str, order: str, window_s: int, limit: int) -> DataFrame:
+    """Counter and verdict for every hit, over hits that arrive in order of time per key."""
+    rows = events.select(F.col(key).cast("long").alias("key"), F.col(order).cast("long").alias("o"), F.unix_micros(F.col(time)).alias("t"))
+    out = rows.groupBy("key").transformWithStateInPandas(WindowLimiter(window_s * 1_000_000), "key long, o long, n long, start long", "Append", "none")
+    return out.select(F.col("key").alias(key), F.col("o").alias(order), F.col("n").alias("counter"), (F.col("n") <= limit).alias("allowed"))
+
+
+def stream_counts(events: DataFrame, job: str, time: str, late: str, gap: str) -> DataFrame:
+    """Results per job and session: a job with no result for gap is flushed; later ones are dropped."""
+    return events.withWatermark(time, late).groupBy(job, F.session_window(time, gap)).agg(F.count("*").alias("result_count"))
+
+
+def run_available(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
+    """Processes what is there in micro-batches and ends."""
+    query = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+    query.awaitTermination()
+    return query
