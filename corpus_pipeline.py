@@ -1,3 +1,73 @@
-STAGES=[]
-ORACLE_SQL=None
-def run(spark, sf_dir): return spark.range(1)
+"""The corpus pipeline: quality rules, line dedup, SimHash near-dedup, decontamination, packing.
+
+Every stage but the last takes and returns rows with the columns of documents (and any more that
+the input has).  Stages are written as Parquet and read again, so each works on all that its
+predecessor kept and none is computed twice.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from terrabrook.llm.common import shared_folder, table
+from terrabrook.llm.decontaminate import contaminated
+from terrabrook.llm.line_dedup import dedup_lines
+from terrabrook.llm.packing import pack_documents
+from terrabrook.llm.quality import filter_quality
+from terrabrook.llm.simhash import simhash_components
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return filter_quality(docs)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that line dedup drops; n_chars follows the text."""
+    kept = dedup_lines(docs)
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return kept.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each SimHash component the row with the smallest doc_id (any one of equal doc_ids)."""
+    found = simhash_components(docs)
+    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")).distinct()
+    left = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    return left.dropDuplicates(["doc_id"])
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item was found."""
+    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("found"), "t").distinct()
+    return docs.join(found, (F.col("doc_id") == F.col("found")) & (F.xxhash64("text") == F.col("t")), "left_anti")
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in the sequences."""
+    return pack_documents(docs, with_ids=False)
+
+
+STAGES = [
+    ("quality rules", quality_stage),
+    ("line dedup", line_stage),
+    ("near duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
+]
+
+#: Fingerprints, templates and token ids have no SQL form; tests hold run() against a brute-force version.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir."""
+    docs = table(spark, sf_dir, "documents")
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+    return docs

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,16 +15,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df, written to the shared checkpoint folder so that lost executors cost no recomputation.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the session's spark.checkpoint.dir.
 
-    The folder is the session's spark.checkpoint.dir; only where that is unset (tests, one
-    machine) a temporary one is made.
+    Only where that is unset (tests, one machine) a temporary one is made.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp("-checkpoints"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df, written to the shared checkpoint folder so that lost executors cost no recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -34,7 +36,3 @@ def ascii_lower(col: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(col, UPPER, LOWER)
 
-
-def record_batches(schema: pa.Schema, rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
-    for row in rows:
-        yield pa.RecordBatch.from_pydict(row, schema=schema)

@@ -1,13 +1,21 @@
 """The corpus operators' queries and their DuckDB SQL."""
 
-from . import line_dedup, quality, simhash
+from . import chat, decontaminate, language, licenses, line_dedup, packing, pii, quality, simhash, suffix_dedup
 
 QUERIES = {
+    "op1_language_id": language.op1_language_id,
     "op2_quality_rules": quality.op2_quality_rules,
+    "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_decontamination": decontaminate.op4_decontamination,
     "op5_line_dedup": line_dedup.op5_line_dedup,
+    "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_simhash_dedup": simhash.op7_simhash_dedup,
+    "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
+    "op9_pii": pii.op9_pii,
+    "op10_license_scans": licenses.op10_license_scans,
 }
 ORACLES = {
     "op2_quality_rules": quality.OP2_SQL,
     "op5_line_dedup": line_dedup.OP5_SQL,
+    "op6_chat_formatting": chat.OP6_SQL,
 }
