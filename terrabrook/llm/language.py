@@ -30,6 +30,8 @@ DIM = 1 << DIM_BITS
 PER_LANGUAGE = 300
 LANDMARKS = 32
 RIDGE = 1e-2
+#: Counts per language are broadcast up to this many languages, and shuffled beyond.
+BROADCAST_LANGUAGES = 10_000
 BATCH = 64
 UNKNOWN = "und"
 LETTER = r"\p{L}"
@@ -94,7 +96,8 @@ def learn(rows: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     counts = cut(usable.groupBy("lang").agg(F.count("*").alias("n")))
     # a uniform draw of about three times the bound leaves little to rank, also for a hot language
     share = F.least(F.lit(1.0), F.lit(3.0 * per_language) / F.col("n"))
-    drawn = usable.join(counts, "lang").filter(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30))
+    small = F.broadcast(counts) if counts.count() <= BROADCAST_LANGUAGES else counts
+    drawn = usable.join(small, "lang").filter(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30))
     ranked = drawn.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).filter(F.col("r") <= per_language)
     found = sorted((r.lang, bytes(r.bits)) for r in ranked.select("lang", "text").mapInArrow(packed, "lang string, bits binary").collect())
     if not found:

@@ -8,6 +8,8 @@ with the better priority stays.  DataFrame functions only.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,12 +81,18 @@ FORMS = [
 GATE = r"licen[sc]|spdx|\bgpl|creative commons|\bcc[ 0-]|public domain|wtfpl|attribution"
 
 
+def spaced(pattern: str) -> str:
+    """The pattern with its spaces (outside of sets) standing for white space and comment marks."""
+    pattern = pattern.replace(" ?", r"[\s*#/]*")
+    return re.sub(r" (?![^\[\]]*\])", lambda _: r"[\s*#/]+", pattern)
+
+
 def rules() -> list[tuple[int, int, str, str, float, str]]:
     """rule number, priority, label, keyword, weight, pattern."""
     found = []
     for label, keyword, name, spdx in NAMES:
         for priority, word, form, weight in FORMS:
-            pattern = form.replace("{name}", f"(?:{name})").replace("{spdx}", f"(?:{spdx})").replace(" ", r"[\s*#/]+")
+            pattern = spaced(form.replace("{name}", f"(?:{name})").replace("{spdx}", f"(?:{spdx})"))
             key = "spdx" if priority == 1 else keyword if word == "" else word
             found.append((len(found), priority, label, key, weight, rf"(?<![a-z0-9]){pattern}(?![a-z0-9])"))
     return found

@@ -43,14 +43,14 @@ ADDED = {
 NEEDS = {"local_phone": "[0-9]{2}", "id_number": "[0-9]{6}|[0-9]{2}-[0-9]{4}", "iban": "[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}", "written_email": r"[\[(<{] ?(?:at|AT|@) ?[\])>}]", "ipv6": "[0-9A-Fa-f]:[0-9A-Fa-f:]", "address": "[0-9] [A-Z]"}
 CONTEXT = 32
 GOOD_WORDS = {
-    "local_phone": r"(?i)(?:phone|tel|call|fax|mobile|cell|whatsapp|telefon|telefono|teléfono|téléphone|numéro|handy|rufnummer|portable)[a-z.]*\W*(?:\w+\W+)?$",
-    "id_number": r"(?i)(?:ssn|social security|passport|national id|id card|dni|nie|ausweis|personal|reisepass|carte d'identité|passeport|pasaporte|licen[cs]e)(?: (?:no|number|nummer|num|id))?\.?\W*(?:\w+\W+)?$",
-    "iban": r"(?i)(?:iban|account|konto|cuenta|compte|bank)\W*(?:\w+\W+)?$",
-    "written_email": r"(?i)(?:mail|contact|write|reach|kontakt|correo|courriel)\W*(?:\w+\W+){0,2}$",
-    "ipv6": r"(?i)(?:ip|ipv6|address|host|from|client|adresse)\W*(?:\w+\W+)?$",
-    "address": r"(?i)(?:address|lives?|at|home|ship|deliver|resid\w+|send)\W*(?:\w+\W+){0,2}$",
+    "local_phone": r"(?i)\b(?:phone|tel|call|fax|mobile|cell|whatsapp|telefon|telefono|teléfono|téléphone|numéro|handy|rufnummer|portable)[a-z.]*\W*(?:\w+\W+)?$",
+    "id_number": r"(?i)\b(?:ssn|social security|passport|national id|id card|dni|nie|ausweis|personal|reisepass|carte d'identité|passeport|pasaporte|licen[cs]e)(?: (?:no|number|nummer|num|id))?\.?\W*(?:\w+\W+)?$",
+    "iban": r"(?i)\b(?:iban|account|konto|cuenta|compte|bank)\W*(?:\w+\W+)?$",
+    "written_email": r"(?i)\b(?:mail|contact|write|reach|kontakt|correo|courriel)\W*(?:\w+\W+){0,2}$",
+    "ipv6": r"(?i)\b(?:ip|ipv6|address|host|from|client|adresse)\W*(?:\w+\W+)?$",
+    "address": r"(?i)\b(?:address|lives?|at|home|ship|deliver|resid\w+|send)\W*(?:\w+\W+){0,2}$",
 }
-BAD_WORDS = r"(?i)(?:order|invoice|version|isbn|issn|doi|part|item|sku|ref|reference|model|build|serial|score|page|pages|chapter|time|date|year|total|no|nr|ticket|bestell|factura|commande|ratio|verse|line)[a-z.]*\W*(?:(?:no|number|nummer)\.?\W*)?$"
+BAD_WORDS = r"(?i)\b(?:order|invoice|version|isbn|issn|doi|part|item|sku|ref|reference|model|build|serial|score|page|pages|chapter|time|date|year|total|no|nr|ticket|bestell|factura|commande|ratio|verse|line)[a-z.]*\W*(?:(?:no|number|nummer)\.?\W*)?$"
 FEATURES = ("length", "digits", "groups", "separators", "paren", "letters", "good", "bad", "check", "zero")
 TRAIN_ROWS = 6000
 TREES, DEPTH, RATE = 30, 3, 0.3
@@ -62,7 +62,7 @@ def features(kind: str, found: str, before: str) -> list[float]:
     digits = re.sub(r"[^0-9]", "", found)
     return [
         float(len(found)), float(len(digits)), float(len(re.findall(r"[0-9]+", found))), float(len(set(re.sub(r"[A-Za-z0-9]", "", found)))),
-        float("(" in found), float(len(re.sub(r"[^A-Za-z]", "", found))), float(bool(re.search(GOOD_WORDS[kind], before))), float(bool(re.search(BAD_WORDS, before))),
+        float("(" in found), float(len(re.sub(r"[^A-Za-z]", "", found))), float(bool(re.search(GOOD_WORDS[kind], before, re.A))), float(bool(re.search(BAD_WORDS, before, re.A))),
         float(len(digits) % 2), float(found.lstrip("(").startswith("0")),
     ]
 
@@ -154,7 +154,10 @@ def model(kind: str) -> tuple[tuple, float]:
     order = np.argsort(-held, kind="stable")
     precision = np.cumsum(y[half:][order]) / np.arange(1, len(order) + 1)
     good = np.flatnonzero((precision >= PRECISION) & np.append(np.diff(held[order]) < 0, True))
-    return tuple(trees), float(held[order][good[-1]]) if len(good) else float("inf")
+    if not len(good):
+        return tuple(trees), float("inf")
+    ranked = np.append(held[order], -np.inf)
+    return tuple(trees), float(ranked[good[-1]] - min(0.1, (ranked[good[-1]] - ranked[good[-1] + 1]) / 2))
 
 
 def score(kind: str, columns: list[Column]) -> Column:

@@ -1,0 +1,94 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from terrabrook.llm import pii as P
+from terrabrook.llm.spans import matches
+
+GRAMMARS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        x = int(c) * (1 + i % 2)
+        total += x - 9 * (x > 9)
+    return total % 10 == 0
+
+
+def brute(text):
+    found = {}
+    for kind, grammar in GRAMMARS.items():
+        found[kind] = []
+        for m in re.finditer(grammar, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {"email": True, "ip": all(int(x) <= 255 for x in m[0].split(".")) if kind == "ip" else 0, "card": 16 <= len(digits) <= 19 and luhn(digits), "phone": 8 <= len(digits) <= 15}[kind]
+            if good:
+                found[kind].append((m.start(), m.end()))
+    return found
+
+
+TEXTS = [
+    None, "", "no data", "a@b.c_d@e.f x.y@z..q a@b.c.", "1.2.3.4.5 1.2.3.256 01.002.0003.4 1.2.3.4", "4465758382889437 4465-7583-8288-9437, 4465 7583 8288 9436 5 5-6",
+    "+1 (743) 555-3824 or +49 30 123456. +12 +1-2", "ÄÖ😀 mail: ü.x@mail.example.com 😀 10.0.0.1é", "9" * 400, "1-" * 3000 + "1", "a" * 4000 + "@", "@" * 50, ("x@y.zz " * 700), ". ".join(["call 555-123-4567 now"] * 3),
+    "phone: (030) 123-4567 and SSN 123-45-6789, IBAN DE44 5001 0517 5407 3249 31", "write me: jane.doe [at] mail (dot) com", "from 2001:db8:85a3:8d3:1319:8a2e:370:7348", "lives at 12 Oak Street", "version 10.2.3 order 2024-01-02 pages 12-14", "++1 23 4567890+1 2345678-",
+]
+
+
+@pytest.fixture(scope="module")
+def found(spark):
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS)], "doc_id long, text string, email string")
+    return {r.doc_id: r for r in P.find_pii(df).collect()}
+
+
+def test_base_spans(found):
+    for i, text in enumerate(TEXTS):
+        for kind, spans in brute(text).items():
+            assert [(m.start, m.end) for m in found[i][kind]] == spans, (i, kind)
+            assert all(text[m.start : m.end] == m.found for m in found[i][kind])
+
+
+def test_added_spans(found):
+    by = lambda i, k: [m.found for m in found[i][k]]
+    assert by(14, "local_phone") == ["(030) 123-4567"]
+    assert by(14, "id_number") == ["123-45-6789"]
+    assert by(14, "iban") == ["DE44 5001 0517 5407 3249 31"]
+    assert by(15, "written_email") == ["jane.doe [at] mail (dot) com"]
+    assert by(16, "ipv6") == ["2001:db8:85a3:8d3:1319:8a2e:370:7348"]
+    assert by(17, "address") == ["12 Oak Street"]
+    assert not any(found[18][k] for k in P.ADDED)
+    assert not any(found[2][k] for k in (*P.BASE, *P.ADDED))
+
+
+@pytest.mark.parametrize("kind", list(P.ADDED))
+def test_trees_as_columns(spark, kind):
+    rows = P.examples(kind, 120)
+    df = spark.createDataFrame([(f, b[-P.CONTEXT :]) for f, b, _ in rows], "found string, before string")
+    got = [tuple(r) for r in df.select(*[c.cast("double") for c in P.span_features(kind, F.col("found"), F.col("before"))], P.score(kind, P.span_features(kind, F.col("found"), F.col("before"))).alias("s")).collect()]
+    trees, threshold = P.model(kind)
+    for (f, b, _), (*x, s) in zip(rows, got):
+        assert x == P.features(kind, f, b[-P.CONTEXT :])
+        assert abs(s - P.RATE * sum(P.evaluate(t, x) for t in trees)) < 1e-9
+    assert threshold < float("inf")
+
+
+def test_redaction(spark):
+    df = spark.createDataFrame([(1, "a@b.co and +1 234 5678901, end"), (2, None), (3, "plain")], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in P.redact(P.find_pii(df)).collect()} == {1: "<email> and <phone>, end", 2: "", 3: "plain"}
+    assert P.find_pii(df.filter(F.lit(False))).collect() == []
+
+
+def test_match_positions(spark):
+    texts = ["abc", "", "xaxbbx", "ab" * 1500, "😀a😀bb"]
+    got = [r.m for r in spark.createDataFrame([(t,) for t in texts], "t string").select(matches(F.col("t"), F.lit("[ab]+")).alias("m")).collect()]
+    for t, m in zip(texts, got):
+        assert [(x.start, x.end, x.found) for x in m] == [(x.start(), x.end(), x[0]) for x in re.finditer("[ab]+", t)]
+    many = "a." * 3000
+    m = spark.createDataFrame([(many,)], "t string").select(matches(F.col("t"), F.lit("a")).alias("m")).first().m
+    assert [x.start for x in m] == list(range(0, 6000, 2))
