@@ -439,8 +439,121 @@ def geo_parse(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", geo.coordinates(given).alias("g")).select("c_custkey", "g.lat", "g.lon")
 
 
-@query("SELECT o_orderkey, round(o_totalprice / nullif(o_orderkey % 50, 0), 6) AS per_minute FROM orders")
+@query("SELECT o_orderkey, o_totalprice / nullif(o_orderkey % 50, 0) AS per_minute FROM orders")
 def average_rate(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.round(F.try_divide("o_totalprice", F.col("o_orderkey") % 50), 6).alias("per_minute"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.try_divide("o_totalprice", F.col("o_orderkey") % 50).alias("per_minute"))
 
 
+
+
+@query("SELECT c_custkey, 1 + c_custkey % 400 AS seeds, CASE WHEN c_custkey % 3 = 0 THEN greatest(180, c_custkey % 500) ELSE greatest(60, (1 + c_custkey % 400) * 10 * 5 // 50 + 120) END AS seconds FROM customer")
+def web_time_budget(spark, sf_dir):
+    k = F.col("c_custkey")
+    budget = seeds.web_time_budget(1 + k % 400, F.lit(5), F.when(k % 3 == 0, F.greatest(k % 500, F.lit(1))).otherwise(0))
+    return table(spark, sf_dir, "customer").select("c_custkey", (1 + k % 400).alias("seeds"), budget.cast("long").alias("seconds"))
+
+
+@query("""SELECT p_partkey, 'https://x.example/place?place_id=id' || p_partkey || '&a=1' AS given, 'id' || p_partkey AS place_id, p_partkey || '-' || (p_partkey % 12) || '-' || (p_partkey % 28) AS reviewed,
+CASE WHEN p_partkey % 8 BETWEEN 1 AND 7 THEN ['Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday'][(p_partkey % 8)::INT] ELSE '' END AS day FROM part""")
+def place_ids_and_dates(spark, sf_dir):
+    k = F.col("p_partkey")
+    given = F.concat(F.lit("https://x.example/place?place_id=id"), k, F.lit("&a=1"))
+    return table(spark, sf_dir, "part").select("p_partkey", given.alias("given"), url.place_id(given).alias("place_id"), text.review_date(F.array(k, k % 12, k % 28)).alias("reviewed"), text.day_name(k % 8).alias("day"))
+
+
+@query("""SELECT p_partkey, substr('first' || chr(10) || p_name, 7) AS body, p_name || '!' AS unguarded, CASE WHEN p_partkey % 2 = 0 THEN 'street 1, town' ELSE p_name || ' street 1' END AS address FROM part""")
+def payload_text(spark, sf_dir):
+    k, name = F.col("p_partkey"), F.col("p_name")
+    address = F.when(k % 2 == 0, F.concat(name, F.lit(", street 1, town "))).otherwise(F.concat(name, F.lit(" street 1")))
+    return table(spark, sf_dir, "part").select("p_partkey", text.after_first_line(F.concat(F.lit("first\n"), name)).alias("body"), text.without_guard(F.concat(F.lit(")]}'\n"), name, F.lit("!"))).alias("unguarded"), text.address_of(name, address).alias("address"))
+
+
+@query("""SELECT user_id, count(*) AS touched FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) WHERE before IS NULL OR ts - before > INTERVAL 1 MINUTE GROUP BY 1""")
+def conditional_touch(spark, sf_dir):
+    """Hits that touch last_used: none yet, or the last is over a minute old."""
+    from pyspark.sql.window import Window
+
+    before = F.lag("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    hits = table(spark, sf_dir, "events").select("user_id", "ts", before.alias("before"))
+    return hits.filter(F.col("before").isNull() | (F.col("ts") - F.col("before") > F.expr("interval 1 minute"))).groupBy("user_id").agg(F.count("*").alias("touched"))
+
+
+@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'expired' WHEN s_suppkey % 4 = 1 THEN 'absent' ELSE 'ok' END AS session, CASE WHEN s_suppkey % 4 <> 1 THEN 'v' || s_suppkey END AS setting FROM supplier""")
+def session_and_config_lookup(spark, sf_dir):
+    from datetime import datetime
+
+    k = F.col("s_suppkey")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey")
+    sessions = s.filter(k % 4 != 1).select("s_suppkey", F.when(k % 4 == 0, F.lit(datetime(2024, 1, 1))).otherwise(F.lit(datetime(2026, 1, 1))).alias("expires_at"), F.concat(F.lit("v"), k).alias("setting"))
+    state = F.when(F.col("expires_at").isNull(), "absent").when(F.col("expires_at") < F.lit(datetime(2025, 1, 1)), "expired").otherwise("ok")
+    return s.join(sessions, "s_suppkey", "left").select("s_suppkey", state.alias("session"), "setting")
+
+
+@query("""SELECT c_custkey, 'Bob' AS name, len(list_distinct(['same text', CASE WHEN c_custkey % 2 = 0 THEN 'same text' ELSE 'x' END])) + CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 2 END AS kept FROM customer""")
+def review_near_dups(spark, sf_dir):
+    from .operators.places import distinct_reviews
+
+    k = F.col("c_custkey")
+    r = lambda t: F.struct(F.lit("Bob").alias("Name"), t.alias("Description"))
+    long = "a text of more than twenty characters"
+    rows = F.array(r(F.lit("same text")), r(F.when(k % 2 == 0, "same text").otherwise("x")), r(F.lit(long)), r(F.when(k % 3 == 0, long + " with an end").otherwise("y")))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.lit("Bob").alias("name"), F.size(distinct_reviews(rows)).cast("long").alias("kept"))
+
+
+def payloads(spark, sf_dir) -> DataFrame:
+    """Place payloads made from customers with to_json: only the paths the queries below read."""
+    k = F.col("c_custkey")
+
+    def array(values: dict[int, str]) -> str:
+        return "[" + ",".join(values.get(i, "null") for i in range(max(values) + 1)) + "]"
+
+    inner = lambda c: F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+    name, rating, count = inner(F.col("c_name")), F.col("c_acctbal").cast("string"), k.cast("string")
+    template = array({4: array({7: "%s", 8: "%s"}), 9: array({2: "%s", 3: "%s"}), 11: "%s", 13: '["%s","x"]', 18: '"%s"'})
+    d = F.format_string(template, rating, count, (k * 37 % 1800 / 10.0 - 90).cast("string"), (k * 91 % 3600 / 10.0 - 180).cast("string"), name, F.col("c_mktsegment"), F.concat("c_name", F.lit(", road 1")))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("[null,null,null,null,null,null,"), d, F.lit("]")).alias("payload"))
+
+
+@query(f"WITH {PLACES} SELECT place_id AS c_custkey, title, c_mktsegment AS category, 'road 1' AS address, c_acctbal AS review_rating, place_id AS review_count, lat AS latitude, lon AS longitude, 1 AS buckets, NULL AS error FROM places".replace("1 AS buckets", "5 AS buckets"))
+def place_parse(spark, sf_dir):
+    from .operators.places import parse_places
+
+    return parse_places(payloads(spark, sf_dir)).select("c_custkey", "title", "category", "address", "review_rating", "review_count", "latitude", "longitude", F.size("reviews_per_rating").alias("buckets"), "error")
+
+
+def stream_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a file stream in one micro-batch, event time cast."""
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()), T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
+    path = f"{sf_dir}/events.parquet"
+    return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def finished(spark: SparkSession, stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
+    """Runs the stream over what is there into Parquet beside its checkpoint in the shared folder."""
+    import tempfile
+    import uuid
+
+    context = spark.sparkContext
+    folder = f"{context.getCheckpointDir() or spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp()}/{name}-{uuid.uuid4().hex}"
+    query = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode(mode).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedup(spark, sf_dir):
+    from .streaming import stream_dedup as dedup
+
+    found = dedup(stream_of_events(spark, sf_dir), ["user_id", "event_type"], "ts", "60 days")
+    return finished(spark, found.select("user_id", "event_type"), "dedup")
+
+
+@query(ORACLES["fixed_window_rate_limit"].replace("greatest(3 - n, 0)::BIGINT AS remaining, start / 1000000.0::DOUBLE + 86400 AS reset_at", "").replace("AS allowed,  FROM", "AS allowed FROM").replace("n <= 3 AS allowed, ", "n <= 3 AS allowed "))
+def stream_rate_limit(spark, sf_dir):
+    from .streaming import STATE_STORE
+    from .streaming import stream_rate_limit as limit
+
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    return finished(spark, limit(stream_of_events(spark, sf_dir), "user_id", "ts", "event_id", 86400, 3), "limit")
