@@ -8,8 +8,8 @@ A bucket is a ball, so it never holds more fingerprints than the ball has points
 bits and radius 4), whatever the number of copies.
 
 Equal fingerprints are one node.  Before the ball, fingerprints that can have no partner leave:
-partners within r bits agree within r // 2 on one half of the bits, so their halves share a
-variant within r // 4; a fingerprint whose half-variants are all its own is alone.
+of 2r blocks of bits, partners within r bits agree on r blocks at least, so a fingerprint that
+shares no choice of r blocks with another is alone.
 """
 
 from __future__ import annotations
@@ -95,13 +95,18 @@ def link_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(links[0]), pa.array(links[1])], ["u", "v"])
 
 
+def block_masks(radius: int) -> list[int]:
+    """Masks of half of 2 * radius blocks: partners within the radius agree on one of them at least."""
+    n = 2 * radius
+    edges = [BITS * i // n for i in range(n + 1)]
+    blocks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:], strict=False)]
+    return np.array([sum(c) for c in combinations(blocks, n - radius)], np.uint64).view(np.int64).tolist()
+
+
 def with_partners(distinct: DataFrame, radius: int) -> DataFrame:
-    """The rows of distinct (fp) whose half-variants are shared with another fingerprint."""
-    half = BITS // 2
-    masks = F.array(*[F.lit(int(m)) for m in ball(half, radius // 4)])
-    low, high = F.col("fp").bitwiseAND(F.lit((1 << half) - 1)), F.shiftrightunsigned("fp", half)
-    keys = distinct.select("fp", F.explode(F.array(F.struct(F.lit(0).alias("side"), low.alias("part")), F.struct(F.lit(1).alias("side"), high.alias("part")))).alias("h"))
-    keys = keys.select("fp", F.col("h.side").alias("side"), F.explode(F.transform(masks, lambda m: F.col("h.part").bitwiseXOR(m))).alias("key"))
+    """The rows of distinct (fp) that agree with another fingerprint on all bits of a mask."""
+    masks = F.array(*[F.lit(m) for m in block_masks(radius)])
+    keys = distinct.select("fp", F.posexplode(F.transform(masks, lambda m: F.col("fp").bitwiseAND(m))).alias("side", "key"))
     shared = keys.groupBy("side", "key").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a <> b").select("side", "key")
     return keys.join(shared, ["side", "key"], "left_semi").select("fp").distinct()
 
@@ -109,11 +114,10 @@ def with_partners(distinct: DataFrame, radius: int) -> DataFrame:
 def simhash_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """u, v: links between distinct fingerprints (column fp) that keep the components at that radius."""
     spark = distinct.sparkSession
-    alone_left = cut(with_partners(distinct, radius))
-    emitted = alone_left.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))).mapInArrow(
-        lambda b: emit_variants(b, radius // 2), "variant long, fp long"
-    )
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), alone_left.count() * len(ball(BITS, radius // 2)) // 1_500_000 + 1)
+    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    left = cut(with_partners(distinct.repartition(width, "fp"), radius))
+    emitted = left.repartition(width, "fp").mapInArrow(lambda b: emit_variants(b, radius // 2), "variant long, fp long")
+    buckets = max(width, left.count() * len(ball(BITS, radius // 2)) // 1_500_000 + 1)
     return emitted.repartition(buckets, "variant").mapInArrow(link_buckets, "u long, v long")
 
 
