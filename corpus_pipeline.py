@@ -12,13 +12,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrabrook.llm.common import shared_folder, table
+from terrabrook.llm.common import cut, shared_folder, table
 from terrabrook.llm.decontaminate import contaminated
 from terrabrook.llm.line_dedup import dedup_lines
 from terrabrook.llm.packing import pack_documents
 from terrabrook.llm.quality import filter_quality
 from terrabrook.llm.simhash import simhash_components
 
+BROADCAST_ROWS = 100_000
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
@@ -32,18 +34,28 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
+def without(docs: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """docs but for the keys in gone; these are broadcast up to BROADCAST_ROWS, and shuffled beyond."""
+    gone = cut(gone.distinct())
+    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, keys, "left_anti")
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the row with the smallest doc_id (any one of equal doc_ids)."""
-    found = simhash_components(docs)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")).distinct()
-    left = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
-    return left.dropDuplicates(["doc_id"])
+    """Of each SimHash component the row with the smallest doc_id, any one of equal doc_ids.
+
+    Rows without a doc_id stay.
+    """
+    found = cut(simhash_components(docs))
+    left = without(docs, found.filter("doc_id <> component_id").select("doc_id"), ["doc_id"])
+    if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return left
+    return left.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.filter("doc_id is null"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item was found."""
-    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("found"), "t").distinct()
-    return docs.join(found, (F.col("doc_id") == F.col("found")) & (F.xxhash64("text") == F.col("t")), "left_anti")
+    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id", F.col("t").alias("_t"))
+    return without(docs.withColumn("_t", F.xxhash64("text")), found, ["doc_id", "_t"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,8 +73,9 @@ class Vocabulary(dict):
         return row
 
 
-def canonical(text: str, vocabulary: Vocabulary) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """The text's words, their codes in either channel, and which are slots in either (2 x n each)."""
+def canonical(text: str, vocabulary: Vocabulary) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The text's tokens, which of them are words, and of the words the codes and slots in either
+    channel (2 x n each) and which are units."""
     tokens = TOKEN.findall(text)
     if len(vocabulary) > VOCABULARY:
         vocabulary.clear()
@@ -90,8 +91,7 @@ def canonical(text: str, vocabulary: Vocabulary) -> tuple[list[str], np.ndarray,
     is_unit = after & (units != 0)
     lowered = np.where(is_unit, units, plain[rows])
     name = (kinds == 2) & ~starts & ~is_unit
-    words = [t for t, w in zip(tokens, word.tolist(), strict=True) if w]
-    return words, np.stack((np.where(name, code(NAME), lowered), lowered)), np.stack((number | name, number)), is_unit
+    return tokens, np.flatnonzero(word), np.stack((np.where(name, code(NAME), lowered), lowered)), np.stack((number | name, number)), is_unit
 
 
 def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
@@ -119,9 +119,10 @@ def windows(batches: Iterator[pa.RecordBatch], sizes: list[int] | None, bloom: n
         for id_, text, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             if not text or id_ is None:
                 continue
-            words, codes, slots, units = canonical(text, vocabulary)
-            for size in sizes or [min(WINDOW, len(words))]:
-                if size < MIN_WORDS or size > len(words):
+            tokens, place, codes, slots, units = canonical(text, vocabulary)
+            words: list[str] = []
+            for size in sizes or [min(WINDOW, len(place))]:
+                if size < MIN_WORDS or size > len(place):
                     continue
                 for channel in (0, 1):
                     filled = np.concatenate(([0], np.cumsum(slots[channel])))
@@ -133,6 +134,8 @@ def windows(batches: Iterator[pa.RecordBatch], sizes: list[int] | None, bloom: n
                         bit = (h >> np.uint64(64 - BLOOM_BITS)).astype(np.int64)
                         good &= (bloom[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
                     found = np.flatnonzero(good)
+                    if len(found) and not words:
+                        words = [tokens[i] for i in place.tolist()]
                     signed = h.view(np.int64)
                     rows.extend(
                         (id_, t, channel, size, int(signed[a]), a, template(words, slots[channel], units, a, a + size), [words[i] for i in range(a, a + size) if slots[channel][i]], total)
