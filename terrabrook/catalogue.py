@@ -526,8 +526,8 @@ def stream_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import types as T
 
     schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()), T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
-    path = f"{sf_dir}/events.parquet"
-    return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
+    # a file stream takes a folder or a pattern, not the name of one file
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def finished(spark: SparkSession, stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -557,3 +557,101 @@ def stream_rate_limit(spark, sf_dir):
 
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     return finished(spark, limit(stream_of_events(spark, sf_dir), "user_id", "ts", "event_id", 86400, 3), "limit")
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 0 ELSE i END AS position, CASE WHEN page_id % 4 = 0 THEN 'https://x.example/maps/place/' || page_id ELSE '/p/' || page_id || '/' || i END AS link
+FROM pages, unnest(range(CASE WHEN page_id % 4 = 0 THEN 1 ELSE 2 END)) AS x(i)""")
+def feed_links(spark, sf_dir):
+    from .operators.jobs import place_links
+
+    k = F.col("page_id").cast("string")
+    link = lambda i: F.concat(F.lit('<div jsaction="x"><a href="/p/'), k, F.lit(f'/{i}">n<br></a></div>'))
+    html = F.concat(F.lit('<body><a href="/no">n</a><div role="feed"><img><div>'), link(0), F.lit('<p><a href="/deep">d</a></p></div>'), link(1), F.lit('</div><div jsaction="y"><a href="/after">z</a></div>'))
+    url_ = F.when(F.col("page_id") % 4 == 0, F.concat(F.lit("https://x.example/maps/place/"), k)).otherwise(F.concat(F.lit("https://x.example/search/"), k))
+    pages = table(spark, sf_dir, "pages").select("page_id", url_.alias("url"), html.alias("html"))
+    found = place_links(pages).select(F.element_at(F.split("url", "/"), -1).cast("long").alias("page_id"), "position", "link")
+    return found.withColumn("position", F.col("position").cast("long"))
+
+
+@query("""WITH f AS (SELECT l_suppkey AS s_suppkey, l_returnflag || '@x.example' AS email, min(l_orderkey) AS o FROM lineitem WHERE l_suppkey % 3 = 0 GROUP BY 1, 2)
+SELECT s.s_suppkey, coalesce(string_agg(email, ', ' ORDER BY o, email), '') AS emails FROM supplier s LEFT JOIN f USING (s_suppkey) GROUP BY 1""")
+def email_enrichment(spark, sf_dir):
+    from .operators.jobs import enriched
+
+    found = table(spark, sf_dir, "lineitem").filter(F.col("l_suppkey") % 3 == 0).select(F.col("l_suppkey").alias("s_suppkey"), F.concat("l_returnflag", F.lit("@x.example")).alias("email"), "l_orderkey")
+    return enriched(table(spark, sf_dir, "supplier").select("s_suppkey"), found, "s_suppkey", "email", "l_orderkey").select("s_suppkey", text.listed(F.col("email")).alias("emails"))
+
+
+@query("""SELECT count(*) AS workers, count(*) FILTER (s_suppkey % 3 = 0) AS reachable, sum(CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey * 0.5 ELSE 0 END)::DOUBLE AS results_per_min, sum(CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey ELSE 0 END)::BIGINT AS jobs
+FROM supplier WHERE s_suppkey % 5 <> 0 AND s_suppkey % 7 <> 0""")
+def cluster_rollup(spark, sf_dir):
+    from .operators import jobs
+
+    k = F.col("s_suppkey")
+    good = F.to_json(F.struct((k % 3 == 0).alias("reachable"), (k * 0.5).alias("results_per_min"), k.alias("jobs_processed")))
+    rows = table(spark, sf_dir, "supplier").select(F.when(k % 5 != 0, "worker").otherwise("database").alias("type"), F.when(k % 7 == 0, F.lit("2024-01-01")).alias("deleted_at"), F.when(k % 3 == 1, "not json").otherwise(good).alias("health"))
+    return jobs.cluster_rollup(rows)
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN 'title is empty' WHEN p_partkey % 4 = 1 THEN 'category is empty' END AS error,
+CASE WHEN p_partkey % 5 = 0 THEN 'missing name' WHEN p_partkey % 5 = 1 THEN 'missing keywords' WHEN p_partkey % 5 = 2 THEN 'missing depth' END AS job_error FROM part""")
+def record_validation(spark, sf_dir):
+    from .operators import jobs
+
+    k = F.col("p_partkey")
+    keywords = F.when(k % 5 == 1, F.array().cast("array<string>")).otherwise(F.array("p_name"))
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", jobs.place_errors(F.when(k % 4 != 0, F.col("p_name")), F.when(k % 4 != 1, F.col("p_type")).otherwise("")).alias("error"),
+        jobs.web_job_errors(F.when(k % 5 != 0, F.col("p_name")), keywords, F.lit("en"), F.when(k % 5 == 2, 0).otherwise(1), F.lit(600)).alias("job_error"),
+    )
+
+
+@query("SELECT o_orderkey AS id, o_orderdate AS scheduled_at FROM orders WHERE o_orderstatus = 'P' ORDER BY o_orderdate, o_orderkey LIMIT 50")
+def retryable_jobs(spark, sf_dir):
+    from .operators import jobs
+
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderstatus") == "P", "retryable").otherwise("running").alias("state"), F.col("o_orderdate").alias("scheduled_at"))
+    return jobs.retryable(rows, 500).select("id", "scheduled_at")
+
+
+@query("""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 8 >= 4 THEN o_orderdate END AS started_at, CASE WHEN o_orderkey % 8 >= 5 THEN o_orderdate + INTERVAL 1 DAY END AS finished_at, CASE WHEN o_orderkey % 3 = 0 THEN 'late' ELSE '' END AS error FROM orders""")
+def job_details(spark, sf_dir):
+    from .operators import jobs
+
+    k = F.col("o_orderkey")
+    state = F.get(F.array(*[F.lit(s) for s in STATES]), (k % 8).cast("int"))
+    errors = F.when(k % 3 == 0, F.array(F.struct(F.lit("early").alias("error")), F.struct(F.lit("late").alias("error")))).otherwise(F.array().cast("array<struct<error:string>>"))
+    rows = table(spark, sf_dir, "orders").select(k.alias("id"), state.alias("state"), F.col("o_orderdate").alias("attempted_at"), (F.col("o_orderdate") + F.expr("interval 1 day")).alias("finalized_at"), errors.alias("errors"))
+    return jobs.job_view(rows)
+
+
+@query("""SELECT s_suppkey, s_nationkey FROM supplier WHERE s_suppkey % 2 = 1 AND s_suppkey % 3 <> 0""")
+def soft_delete(spark, sf_dir):
+    from datetime import datetime
+
+    from .operators import jobs
+
+    k = F.col("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", F.when(k % 3 == 0, F.lit(datetime(2024, 1, 1))).alias("deleted_at"))
+    gone = jobs.soft_deleted(rows, k % 2 == 0, "deleted_at", F.lit(datetime(2024, 6, 1)))
+    return jobs.newest(gone, "s_nationkey", "s_suppkey", "deleted_at").select("s_suppkey", "s_nationkey")
+
+
+@query("""SELECT o_orderpriority AS payload_type, count(*) AS n FROM (SELECT ['search', 'place', 'email', 'fast'][(o_orderkey % 4 + 1)::INT] AS o_orderpriority FROM orders) WHERE o_orderpriority <> 'fast' GROUP BY 1""")
+def job_push(spark, sf_dir):
+    from .operators import jobs
+
+    kind = F.get(F.array(*[F.lit(x) for x in ("search", "place", "email", "fast")]), (F.col("o_orderkey") % 4).cast("int"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), kind.alias("payload_type"))
+    return jobs.pushed(rows.filter("id < 0"), rows).groupBy("payload_type").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT l_orderkey, count(*) AS reviews, sum(1 + l_linenumber % 5)::BIGINT AS stars FROM lineitem GROUP BY 1""")
+def review_totals(spark, sf_dir):
+    """Reviews arrive in pages of a place; all pages in order become one list."""
+    from .operators.jobs import all_reviews
+
+    r = F.struct((1 + F.col("l_linenumber") % 5).alias("Rating"), F.col("l_quantity").alias("q"))
+    pages = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", (F.col("l_linenumber") % 2).alias("page")).agg(F.collect_list(r).alias("reviews"))
+    lists = all_reviews(pages, "l_orderkey")
+    return lists.select("l_orderkey", F.size("reviews").cast("long").alias("reviews"), F.aggregate("reviews", F.lit(0).cast("long"), lambda a, x: a + x["Rating"]).alias("stars"))
