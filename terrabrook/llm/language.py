@@ -59,20 +59,21 @@ def presence(texts: list[str]) -> np.ndarray:
 class Model:
     """languages, landmark matrix (DIM x m, columns scaled) and coefficients (m x languages)."""
 
-    def __init__(self, rows: np.ndarray, labels: list[str]):
-        """rows: presence vectors; labels: their languages."""
+    def __init__(self, bits: np.ndarray, labels: list[str]):
+        """bits: presence vectors, packed, one per row; labels: their languages."""
         self.languages = sorted(set(labels))
         label = np.array(labels)
         marks = np.concatenate([np.flatnonzero(label == x)[:LANDMARKS] for x in self.languages])
-        size = np.sqrt(np.maximum(rows.sum(axis=1), 1))
-        self.landmarks = np.ascontiguousarray((rows[marks] / size[marks, None]).T.astype(np.float32))
-        kernel = (rows @ self.landmarks) / size[:, None]
+        size = np.sqrt(np.maximum(np.bitwise_count(bits).sum(axis=1, dtype=np.int64), 1))
+        self.landmarks = np.ascontiguousarray((np.unpackbits(bits[marks], axis=1) / size[marks, None].astype(np.float32)).T)
+        parts = [np.unpackbits(bits[i : i + BATCH], axis=1).astype(np.float32) @ self.landmarks for i in range(0, len(bits), BATCH)]
+        kernel = np.concatenate(parts) / size[:, None]
         values, vectors = np.linalg.eigh(kernel[marks].astype(np.float64))
         good = values > 1e-6 * values[-1]
         root = vectors[:, good] / np.sqrt(values[good])
-        space = np.column_stack((kernel @ root, np.ones(len(rows))))
+        space = np.column_stack((kernel @ root, np.ones(len(bits))))
         target = np.where(label[:, None] == np.array(self.languages)[None, :], 1.0, -1.0)
-        weights = np.linalg.solve(space.T @ space + RIDGE * len(rows) * np.diag([*np.ones(root.shape[1]), 0]) / len(self.languages) ** 2, space.T @ target)
+        weights = np.linalg.solve(space.T @ space + RIDGE * len(bits) * np.diag([*np.ones(root.shape[1]), 0]) / len(self.languages) ** 2, space.T @ target)
         self.coefficients, self.bias = (root @ weights[:-1]).astype(np.float32), weights[-1].astype(np.float32)
 
     def scores(self, texts: list[str]) -> np.ndarray:
@@ -103,7 +104,7 @@ def learn(rows: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     if not found:
         return None
     order = np.random.default_rng(0).permutation(len(found))
-    bits = np.stack([np.unpackbits(np.frombuffer(found[i][1], np.uint8)) for i in order]).astype(np.float32)
+    bits = np.stack([np.frombuffer(found[i][1], np.uint8) for i in order])
     return Model(bits, [found[i][0] for i in order])
 
 

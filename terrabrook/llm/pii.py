@@ -53,7 +53,7 @@ GOOD_WORDS = {
 BAD_WORDS = r"(?i)\b(?:order|invoice|version|isbn|issn|doi|part|item|sku|ref|reference|model|build|serial|score|page|pages|chapter|time|date|year|total|no|nr|ticket|bestell|factura|commande|ratio|verse|line)[a-z.]*\W*(?:(?:no|number|nummer)\.?\W*)?$"
 FEATURES = ("length", "digits", "groups", "separators", "paren", "letters", "good", "bad", "check", "zero")
 TRAIN_ROWS = 6000
-TREES, DEPTH, RATE = 30, 3, 0.3
+TREES, DEPTH, RATE = 12, 3, 0.5
 PRECISION = 0.98
 
 
