@@ -24,7 +24,7 @@ MIN_WORDS = 50
 MIN_GROUP = 100
 FENCE = 3
 #: Feature -> least distance of the threshold above q75, in the feature's unit.
-MARGINS = {"word_length": 300, "symbols": 50, "dup_lines": 300, "repeats": 250}
+MARGINS = {"word_length": 300, "symbols": 50, "dup_lines": 500, "repeats": 400}
 #: Thresholds are broadcast up to this many groups, and shuffled beyond.
 BROADCAST_GROUPS = 100_000
 
@@ -176,7 +176,7 @@ WITH d AS (
   SELECT doc_id, lang, source, base_failed, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) AS feature,
     unnest([word_chars * 100 // greatest(n_words, 1), n_symbols * 1000 // greatest(word_chars, 1),
       n_dup_lines * 1000 // greatest(n_lines, 1), n_repeat_words * 1000 // greatest(n_words, 1)]) AS x,
-    unnest([300, 50, 300, 250]) AS margin FROM b
+    unnest([300, 50, 500, 400]) AS margin FROM b
 ), s AS (
   SELECT lang, source, feature, margin, CASE WHEN x < 64 THEN x ELSE x - x % (1::BIGINT << (length(bin(x)) - 6)) END AS v
   FROM f WHERE NOT base_failed
