@@ -115,7 +115,7 @@ def simhash_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """u, v: links between distinct fingerprints (column fp) that keep the components at that radius."""
     spark = distinct.sparkSession
     width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    left = cut(with_partners(distinct.repartition(width, "fp"), radius))
+    left = cut(with_partners(distinct.repartition(width), radius))
     emitted = left.repartition(width, "fp").mapInArrow(lambda b: emit_variants(b, radius // 2), "variant long, fp long")
     buckets = max(width, left.count() * len(ball(BITS, radius // 2)) // 1_500_000 + 1)
     return emitted.repartition(buckets, "variant").mapInArrow(link_buckets, "u long, v long")
