@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, table
+from .common import ascii_lower, cut, table
 
 WHITE = " \t\n\x0b\x0c\r"
 MIN_CHARS = 20
@@ -43,7 +43,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
         .filter(F.length("key") >= min_chars)
         .select("d", "t", "p", F.xxhash64("key").alias("h"), F.xxhash64(F.lit(1), "key").alias("g"))
     )
-    common = (
+    # cut: the join below then has an exchange on either side, so that a hot line's rows can be split
+    common = cut(
         exploded.groupBy("h", "g")
         .agg(F.count_distinct("d").alias("n"), F.max("d").alias("last"))
         .filter(F.col("n") >= min_docs)
