@@ -121,7 +121,7 @@ def search_urls(spark, sf_dir):
     return n.select("id", "text", url.search_url(F.col("text"), F.when(F.col("id") % 2 == 0, "1.5, 2.5").otherwise(""), F.lit(14), F.lit("en")).alias("url"))
 
 
-@query("""SELECT place_id, '!4m12!1m3!1d3826.9!2d' || printf('%.4f', lon) || '!3d' || printf('%.4f', lat) || '!2m3!1f0!2f0!3f0!3m2!1i1024!2i768!4f14.0!7i20!8i0' AS pb
+@query(f"""SELECT place_id, printf('{url.FAST_SEARCH}', lon, lat, 14.0::DOUBLE) AS pb
 FROM (SELECT c_custkey AS place_id, (c_custkey * 37 % 1800) / 10.0::DOUBLE - 90 AS lat, (c_custkey * 91 % 3600) / 10.0::DOUBLE - 180 AS lon FROM customer)""")
 def fast_search_parameters(spark, sf_dir):
     p = places(spark, sf_dir)
@@ -176,14 +176,14 @@ def site_eligible(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", url.eligible_for_email(site).alias("eligible"))
 
 
-@query("""SELECT page_id, CASE WHEN page_id % 3 = 2 THEN url ELSE 'https://shop.example/p a?i=' || page_id || '&x=1' END AS site,
-CASE WHEN page_id % 3 = 2 THEN url WHEN page_id % 3 = 1 THEN 'https://www.google.com/about/' || page_id ELSE 'https://shop.example/p a?i=' || page_id || '&x=1' END AS absolute FROM pages""")
+@query("""SELECT page_id, CASE page_id % 3 WHEN 2 THEN url WHEN 1 THEN 'https://shop.example/p a?i=' || page_id || '&x=1' ELSE 'https://www.google.com/url?q=https%3A%2F%2Fshop.example&sa=' || page_id END AS site,
+CASE page_id % 3 WHEN 2 THEN url WHEN 1 THEN 'https://www.google.com/about/' || page_id ELSE 'https://shop.example/p a?i=' || page_id || '&x=1' END AS absolute FROM pages""")
 def url_unwrap(spark, sf_dir):
     k = F.col("page_id").cast("string")
-    wrapped = F.concat(F.lit("https://www.google.com/url?q=https%3A%2F%2Fshop.example%2Fp+a%3Fi%3D"), k, F.lit("%26x%3D1&sa=U"))
+    absolute = F.concat(F.lit("https://www.google.com/url?q=https%3A%2F%2Fshop.example&sa="), k)
     relative = F.concat(F.lit("/url?q=https%3A%2F%2Fshop.example%2Fp+a%3Fi%3D"), k, F.lit("%26x%3D1"))
-    given = F.when(F.col("page_id") % 3 == 2, F.col("url")).when(F.col("page_id") % 3 == 1, relative).otherwise(wrapped)
-    other = F.when(F.col("page_id") % 3 == 1, F.concat(F.lit("/about/"), k)).otherwise(given)
+    given = F.when(F.col("page_id") % 3 == 2, F.col("url")).when(F.col("page_id") % 3 == 1, relative).otherwise(absolute)
+    other = F.when(F.col("page_id") % 3 == 1, F.concat(F.lit("/about/"), k)).when(F.col("page_id") % 3 == 2, F.col("url")).otherwise(relative)
     return table(spark, sf_dir, "pages").select("page_id", url.unwrap(given).alias("site"), url.normalized(other).alias("absolute"))
 
 
@@ -234,16 +234,17 @@ def popular_times(spark, sf_dir):
 
 
 @query("""SELECT c_custkey::VARCHAR AS source_id, c_name AS name, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS rating, CASE WHEN c_custkey % 3 <> 0 THEN (c_custkey * 37 % 1800) / 10.0::DOUBLE END AS latitude,
-n_name AS city, r_name AS state, CASE WHEN c_custkey % 2 = 0 THEN 'full_address=addr' || c_custkey || ';' ELSE '' END || CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'emails=b@x.example;' END AS attributes
+n_name AS city, r_name AS state, CASE WHEN c_custkey % 2 = 0 THEN 'full_address=addr' || c_custkey || ';' ELSE '' END || CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'additional_emails=b@x.example;' END AS attributes
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def lead_projection(spark, sf_dir):
     k = F.col("c_custkey")
     joined = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    empty = {c: F.lit("").alias(c) for c in (*R.LEAD_ATTRIBUTES, "web_site", "phone")}
+    empty = [F.lit("").alias(c) for c in ("link", "plus_code", "status", "price_range", "timezone", "reviews_link", "thumbnail", "category", "web_site", "phone")]
+    empty += [F.struct(F.lit("").alias("name"), F.lit("").alias("link")).alias(c) for c in ("owner", "menu")]
     p = joined.select(
         F.col("c_name").alias("title"), k.cast("string").alias("data_id"), F.when(k % 3 != 0, k * 37 % 1800 / 10.0).otherwise(0.0).alias("latitude"), F.lit(0.0).alias("longitude"), F.col("c_acctbal").alias("review_rating"), F.lit(0).alias("review_count"),
-        F.concat(F.lit("addr"), k).alias("address"), F.struct(F.when(k % 2 == 0, "").otherwise("street").alias("street"), F.col("n_name").alias("city"), F.col("r_name").alias("state"), F.lit("").alias("country"), F.lit("").alias("postal_code")).alias("complete_address"),
-        F.array("c_mktsegment").alias("categories"), F.when(k % 5 == 0, F.array(F.lit("a@x.example"))).otherwise(F.array(F.lit("a@x.example"), F.lit("b@x.example"))).alias("emails"), *empty.values(),
+        F.concat(F.lit("addr"), k).alias("address"), F.struct(F.when(k % 2 == 0, "").otherwise("street").alias("street"), F.col("n_name").alias("city"), F.col("r_name").alias("state"), F.lit("").alias("country"), F.lit("").alias("postal_code"), F.lit("").alias("borough")).alias("complete_address"),
+        F.array("c_mktsegment").alias("categories"), F.when(k % 5 == 0, F.array(F.lit("a@x.example"))).otherwise(F.array(F.lit("a@x.example"), F.lit("b@x.example"))).alias("emails"), *empty,
     )
     shown = F.array_join(F.transform("attributes", lambda a: F.concat(a["name"], F.lit("="), a["value"], F.lit(";"))), "")
     return R.leads(p).select("source_id", "name", "rating", F.when(F.col("latitude").isNotNull() & (F.col("latitude") != 0), F.col("latitude")).alias("latitude"), "city", "state", shown.alias("attributes"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import paths as P
 from ..functions.geo import plus_code
 from ..functions.text import address_of, after_first_line, day_name, no_spaces, review_date, without_guard
-from ..functions.url import unwrap
+from ..functions.url import unescaped, unwrap
 
 REVIEWER_LINK = "https://www.google.com/maps/contrib/"
 
@@ -51,19 +51,33 @@ def first_text(v: Column, *options: tuple[int, ...]) -> Column:
     return F.coalesce(*[F.nullif(P.text(v, *o), F.lit("")) for o in options], F.lit(""))
 
 
+# Where a review's fields sit, in the order they are tried.
+WHEN = [(2, 2, 0, 1, 21, 6, 8), (2, 2, 0, 1, 6, 8)]
+PICTURE = [(1, 4, 5, 1), (1, 2, 0), (0, 2, 0)]
+NAME = [(1, 4, 5, 0), (1, 4, 4), (0, 1)]
+RATING = [(2, 0, 0), (2, 0), (1, 0, 0)]
+DESCRIPTION = [(2, 15, 0, 0), (2, 15, 0), (3, 0)]
+IMAGES = [(2, 2, 0, 1, 21, 7), (2, 2, 0, 1, 7)]
+
+
+def longer(a: Column, b: Column) -> Column:
+    return F.when(F.size(a) > 0, a).otherwise(b)
+
+
 def reviews(rows: Column) -> Column:
     """array of Name, ProfilePicture, Rating, Description, Images, When; authorless rows are left out.
 
-    Fields sit at one of two places; image strings lose their first two characters.
+    Image strings lose their first two characters.
     """
 
     def review(row: Column) -> Column:
-        r = F.coalesce(F.when(P.is_array(row, 0), P.at(row, 0)), row)
-        when = F.when(F.size(P.items(r, 2, 2, 0, 1, 21, 6, 8)) > 0, P.items(r, 2, 2, 0, 1, 21, 6, 8)).otherwise(P.items(r, 1, 6, 8))
-        images = F.transform(P.items(r, 2, 2), lambda i: first_text(i, (1, 21, 7), (1, 6, 0)))
+        r = F.coalesce(F.when(F.size(P.items(row, 0)) > 0, P.at(row, 0)), row)
+        when = longer(P.items(r, *WHEN[0]), P.items(r, *WHEN[1]))
+        images = F.transform(longer(P.items(r, *IMAGES[0]), P.items(r, *IMAGES[1])), lambda i: P.text(i))
+        picture = F.nullif(unescaped(P.text(r, *PICTURE[0])), F.lit(""))
+        rating = F.coalesce(*[F.nullif(P.whole(r, *p), F.lit(0)) for p in RATING], F.lit(0))
         return F.struct(
-            first_text(r, (1, 4, 5, 0), (1, 4, 0, 4)).alias("Name"), first_text(r, (1, 4, 5, 1), (1, 4, 1)).alias("ProfilePicture"),
-            P.whole(r, 2, 0, 0).cast("int").alias("Rating"), first_text(r, (2, 15, 0, 0), (2, 1, 0)).alias("Description"),
+            first_text(r, *NAME).alias("Name"), F.coalesce(picture, first_text(r, *PICTURE[1:])).alias("ProfilePicture"), rating.cast("int").alias("Rating"), first_text(r, *DESCRIPTION).alias("Description"),
             F.transform(F.filter(images, lambda i: F.length(i) > 2), lambda i: F.substring(i, 3, 1 << 30)).alias("Images"),
             review_date(F.transform(when, lambda x: P.number(x))).alias("When"),
         )

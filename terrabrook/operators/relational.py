@@ -174,25 +174,49 @@ def collected(events: DataFrame) -> DataFrame:
     return out.withColumn("status", F.when(F.col("end") == "discard", "discarded").when(F.col("end").isNull(), "running").when(F.col("result_count") > 0, "completed").otherwise("failed"))
 
 
-LEAD_ATTRIBUTES = ["cid", "status", "price_range", "timezone", "plus_code", "place_id", "reviews_link", "thumbnail", "description"]
+#: Text attributes of a lead: name and the place's field. full_address and additional_emails have conditions of their own.
+LEAD_ATTRIBUTES = [
+    ("google_maps_link", "link"), ("plus_code", "plus_code"), ("status", "status"), ("price_range", "price_range"), ("timezone", "timezone"), ("full_address", "address"),
+    ("borough", "complete_address.borough"), ("reviews_link", "reviews_link"), ("owner_name", "owner.name"), ("owner_link", "owner.link"), ("menu_link", "menu.link"),
+]
 
 
 def leads(places: DataFrame) -> DataFrame:
-    """The lead projection: nulls for what is missing, tags, and conditional attributes."""
+    """The lead projection: nulls for what is missing, tags, and conditional attributes in a fixed order."""
     some = lambda c: F.nullif(F.coalesce(F.col(c), F.lit("")), F.lit(""))
     located = (F.col("latitude") != 0) | (F.col("longitude") != 0)
     street = F.coalesce(F.col("complete_address.street"), F.lit(""))
-    texts = [F.when(some(c).isNotNull(), F.struct(F.lit(c).alias("name"), F.lit("text").alias("type"), F.col(c).alias("value"))) for c in LEAD_ATTRIBUTES]
-    full = F.when((street == "") & some("address").isNotNull(), F.struct(F.lit("full_address").alias("name"), F.lit("text").alias("type"), F.col("address").alias("value")))
-    more = F.when(F.size("emails") > 1, F.struct(F.lit("emails").alias("name"), F.lit("list").alias("type"), F.array_join(F.slice("emails", 2, 1 << 30), ", ").alias("value")))
+
+    def attribute(name: str, kind: str, value: Column, given: Column) -> Column:
+        return F.when(given, F.struct(F.lit(name).alias("name"), F.lit(kind).alias("type"), value.alias("value")))
+
+    given = [attribute(n, "text", F.col(f), some(f).isNotNull() & ((street == "") if n == "full_address" else F.lit(True))) for n, f in LEAD_ATTRIBUTES]
+    given.append(attribute("additional_emails", "list", F.array_join(F.slice("emails", 2, 1 << 30), ", "), F.coalesce(F.size("emails"), F.lit(0)) > 1))
+    address = {c: F.col(f"complete_address.{c}").alias(c) for c in ("city", "state", "country", "postal_code")}
     return places.select(
-        F.col("title").alias("name"), F.lit("places").alias("source"), some("data_id").alias("source_id"), some("web_site").alias("website"), some("phone").alias("phone"), F.get("emails", 0).alias("email"),
+        F.col("title").alias("name"), F.lit("places").alias("source"), some("data_id").alias("source_id"), some("category").alias("category"), some("thumbnail").alias("logo_url"), some("web_site").alias("website"), some("phone").alias("phone"), F.get("emails", 0).alias("email"),
         F.when(located, F.col("latitude")).alias("latitude"), F.when(located, F.col("longitude")).alias("longitude"), F.when(F.col("review_rating") > 0, F.col("review_rating")).alias("rating"), F.when(F.col("review_count") > 0, F.col("review_count")).alias("review_count"),
-        F.nullif(street, F.lit("")).alias("street"), F.col("complete_address.city").alias("city"), F.col("complete_address.state").alias("state"), F.col("complete_address.country").alias("country"), F.col("complete_address.postal_code").alias("postal_code"),
-        F.col("categories").alias("tags"), F.filter(F.array(*texts, full, more), lambda a: a.isNotNull()).alias("attributes"),
+        F.nullif(street, F.lit("")).alias("street"), *address.values(), F.col("categories").alias("tags"), F.filter(F.array(*given), lambda a: a.isNotNull()).alias("attributes"),
     )
 
 
+#: The columns of a CSV of places, in order; a header that differs from its field is field:header.
+CSV_COLUMNS = (
+    "input_id link title category address open_hours popular_times web_site:website phone plus_code review_count review_rating reviews_per_rating latitude longitude cid status description:descriptions reviews_link thumbnail timezone "
+    "price_range data_id place_id images reservations order_online menu owner complete_address about user_reviews user_reviews_extended emails"
+).split()
+
+
+def place_csv(places: DataFrame) -> DataFrame:
+    """The CSV form of places: 34 text columns under their headers; fields that are absent are empty, e-mails are listed."""
+    from ..functions.text import listed
+
+    names = [c.partition(":") for c in CSV_COLUMNS]
+    known = [F.col(f) if f in places.columns else F.lit("").alias(f) for f, _, _ in names]
+    chosen = places.select(*[listed(c).alias("emails") if f == "emails" and f in places.columns else c for c, (f, _, _) in zip(known, names, strict=True)])
+    return csv_rows(chosen, {f: h for f, _, h in names if h})
+
+
 def csv_rows(df: DataFrame, renamed: dict[str, str] | None = None) -> DataFrame:
     """Every column as the text a CSV of places holds; renamed maps field to header."""
     from ..functions.text import float_text, json_text

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from terrabrook.operators import places as PL
-from terrabrook.operators.relational import csv_rows, leads, strip_nul
+from terrabrook.operators.relational import csv_rows, leads, place_csv, strip_nul
 
 from .payloads import PLACE, place, put
 
@@ -44,7 +44,7 @@ def review(author="Ann", text="good", rating=5, image="//img.example/x", when=(2
     for path, value in {(1, 4, 5, 0): author, (1, 4, 5, 1): "https://pic", (2, 0, 0): rating, (2, 15, 0, 0): text}.items():
         put(r, path, value)
     put(r, (2, 2, 0, 1, 21, 6, 8), list(when))
-    put(r, (2, 2, 0, 1, 21, 7), image)
+    put(r, (2, 2, 0, 1, 21, 7), [image])
     return [r] if nested else r
 
 
@@ -83,9 +83,11 @@ def test_leads_csv_and_nul(spark):
     df = PL.parse_places(spark.createDataFrame([(json.dumps(place()),)], "payload string")).withColumn("emails", F.array(F.lit("a@x.example"), F.lit("b@x.example")))
     lead = leads(df).first()
     assert lead.source_id == "0x14:0xc8" and lead.email == "a@x.example" and lead.tags == ["Restaurant", "Bar", ""]
-    assert "full_address" not in {a.name for a in lead.attributes} and {a.name: a.value for a in lead.attributes}["emails"] == "b@x.example"
+    assert "full_address" not in {a.name for a in lead.attributes} and {a.name: a.value for a in lead.attributes}["additional_emails"] == "b@x.example"
     row = csv_rows(df.select("title", "latitude", "open_hours", "review_count", "popular_times"), {"latitude": "lat"}).first()
     assert row.lat == "34.670000" and row.review_count == "396" and json.loads(row.open_hours)["Tuesday"] == ["9–5"]
+    table = place_csv(df)
+    assert len(table.columns) == 34 and table.columns[7] == "website" and table.first().emails == "a@x.example, b@x.example" and table.first().descriptions == "nice"
     dirty = spark.createDataFrame([("a\0b", ["x\0"], {"k\0": "v\0"}, (1, "\0"))], "s string, a array<string>, m map<string,string>, t struct<n:int,s:string>")
     assert strip_nul(dirty).first().asDict(True) == {"s": "ab", "a": ["x"], "m": {"k": "v"}, "t": {"n": 1, "s": ""}}
     literal = spark.createDataFrame([("\\u0000",)], "s string")
