@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +33,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_and_free(df: DataFrame) -> DataFrame:
+    """cut, after which the shuffle files that led to df are given back.
+
+    Spark removes them when the driver's garbage collector finds their plan unused, which on its own
+    may be long after.  For plans that shuffle several times the input.
+    """
+    out = cut(df)
+    del df
+    gc.collect()
+    out.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(col, UPPER, LOWER)

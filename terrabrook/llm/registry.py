@@ -18,4 +18,5 @@ ORACLES = {
     "op2_quality_rules": quality.OP2_SQL,
     "op5_line_dedup": line_dedup.OP5_SQL,
     "op6_chat_formatting": chat.OP6_SQL,
+    "op8_suffix_dedup": suffix_dedup.OP8_SQL,
 }

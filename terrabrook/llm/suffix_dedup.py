@@ -4,20 +4,24 @@ Removes every byte covered by a LENGTH-byte string that also starts in a documen
 doc_id.  What the index holds:
 
 * The starts of all LENGTH-byte windows of a document fall into runs: consecutive windows with one
-  least hashed K-byte substring.  Equal windows have equal least substrings, so all places of a
-  string are in runs of one key.  A run is one suffix of the (sparse) suffix array, ordered by the
-  hash of its bytes; there are about 2 of them for 26 bytes.
+  least hashed K-byte substring, the run's key.  Equal windows have equal keys.  A run is one suffix
+  of the (sparse) suffix array, ordered by key and the hash of the run's bytes; there are about 2
+  of them for LENGTH - K bytes.
 * A batch of documents gets its suffix array; equal runs in the batch leave it at once: all but the
   smallest document's are covered.  Arrays are dealt out by key.
 * For a share of the keys, new arrays are merge-scanned against the levels of a LevelFamily, where
   again the larger document's run is covered and leaves; levels of similar size merge, so every
   entry moves a logarithmic number of times.
 * Runs that share a key with another document and are not equal may still share some windows, at the
-  ends of repeated passages for instance.  Their single windows are hashed from the texts and
-  settled by a second exchange.
-
-So a string in a third of all documents costs an entry per batch, and a document's matches never
-depend on how the others are batched.  Positions come back as blobs of arrays, dealt by document.
+  ends of repeated passages for instance.  Their single windows are hashed from the texts, dealt by
+  that hash, and settled there.
+* A key with more than HOT unequal runs in one batch (a passage that very many documents hold, each
+  in its own context) leaves a mark in the index, by which other batches' runs of the key are sent
+  the same way, and its windows are dealt one by one at once.
+
+So a string in a third of all documents costs an entry per batch, no key's runs gather in a task,
+and a document's matches don't depend on how documents are batched.  Runs are compared by 88 bits of
+hash and windows by 80.  Blobs are arrays in byte planes, compressed.
 """
 
 from __future__ import annotations
@@ -29,23 +33,54 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import cut, table
+from .common import cut, cut_and_free, table
 
 LENGTH = 50
-K = 26
-#: Entries of a batch's array.
-BATCH = 1_000_000
+K = 20
+#: Entries of a batch's array, and unequal runs of a key in it from which the key is hot.
+BATCH = 400_000
+HOT = 32
 #: Bytes of text of one group of documents, and entries of one share of the keys, at most on average.
 GROUP_BYTES = 8 << 20
 SHARE = 1_500_000
 
-RUN = np.dtype([("id", "<u8"), ("key", "<u4"), ("doc", "<u4"), ("t", "<u4"), ("at", "<u4"), ("n", "u1")])
+#: t numbers the texts of one doc_id. A run with no windows is a hot key's mark.
+RUN = np.dtype([("key", "<u8"), ("id", "<u8"), ("doc", "<i8"), ("t", "<u4"), ("at", "<u4"), ("n", "u1")])
 PLACE = np.dtype([("doc", "<i8"), ("t", "<u4"), ("at", "<u4"), ("n", "<u4")])
-SPOT = np.dtype([("id", "<u8"), ("more", "<u4"), ("doc", "<i8"), ("t", "<u4"), ("at", "<u4")])
-FULL = np.dtype([("id", "<u8"), ("key", "<u4"), ("doc", "<i8"), ("t", "<u4"), ("at", "<u4"), ("n", "u1")])
+SPOT = np.dtype([("id", "<u8"), ("more", "<u2"), ("doc", "<i8"), ("t", "<u4"), ("at", "<u4")])
+KEY_BITS, ID_BITS = 48, 40
 COVERED, ASKED, ENTRY, WINDOW = 0, 1, 2, 3
-BLOBS = "kind int, bucket int, base long, blob binary"
+BLOBS = "kind int, bucket int, blob binary"
+BLOB_SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("blob", pa.binary())])
+
+
+def encode(rows: np.ndarray) -> bytes:
+    """The rows' fields in byte planes, compressed; the first field as differences, doc from its least."""
+    parts = [len(rows).to_bytes(8, "little"), int(rows["doc"].min()).to_bytes(8, "little", signed=True)]
+    for i, name in enumerate(rows.dtype.names):
+        v = rows[name].astype(np.int64).view(np.uint64)
+        v = v - np.uint64(int(rows["doc"].min()) & (1 << 64) - 1) if name == "doc" else np.diff(v, prepend=np.uint64(0)) if i == 0 else v
+        parts.append(v.view(np.uint8).reshape(-1, 8)[:, : rows.dtype[name].itemsize].T.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+
+
+def decode(blob: pa.Scalar, dtype: np.dtype) -> np.ndarray:
+    data = zstandard.ZstdDecompressor().decompress(blob.as_buffer())
+    n, least_doc, at = int.from_bytes(data[:8], "little"), int.from_bytes(data[8:16], "little", signed=True), 16
+    rows = np.empty(n, dtype)
+    for i, name in enumerate(dtype.names):
+        size = dtype[name].itemsize
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, :size] = np.frombuffer(data, np.uint8, n * size, at).reshape(size, n).T
+        at += n * size
+        v = wide.view(np.uint64).ravel()
+        if i == 0 and name != "doc":
+            v = np.cumsum(v, dtype=np.uint64)
+            v = v if size == 8 else v & np.uint64((1 << 8 * size) - 1)
+        rows[name] = (v + np.uint64(least_doc & (1 << 64) - 1)).view(np.int64) if name == "doc" else v
+    return rows
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -109,143 +144,190 @@ def document_bucket(doc: np.ndarray, t: np.ndarray, groups: int) -> np.ndarray:
     return (mix(doc.astype(np.int64).view(np.uint64) * np.uint64(31) + t.astype(np.uint64)) % np.uint64(groups)).astype(np.int32)
 
 
-def blobs(kind: int, rows: np.ndarray, bucket: np.ndarray, base: int = 0) -> Iterator[pa.RecordBatch]:
-    """Rows in one blob per bucket; blobs of one bucket keep the rows' order."""
+def blobs(kind: int, rows: np.ndarray, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows in one blob per bucket; a bucket's rows keep their order."""
     if not len(rows):
         return
     order = np.argsort(bucket, kind="stable")
     rows, bucket = rows[order], bucket[order]
     cuts = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(rows)]))
-    names = ["kind", "bucket", "base", "blob"]
     for at in range(0, len(cuts) - 1, 256):
         edges = cuts[at : at + 257].tolist()
-        n = len(edges) - 1
-        data = [rows[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
-        yield pa.RecordBatch.from_arrays([pa.array([kind] * n, pa.int32()), pa.array(bucket[edges[:-1]], pa.int32()), pa.array([base] * n, pa.int64()), pa.array(data, pa.binary())], names)
-
+        data = [encode(rows[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+        yield pa.RecordBatch.from_arrays([pa.array([kind] * len(data), pa.int32()), pa.array(bucket[edges[:-1]], pa.int32()), pa.array(data, pa.binary())], schema=BLOB_SCHEMA)
 
-def settle(rows: np.ndarray, same: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorts rows by id and document; returns those of each id's smallest document, and the others."""
-    rows = rows[np.lexsort((rows["doc"], rows["id"]))]
-    fresh = np.ones(len(rows), bool)
-    for name in same:
-        fresh[1:] = fresh[1:] & (rows[name][1:] == rows[name][:-1]) if name == same[0] else fresh[1:] & (rows[name][1:] == rows[name][:-1])
-    fresh[1:] = ~fresh[1:]
-    smallest = rows["doc"][np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
-    stays = rows["doc"] == smallest
-    return rows[stays], rows[~stays]
 
-
-def places(rows: np.ndarray) -> np.ndarray:
+def places_by_document(kind: int, rows: np.ndarray, groups: int) -> Iterator[pa.RecordBatch]:
     out = np.empty(len(rows), PLACE)
     for name in ("doc", "t", "at"):
         out[name] = rows[name]
     out["n"] = rows["n"] if "n" in rows.dtype.names else 1
-    return out
+    out = out[out["n"] > 0]
+    yield from blobs(kind, out, document_bucket(out["doc"], out["t"], groups))
+
+
+def first_documents(rows: np.ndarray, *same: np.ndarray) -> np.ndarray:
+    """Of rows sorted by the arrays and doc: which belong to the smallest document of their group."""
+    fresh = np.ones(len(rows), bool)
+    if len(rows):
+        fresh[1:] = np.any([x[1:] != x[:-1] for x in same], axis=0)
+    return rows["doc"] == rows["doc"][np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+
+
+def sort_value(rows: np.ndarray) -> np.ndarray:
+    """Orders runs by key, then by the upper bits of id."""
+    return (rows["key"] << np.uint64(64 - KEY_BITS)) | (rows["id"] >> np.uint64(ID_BITS + KEY_BITS - 64))
+
+
+def share_of(value: np.ndarray, shares: int) -> np.ndarray:
+    """Mixed again: keys are least hashes, so most of them are small."""
+    return (mix(value) % np.uint64(shares)).astype(np.int32)
+
+
+def spots_of(data: np.ndarray, doc: int, t: int, at: np.ndarray, n: np.ndarray, length: int) -> np.ndarray:
+    """The single windows of runs of one text."""
+    n = n.astype(np.int64)
+    at = np.repeat(at.astype(np.int64), n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    spots = np.empty(len(at), SPOT)
+    spots["id"], spots["more"] = Sums(data, 2).of(at, at + length), Sums(data, 1).of(at, at + length) >> np.uint64(48)
+    spots["doc"], spots["t"], spots["at"] = doc, t, at
+    return spots
+
+
+def settle_spots(rows: np.ndarray, groups: int) -> tuple[np.ndarray, list[pa.RecordBatch]]:
+    """The smallest document's windows, and the others as covered."""
+    rows = rows[np.lexsort((rows["doc"], rows["more"], rows["id"]))]
+    stays = first_documents(rows, rows["id"], rows["more"])
+    return rows[stays], list(places_by_document(COVERED, rows[~stays], groups))
+
+
+def emit_spots(found: list[np.ndarray], shares: int, groups: int) -> Iterator[pa.RecordBatch]:
+    if found:
+        stays, covered = settle_spots(np.concatenate(found), groups)
+        yield from covered
+        yield from blobs(WINDOW, stays, share_of(stays["id"], shares))
 
 
 def index_batches(batches: Iterator[pa.RecordBatch], length: int, k: int, shares: int, groups: int) -> Iterator[pa.RecordBatch]:
     """doc_id, t, text -> each batch's suffix array by share of the keys, and what is covered within it."""
 
-    def flush(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        stays, covered = settle(np.concatenate(found), ["id", "key"])
-        yield from blobs(COVERED, places(covered), document_bucket(covered["doc"], covered["t"], groups))
-        for high in np.unique(stays["doc"] >> 32):
-            part = stays[stays["doc"] >> 32 == high]
-            out = np.empty(len(part), RUN)
-            for name in ("id", "key", "t", "at", "n"):
-                out[name] = part[name]
-            out["doc"] = (part["doc"] & 0xFFFFFFFF).astype(np.uint32)
-            share = (mix(part["key"].astype(np.uint64)) % np.uint64(shares)).astype(np.int32)
-            yield from blobs(ENTRY, out, share, int(high) << 32)
-
-    found, size = [], 0
+    def flush(texts: list[tuple], found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        source = np.repeat(np.arange(len(found)), list(map(len, found)))
+        rows = np.concatenate(found)
+        value = sort_value(rows)
+        order = np.lexsort((rows["doc"], value))
+        rows, value, source = rows[order], value[order], source[order]
+        stays = first_documents(rows, value, rows["id"])
+        yield from places_by_document(COVERED, rows[~stays], groups)
+        rows, source = rows[stays], source[stays]
+        fresh = np.concatenate(([True], rows["key"][1:] != rows["key"][:-1]))
+        group = np.cumsum(fresh) - 1
+        hot = np.bincount(group)[group] > HOT
+        if hot.any():
+            spots = []
+            by_text = np.flatnonzero(hot)[np.argsort(source[hot], kind="stable")]
+            cuts = np.flatnonzero(np.diff(source[by_text])) + 1
+            for part in np.split(by_text, cuts):
+                doc, t, data = texts[source[part[0]]]
+                spots.append(spots_of(data, doc, t, rows["at"][part], rows["n"][part], length))
+            yield from emit_spots(spots, shares, groups)
+            marks = rows[hot & fresh]
+            marks["n"] = marks["id"] = 0
+            rows = np.concatenate((rows[~hot], marks))
+            rows = rows[np.argsort(sort_value(rows), kind="stable")]
+        yield from blobs(ENTRY, rows, share_of(rows["key"], shares))
+
+    texts, found, size = [], [], 0
     for batch in batches:
         for doc, t, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             data = np.frombuffer(text.as_buffer(), np.uint8) if text.is_valid else np.zeros(0, np.uint8)
             if doc is None or len(data) < length:
                 continue
             key, ids, at, n = runs(data, length, k)
-            rows = np.empty(len(ids), FULL)
-            rows["id"], rows["key"], rows["doc"], rows["t"], rows["at"], rows["n"] = ids, key >> np.uint64(32), doc, t, at, n
+            rows = np.empty(len(ids), RUN)
+            rows["key"], rows["id"], rows["doc"], rows["t"], rows["at"], rows["n"] = key >> np.uint64(64 - KEY_BITS), ids >> np.uint64(64 - ID_BITS), doc, t, at, n
+            texts.append((doc, t, data))
             found.append(rows)
             size += len(rows)
             if size > BATCH:
-                yield from flush(found)
-                found, size = [], 0
+                yield from flush(texts, found)
+                texts, found, size = [], [], 0
     if found:
-        yield from flush(found)
+        yield from flush(texts, found)
 
 
 class LevelFamily:
-    """Sorted arrays of runs. An id's runs in a level are those of one document."""
+    """Sorted arrays of runs. Equal runs in a level are those of one document."""
 
     def __init__(self):
-        self.levels: list[np.ndarray] = []
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []  # sort values, rows
         self.covered: list[np.ndarray] = []
 
     def push(self, batch: np.ndarray) -> None:
         """Merge-scans a sorted array against all levels, adds what is left, and merges alike sizes."""
-        for i, level in enumerate(self.levels):
+        value = sort_value(batch)
+        for i, (theirs, level) in enumerate(self.levels):
             if not len(batch) or not len(level):
                 continue
-            in_level, theirs = self.scan(batch, level)
-            in_batch, ours = self.scan(level, batch)
-            lost, beaten = in_level & (batch["doc"] > theirs), in_batch & (level["doc"] > ours)
-            self.covered += [batch[lost], level[beaten]]
-            batch, self.levels[i] = batch[~lost], level[~beaten]
-        self.levels.append(batch)
-        while len(self.levels) > 1 and len(self.levels[-2]) <= 2 * len(self.levels[-1]):
-            merged = np.concatenate((self.levels.pop(), self.levels.pop()))
-            self.levels.append(merged[np.argsort(merged["id"], kind="stable")])
-
-    @staticmethod
-    def scan(rows: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which rows have their id and key in the level, and the document there."""
-        at = np.minimum(np.searchsorted(level["id"], rows["id"]), len(level) - 1)
-        return (level["id"][at] == rows["id"]) & (level["key"][at] == rows["key"]), level["doc"][at]
+            at = np.searchsorted(theirs, value)
+            hit = np.flatnonzero(at < len(theirs))
+            hit = hit[theirs[at[hit]] == value[hit]]
+            hit = hit[level["id"][at[hit]] == batch["id"][hit]]
+            if not len(hit):
+                continue
+            before = level["doc"][at[hit]]
+            won = hit[batch["doc"][hit] < before]
+            if len(won):
+                ends = np.searchsorted(theirs, value[won], "right")
+                n = ends - at[won]
+                nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                there = np.repeat(at[won], n) + nth
+                there = np.unique(there[level["id"][there] == np.repeat(batch["id"][won], n)])
+                self.covered.append(level[there])
+                self.levels[i] = np.delete(theirs, there), np.delete(level, there)
+            lost = hit[batch["doc"][hit] > before]
+            if len(lost):
+                self.covered.append(batch[lost])
+                batch, value = np.delete(batch, lost), np.delete(value, lost)
+        self.levels.append((value, batch))
+        while len(self.levels) > 1 and len(self.levels[-2][0]) <= 2 * len(self.levels[-1][0]):
+            value, rows = (np.concatenate(x) for x in zip(self.levels.pop(), self.levels.pop(), strict=True))
+            order = np.argsort(value, kind="stable")
+            self.levels.append((value[order], rows[order]))
 
     def shared_keys(self) -> np.ndarray:
-        """Runs whose key is in runs of several documents."""
-        rows = np.concatenate(self.levels)
+        """Runs whose key is in runs of several documents, or hot somewhere."""
+        rows = np.concatenate([level for _, level in self.levels])
         rows = rows[np.argsort(rows["key"], kind="stable")]
-        fresh = np.concatenate(([True], rows["key"][1:] != rows["key"][:-1]))
-        starts, group = np.flatnonzero(fresh), np.cumsum(fresh) - 1
-        several = np.minimum.reduceat(rows["doc"], starts) != np.maximum.reduceat(rows["doc"], starts)
-        return rows[several[group]]
+        if not len(rows):
+            return rows
+        starts = np.flatnonzero(np.concatenate(([True], rows["key"][1:] != rows["key"][:-1])))
+        several = (np.minimum.reduceat(rows["doc"], starts) != np.maximum.reduceat(rows["doc"], starts)) | (np.minimum.reduceat(rows["n"], starts) == 0)
+        return rows[np.repeat(several, np.diff(np.append(starts, len(rows))))]
 
 
 def scan_shares(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
-    """Suffix arrays of whole shares -> covered and asked runs by document; passes covered ones on."""
+    """Suffix arrays of whole shares -> covered and asked runs by document; passes other kinds on."""
     family = LevelFamily()
     for batch in batches:
         kinds = batch.column(0).to_numpy()
         if (kinds != ENTRY).any():
             yield batch.filter(pa.array(kinds != ENTRY))
-        for kind, base, blob in zip(kinds.tolist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
-            if kind != ENTRY:
-                continue
-            packed = np.frombuffer(blob.as_buffer(), RUN)
-            rows = np.empty(len(packed), FULL)
-            for name in RUN.names:
-                rows[name] = packed[name]
-            rows["doc"] += base
-            family.push(rows)
-            if sum(map(len, family.covered)) > BATCH:
-                done = places(np.concatenate(family.covered))
-                family.covered = []
-                yield from blobs(COVERED, done, document_bucket(done["doc"], done["t"], groups))
+        for kind, blob in zip(kinds.tolist(), batch.column(2), strict=True):
+            if kind == ENTRY:
+                family.push(decode(blob, RUN))
+        if sum(map(len, family.covered)) > BATCH:
+            yield from places_by_document(COVERED, np.concatenate(family.covered), groups)
+            family.covered = []
     if family.covered:
-        done = places(np.concatenate(family.covered))
-        yield from blobs(COVERED, done, document_bucket(done["doc"], done["t"], groups))
+        yield from places_by_document(COVERED, np.concatenate(family.covered), groups)
     if family.levels:
-        asked = places(family.shared_keys())
-        yield from blobs(ASKED, asked, document_bucket(asked["doc"], asked["t"], groups))
+        yield from places_by_document(ASKED, family.shared_keys(), groups)
 
 
 def per_document(group: pa.Table) -> dict[tuple[int, int], np.ndarray]:
     """(doc_id, t) -> its places, from the blobs of a group of documents."""
-    parts = [np.frombuffer(b.as_buffer(), PLACE) for b in group.column("blob")]
+    parts = [decode(b, PLACE) for b in group.column("blob")]
     if not parts:
         return {}
     rows = np.concatenate(parts)
@@ -254,49 +336,51 @@ def per_document(group: pa.Table) -> dict[tuple[int, int], np.ndarray]:
     return {(int(rows["doc"][a]), int(rows["t"][a])): rows[a:b] for a, b in zip(cuts, cuts[1:], strict=False)}
 
 
-def documents_of(group: pa.Table) -> Iterator[tuple[int | None, int, np.ndarray]]:
+def documents_of(group: pa.Table, wanted: dict | None = None) -> Iterator[tuple[int | None, int, np.ndarray]]:
+    """The texts of a group: all rows, or only the first of each (doc_id, t) still in wanted."""
     unpack = zstandard.ZstdDecompressor()
     for doc, t, packed in zip(group.column("doc_id").to_pylist(), group.column("t").to_pylist(), group.column("packed"), strict=True):
-        yield doc, t, np.frombuffer(unpack.decompress(packed.as_buffer()), np.uint8)
+        if wanted is None or (doc, t) in wanted:
+            yield doc, t, np.frombuffer(unpack.decompress(packed.as_buffer()), np.uint8)
 
 
-def window_spots(length: int, shares: int, groups: int):
-    """(documents, asked runs) of a group -> their single windows by share, settled within the group."""
+def window_spots(length: int, groups: int):
+    """(documents, asked runs) of a group -> their single windows in one blob, settled within the group."""
 
     def emit(documents: pa.Table, asked: pa.Table) -> pa.Table:
-        wanted, found, seen = per_document(asked), [], set()
+        wanted, found = per_document(asked), []
         if wanted:
-            for doc, t, data in documents_of(documents):
-                rows = wanted.get((doc, t))
-                if rows is None or (doc, t) in seen:
-                    continue
-                seen.add((doc, t))
-                n = rows["n"].astype(np.int64)
-                at = np.repeat(rows["at"].astype(np.int64), n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                spots = np.empty(len(at), SPOT)
-                spots["id"], spots["more"] = Sums(data, 2).of(at, at + length), Sums(data, 1).of(at, at + length) >> np.uint64(32)
-                spots["doc"], spots["t"], spots["at"] = doc, t, at
-                found.append(spots)
-        out = []
-        if found:
-            stays, covered = settle(np.concatenate(found), ["id", "more"])
-            out += blobs(COVERED, places(covered), document_bucket(covered["doc"], covered["t"], groups))
-            out += blobs(WINDOW, stays, (stays["id"] % np.uint64(shares)).astype(np.int32))
-        return pa.Table.from_batches(out, schema=pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("base", pa.int64()), ("blob", pa.binary())]))
+            for doc, t, data in documents_of(documents, wanted):
+                rows = wanted.pop((doc, t))
+                found.append(spots_of(data, doc, t, rows["at"], rows["n"], length))
+        return pa.Table.from_batches(list(emit_spots(found, 1, groups)), schema=BLOB_SCHEMA)
 
     return emit
 
 
+def deal_windows(batches: Iterator[pa.RecordBatch], shares: int, groups: int) -> Iterator[pa.RecordBatch]:
+    """The windows of a task's groups, about BATCH at a time, by share; passes other kinds on."""
+    found: list[np.ndarray] = []
+    for batch in batches:
+        kinds = batch.column(0).to_numpy()
+        if (kinds != WINDOW).any():
+            yield batch.filter(pa.array(kinds != WINDOW))
+        found += [decode(b, SPOT) for k, b in zip(kinds.tolist(), batch.column(2), strict=True) if k == WINDOW]
+        if sum(map(len, found)) > BATCH:
+            yield from emit_spots(found, shares, groups)
+            found = []
+    yield from emit_spots(found, shares, groups)
+
+
 def settle_windows(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
     found = []
     for batch in batches:
         kinds = batch.column(0).to_numpy()
         if (kinds != WINDOW).any():
             yield batch.filter(pa.array(kinds != WINDOW))
-        found += [np.frombuffer(b.as_buffer(), SPOT) for k, b in zip(kinds.tolist(), batch.column(3), strict=True) if k == WINDOW]
+        found += [decode(b, SPOT) for k, b in zip(kinds.tolist(), batch.column(2), strict=True) if k == WINDOW]
     if found:
-        done = places(settle(np.concatenate(found), ["id", "more"])[1])
-        yield from blobs(COVERED, done, document_bucket(done["doc"], done["t"], groups))
+        yield from settle_spots(np.concatenate(found), groups)[1]
 
 
 def removed(length: int):
@@ -333,6 +417,17 @@ def pack(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([pa.array(bucket), doc, batch.column(1), pa.array(packed, pa.binary())], ["bucket", "doc_id", "t", "packed"])
 
 
+def numbered_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, t, text (binary); t tells the different texts of one doc_id apart, and is 0 for most."""
+    plain = docs.select("doc_id", F.xxhash64("text").alias("h"), F.col("text").cast("binary").alias("text"))
+    several = ids.groupBy("doc_id").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b and doc_id is not null").select("doc_id")
+    repeated = cut(ids.join(several, "doc_id").select("doc_id", "h").distinct())
+    if repeated.isEmpty():
+        return plain.select("doc_id", F.lit(0).cast("long").alias("t"), "text")
+    t = repeated.select("doc_id", "h", F.row_number().over(Window.partitionBy("doc_id").orderBy("h")).cast("long").alias("n"))
+    return plain.join(t, ["doc_id", "h"], "left").select("doc_id", F.coalesce("n", F.lit(0)).alias("t"), "text")
+
+
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
     """doc_id, n_bytes, spans (array of removed byte ranges: start, end), kept (binary) for every row.
 
@@ -342,21 +437,27 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame
     """
     spark = docs.sparkSession
     parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # t tells rows of one doc_id apart
-    texts = docs.select("doc_id", F.xxhash64("text").bitwiseAND(0xFFFFFFFF).alias("t"), F.col("text").cast("binary").alias("text"))
-    total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
+    ids = cut(docs.select("doc_id", F.xxhash64("text").alias("h"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")))
+    total = ids.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first().n
+    texts = numbered_texts(docs, ids)
     groups = max(4 * parallel, total // GROUP_BYTES + 1)
-    tasks = max(parallel, total // 12 // SHARE + 1)
+    tasks = max(parallel, total // 10 // SHARE + 1)
     shares = 4 * tasks
 
     def by_document(function, schema: str, found: DataFrame) -> DataFrame:
         left = texts.mapInArrow(lambda b: pack(b, groups), "bucket int, doc_id long, t long, packed binary")
         return left.groupBy("bucket").cogroup(found.select("bucket", "blob").groupBy("bucket")).applyInArrow(function, schema)
 
-    arrays = texts.mapInArrow(lambda b: index_batches(b, length, k, shares, groups), BLOBS)
-    scanned = cut(arrays.repartition(tasks, "bucket").mapInArrow(lambda b: scan_shares(b, groups), BLOBS))
-    windows = by_document(window_spots(length, shares, groups), BLOBS, scanned.filter(F.col("kind") == ASKED))
-    settled = cut(windows.repartition(tasks, "bucket").mapInArrow(lambda b: settle_windows(b, groups), BLOBS))
+    scanned = cut_and_free(
+        texts.mapInArrow(lambda b: index_batches(b, length, k, shares, groups), BLOBS).repartition(tasks, "bucket").mapInArrow(lambda b: scan_shares(b, groups), BLOBS)
+    )
+    settled = cut_and_free(
+        by_document(window_spots(length, groups), BLOBS, scanned.filter(F.col("kind") == ASKED))
+        .mapInArrow(lambda b: deal_windows(b, shares, groups), BLOBS)
+        .unionByName(scanned.filter(F.col("kind") == WINDOW))
+        .repartition(tasks, "bucket")
+        .mapInArrow(lambda b: settle_windows(b, groups), BLOBS)
+    )
     covered = scanned.unionByName(settled).filter(F.col("kind") == COVERED)
     return by_document(removed(length), "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary", covered)
 
@@ -365,3 +466,25 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup(table(spark, sf_dir, "documents"))
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     return found.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), w AS (
+  SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS s FROM (SELECT doc_id, x, unnest(range(n - 49)) AS i FROM d WHERE n >= 50)
+), c AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM w) WHERE first < doc_id
+), g AS (
+  SELECT DISTINCT doc_id, i + k AS b FROM c, unnest(range(50)) AS o(k)
+), r AS (
+  SELECT doc_id, count(*) AS n_removed, count(*) FILTER (before IS NULL OR before < b - 1) AS n_spans
+  FROM (SELECT doc_id, b, lag(b) OVER (PARTITION BY doc_id ORDER BY b) AS before FROM g) GROUP BY doc_id
+), k AS (
+  SELECT e.doc_id, string_agg(substr(x, 2 * e.b + 1, 2), '' ORDER BY e.b) AS kept
+  FROM (SELECT doc_id, x, unnest(range(n)) AS b FROM d SEMI JOIN r USING (doc_id)) e ANTI JOIN g ON e.doc_id = g.doc_id AND e.b = g.b GROUP BY e.doc_id
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN n_removed IS NULL THEN x ELSE coalesce(kept, '') END)) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id) LEFT JOIN k USING (doc_id)
+"""

@@ -1,6 +1,10 @@
 import random
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from terrabrook.llm import suffix_dedup as S
@@ -23,7 +27,7 @@ def brute(rows, length):
     return data, out
 
 
-def check(spark, rows, length=50, k=26, parts=3):
+def check(spark, rows, length=50, k=20, parts=3):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
     data, want = brute(rows, length)
     for r in S.suffix_dedup(df, length, k).collect():
@@ -64,31 +68,67 @@ def test_short_strings_collide_often(spark):
     check(spark, rows, length=12, k=6)
 
 
-def test_small_batches(spark, monkeypatch):
-    batches = [S.LevelFamily() for _ in range(1)]
-    rows = corpus(5)
-    data, want = brute(rows, 50)
-    family = batches[0]
-    covered = []
-    full = []
-    for i, d in data.items():
-        import numpy as np
-
-        b = np.frombuffer(d, np.uint8)
-        if len(b) < 50:
-            continue
-        key, ids, at, n = S.runs(b, 50, 26)
-        out = np.empty(len(ids), S.FULL)
-        out["id"], out["key"], out["doc"], out["t"], out["at"], out["n"] = ids, key >> np.uint64(32), i, 0, at, n
-        stays, gone = S.settle(out, ["id", "key"])
-        assert len(gone) == 0
-        full.append(out)
-        family.push(stays)
-    sizes = [len(x) for x in family.levels]
-    assert all(a > 2 * b for a, b in zip(sizes, sizes[1:]))
-    covered = S.places(__import__("numpy").concatenate(family.covered))
-    for r in covered:  # whatever left the family is covered indeed
-        assert all(want[int(r["doc"])][int(r["at"]) : int(r["at"]) + int(r["n"]) + 49])
+def test_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(S, "HOT", 2)
+    monkeypatch.setattr(S, "BATCH", 300)
+    rng = random.Random(8)
+    data, _ = brute(corpus(8, 40), 50)
+    shares, groups = 7, 5
+    rows = corpus(8, 80)
+    table = pa.table({"doc": [i for i, _ in rows], "t": [0] * len(rows), "text": [(t or "").encode() for _, t in rows]}, schema=pa.schema([("doc", pa.int64()), ("t", pa.int64()), ("text", pa.binary())]))
+    batches = list(S.index_batches(iter(table.to_batches(max_chunksize=7)), 50, 20, shares, groups))
+    kinds = [k for b in batches for k in b.column(0).to_pylist()]
+    assert kinds.count(S.WINDOW) > 0
+    rng.shuffle(batches)
+    scanned = []
+    for share in range(shares):
+        mine = [b.filter(pa.compute.equal(b.column(1), share)) for b in batches]
+        scanned += list(S.scan_shares(iter([b.filter(pa.compute.equal(b.column(0), S.ENTRY)) for b in mine]), groups))
+    whole = pa.Table.from_batches(batches + scanned, schema=S.BLOB_SCHEMA)
+    pick = lambda kind, t=whole: t.filter(pa.compute.equal(t.column("kind"), kind))
+    pack = zstandard.ZstdCompressor()
+    documents = pa.table({"doc_id": table["doc"], "t": table["t"], "packed": [pack.compress(x) for x in table["text"].to_pylist()]})
+    spots = pa.Table.from_batches(list(S.deal_windows(iter(S.window_spots(50, groups)(documents, pick(S.ASKED)).to_batches()), shares, groups)), schema=S.BLOB_SCHEMA)
+    windows = pa.concat_tables([pick(S.WINDOW), spots])
+    settled = list(S.settle_windows(iter(windows.to_batches()), groups))
+    covered = pa.concat_tables([pick(S.COVERED), pa.Table.from_batches(settled, schema=S.BLOB_SCHEMA)]).filter(pa.compute.equal(pa.concat_tables([pick(S.COVERED), pa.Table.from_batches(settled, schema=S.BLOB_SCHEMA)]).column("kind"), S.COVERED))
+    got = S.removed(50)(documents, covered).to_pylist()
+    _, want = brute(rows, 50)
+    for r in got:
+        gone = [False] * r["n_bytes"]
+        for s in r["spans"]:
+            gone[s["start"] : s["end"]] = [True] * (s["end"] - s["start"])
+        assert gone == want[r["doc_id"]], r["doc_id"]
+
+
+def test_levels_grow_geometrically():
+    family = S.LevelFamily()
+    rng = np.random.default_rng(1)
+    best = {}
+    for i in rng.permutation(40):
+        rows = np.zeros(50, S.RUN)
+        rows["key"], rows["doc"], rows["n"] = rng.integers(0, 300, 50), i, 1
+        rows["id"] = rows["key"] << 20
+        rows = rows[np.argsort(S.sort_value(rows), kind="stable")]
+        family.push(rows)
+        for key in rows["key"].tolist():
+            best[key] = min(best.get(key, 99), int(i))
+        sizes = [len(v) for v, _ in family.levels]
+        assert all(a > 2 * b for a, b in zip(sizes, sizes[1:]))
+    left = np.concatenate([r for _, r in family.levels])
+    assert {(int(r["key"]), int(r["doc"])) for r in left} == set(best.items())
+    assert len(left) + sum(map(len, family.covered)) == 2000
+
+
+def test_blobs_round_trip():
+    rng = np.random.default_rng(2)
+    for dtype in (S.RUN, S.PLACE, S.SPOT):
+        rows = np.zeros(500, dtype)
+        for name in dtype.names:
+            info = np.iinfo(dtype[name])
+            rows[name] = rng.integers(info.min, info.max, 500, dtype=dtype[name], endpoint=True)
+        blob = pa.scalar(S.encode(rows), pa.binary())
+        assert (S.decode(blob, dtype) == rows).all()
 
 
 def test_repeated_null_and_empty(spark):
