@@ -179,6 +179,29 @@ def sort_value(rows: np.ndarray) -> np.ndarray:
     return (rows["key"] << np.uint64(64 - KEY_BITS)) | (rows["id"] >> np.uint64(ID_BITS + KEY_BITS - 64))
 
 
+def run_order(value: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """A stable order by sort value and the whole id; only ties of the value are sorted by id."""
+    order = np.argsort(value, kind="stable")
+    v = value[order]
+    same = v[1:] == v[:-1]
+    tied = np.flatnonzero(np.concatenate((same, [False])) | np.concatenate(([False], same))) if len(v) else order
+    if len(tied):
+        order[tied] = order[tied][np.lexsort((ids[order[tied]], v[tied]))]
+    return order
+
+
+def search_ids(ids: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """For each wanted id its first place in ids[low:high], which is sorted; high if all are smaller."""
+    low, high = low.copy(), high.copy()
+    while (open_ := low < high).any():
+        middle = (low + high) >> 1
+        right = open_.copy()
+        right[open_] = ids[middle[open_]] < wanted[open_]
+        low = np.where(right, middle + 1, low)
+        high = np.where(open_ & ~right, middle, high)
+    return low
+
+
 def share_of(value: np.ndarray, shares: int) -> np.ndarray:
     """Mixed again: keys are least hashes, so most of them are small."""
     return (mix(value) % np.uint64(shares)).astype(np.int32)
@@ -215,7 +238,7 @@ def index_batches(batches: Iterator[pa.RecordBatch], length: int, k: int, shares
         source = np.repeat(np.arange(len(found)), list(map(len, found)))
         rows = np.concatenate(found)
         value = sort_value(rows)
-        order = np.lexsort((rows["doc"], value))
+        order = np.lexsort((rows["doc"], rows["id"], value))
         rows, value, source = rows[order], value[order], source[order]
         stays = first_documents(rows, value, rows["id"])
         yield from places_by_document(COVERED, rows[~stays], groups)
@@ -234,7 +257,7 @@ def index_batches(batches: Iterator[pa.RecordBatch], length: int, k: int, shares
             marks = rows[hot & fresh]
             marks["n"] = marks["id"] = 0
             rows = np.concatenate((rows[~hot], marks))
-            rows = rows[np.argsort(sort_value(rows), kind="stable")]
+            rows = rows[run_order(sort_value(rows), rows["id"])]
         yield from blobs(ENTRY, rows, share_of(rows["key"], shares))
 
     texts, found, size = [], [], 0
@@ -257,7 +280,7 @@ def index_batches(batches: Iterator[pa.RecordBatch], length: int, k: int, shares
 
 
 class LevelFamily:
-    """Sorted arrays of runs. Equal runs in a level are those of one document."""
+    """Arrays of runs, sorted by key and whole id. Equal runs in all levels are those of one document."""
 
     def __init__(self):
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []  # sort values, rows
@@ -272,7 +295,10 @@ class LevelFamily:
             at = np.searchsorted(theirs, value)
             hit = np.flatnonzero(at < len(theirs))
             hit = hit[theirs[at[hit]] == value[hit]]
-            hit = hit[level["id"][at[hit]] == batch["id"][hit]]
+            ends = np.searchsorted(theirs, value[hit], "right")
+            at[hit] = search_ids(level["id"], at[hit], ends, batch["id"][hit])
+            hit = hit[at[hit] < ends]
+            hit = hit[(theirs[at[hit]] == value[hit]) & (level["id"][at[hit]] == batch["id"][hit])]
             if not len(hit):
                 continue
             before = level["doc"][at[hit]]
@@ -282,7 +308,8 @@ class LevelFamily:
                 n = ends - at[won]
                 nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 there = np.repeat(at[won], n) + nth
-                there = np.unique(there[level["id"][there] == np.repeat(batch["id"][won], n)])
+                larger = level["doc"][there] > np.repeat(batch["doc"][won], n)
+                there = np.unique(there[larger & (level["id"][there] == np.repeat(batch["id"][won], n))])
                 self.covered.append(level[there])
                 self.levels[i] = np.delete(theirs, there), np.delete(level, there)
             lost = hit[batch["doc"][hit] > before]
@@ -292,7 +319,7 @@ class LevelFamily:
         self.levels.append((value, batch))
         while len(self.levels) > 1 and len(self.levels[-2][0]) <= 2 * len(self.levels[-1][0]):
             value, rows = (np.concatenate(x) for x in zip(self.levels.pop(), self.levels.pop(), strict=True))
-            order = np.argsort(value, kind="stable")
+            order = run_order(value, rows["id"])
             self.levels.append((value[order], rows[order]))
 
     def shared_keys(self) -> np.ndarray:

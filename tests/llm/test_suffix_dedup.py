@@ -120,6 +120,53 @@ def test_levels_grow_geometrically():
     assert len(left) + sum(map(len, family.covered)) == 2000
 
 
+def run_rows(*found):
+    """Runs of one key whose ids share the bits in the sort value: (id, doc), in the order of the array."""
+    rows = np.zeros(len(found), S.RUN)
+    rows["key"], rows["n"] = 7, 1
+    rows["id"], rows["doc"] = [i for i, _ in found], [d for _, d in found]
+    return rows[np.lexsort((rows["id"], S.sort_value(rows)))]
+
+
+def test_unequal_runs_of_one_sort_value():
+    y, x = 1, 2
+    family = S.LevelFamily()
+    for batch in ([(y, 2), (x, 3)], [(x, 10)], [(x, 5)], [(y, 1), (x, 3)]):
+        rows = run_rows(*batch)
+        assert len(np.unique(S.sort_value(rows))) == 1
+        family.push(rows)
+    covered = np.concatenate(family.covered)
+    assert sorted(zip(covered["id"].tolist(), covered["doc"].tolist())) == [(y, 2), (x, 5), (x, 10)]
+    left = np.concatenate([r for _, r in family.levels])
+    assert sorted(zip(left["id"].tolist(), left["doc"].tolist())) == [(y, 1), (x, 3), (x, 3)]
+
+
+def test_levels_equal_brute_force_on_sort_value_ties():
+    rng = np.random.default_rng(4)
+    family, best, total = S.LevelFamily(), {}, 0
+    for doc in rng.permutation(60).tolist():
+        rows = run_rows(*[(int(i), doc) for i in np.unique(rng.integers(0, 40, 20))])
+        family.push(rows)
+        total += len(rows)
+        for i in rows["id"].tolist():
+            best[i] = min(best.get(i, 99), doc)
+    left = np.concatenate([r for _, r in family.levels])
+    assert sorted(zip(left["id"].tolist(), left["doc"].tolist())) == sorted(best.items())
+    assert len(left) + sum(map(len, family.covered)) == total
+
+
+def test_equal_runs_leave_a_batch_on_sort_value_ties(monkeypatch):
+    monkeypatch.setattr(S, "sort_value", lambda rows: rows["key"] << np.uint64(16))  # all runs of a key tie
+    rows = corpus(5, 80)
+    columns = [pa.array([i for i, _ in rows], pa.int64()), pa.array([0] * len(rows), pa.int64()), pa.array([t.encode() if t is not None else None for _, t in rows], pa.binary())]
+    found = list(S.index_batches(iter([pa.RecordBatch.from_arrays(columns, ["doc", "t", "text"])]), 50, 20, 1, 1))
+    entries = np.concatenate([S.decode(blob, S.RUN) for b in found for kind, blob in zip(b.column(0).to_pylist(), b.column(2)) if kind == S.ENTRY])
+    documents = {}
+    for r in entries[entries["n"] > 0]:
+        documents.setdefault((int(r["key"]), int(r["id"])), set()).add(int(r["doc"]))
+    assert all(len(d) == 1 for d in documents.values())
+
+
 def test_blobs_round_trip():
     rng = np.random.default_rng(2)
     for dtype in (S.RUN, S.PLACE, S.SPOT):
