@@ -31,12 +31,22 @@ def unescaped(col: Column) -> Column:
     return F.regexp_replace(col, r"(?s)\\(.)", "$1")
 
 
+def keyed(messages: DataFrame) -> DataFrame:
+    """messages with conv_id in a struct: structs of null are equal, so a null conv_id joins like others."""
+    return messages.withColumn("conv_id", F.struct("conv_id"))
+
+
 def reply_paths(messages: DataFrame) -> DataFrame:
     """conv_id, leaf, node, step (0 at the leaf) for every root-to-leaf path.
 
     messages: conv_id, msg_id (unique in its conversation), parent_id.  A message whose parent is
     null, missing or not before it (parent_id >= msg_id) is a root, so there are no cycles.
+    Messages with a null conv_id are one conversation.
     """
+    return keyed_paths(keyed(messages)).withColumn("conv_id", F.col("conv_id.conv_id"))
+
+
+def keyed_paths(messages: DataFrame) -> DataFrame:
     nodes = cut(messages.select("conv_id", "msg_id", F.when(F.col("parent_id") < F.col("msg_id"), F.col("parent_id")).alias("parent_id")))
     known = nodes.select("conv_id", F.col("msg_id").alias("up"))
     jump = cut(nodes.filter("parent_id is not null").select("conv_id", F.col("msg_id").alias("node"), F.col("parent_id").alias("up")).join(known, ["conv_id", "up"]).select("conv_id", "node", "up"))
@@ -58,10 +68,11 @@ def format_chats(messages: DataFrame, top: int | None = None) -> DataFrame:
     messages: conv_id, msg_id, parent_id, role, text, score (null: 0).  A path's score is its
     messages' mean; branches rank by score, then leaf.  top keeps that many branches of each
     conversation (a top-k feature; None keeps all).  loss are the code points of the formatted
-    string that hold a LOSS_ROLE turn's escaped text.  Null roles and texts are empty.  Extra columns
-    are not returned.
+    string that hold a LOSS_ROLE turn's escaped text.  Null roles and texts are empty.  Messages with
+    a null conv_id are one conversation.  Extra columns are not returned.
     """
-    paths = reply_paths(messages)
+    messages = keyed(messages)
+    paths = keyed_paths(messages)
     turns = paths.join(messages.select("conv_id", F.col("msg_id").alias("node"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("score", F.lit(0.0)).alias("score")), ["conv_id", "node"])
     scored = turns.groupBy("conv_id", "leaf").agg(
         F.avg("score").alias("score"),
@@ -78,7 +89,7 @@ def format_chats(messages: DataFrame, top: int | None = None) -> DataFrame:
         z["turns"]["loss"].alias("loss"),
     ))
     return placed.select(
-        "conv_id", "leaf", "score", "branch", F.size("turns").cast("long").alias("n_turns"), F.array_join("pieces", "").alias("formatted"),
+        "conv_id.conv_id", "leaf", "score", "branch", F.size("turns").cast("long").alias("n_turns"), F.array_join("pieces", "").alias("formatted"),
         F.transform(F.filter(spans, lambda s: s["loss"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("loss"),
     )
 

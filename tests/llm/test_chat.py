@@ -50,6 +50,20 @@ def test_repeated_turns_and_nulls(spark):
     assert len(got) == 1 and sorted(tuple(x) for x in got[0].t) == [("", ""), ("assistant", "z"), ("user", "a"), ("user", "a")]
 
 
+def test_null_conversation(spark, tmp_path):
+    rows = [(None, 2, "assistant", "c"), (None, 1, "user", "b"), (None, 0, "system", "a"), (0, 0, "user", "z"), (4, 0, "user", "q"), (4, 1, "assistant", "r")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    df = C.op6_chat_formatting(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.sql(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.sql(f"select {', '.join(df.columns)} from ({C.OP6_SQL})").fetchall()
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(want, key=str)
+    assert [r[1] for r in want if r[0] is None] == [3]
+    tree = [(None, 1, None, "user", "q", 0.0), (None, 2, 1, "assistant", "a", 1.0), (None, 3, 1, "assistant", "b", 2.0)]
+    got = C.reply_paths(spark.createDataFrame([(*r, 7) for r in tree], SCHEMA)).collect()
+    assert sorted((r.leaf, r.node) for r in got) == [(2, 1), (2, 2), (3, 1), (3, 3)] and {r.conv_id for r in got} == {None}
+
+
 def test_oracle(spark):
     con = duckdb.connect()
     con.sql(f"create view conversations as select * from '{DATA}/conversations.parquet'")
