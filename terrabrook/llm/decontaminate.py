@@ -5,8 +5,11 @@ hash-joined between documents and benchmark items, and the values in the slots m
 consistently from the item to the document.  So a question is found again when its numbers or
 names were exchanged, and not when only the scaffold agrees.
 
-Every window has two templates: one in which a capitalised word inside a sentence is a <name>, and
-one that lower-cases all words, so that text whose case or punctuation was lost still matches.
+Every window has three templates: one in which a capitalised word inside a sentence is a <name>, one
+that lower-cases all words, so that text whose case or punctuation was lost still matches, and one in
+which a capitalised word that opens a sentence is a <name> too.  The third may hold ordinary words in
+its slots, so its values are judged apart.  Templates with more slots than literals match ordinary
+text; windows that are mostly numbers, which have no other template, match by their exact words.
 
 Documents are prefiltered by a bit set of fixed size (2**BLOOM_BITS) made from the benchmark's
 window hashes; what passes is joined as rows, whatever the size of the benchmark.
@@ -20,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, table
@@ -43,6 +46,7 @@ UNITS = {
 DIMENSION = {u: d for d, us in UNITS.items() for u in us.split()}
 TOKEN = re.compile(r"[.!?:\n]|\d+(?:[.,]\d+)*|[^\W\d_]+")
 NUMBER, NAME = "<num>", "<name>"
+INSIDE, LOWERED, OPENING, EXACT = 0, 1, 2, 3
 WINDOWS = "id long, t long, channel int, size int, h long, at int, template string, slots array<string>, windows int"
 
 
@@ -50,23 +54,27 @@ def code(token: str) -> int:
     return int.from_bytes(hashlib.blake2b(token.encode(), digest_size=8).digest(), "little")
 
 
+NAME_CODE = np.uint64(code(NAME))
+
+
 class Vocabulary(dict):
-    """Token -> row of plain (its code), kind (0 mark, 1 number, 2 capitalised, 3 other) and unit.
+    """Token -> row of plain (its code), exact (for a number, the code of its digits), kind (0 mark, 1 number, 2 capitalised, 3 other) and unit.
 
     Forgets all when it grows beyond a bound, between two texts.
     """
 
     def __init__(self):
         super().__init__()
-        self.plain, self.kind, self.unit = np.zeros(1024, np.uint64), np.zeros(1024, np.int8), np.zeros(1024, np.uint64)
+        self.plain, self.exact, self.kind, self.unit = np.zeros(1024, np.uint64), np.zeros(1024, np.uint64), np.zeros(1024, np.int8), np.zeros(1024, np.uint64)
 
     def __missing__(self, token: str) -> int:
         row = len(self)
         if row == len(self.plain):
-            self.plain, self.kind, self.unit = (np.concatenate((x, np.zeros_like(x))) for x in (self.plain, self.kind, self.unit))
+            self.plain, self.exact, self.kind, self.unit = (np.concatenate((x, np.zeros_like(x))) for x in (self.plain, self.exact, self.kind, self.unit))
         lower = token.lower()
         number = token[0].isdigit()
-        self.plain[row] = code(NUMBER if number else lower)
+        self.exact[row] = code(lower)
+        self.plain[row] = code(NUMBER) if number else self.exact[row]
         self.kind[row] = 0 if token in ".!?:\n" else 1 if number else 2 if token[0].isupper() else 3
         self.unit[row] = code(f"<{DIMENSION[lower]}>") if lower in DIMENSION else 0
         self[token] = row
@@ -74,8 +82,8 @@ class Vocabulary(dict):
 
 
 def canonical(text: str, vocabulary: Vocabulary) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The text's tokens, which of them are words, and of the words the codes and slots in either
-    channel (2 x n each) and which are units."""
+    """The text's tokens, which of them are words, and of the words the codes and slots in each
+    channel (4 x n each) and which are units."""
     tokens = TOKEN.findall(text)
     if len(vocabulary) > VOCABULARY:
         vocabulary.clear()
@@ -90,19 +98,25 @@ def canonical(text: str, vocabulary: Vocabulary) -> tuple[list[str], np.ndarray,
     units = unit[rows]
     is_unit = after & (units != 0)
     lowered = np.where(is_unit, units, plain[rows])
-    name = (kinds == 2) & ~starts & ~is_unit
-    return tokens, np.flatnonzero(word), np.stack((np.where(name, code(NAME), lowered), lowered)), np.stack((number | name, number)), is_unit
+    capital = (kinds == 2) & ~is_unit
+    name = capital & ~starts
+    codes = np.stack((np.where(name, NAME_CODE, lowered), lowered, np.where(capital, NAME_CODE, lowered), vocabulary.exact[rows]))
+    return tokens, np.flatnonzero(word), codes, np.stack((number | name, number, number | capital, np.zeros_like(number))), is_unit
 
 
 def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
-    out = np.zeros(max(0, len(codes) - size + 1), np.uint64)
+    """Hashes of the windows along the last axis."""
+    n = max(0, codes.shape[-1] - size + 1)
+    out = np.zeros((*codes.shape[:-1], n), np.uint64)
     for j in range(size):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + codes[j : j + len(out)]
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += codes[..., j : j + n]
     out ^= out >> np.uint64(29)
     return out * np.uint64(0xBF58476D1CE4E5B9)
 
 
 def template(words: list[str], slots: np.ndarray, units: np.ndarray, a: int, b: int) -> str:
+    """A window's template; a number in no slot stands for itself."""
     out = []
     for i in range(a, b):
         w = words[i]
@@ -124,23 +138,24 @@ def windows(batches: Iterator[pa.RecordBatch], sizes: list[int] | None, bloom: n
             for size in sizes or [min(WINDOW, len(place))]:
                 if size < MIN_WORDS or size > len(place):
                     continue
-                for channel in (0, 1):
-                    filled = np.concatenate(([0], np.cumsum(slots[channel])))
-                    literal = size - (filled[size:] - filled[:-size])
-                    h = window_hashes(codes[channel], size)
-                    good = literal * 2 >= size
-                    total = int(good.sum())
-                    if bloom is not None:
-                        bit = (h >> np.uint64(64 - BLOOM_BITS)).astype(np.int64)
-                        good &= (bloom[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
-                    found = np.flatnonzero(good)
-                    if len(found) and not words:
-                        words = [tokens[i] for i in place.tolist()]
-                    signed = h.view(np.int64)
-                    rows.extend(
-                        (id_, t, channel, size, int(signed[a]), a, template(words, slots[channel], units, a, a + size), [words[i] for i in range(a, a + size) if slots[channel][i]], total)
-                        for a in found.tolist()
-                    )
+                hashes = window_hashes(codes, size)
+                filled = np.zeros((len(slots), len(place) + 1), np.int64)
+                np.cumsum(slots, axis=1, out=filled[:, 1:])
+                usable = (size - (filled[:, size:] - filled[:, :-size])) * 2 >= size
+                usable[EXACT] = ~usable[LOWERED]
+                totals = usable.sum(axis=1).tolist()
+                totals[EXACT] = hashes.shape[1]
+                if bloom is not None:
+                    bit = (hashes >> np.uint64(64 - BLOOM_BITS)).astype(np.int64)
+                    usable &= (bloom[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+                channels, places = (x.tolist() for x in np.nonzero(usable))
+                if places and not words:
+                    words = [tokens[i] for i in place.tolist()]
+                signed = hashes.view(np.int64)
+                rows.extend(
+                    (id_, t, c, size, int(signed[c, a]), a, template(words, slots[c], units & (c != EXACT), a, a + size), [words[i] for i in range(a, a + size) if slots[c][i]], totals[c])
+                    for c, a in zip(channels, places, strict=True)
+                )
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
@@ -155,12 +170,25 @@ def bit_set(found: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
+def verdict(*channels: int) -> Column:
+    """Of a line: its windows found by these channels' templates, by these or exactly, the item's windows
+    that have a template (null without a hit of one) or need none, and the slots."""
+    templated, any_ = F.col("channel").isin(*channels), F.col("channel").isin(*channels, EXACT)
+    return F.struct(
+        F.size(F.collect_set(F.when(templated, F.col("at")))).alias("templated"), F.size(F.collect_set(F.when(any_, F.col("at")))).alias("hits"),
+        F.max(F.when(templated, F.col("windows"))).alias("usable"), F.max(F.when(F.col("channel") == EXACT, F.col("windows"))).alias("every"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(any_, F.col("slots"))))).alias("slots"),
+    )
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, t (xxhash64 of the text), item_id, hits, windows, changed: one row per document and item found.
 
     An item is found if at least MIN_HITS of its windows (all, if it has fewer) occur in line in
     the document and their slots are consistent: equal values of the item stand against equal
-    values of the document.  changed: some value differs, so the question was re-parameterised.
+    values of the document.  That holds with or without the templates in which a sentence's first
+    word is a slot.  Fewer than MIN_HITS exact windows count only if they are all of an item's
+    windows.  changed: some value differs, so the question was re-parameterised.
     Null ids and null or empty texts find nothing, and so do items under MIN_WORDS words.  Repeated
     rows give one result.  Extra columns are not read.
     """
@@ -169,15 +197,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bloom = bit_set(items)
     rows = docs.select(F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("t")).mapInArrow(lambda b: windows(b, sizes, bloom), WINDOWS)
     pairs = rows.alias("d").join(items.alias("i"), ["size", "channel", "h", "template"]).select(
-        F.col("d.id").alias("doc_id"), F.col("d.t").alias("t"), F.col("i.id").alias("item_id"), F.col("i.windows").alias("windows"),
+        F.col("d.id").alias("doc_id"), F.col("d.t").alias("t"), F.col("i.id").alias("item_id"), F.col("channel"), F.col("i.windows").alias("windows"),
         F.col("i.at").alias("at"), (F.col("d.at") - F.col("i.at")).alias("line"), F.arrays_zip(F.col("i.slots").alias("was"), F.col("d.slots").alias("now")).alias("slots"),
     )
-    lines = pairs.groupBy("doc_id", "t", "item_id", "line").agg(F.count_distinct("at").alias("hits"), F.max("windows").alias("windows"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-    consistent = F.size(F.array_distinct(F.col("slots.was"))) == F.size("slots")
+    lines = pairs.groupBy("doc_id", "t", "item_id", "line").agg(F.max("windows").alias("windows"), verdict(INSIDE, LOWERED).alias("strict"), verdict(INSIDE, LOWERED, OPENING).alias("wide"))
+    verdicts = lines.select("doc_id", "t", "item_id", "windows", F.explode(F.array("strict", "wide")).alias("v"))
+    consistent = F.size(F.array_distinct(F.col("v.slots.was"))) == F.size("v.slots")
+    enough = (F.col("v.templated") >= F.least(F.lit(MIN_HITS), "v.usable")) | (F.col("v.hits") >= F.least(F.lit(MIN_HITS), "v.every"))
     return (
-        lines.filter((F.col("hits") >= F.least(F.lit(MIN_HITS), "windows")) & consistent)
+        verdicts.filter(consistent & enough)
         .groupBy("doc_id", "t", "item_id")
-        .agg(F.max("hits").alias("hits"), F.max("windows").cast("long").alias("windows"), F.max(F.exists("slots", lambda s: s["was"] != s["now"])).alias("changed"))
+        .agg(F.max("v.hits").cast("long").alias("hits"), F.max("windows").cast("long").alias("windows"), F.max(F.exists("v.slots", lambda s: s["was"] != s["now"])).alias("changed"))
     )
 
 

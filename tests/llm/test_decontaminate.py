@@ -31,6 +31,28 @@ def test_finds_copies_and_variants(spark):
     assert D.contaminated(df, benchmark.filter(F.lit(False))).collect() == []
 
 
+def test_names_that_open_a_sentence(spark):
+    item = "Tom has 3 apples. Sue gives Tom 4 more. How many apples does Tom have now?"
+    short = "Mary sold seven red hats before noon. Who paid?"
+    benchmark = spark.createDataFrame([(1, item), (2, short)], "item_id long, text string")
+    renamed = item.replace("Tom", "Max").replace("Sue", "Ann")
+    docs = [
+        (10, renamed), (11, f"as he said, {renamed}"), (12, short.replace("Mary", "Olga")), (13, item), (14, renamed.replace("does Max", "does Ann")),
+        (15, item.replace("Tom has", "There has")), (16, "Max ate 3 pears. Ann gives Max 4 more. How many does Max want now?"), (17, item.upper()),
+    ]
+    got = ids(D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), benchmark))
+    assert {k for k in got if k[0] != 15} == {(10, 1), (11, 1), (12, 2), (13, 1), (17, 1)}
+    assert got[10, 1] and got[12, 2] and not got[13, 1]
+    assert (15, 1) in got  # its windows after the first word are a passage of the item
+
+
+def test_items_that_are_mostly_numbers(spark):
+    item = "2 4 8 16 32 and 64 128 256 512 1024 then 2048 4096 8192"
+    docs = [(1, f"words before {item} and after"), (2, "2 4 8 16 32 and 64 128 256 512 1025 then 2048 4096 8192"), (3, "3 5 9 17 33 and 65 129 257 513 1025 then 2049 4097 8193")]
+    got = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert ids(got) == {(1, 7): False}
+
+
 def brute(docs, items):
     """Pairs with MIN_HITS windows in line, by comparing all templates; texts without slots."""
     found = set()
