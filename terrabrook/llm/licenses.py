@@ -1,7 +1,9 @@
 """License scans: ordered signature rules, gated by keywords, with containment suppression.
 
 Rules are regexes over the text with A-Z lower-cased, made from NAMES and FORMS.  A text without
-any of the gate words runs none; another runs the rules whose keyword it contains.  Detections are
+any of the gate words runs none; another runs the rules whose keyword it contains.  Gate words and
+keywords are looked for with white space and comment marks folded to one space, since names may be
+broken by them.  SPDX expressions are read whole, beside the rules.  Detections are
 ordered by place; one that lies inside another is suppressed, and of two on one interval the form
 with the better priority stays.  DataFrame functions only.
 """
@@ -48,7 +50,8 @@ NAMES = [
     ("bsl", "business source", r"business source licen[sc]e", r"busl-1\.1"),
     ("sspl", "server side", r"server side public licen[sc]e", r"sspl-1\.0"),
     ("elastic", "elastic", r"elastic licen[sc]e", r"elastic-2\.0"),
-    ("python", "python", r"(?:python software foundation|psf|python) licen[sc]e(?: agreement)?", r"(?:psf-2\.0|python-2\.0)"),
+    ("python", "python", r"(?:python software foundation|python) licen[sc]e(?: agreement)?", r"python-2\.0"),
+    ("python", "psf", r"psf licen[sc]e(?: agreement)?", r"psf-2\.0"),
     ("ruby", "ruby", r"ruby licen[sc]e", r"ruby"),
     ("php", "php", r"php licen[sc]e", r"php-3\.0[01]?"),
     ("openssl", "openssl", r"openssl licen[sc]e", r"openssl"),
@@ -61,10 +64,10 @@ NAMES = [
     ("cc-by-nc", "noncommercial", r"(?:creative commons )?attribution-noncommercial", r"cc-by-nc-[1234]\.[05]"),
     ("cc-by-nd", "noderiv", r"(?:creative commons )?attribution-noderiv(?:ative)?s", r"cc-by-nd-[1234]\.[05]"),
     ("cc-by-sa", "sharealike", r"(?:creative commons )?attribution-sharealike", r"cc-by-sa-[1234]\.[05]"),
-    ("cc-by-sa", "cc", r"cc[ -]by-sa(?: [1234]\.[05])?", r"cc-by-sa-[1234]\.[05]-[a-z]+"),
-    ("cc-by-nc", "cc", r"cc[ -]by-nc(?: [1234]\.[05])?", r"cc-by-nc-[1234]\.[05]-[a-z]+"),
+    ("cc-by-sa", "cc", r"cc(?: |-)by-sa(?: [1234]\.[05])?", r"cc-by-sa-[1234]\.[05]-[a-z]+"),
+    ("cc-by-nc", "cc", r"cc(?: |-)by-nc(?: [1234]\.[05])?", r"cc-by-nc-[1234]\.[05]-[a-z]+"),
     ("cc-by", "creative commons", r"creative commons attribution(?: licen[sc]e)?", r"cc-by-[1234]\.[05]"),
-    ("cc-by", "cc", r"cc[ -]by(?: [1234]\.[05])?", r"cc-by-[1234]\.[05]-[a-z]+"),
+    ("cc-by", "cc", r"cc(?: |-)by(?: [1234]\.[05])?", r"cc-by-[1234]\.[05]-[a-z]+"),
     ("odbl", "open database", r"open (?:data commons open )?database licen[sc]e", r"odbl-1\.0"),
     ("ogl", "open government", r"open government licen[sc]e", r"ogl-uk-[123]\.0"),
     ("ofl", "open font", r"(?:sil )?open font licen[sc]e", r"ofl-1\.[01]"),
@@ -78,7 +81,10 @@ FORMS = [
     (4, "", r"{name},? \(?v(?:ersion|\.)? ?[0-9][0-9.]*\)?(?: or (?:any )?later(?: version)?)?", 0.8),
     (5, "", "{name}", 0.6),
 ]
-GATE = r"licen[sc]|spdx|\bgpl|creative commons|\bcc[ 0-]|public domain|wtfpl|attribution"
+GATE = r"licen[sc]|spdx|(?<![a-z0-9])gpl|creative commons|(?<![a-z0-9])cc[ 0-]|public domain|wtfpl|attribution"
+MARKS = r"[\s*#/]+"
+SPDX_ID = r"[a-z0-9][a-z0-9.+-]*"
+EXPRESSION = rf"spdx-license-identifier:[\s*#/(]*({SPDX_ID}(?:[ \t)]+(?:and|or|with)[ \t(]+{SPDX_ID})*)"
 
 
 def spaced(pattern: str) -> str:
@@ -105,9 +111,10 @@ def rule_array() -> Column:
     ])
 
 
-def detections(text: Column) -> Column:
-    """array<struct<start, end, priority, rule, label, weight>> after suppression; text is lower-cased."""
-    run = F.filter(rule_array(), lambda r: F.contains(text, r["keyword"]))
+def detections(text: Column, folded: Column) -> Column:
+    """array<struct<start, end, priority, rule, label, weight>> after suppression; text is lower-cased, folded is
+    the same with MARKS as one space."""
+    run = F.filter(rule_array(), lambda r: F.contains(folded, r["keyword"]))
     every = F.flatten(F.transform(run, lambda r: F.transform(matches(text, r["pattern"]), lambda m: F.struct(
         m["start"].alias("start"), (-m["end"]).alias("minus_end"), r["priority"].alias("priority"), r["rule"].alias("rule"), r["label"].alias("label"), r["weight"].alias("weight")
     ))))
@@ -120,6 +127,14 @@ def detections(text: Column) -> Column:
     return F.transform(kept, lambda d: F.struct(d["start"].alias("start"), (-d["minus_end"]).alias("end"), d["priority"].alias("priority"), d["rule"].alias("rule"), d["label"].alias("label"), d["weight"].alias("weight")))
 
 
+def expression_labels(text: Column) -> Column:
+    """Labels of all identifiers in the text's SPDX expressions; text is lower-cased."""
+    ids = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(EXPRESSION), F.lit(1)), lambda e: F.regexp_extract_all(e, F.lit(SPDX_ID), F.lit(0))))
+    known = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(f"^(?:{spdx})$").alias("pattern")) for label, _, _, spdx in NAMES])
+    found = F.filter(known, lambda k: F.exists(ids, lambda i: F.rlike(i, k["pattern"])))
+    return F.when(F.contains(text, F.lit("spdx-license-identifier:")), F.array_distinct(F.transform(found, lambda k: k["label"]))).otherwise(F.array().cast("array<string>"))
+
+
 def phrase_places(words: Column) -> Column:
     """Word numbers at which a phrase of PHRASES starts; no two phrases start alike."""
 
@@ -140,11 +155,12 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     labels (array), score for every row.
 
     Null and empty texts have no words and no labels, score 0.  Repeated rows are scanned alike.
-    labels are the distinct labels of phrases and detections, sorted; score is the largest weight
-    of a detection, at least 0.6 where a phrase stands.  Extra columns are not returned.
+    labels are the distinct labels of phrases, detections and SPDX expressions, sorted; score is the
+    largest weight of a detection, 1 for a known identifier in an SPDX expression, at least 0.6 where
+    a phrase stands.  Extra columns are not returned.
     """
     lower = docs.select("doc_id", ascii_lower(F.coalesce("text", F.lit(""))).alias("lower"))
-    split = lower.select("doc_id", "lower", F.regexp_extract_all("lower", F.lit(WORD), F.lit(0)).alias("words"), F.col("lower").rlike(GATE).alias("gate"))
+    split = lower.select("doc_id", "lower", F.regexp_extract_all("lower", F.lit(WORD), F.lit(0)).alias("words"), F.regexp_replace("lower", MARKS, " ").alias("folded"))
     none = F.array().cast("array<struct<start:int,end:int,priority:int,rule:int,label:string,weight:double>>")
     may = (F.size("words") > 0) & (F.contains("lower", F.lit("license")) | F.contains("lower", F.lit("cc")))
     placed = split.select(
@@ -152,16 +168,17 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         F.size("words").cast("long").alias("n_words"),
         F.when(may, phrase_places(F.col("words"))).otherwise(F.array().cast("array<int>")).alias("places"),
         "words",
-        F.when(F.col("gate"), detections(F.col("lower"))).otherwise(none).alias("found"),
+        F.when(F.col("folded").rlike(GATE), detections(F.col("lower"), F.col("folded"))).otherwise(none).alias("found"),
+        expression_labels(F.col("lower")).alias("expressed"),
     )
     first = F.create_map(*[F.lit(x) for p, lab in PHRASES.items() for x in (p.split()[0], lab)])
     base = F.array_sort(F.array_distinct(F.transform("places", lambda i: F.element_at(first, F.get(F.col("words"), i)))))
-    labelled = placed.select("doc_id", "n_words", "places", "found", base.alias("base_labels"))
+    labelled = placed.select("doc_id", "n_words", "places", "found", "expressed", base.alias("base_labels"))
     return labelled.select(
-        "*",
-        F.array_sort(F.array_union("base_labels", F.col("found.label"))).alias("labels"),
-        F.greatest(F.coalesce(F.array_max(F.col("found.weight")), F.lit(0.0)), F.when(F.size("places") > 0, 0.6).otherwise(0.0)).alias("score"),
-    )
+        "doc_id", "n_words", "places", "found", "base_labels",
+        F.array_sort(F.array_union(F.array_union("base_labels", F.col("found.label")), "expressed")).alias("labels"),
+        F.greatest(F.when(F.size("expressed") > 0, 1.0).otherwise(0.0), F.coalesce(F.array_max(F.col("found.weight")), F.lit(0.0)), F.when(F.size("places") > 0, 0.6).otherwise(0.0)).alias("score"),
+    )
 
 
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,3 +54,16 @@ def test_found_licenses(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
     labels = {r.doc_id: r.labels for r in L.scan_licenses(df).collect()}
     assert labels[6] == ["bsd-3-clause"] and labels[9] == ["lgpl"] and labels[11] == ["mit", "mpl"] and labels[2] == [] and labels[14] == []
+
+
+def test_broken_names_and_expressions(spark):
+    texts = {
+        "under the GNU Lesser\n * General Public License": ["lgpl"], "Creative\nCommons Attribution": ["cc-by"], "dedicated to the public\n# domain": ["public-domain"], "the SIL Open\n// Font License": ["ofl"],
+        "the Common   Public License": ["cpl"], "see the PSF license": ["python"], "see the Python\n * license": ["python"], "CC\n * BY-SA": ["cc-by", "cc-by-sa"], "_GPL": ["gpl"],
+        "SPDX-License-Identifier: MIT OR Apache-2.0": ["apache", "mit"], "SPDX-License-Identifier: (Zlib AND (ISC OR GPL-2.0-only WITH Classpath-exception-2.0)) ruby": ["gpl", "isc", "zlib"],
+        "SPDX-License-Identifier: MIT\nor ruby": ["mit"],
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in L.scan_licenses(df).collect()}
+    assert [got[i][0] for i in range(len(texts))] == list(texts.values())
+    assert got[10][1] == 1.0
