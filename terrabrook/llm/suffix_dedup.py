@@ -5,23 +5,24 @@ doc_id.  What the index holds:
 
 * The starts of all LENGTH-byte windows of a document fall into runs: consecutive windows with one
   least hashed K-byte substring, the run's key.  Equal windows have equal keys.  A run is one suffix
-  of the (sparse) suffix array, ordered by key and the hash of the run's bytes; there are about 2
-  of them for LENGTH - K bytes.
-* A batch of documents gets its suffix array; equal runs in the batch leave it at once: all but the
+  of the (sparse) array, ordered by key and the hash of the run's bytes; there are about 2 of them
+  for LENGTH - K bytes.
+* A batch of documents gets its array; equal runs in the batch leave it at once: all but the
   smallest document's are covered.  Arrays are dealt out by key.
 * For a share of the keys, new arrays are merge-scanned against the levels of a LevelFamily, where
   again the larger document's run is covered and leaves; levels of similar size merge, so every
   entry moves a logarithmic number of times.
 * Runs that share a key with another document and are not equal may still share some windows, at the
-  ends of repeated passages for instance.  Their single windows are hashed from the texts, dealt by
-  that hash, and settled there.
-* A key with more than HOT unequal runs in one batch (a passage that very many documents hold, each
-  in its own context) leaves a mark in the index, by which other batches' runs of the key are sent
-  the same way, and its windows are dealt one by one at once.
+  ends of repeated passages for instance.  The bytes of such runs travel, dealt by their key, and
+  their windows are settled there: sorted by hash, and compared byte by byte.
+* A key with more than HOT unequal runs in one batch, or more than HOT_GROUP in a level (a passage
+  that very many documents hold, each in its own context) leaves a mark in the index; the windows of
+  its runs are dealt one by one, by their own hash.
 
 So a string in a third of all documents costs an entry per batch, no key's runs gather in a task,
-and a document's matches don't depend on how documents are batched.  Runs are compared by 88 bits of
-hash and windows by 80.  Blobs are arrays in byte planes, compressed.
+and a document's matches don't depend on how documents are batched.  Equal runs are told by 104 bits
+of hash, the windows of hot keys by 128, all others by their bytes.  Blobs are arrays in byte planes,
+compressed.
 """
 
 from __future__ import annotations
@@ -39,21 +40,31 @@ from .common import cut, cut_and_free, table
 
 LENGTH = 50
 K = 20
-#: Entries of a batch's array, and unequal runs of a key in it from which the key is hot.
+#: Entries of a batch's array, unequal runs of a key in it, and in a level, from which the key is hot.
 BATCH = 400_000
 HOT = 32
-#: Bytes of text of one group of documents, and entries of one share of the keys, at most on average.
+HOT_GROUP = 4096
+#: Bytes of text of one group of documents; entries of one task's levels, and windows one task settles, on average.
 GROUP_BYTES = 8 << 20
 SHARE = 1_500_000
+SETTLED = 1_500_000
+#: Windows that are hashed, and window pairs that are compared, at once.
+SLICE = 1 << 18
+FINE = 1 << 24
+#: Shares of windows for each share of keys.
+WINDOW_SHARES = 4
 
 #: t numbers the texts of one doc_id. A run with no windows is a hot key's mark.
 RUN = np.dtype([("key", "<u8"), ("id", "<u8"), ("doc", "<i8"), ("t", "<u4"), ("at", "<u4"), ("n", "u1")])
 PLACE = np.dtype([("doc", "<i8"), ("t", "<u4"), ("at", "<u4"), ("n", "<u4")])
-SPOT = np.dtype([("id", "<u8"), ("more", "<u2"), ("doc", "<i8"), ("t", "<u4"), ("at", "<u4")])
-KEY_BITS, ID_BITS = 48, 40
-COVERED, ASKED, ENTRY, WINDOW = 0, 1, 2, 3
-BLOBS = "kind int, bucket int, blob binary"
-BLOB_SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("blob", pa.binary())])
+#: A run whose windows are to be settled among those of the same fine share of keys.
+ASK = np.dtype([("doc", "<i8"), ("t", "<u4"), ("at", "<u4"), ("n", "u1"), ("fine", "<u4")])
+SPOT = np.dtype([("id", "<u8"), ("more", "<u8"), ("doc", "<i8"), ("t", "<u4"), ("at", "<u4")])
+KEY_BITS, ID_BITS = 48, 56
+#: What a blob holds: PLACE rows; ASK rows; those of hot keys; RUN rows; ASK rows with the runs' bytes; SPOT rows.
+COVERED, ASKED, SPOTTED, ENTRY, TEXT, WINDOW = range(6)
+BLOBS = "kind int, bucket int, windows long, blob binary"
+BLOB_SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("windows", pa.int64()), ("blob", pa.binary())])
 
 
 def encode(rows: np.ndarray) -> bytes:
@@ -144,6 +155,14 @@ def document_bucket(doc: np.ndarray, t: np.ndarray, groups: int) -> np.ndarray:
     return (mix(doc.astype(np.int64).view(np.uint64) * np.uint64(31) + t.astype(np.uint64)) % np.uint64(groups)).astype(np.int32)
 
 
+def blob_batch(kind: int, buckets: np.ndarray, windows: list[int], data: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([kind] * len(data), pa.int32()), pa.array(buckets, pa.int32()), pa.array(windows, pa.int64()), pa.array(data, pa.binary())], schema=BLOB_SCHEMA)
+
+
+def window_count(rows: np.ndarray) -> int:
+    return int(rows["n"].sum(dtype=np.int64)) if "n" in rows.dtype.names else len(rows)
+
+
 def blobs(kind: int, rows: np.ndarray, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows in one blob per bucket; a bucket's rows keep their order."""
     if not len(rows):
@@ -153,19 +172,31 @@ def blobs(kind: int, rows: np.ndarray, bucket: np.ndarray) -> Iterator[pa.Record
     cuts = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(rows)]))
     for at in range(0, len(cuts) - 1, 256):
         edges = cuts[at : at + 257].tolist()
-        data = [encode(rows[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
-        yield pa.RecordBatch.from_arrays([pa.array([kind] * len(data), pa.int32()), pa.array(bucket[edges[:-1]], pa.int32()), pa.array(data, pa.binary())], schema=BLOB_SCHEMA)
+        parts = [rows[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+        yield blob_batch(kind, bucket[edges[:-1]], [window_count(x) for x in parts], [encode(x) for x in parts])
 
 
-def places_by_document(kind: int, rows: np.ndarray, groups: int) -> Iterator[pa.RecordBatch]:
-    out = np.empty(len(rows), PLACE)
-    for name in ("doc", "t", "at"):
-        out[name] = rows[name]
-    out["n"] = rows["n"] if "n" in rows.dtype.names else 1
+def by_document(kind: int, rows: np.ndarray, dtype: np.dtype, groups: int, **more: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Runs (hot keys' marks left out) as rows of dtype, in a blob per group of documents."""
+    out = np.empty(len(rows), dtype)
+    for name in dtype.names:
+        out[name] = more[name] if name in more else rows[name]
     out = out[out["n"] > 0]
     yield from blobs(kind, out, document_bucket(out["doc"], out["t"], groups))
 
 
+def joined(doc: np.ndarray, t: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Single windows as PLACE rows, windows in line as one."""
+    order = np.lexsort((at, t, doc))
+    doc, t, at = doc[order], t[order], at[order].astype(np.int64)
+    first = np.ones(len(doc), bool)
+    first[1:] = (doc[1:] != doc[:-1]) | (t[1:] != t[:-1]) | (at[1:] != at[:-1] + 1)
+    starts = np.flatnonzero(first)
+    out = np.empty(len(starts), PLACE)
+    out["doc"], out["t"], out["at"], out["n"] = doc[starts], t[starts], at[starts], np.diff(np.append(starts, len(doc)))
+    return out
+
+
 def first_documents(rows: np.ndarray, *same: np.ndarray) -> np.ndarray:
     """Of rows sorted by the arrays and doc: which belong to the smallest document of their group."""
     fresh = np.ones(len(rows), bool)
@@ -180,7 +211,10 @@ def sort_value(rows: np.ndarray) -> np.ndarray:
 
 
 def run_order(value: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """A stable order by sort value and the whole id; only ties of the value are sorted by id."""
+    """A stable order by sort value and the whole id; only ties of the value are sorted by id.
+
+    The sort finds what is in order already, so that it merges two sorted arrays in one pass.
+    """
     order = np.argsort(value, kind="stable")
     v = value[order]
     same = v[1:] == v[:-1]
@@ -207,21 +241,55 @@ def share_of(value: np.ndarray, shares: int) -> np.ndarray:
     return (mix(value) % np.uint64(shares)).astype(np.int32)
 
 
-def spots_of(data: np.ndarray, doc: int, t: int, at: np.ndarray, n: np.ndarray, length: int) -> np.ndarray:
-    """The single windows of runs of one text."""
+def offsets(n: np.ndarray) -> np.ndarray:
+    """0 to n - 1 for each n, one after the other."""
     n = n.astype(np.int64)
-    at = np.repeat(at.astype(np.int64), n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    spots = np.empty(len(at), SPOT)
-    spots["id"], spots["more"] = Sums(data, 2).of(at, at + length), Sums(data, 1).of(at, at + length) >> np.uint64(48)
-    spots["doc"], spots["t"], spots["at"] = doc, t, at
-    return spots
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
+def slices(n: np.ndarray, most: int) -> Iterator[slice]:
+    """Cuts rows so that their n sum to most or little more."""
+    reached = np.cumsum(n, dtype=np.int64)
+    at = 0
+    while at < len(n):
+        end = max(at + 1, int(np.searchsorted(reached, (reached[at - 1] if at else 0) + most)))
+        yield slice(at, end)
+        at = end
+
+
+def hashed_windows(rows: np.ndarray, data: np.ndarray, length: int, seeds: tuple[int, ...]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Row number, number in the run, place in data and hashes of the windows of runs, whose bytes stand in line in data."""
+    ends = np.cumsum(rows["n"].astype(np.int64) + (length - 1))
+    for part in slices(rows["n"], SLICE):
+        base = int(ends[part.start - 1]) if part.start else 0
+        n = rows["n"][part].astype(np.int64)
+        nth = offsets(n)
+        row = np.repeat(np.arange(part.start, part.start + len(n)), n)
+        at = ends[row] - np.repeat(n, n) - (length - 1) + nth
+        piece = data[base : int(ends[part.start + len(n) - 1])]
+        yield (row, nth, at, *[Sums(piece, s).of_length(length)[at - base] for s in seeds])
+
+
+def spots_of(rows: np.ndarray, data: np.ndarray, length: int) -> Iterator[np.ndarray]:
+    """The single windows of runs, about SLICE at a time."""
+    for row, nth, _, one, two in hashed_windows(rows, data, length, (2, 1)):
+        spots = np.empty(len(row), SPOT)
+        spots["id"], spots["more"], spots["doc"], spots["t"], spots["at"] = one, two, rows["doc"][row], rows["t"][row], rows["at"][row] + nth
+        yield spots
+
+
+def bytes_of(data: np.ndarray, at: np.ndarray, n: np.ndarray, length: int) -> np.ndarray:
+    """The bytes of a text's runs in line."""
+    size = n.astype(np.int64) + (length - 1)
+    return data[np.repeat(at.astype(np.int64), size) + offsets(size)]
 
 
 def settle_spots(rows: np.ndarray, groups: int) -> tuple[np.ndarray, list[pa.RecordBatch]]:
     """The smallest document's windows, and the others as covered."""
     rows = rows[np.lexsort((rows["doc"], rows["more"], rows["id"]))]
     stays = first_documents(rows, rows["id"], rows["more"])
-    return rows[stays], list(places_by_document(COVERED, rows[~stays], groups))
+    gone = rows[~stays]
+    return rows[stays], list(by_document(COVERED, joined(gone["doc"], gone["t"], gone["at"]), PLACE, groups))
 
 
 def emit_spots(found: list[np.ndarray], shares: int, groups: int) -> Iterator[pa.RecordBatch]:
@@ -231,29 +299,33 @@ def emit_spots(found: list[np.ndarray], shares: int, groups: int) -> Iterator[pa
         yield from blobs(WINDOW, stays, share_of(stays["id"], shares))
 
 
+def equal_runs_leave(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of runs by sort value, id and doc, and which of them stay: those of the smallest document."""
+    value = sort_value(rows)
+    order = np.lexsort((rows["doc"], rows["id"], value))
+    ordered = rows[order]
+    return order, first_documents(ordered, value[order], ordered["id"])
+
+
 def index_batches(batches: Iterator[pa.RecordBatch], length: int, k: int, shares: int, groups: int) -> Iterator[pa.RecordBatch]:
-    """doc_id, t, text -> each batch's suffix array by share of the keys, and what is covered within it."""
+    """doc_id, t, text -> each batch's array by share of the keys, and what is covered within it."""
 
-    def flush(texts: list[tuple], found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def flush(texts: list[np.ndarray], found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         source = np.repeat(np.arange(len(found)), list(map(len, found)))
         rows = np.concatenate(found)
-        value = sort_value(rows)
-        order = np.lexsort((rows["doc"], rows["id"], value))
-        rows, value, source = rows[order], value[order], source[order]
-        stays = first_documents(rows, value, rows["id"])
-        yield from places_by_document(COVERED, rows[~stays], groups)
+        order, stays = equal_runs_leave(rows)
+        rows, source = rows[order], source[order]
+        yield from by_document(COVERED, rows[~stays], PLACE, groups)
         rows, source = rows[stays], source[stays]
         fresh = np.concatenate(([True], rows["key"][1:] != rows["key"][:-1]))
         group = np.cumsum(fresh) - 1
         hot = np.bincount(group)[group] > HOT
         if hot.any():
-            spots = []
-            by_text = np.flatnonzero(hot)[np.argsort(source[hot], kind="stable")]
-            cuts = np.flatnonzero(np.diff(source[by_text])) + 1
-            for part in np.split(by_text, cuts):
-                doc, t, data = texts[source[part[0]]]
-                spots.append(spots_of(data, doc, t, rows["at"][part], rows["n"][part], length))
-            yield from emit_spots(spots, shares, groups)
+            hot_rows, hot_source = rows[hot], source[hot]
+            for part in slices(hot_rows["n"], 4 * SLICE):
+                mine, by = hot_rows[part], hot_source[part]
+                data = np.concatenate([texts[s][a : a + n + length - 1] for s, a, n in zip(by.tolist(), mine["at"].tolist(), mine["n"].tolist(), strict=True)])
+                yield from emit_spots(list(spots_of(mine, data, length)), WINDOW_SHARES * shares, groups)
             marks = rows[hot & fresh]
             marks["n"] = marks["id"] = 0
             rows = np.concatenate((rows[~hot], marks))
@@ -269,7 +341,7 @@ def index_batches(batches: Iterator[pa.RecordBatch], length: int, k: int, shares
             key, ids, at, n = runs(data, length, k)
             rows = np.empty(len(ids), RUN)
             rows["key"], rows["id"], rows["doc"], rows["t"], rows["at"], rows["n"] = key >> np.uint64(64 - KEY_BITS), ids >> np.uint64(64 - ID_BITS), doc, t, at, n
-            texts.append((doc, t, data))
+            texts.append(data)
             found.append(rows)
             size += len(rows)
             if size > BATCH:
@@ -285,6 +357,7 @@ class LevelFamily:
     def __init__(self):
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []  # sort values, rows
         self.covered: list[np.ndarray] = []
+        self.spotted: list[np.ndarray] = []
 
     def push(self, batch: np.ndarray) -> None:
         """Merge-scans a sorted array against all levels, adds what is left, and merges alike sizes."""
@@ -306,8 +379,7 @@ class LevelFamily:
             if len(won):
                 ends = np.searchsorted(theirs, value[won], "right")
                 n = ends - at[won]
-                nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                there = np.repeat(at[won], n) + nth
+                there = np.repeat(at[won], n) + offsets(n)
                 larger = level["doc"][there] > np.repeat(batch["doc"][won], n)
                 there = np.unique(there[larger & (level["id"][there] == np.repeat(batch["id"][won], n))])
                 self.covered.append(level[there])
@@ -320,41 +392,88 @@ class LevelFamily:
         while len(self.levels) > 1 and len(self.levels[-2][0]) <= 2 * len(self.levels[-1][0]):
             value, rows = (np.concatenate(x) for x in zip(self.levels.pop(), self.levels.pop(), strict=True))
             order = run_order(value, rows["id"])
-            self.levels.append((value[order], rows[order]))
+            self.levels.append(self.without_hot(value[order], rows[order]))
 
-    def shared_keys(self) -> np.ndarray:
-        """Runs whose key is in runs of several documents, or hot somewhere."""
+    def without_hot(self, value: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A level in which keys of more than HOT_GROUP runs are marks; their runs are spotted."""
+        fresh = np.concatenate(([True], rows["key"][1:] != rows["key"][:-1]))
+        sizes = np.diff(np.append(np.flatnonzero(fresh), len(rows)))
+        if sizes.max(initial=0) <= HOT_GROUP:
+            return value, rows
+        hot = np.repeat(sizes > HOT_GROUP, sizes)
+        marks = rows[hot & fresh]
+        self.spotted.append(rows[hot])
+        marks["n"] = marks["id"] = 0
+        rows = np.concatenate((rows[~hot], marks))
+        value = sort_value(rows)
+        order = run_order(value, rows["id"])
+        return value[order], rows[order]
+
+    def shared_keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """Runs whose key is in runs of several documents, and those whose key is hot somewhere."""
         rows = np.concatenate([level for _, level in self.levels])
         rows = rows[np.argsort(rows["key"], kind="stable")]
         if not len(rows):
-            return rows
+            return rows, rows
         starts = np.flatnonzero(np.concatenate(([True], rows["key"][1:] != rows["key"][:-1])))
-        several = (np.minimum.reduceat(rows["doc"], starts) != np.maximum.reduceat(rows["doc"], starts)) | (np.minimum.reduceat(rows["n"], starts) == 0)
-        return rows[np.repeat(several, np.diff(np.append(starts, len(rows))))]
+        n = np.diff(np.append(starts, len(rows)))
+        hot = np.minimum.reduceat(rows["n"], starts) == 0
+        several = np.minimum.reduceat(rows["doc"], starts) != np.maximum.reduceat(rows["doc"], starts)
+        return rows[np.repeat(several & ~hot, n)], rows[np.repeat(hot, n)]
+
+
+def others(batch: pa.RecordBatch, *kinds: int) -> Iterator[pa.RecordBatch]:
+    """The batch without blobs of some kinds, if there are any."""
+    rest = ~np.isin(batch.column(0).to_numpy(), kinds)
+    if rest.any():
+        yield batch.filter(pa.array(rest))
+
+
+def blobs_of(batch: pa.RecordBatch, kind: int) -> Iterator[pa.Scalar]:
+    return (blob for k, blob in zip(batch.column(0).to_pylist(), batch.column(3), strict=True) if k == kind)
 
 
 def scan_shares(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
-    """Suffix arrays of whole shares -> covered and asked runs by document; passes other kinds on."""
-    family = LevelFamily()
+    """Arrays of whole shares -> covered and asked runs by document; passes other kinds on.
+
+    The small arrays of a share are gathered to BATCH entries before they meet the levels.
+    """
+    family, waiting, size = LevelFamily(), [], 0
+
+    def push() -> Iterator[pa.RecordBatch]:
+        rows = np.concatenate(waiting)
+        order, stays = equal_runs_leave(rows)
+        family.covered.append(rows[order[~stays]])
+        family.push(rows[order[stays]])
+        yield from by_document(COVERED, np.concatenate(family.covered), PLACE, groups)
+        family.covered = []
+        yield from asked(SPOTTED, family.spotted)
+        family.spotted = []
+
+    def asked(kind: int, found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if found:
+            rows = np.concatenate(found)
+            yield from by_document(kind, rows, ASK, groups, fine=share_of(rows["key"], FINE))
+
     for batch in batches:
-        kinds = batch.column(0).to_numpy()
-        if (kinds != ENTRY).any():
-            yield batch.filter(pa.array(kinds != ENTRY))
-        for kind, blob in zip(kinds.tolist(), batch.column(2), strict=True):
-            if kind == ENTRY:
-                family.push(decode(blob, RUN))
-        if sum(map(len, family.covered)) > BATCH:
-            yield from places_by_document(COVERED, np.concatenate(family.covered), groups)
-            family.covered = []
-    if family.covered:
-        yield from places_by_document(COVERED, np.concatenate(family.covered), groups)
+        yield from others(batch, ENTRY)
+        for blob in blobs_of(batch, ENTRY):
+            waiting.append(decode(blob, RUN))
+            size += len(waiting[-1])
+            if size > BATCH:
+                yield from push()
+                waiting, size = [], 0
+    if waiting:
+        yield from push()
     if family.levels:
-        yield from places_by_document(ASKED, family.shared_keys(), groups)
+        several, hot = family.shared_keys()
+        family.levels = []
+        yield from asked(ASKED, [several])
+        yield from asked(SPOTTED, [hot])
 
 
-def per_document(group: pa.Table) -> dict[tuple[int, int], np.ndarray]:
-    """(doc_id, t) -> its places, from the blobs of a group of documents."""
-    parts = [decode(b, PLACE) for b in group.column("blob")]
+def per_document(parts: list[np.ndarray]) -> dict[tuple[int, int], np.ndarray]:
+    """(doc_id, t) -> its rows."""
     if not parts:
         return {}
     rows = np.concatenate(parts)
@@ -371,43 +490,114 @@ def documents_of(group: pa.Table, wanted: dict | None = None) -> Iterator[tuple[
             yield doc, t, np.frombuffer(unpack.decompress(packed.as_buffer()), np.uint8)
 
 
-def window_spots(length: int, groups: int):
-    """(documents, asked runs) of a group -> their single windows in one blob, settled within the group."""
+def encode_text(rows: np.ndarray, data: np.ndarray) -> bytes:
+    head = encode(rows)
+    return len(head).to_bytes(8, "little") + head + zstandard.ZstdCompressor(level=1).compress(data.tobytes())
 
-    def emit(documents: pa.Table, asked: pa.Table) -> pa.Table:
-        wanted, found = per_document(asked), []
-        if wanted:
-            for doc, t, data in documents_of(documents, wanted):
-                rows = wanted.pop((doc, t))
-                found.append(spots_of(data, doc, t, rows["at"], rows["n"], length))
-        return pa.Table.from_batches(list(emit_spots(found, 1, groups)), schema=BLOB_SCHEMA)
 
-    return emit
+def decode_text(blob: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    view = memoryview(blob.as_buffer())
+    n = int.from_bytes(view[:8], "little")
+    rows = decode(pa.scalar(bytes(view[8 : 8 + n]), pa.binary()), ASK)
+    return rows, np.frombuffer(zstandard.ZstdDecompressor().decompress(view[8 + n :]), np.uint8)
 
 
-def deal_windows(batches: Iterator[pa.RecordBatch], shares: int, groups: int) -> Iterator[pa.RecordBatch]:
-    """The windows of a task's groups, about BATCH at a time, by share; passes other kinds on."""
-    found: list[np.ndarray] = []
-    for batch in batches:
-        kinds = batch.column(0).to_numpy()
-        if (kinds != WINDOW).any():
-            yield batch.filter(pa.array(kinds != WINDOW))
-        found += [decode(b, SPOT) for k, b in zip(kinds.tolist(), batch.column(2), strict=True) if k == WINDOW]
-        if sum(map(len, found)) > BATCH:
-            yield from emit_spots(found, shares, groups)
+def run_texts(length: int, groups: int):
+    """(documents, asked runs) of a group -> the runs with their bytes; hot keys' windows one by one."""
+
+    def attach(documents: pa.Table, asked: pa.Table) -> pa.Table:
+        out: list[pa.RecordBatch] = []
+        for kind in (ASKED, SPOTTED):
+            wanted = per_document([decode(b, ASK) for k, b in zip(asked.column("kind").to_pylist(), asked.column("blob"), strict=True) if k == kind])
             found = []
-    yield from emit_spots(found, shares, groups)
+            for doc, t, data in documents_of(documents, wanted) if wanted else ():
+                rows = wanted.pop((doc, t))
+                found.append((rows, bytes_of(data, rows["at"], rows["n"], length)))
+            if found and kind == ASKED:
+                rows, data = (np.concatenate(x) for x in zip(*found, strict=True))
+                out.append(blob_batch(TEXT, np.zeros(1, np.int32), [window_count(rows)], [encode_text(rows, data)]))
+            elif found:
+                rows, data = (np.concatenate(x) for x in zip(*found, strict=True))
+                for spots in spots_of(rows, data, length):
+                    out += emit_spots([spots], 1, groups)
+        return pa.Table.from_batches(out, schema=BLOB_SCHEMA)
 
+    return attach
+
+
+def deal(batches: Iterator[pa.RecordBatch], length: int, text_shares: int, window_shares: int, groups: int) -> Iterator[pa.RecordBatch]:
+    """The runs and windows of a task's groups, about BATCH at a time, by share; passes other kinds on."""
+    found: list[np.ndarray] = []
+    texts: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def by_share() -> Iterator[pa.RecordBatch]:
+        rows, data = (np.concatenate(x) for x in zip(*texts, strict=True))
+        size = rows["n"].astype(np.int64) + (length - 1)
+        starts = np.cumsum(size) - size
+        bucket = rows["fine"] % text_shares
+        order = np.lexsort((rows["fine"], bucket))  # runs of one key together: their bytes compress well
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(rows)])).tolist()
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            mine = order[a:b]
+            chosen = rows[mine]
+            chosen["fine"] = 0
+            yield blob_batch(TEXT, bucket[mine[:1]].astype(np.int32), [window_count(chosen)], [encode_text(chosen, data[np.repeat(starts[mine], size[mine]) + offsets(size[mine])])])
 
-def settle_windows(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
-    found = []
     for batch in batches:
-        kinds = batch.column(0).to_numpy()
-        if (kinds != WINDOW).any():
-            yield batch.filter(pa.array(kinds != WINDOW))
-        found += [decode(b, SPOT) for k, b in zip(kinds.tolist(), batch.column(2), strict=True) if k == WINDOW]
+        yield from others(batch, TEXT, WINDOW)
+        for blob in blobs_of(batch, WINDOW):
+            found.append(decode(blob, SPOT))
+            if sum(map(len, found)) > BATCH:
+                yield from emit_spots(found, window_shares, groups)
+                found = []
+        for blob in blobs_of(batch, TEXT):
+            texts.append(decode_text(blob))
+            if sum(len(rows) for rows, _ in texts) > BATCH // 4:
+                yield from by_share()
+                texts = []
+    yield from emit_spots(found, window_shares, groups)
+    if texts:
+        yield from by_share()
+
+
+def settle_texts(rows: np.ndarray, data: np.ndarray, length: int) -> np.ndarray:
+    """Of runs with their bytes: the windows that a smaller document has too, as PLACE rows."""
+    row, nth, at, h = (np.concatenate(x) for x in zip(*hashed_windows(rows, data, length, (2,)), strict=True))
+    doc = rows["doc"][row]
+    order = np.lexsort((doc, h))
+    ordered = h[order]
+    fresh = np.concatenate(([True], ordered[1:] != ordered[:-1]))
+    first = order[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]  # of each in order: its group's smallest document
+    same = order != first
+    place, one, two = np.arange(length), order[same], first[same]
+    unlike = np.concatenate([np.flatnonzero((data[at[one[i : i + SLICE], None] + place] != data[at[two[i : i + SLICE], None] + place]).any(axis=1)) + i for i in range(0, len(one), SLICE)] or [np.zeros(0, np.int64)])
+    gone = one[doc[one] != doc[two]]
+    if len(unlike):  # one hash for different bytes: such groups are settled by the bytes
+        mixed = np.isin(ordered, h[one[unlike]])
+        least: dict[bytes, int] = {}
+        members = order[mixed]
+        for i in members.tolist():
+            least.setdefault(data[at[i] : at[i] + length].tobytes(), int(doc[i]))
+        lost = [i for i in members.tolist() if least[data[at[i] : at[i] + length].tobytes()] < doc[i]]
+        gone = np.concatenate((gone[~np.isin(gone, members)], np.array(lost, np.int64)))
+    return joined(doc[gone], rows["t"][row[gone]], rows["at"][row[gone]] + nth[gone])
+
+
+def settle(batches: Iterator[pa.RecordBatch], length: int, groups: int) -> Iterator[pa.RecordBatch]:
+    """Whole shares of runs with their bytes, and of windows -> covered places; passes other kinds on."""
+    found, texts = [], []
+    for batch in batches:
+        yield from others(batch, TEXT, WINDOW)
+        found += [decode(b, SPOT) for b in blobs_of(batch, WINDOW)]
+        texts += [decode_text(b) for b in blobs_of(batch, TEXT)]
     if found:
-        yield from settle_spots(np.concatenate(found), groups)[1]
+        rows = np.concatenate(found)
+        found = []
+        yield from settle_spots(rows, groups)[1]
+    if texts:
+        rows, data = (np.concatenate(x) for x in zip(*texts, strict=True))
+        texts = []
+        yield from by_document(COVERED, settle_texts(rows, data, length), PLACE, groups)
 
 
 def removed(length: int):
@@ -415,7 +605,7 @@ def removed(length: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())])
 
     def emit(documents: pa.Table, covered: pa.Table) -> pa.Table:
-        found, rows = per_document(covered), []
+        found, rows = per_document([decode(b, PLACE) for b in covered.column("blob")]), []
         for doc, t, data in documents_of(documents):
             gone = found.get((doc, t))
             if gone is None:
@@ -471,22 +661,24 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame
     tasks = max(parallel, total // 10 // SHARE + 1)
     shares = 4 * tasks
 
-    def by_document(function, schema: str, found: DataFrame) -> DataFrame:
+    def with_documents(function, schema: str, found: DataFrame) -> DataFrame:
         left = texts.mapInArrow(lambda b: pack(b, groups), "bucket int, doc_id long, t long, packed binary")
-        return left.groupBy("bucket").cogroup(found.select("bucket", "blob").groupBy("bucket")).applyInArrow(function, schema)
+        return left.groupBy("bucket").cogroup(found.select("kind", "bucket", "blob").groupBy("bucket")).applyInArrow(function, schema)
 
     scanned = cut_and_free(
         texts.mapInArrow(lambda b: index_batches(b, length, k, shares, groups), BLOBS).repartition(tasks, "bucket").mapInArrow(lambda b: scan_shares(b, groups), BLOBS)
     )
+    open_windows = scanned.filter(F.col("kind").isin(ASKED, SPOTTED, WINDOW)).agg(F.coalesce(F.sum("windows"), F.lit(0)).alias("n")).first().n
+    settlers = max(parallel, open_windows // SETTLED + 1)
     settled = cut_and_free(
-        by_document(window_spots(length, groups), BLOBS, scanned.filter(F.col("kind") == ASKED))
-        .mapInArrow(lambda b: deal_windows(b, shares, groups), BLOBS)
+        with_documents(run_texts(length, groups), BLOBS, scanned.filter(F.col("kind").isin(ASKED, SPOTTED)))
+        .mapInArrow(lambda b: deal(b, length, 4 * settlers, WINDOW_SHARES * shares, groups), BLOBS)
         .unionByName(scanned.filter(F.col("kind") == WINDOW))
-        .repartition(tasks, "bucket")
-        .mapInArrow(lambda b: settle_windows(b, groups), BLOBS)
+        .repartition(settlers, "bucket")
+        .mapInArrow(lambda b: settle(b, length, groups), BLOBS)
     )
     covered = scanned.unionByName(settled).filter(F.col("kind") == COVERED)
-    return by_document(removed(length), "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary", covered)
+    return with_documents(removed(length), "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary", covered)
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,6 +57,24 @@ def corpus(seed, n=60):
     return list(zip(ids, texts))
 
 
+def test_windows_of_one_hash_are_told_by_their_bytes(monkeypatch):
+    of_length = S.Sums.of_length
+    monkeypatch.setattr(S.Sums, "of_length", lambda self, n: of_length(self, n) % np.uint64(7))
+    rng = random.Random(9)
+    shared = [bytes(rng.choice(b"abcd") for _ in range(70)) for _ in range(4)]
+    rows, data, want = np.zeros(40, S.ASK), [], set()
+    first: dict = {}
+    for i in range(40):
+        text = rng.choice(shared)[rng.randrange(10) :][: rng.randint(50, 60)]
+        rows[i]["doc"], rows[i]["at"], rows[i]["n"] = i // 2, 1000 * i, len(text) - 49
+        data.append(text)
+        for a in range(len(text) - 49):
+            if first.setdefault(text[a : a + 50], i // 2) < i // 2:
+                want.add((i // 2, 1000 * i + a))
+    found = S.settle_texts(rows, np.frombuffer(b"".join(data), np.uint8), 50)
+    assert {(int(r["doc"]), int(r["at"]) + k) for r in found for k in range(int(r["n"]))} == want
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_brute_force(spark, seed):
     check(spark, corpus(seed))
@@ -85,13 +103,17 @@ def test_hot_keys(spark, monkeypatch):
         mine = [b.filter(pa.compute.equal(b.column(1), share)) for b in batches]
         scanned += list(S.scan_shares(iter([b.filter(pa.compute.equal(b.column(0), S.ENTRY)) for b in mine]), groups))
     whole = pa.Table.from_batches(batches + scanned, schema=S.BLOB_SCHEMA)
-    pick = lambda kind, t=whole: t.filter(pa.compute.equal(t.column("kind"), kind))
+    pick = lambda t, *kinds: t.filter(pa.compute.is_in(t.column("kind"), pa.array(kinds, pa.int32())))
+    assert len(pick(whole, S.SPOTTED)) > 0 and len(pick(whole, S.ASKED)) > 0
     pack = zstandard.ZstdCompressor()
     documents = pa.table({"doc_id": table["doc"], "t": table["t"], "packed": [pack.compress(x) for x in table["text"].to_pylist()]})
-    spots = pa.Table.from_batches(list(S.deal_windows(iter(S.window_spots(50, groups)(documents, pick(S.ASKED)).to_batches()), shares, groups)), schema=S.BLOB_SCHEMA)
-    windows = pa.concat_tables([pick(S.WINDOW), spots])
-    settled = list(S.settle_windows(iter(windows.to_batches()), groups))
-    covered = pa.concat_tables([pick(S.COVERED), pa.Table.from_batches(settled, schema=S.BLOB_SCHEMA)]).filter(pa.compute.equal(pa.concat_tables([pick(S.COVERED), pa.Table.from_batches(settled, schema=S.BLOB_SCHEMA)]).column("kind"), S.COVERED))
+    attached = S.run_texts(50, groups)(documents, pick(whole, S.ASKED, S.SPOTTED))
+    dealt = pa.Table.from_batches(list(S.deal(iter(attached.to_batches()), 50, 11, S.WINDOW_SHARES * shares, groups)), schema=S.BLOB_SCHEMA)
+    dealt = pa.concat_tables([pick(whole, S.WINDOW), dealt])
+    settled = []
+    for share in range(max(11, S.WINDOW_SHARES * shares)):
+        settled += list(S.settle(iter(dealt.filter(pa.compute.equal(dealt.column("bucket"), share)).to_batches()), 50, groups))
+    covered = pick(pa.concat_tables([whole, pa.Table.from_batches(settled, schema=S.BLOB_SCHEMA)]), S.COVERED)
     got = S.removed(50)(documents, covered).to_pylist()
     _, want = brute(rows, 50)
     for r in got:
@@ -128,6 +150,17 @@ def run_rows(*found):
     return rows[np.lexsort((rows["id"], S.sort_value(rows)))]
 
 
+def test_keys_of_very_many_runs_become_marks(monkeypatch):
+    monkeypatch.setattr(S, "HOT_GROUP", 3)
+    family = S.LevelFamily()
+    for doc in range(6):
+        family.push(run_rows((10 + doc, doc)))
+    spotted = {int(r["doc"]) for rows in family.spotted for r in rows if r["n"]}
+    several, hot = family.shared_keys()
+    assert len(several) == 0 and len(spotted) > 3
+    assert spotted | {int(r["doc"]) for r in hot if r["n"]} == set(range(6))
+
+
 def test_unequal_runs_of_one_sort_value():
     y, x = 1, 2
     family = S.LevelFamily()
@@ -160,7 +193,7 @@ def test_equal_runs_leave_a_batch_on_sort_value_ties(monkeypatch):
     rows = corpus(5, 80)
     columns = [pa.array([i for i, _ in rows], pa.int64()), pa.array([0] * len(rows), pa.int64()), pa.array([t.encode() if t is not None else None for _, t in rows], pa.binary())]
     found = list(S.index_batches(iter([pa.RecordBatch.from_arrays(columns, ["doc", "t", "text"])]), 50, 20, 1, 1))
-    entries = np.concatenate([S.decode(blob, S.RUN) for b in found for kind, blob in zip(b.column(0).to_pylist(), b.column(2)) if kind == S.ENTRY])
+    entries = np.concatenate([S.decode(blob, S.RUN) for b in found for kind, blob in zip(b.column(0).to_pylist(), b.column(3)) if kind == S.ENTRY])
     documents = {}
     for r in entries[entries["n"] > 0]:
         documents.setdefault((int(r["key"]), int(r["id"])), set()).add(int(r["doc"]))
@@ -169,7 +202,7 @@ def test_equal_runs_leave_a_batch_on_sort_value_ties(monkeypatch):
 
 def test_blobs_round_trip():
     rng = np.random.default_rng(2)
-    for dtype in (S.RUN, S.PLACE, S.SPOT):
+    for dtype in (S.RUN, S.PLACE, S.ASK, S.SPOT):
         rows = np.zeros(500, dtype)
         for name in dtype.names:
             info = np.iinfo(dtype[name])
