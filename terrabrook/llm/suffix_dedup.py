@@ -27,6 +27,8 @@ compressed.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,9 +49,10 @@ HOT_GROUP = 4096
 #: Bytes of text of one group of documents; entries of one task's levels, and windows one task settles, on average.
 GROUP_BYTES = 8 << 20
 SHARE = 1_500_000
-SETTLED = 1_500_000
-#: Windows that are hashed, and window pairs that are compared, at once.
-SLICE = 1 << 18
+SETTLED = 1_000_000
+#: Bytes of runs that are hashed, and window pairs that are compared, at once.
+SLICE = 1 << 19
+COMPARED = 1 << 16
 FINE = 1 << 24
 #: Shares of windows for each share of keys.
 WINDOW_SHARES = 4
@@ -67,6 +70,13 @@ BLOBS = "kind int, bucket int, windows long, blob binary"
 BLOB_SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("windows", pa.int64()), ("blob", pa.binary())])
 
 
+def free_memory() -> None:
+    """Gives memory that is free in this process back; Python workers live on after a task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def encode(rows: np.ndarray) -> bytes:
     """The rows' fields in byte planes, compressed; the first field as differences, doc from its least."""
     parts = [len(rows).to_bytes(8, "little"), int(rows["doc"].min()).to_bytes(8, "little", signed=True)]
@@ -260,18 +270,18 @@ def slices(n: np.ndarray, most: int) -> Iterator[slice]:
 def hashed_windows(rows: np.ndarray, data: np.ndarray, length: int, seeds: tuple[int, ...]) -> Iterator[tuple[np.ndarray, ...]]:
     """Row number, number in the run, place in data and hashes of the windows of runs, whose bytes stand in line in data."""
     ends = np.cumsum(rows["n"].astype(np.int64) + (length - 1))
-    for part in slices(rows["n"], SLICE):
+    for part in slices(rows["n"] + np.int64(length - 1), SLICE):
         base = int(ends[part.start - 1]) if part.start else 0
         n = rows["n"][part].astype(np.int64)
         nth = offsets(n)
-        row = np.repeat(np.arange(part.start, part.start + len(n)), n)
-        at = ends[row] - np.repeat(n, n) - (length - 1) + nth
+        row = np.repeat(np.arange(part.start, part.start + len(n), dtype=np.int32), n)
+        at = np.repeat(ends[part] - n - (length - 1), n) + nth
         piece = data[base : int(ends[part.start + len(n) - 1])]
-        yield (row, nth, at, *[Sums(piece, s).of_length(length)[at - base] for s in seeds])
+        yield (row, nth.astype(np.uint8), at, *[Sums(piece, s).of_length(length)[at - base] for s in seeds])
 
 
 def spots_of(rows: np.ndarray, data: np.ndarray, length: int) -> Iterator[np.ndarray]:
-    """The single windows of runs, about SLICE at a time."""
+    """The single windows of runs, SLICE bytes at a time."""
     for row, nth, _, one, two in hashed_windows(rows, data, length, (2, 1)):
         spots = np.empty(len(row), SPOT)
         spots["id"], spots["more"], spots["doc"], spots["t"], spots["at"] = one, two, rows["doc"][row], rows["t"][row], rows["at"][row] + nth
@@ -322,7 +332,7 @@ def index_batches(batches: Iterator[pa.RecordBatch], length: int, k: int, shares
         hot = np.bincount(group)[group] > HOT
         if hot.any():
             hot_rows, hot_source = rows[hot], source[hot]
-            for part in slices(hot_rows["n"], 4 * SLICE):
+            for part in slices(hot_rows["n"] + np.int64(length - 1), 4 * SLICE):
                 mine, by = hot_rows[part], hot_source[part]
                 data = np.concatenate([texts[s][a : a + n + length - 1] for s, a, n in zip(by.tolist(), mine["at"].tolist(), mine["n"].tolist(), strict=True)])
                 yield from emit_spots(list(spots_of(mine, data, length)), WINDOW_SHARES * shares, groups)
@@ -349,6 +359,7 @@ def index_batches(batches: Iterator[pa.RecordBatch], length: int, k: int, shares
                 texts, found, size = [], [], 0
     if found:
         yield from flush(texts, found)
+    free_memory()
 
 
 class LevelFamily:
@@ -470,6 +481,7 @@ def scan_shares(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.R
         family.levels = []
         yield from asked(ASKED, [several])
         yield from asked(SPOTTED, [hot])
+    free_memory()
 
 
 def per_document(parts: list[np.ndarray]) -> dict[tuple[int, int], np.ndarray]:
@@ -558,6 +570,7 @@ def deal(batches: Iterator[pa.RecordBatch], length: int, text_shares: int, windo
     yield from emit_spots(found, window_shares, groups)
     if texts:
         yield from by_share()
+    free_memory()
 
 
 def settle_texts(rows: np.ndarray, data: np.ndarray, length: int) -> np.ndarray:
@@ -569,8 +582,9 @@ def settle_texts(rows: np.ndarray, data: np.ndarray, length: int) -> np.ndarray:
     fresh = np.concatenate(([True], ordered[1:] != ordered[:-1]))
     first = order[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]  # of each in order: its group's smallest document
     same = order != first
-    place, one, two = np.arange(length), order[same], first[same]
-    unlike = np.concatenate([np.flatnonzero((data[at[one[i : i + SLICE], None] + place] != data[at[two[i : i + SLICE], None] + place]).any(axis=1)) + i for i in range(0, len(one), SLICE)] or [np.zeros(0, np.int64)])
+    one, two = order[same], first[same]
+    strings = np.lib.stride_tricks.sliding_window_view(data, length)
+    unlike = np.concatenate([np.flatnonzero((strings[at[one[i : i + COMPARED]]] != strings[at[two[i : i + COMPARED]]]).any(axis=1)) + i for i in range(0, len(one), COMPARED)] or [np.zeros(0, np.int64)])
     gone = one[doc[one] != doc[two]]
     if len(unlike):  # one hash for different bytes: such groups are settled by the bytes
         mixed = np.isin(ordered, h[one[unlike]])
@@ -584,20 +598,28 @@ def settle_texts(rows: np.ndarray, data: np.ndarray, length: int) -> np.ndarray:
 
 
 def settle(batches: Iterator[pa.RecordBatch], length: int, groups: int) -> Iterator[pa.RecordBatch]:
-    """Whole shares of runs with their bytes, and of windows -> covered places; passes other kinds on."""
-    found, texts = [], []
+    """Runs with their bytes, and windows, in order of share -> covered places; passes other kinds on."""
+    share, found, texts = None, [], []
+
+    def settled() -> Iterator[pa.RecordBatch]:
+        if found:
+            yield from settle_spots(np.concatenate(found), groups)[1]
+        if texts:
+            rows, data = (np.concatenate(x) for x in zip(*texts, strict=True))
+            yield from by_document(COVERED, settle_texts(rows, data, length), PLACE, groups)
+
     for batch in batches:
         yield from others(batch, TEXT, WINDOW)
-        found += [decode(b, SPOT) for b in blobs_of(batch, WINDOW)]
-        texts += [decode_text(b) for b in blobs_of(batch, TEXT)]
-    if found:
-        rows = np.concatenate(found)
-        found = []
-        yield from settle_spots(rows, groups)[1]
-    if texts:
-        rows, data = (np.concatenate(x) for x in zip(*texts, strict=True))
-        texts = []
-        yield from by_document(COVERED, settle_texts(rows, data, length), PLACE, groups)
+        for kind, bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), strict=True):
+            if bucket != share:
+                yield from settled()
+                share, found, texts = bucket, [], []
+            if kind == WINDOW:
+                found.append(decode(blob, SPOT))
+            elif kind == TEXT:
+                texts.append(decode_text(blob))
+    yield from settled()
+    free_memory()
 
 
 def removed(length: int):
@@ -675,6 +697,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame
         .mapInArrow(lambda b: deal(b, length, 4 * settlers, WINDOW_SHARES * shares, groups), BLOBS)
         .unionByName(scanned.filter(F.col("kind") == WINDOW))
         .repartition(settlers, "bucket")
+        .sortWithinPartitions("bucket")
         .mapInArrow(lambda b: settle(b, length, groups), BLOBS)
     )
     covered = scanned.unionByName(settled).filter(F.col("kind") == COVERED)

@@ -112,7 +112,7 @@ def test_hot_keys(spark, monkeypatch):
     dealt = pa.concat_tables([pick(whole, S.WINDOW), dealt])
     settled = []
     for share in range(max(11, S.WINDOW_SHARES * shares)):
-        settled += list(S.settle(iter(dealt.filter(pa.compute.equal(dealt.column("bucket"), share)).to_batches()), 50, groups))
+        settled += list(S.settle(iter(dealt.filter(pa.compute.equal(dealt.column("bucket"), share)).to_batches(max_chunksize=3)), 50, groups))
     covered = pick(pa.concat_tables([whole, pa.Table.from_batches(settled, schema=S.BLOB_SCHEMA)]), S.COVERED)
     got = S.removed(50)(documents, covered).to_pylist()
     _, want = brute(rows, 50)
