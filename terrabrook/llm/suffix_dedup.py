@@ -43,7 +43,7 @@ from .common import cut, cut_and_free, table
 LENGTH = 50
 K = 20
 #: Entries of a batch's array, unequal runs of a key in it, and in a level, from which the key is hot.
-BATCH = 400_000
+BATCH = 300_000
 HOT = 32
 HOT_GROUP = 4096
 #: Bytes of text of one group of documents; entries of one task's levels, and windows one task settles, on average.
@@ -54,6 +54,7 @@ SETTLED = 1_000_000
 SLICE = 1 << 19
 COMPARED = 1 << 16
 FINE = 1 << 24
+LEAST_SHARES = 32
 #: Shares of windows for each share of keys.
 WINDOW_SHARES = 4
 
@@ -679,9 +680,10 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame
     ids = cut(docs.select("doc_id", F.xxhash64("text").alias("h"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")))
     total = ids.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first().n
     texts = numbered_texts(docs, ids)
-    groups = max(4 * parallel, total // GROUP_BYTES + 1)
-    tasks = max(parallel, total // 10 // SHARE + 1)
-    shares = 4 * tasks
+    # a task makes a blob per group and per share, so both follow the bytes and not the number of tasks
+    groups = max(LEAST_SHARES, total // GROUP_BYTES + 1)
+    needed = total // 10 // SHARE + 1
+    tasks, shares = max(parallel, needed), max(LEAST_SHARES, 4 * needed)
 
     def with_documents(function, schema: str, found: DataFrame) -> DataFrame:
         left = texts.mapInArrow(lambda b: pack(b, groups), "bucket int, doc_id long, t long, packed binary")
@@ -691,10 +693,11 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame
         texts.mapInArrow(lambda b: index_batches(b, length, k, shares, groups), BLOBS).repartition(tasks, "bucket").mapInArrow(lambda b: scan_shares(b, groups), BLOBS)
     )
     open_windows = scanned.filter(F.col("kind").isin(ASKED, SPOTTED, WINDOW)).agg(F.coalesce(F.sum("windows"), F.lit(0)).alias("n")).first().n
-    settlers = max(parallel, open_windows // SETTLED + 1)
+    needed = open_windows // SETTLED + 1
+    settlers, text_shares = max(parallel, needed), max(LEAST_SHARES, 4 * needed)
     settled = cut_and_free(
         with_documents(run_texts(length, groups), BLOBS, scanned.filter(F.col("kind").isin(ASKED, SPOTTED)))
-        .mapInArrow(lambda b: deal(b, length, 4 * settlers, WINDOW_SHARES * shares, groups), BLOBS)
+        .mapInArrow(lambda b: deal(b, length, text_shares, WINDOW_SHARES * shares, groups), BLOBS)
         .unionByName(scanned.filter(F.col("kind") == WINDOW))
         .repartition(settlers, "bucket")
         .sortWithinPartitions("bucket")
