@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,14 +20,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: the session's spark.checkpoint.dir.
 
-    Only where that is unset (tests, one machine) a temporary one is made.
+    Where that is unset a temporary one is made on a local master (tests, one machine); on a cluster
+    it is an error, since the driver's disk is not the executors'.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp("-checkpoints"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp("-checkpoints"))
     return context.getCheckpointDir()
 
 
+#: Folders that stash() made and discard() has not deleted.
+STASHED: list[str] = []
+
+
+def stash(df: DataFrame, name: str) -> DataFrame:
+    """df, written as Parquet in the shared folder and read again; readers fetch only the columns they need.
+
+    The folder stays until discard(), for what is returned is read later.
+    """
+    folder = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    STASHED.append(folder)
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(spark: SparkSession) -> None:
+    """Deletes the folders of all stash() calls; for when their results are written."""
+    while STASHED:
+        delete_folder(spark, STASHED.pop())
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df, written to the shared checkpoint folder so that lost executors cost no recomputation."""
     shared_folder(df.sparkSession)

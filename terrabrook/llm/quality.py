@@ -3,13 +3,20 @@
 Every document gets its counts; documents that pass the base rules feed one quantile sketch for
 each (lang, source, feature).  A sketch is a set of log-linear buckets with their counts (relative
 error at most 1/32), so sketches merge by adding counts, in any order, with the same result, and
-hold a few hundred rows however large their group is.  A group under MIN_GROUP documents uses its
-language's sketch, a language under it the sketch of all; both are merges of the group sketches.
-A document is rejected if a feature lies above q75 + max(FENCE * (q75 - q25), the feature's margin).
+hold a few hundred rows however large their group is.
+
+A group's limit is q90 (its bucket's upper end) + FENCE * (q90 - q50) of its own sketch; no constant stands in for a spread.
+Where at least nine of ten documents of a group have none of something, the limit is zero; otherwise
+it widens with the group's upper half.  A small group leans on its language, and a language on all:
+each sketch is taken with WEIGHT documents' worth of its parent's distribution, whatever its size,
+so thresholds change smoothly and no size is a switch.  A document is rejected if a feature exceeds
+its group's limit by more than one event (a symbol, a line, two like windows): one event makes a
+high rate in a short text.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -18,13 +25,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import cut, table
+from .common import cut, stash, table
 
 MIN_WORDS = 50
-MIN_GROUP = 100
+#: Documents' worth of the parent's distribution in every sketch.
+WEIGHT = 100
 FENCE = 3
-#: Feature -> least distance of the threshold above q75, in the feature's unit.
-MARGINS = {"word_length": 300, "symbols": 50, "dup_lines": 500, "repeats": 400}
+#: Feature -> its counts (part per whole), the scale of its rate, and the part in one event.
+FEATURES = {
+    "word_length": ("word_chars", "n_words", 100, 0),
+    "symbols": ("n_symbols", "word_chars", 1000, 1),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, 1),
+    "repeats": ("n_repeat_words", "n_words", 1000, 6),
+}
 #: Thresholds are broadcast up to this many groups, and shuffled beyond.
 BROADCAST_GROUPS = 100_000
 
@@ -65,50 +78,65 @@ def base_failed() -> Column:
 
 
 def feature(name: str) -> Column:
-    part, whole, scale = {
-        "word_length": ("word_chars", "n_words", 100),
-        "symbols": ("n_symbols", "word_chars", 1000),
-        "dup_lines": ("n_dup_lines", "n_lines", 1000),
-        "repeats": ("n_repeat_words", "n_words", 1000),
-    }[name]
+    part, whole, scale, _ = FEATURES[name]
     return F.expr(f"q.{part} * {scale} div greatest(q.{whole}, 1)")
 
 
+def within(name: str, limit: Column) -> Column:
+    """Whether the feature, as a whole number, is at most one event over the limit; true without a limit."""
+    part, whole, scale, event = FEATURES[name]
+    return F.coalesce((F.col(f"q.{part}") - event) * scale < (limit + 1) * F.greatest(F.col(f"q.{whole}"), F.lit(1)), F.lit(True))
+
+
 def bucket(v: Column) -> Column:
     """The lower end of v's bucket: v with all but its six highest bits cleared."""
-    return F.when(v < 64, v).otherwise(v - v % F.pow(F.lit(2.0), F.length(F.bin(v)) - 6).cast("long"))
+    return F.when(v < 64, v).otherwise(v - v % width(v))
+
+
+def width(v: Column) -> Column:
+    return F.when(v < 64, F.lit(1).cast("long")).otherwise(F.pow(F.lit(2.0), F.length(F.bin(v)) - 6).cast("long"))
 
 
 def sketches(counted: DataFrame) -> DataFrame:
     """lang, source, feature, v, n: the sketch of each group, from rows with lang, source and q."""
     return (
         counted.filter(~base_failed())
-        .select("lang", "source", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), feature(f).alias("x")) for f in MARGINS])).alias("f"))
+        .select("lang", "source", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), feature(f).alias("x")) for f in FEATURES])).alias("f"))
         .groupBy("lang", "source", F.col("f.feature").alias("feature"), bucket(F.col("f.x")).alias("v"))
         .agg(F.count("*").alias("n"))
     )
 
 
-def limits(sketch: DataFrame, keys: list[str], tag: str) -> DataFrame:
-    """The sketch merged over all but keys: per group its size (tag_n) and one limit per feature."""
-    merged = sketch.groupBy(*keys, "feature", "v").agg(F.sum("n").alias("n"))
-    group = Window.partitionBy(*keys, "feature")
-    ranked = merged.withColumn("upto", F.sum("n").over(group.orderBy("v"))).withColumn("total", F.sum("n").over(group))
-    at = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("total") * q, F.col("v")))
-    quartiles = ranked.groupBy(*keys, "feature").agg(at(1).alias("low"), at(3).alias("high"), F.max("total").alias("total"))
-    fence = F.col("high") + F.greatest(FENCE * (F.col("high") - F.col("low")), F.element_at(F.create_map(*[F.lit(x) for kv in MARGINS.items() for x in kv]), F.col("feature")))
-    return quartiles.withColumn("fence", fence).groupBy(*keys).agg(
-        F.max("total").alias(f"{tag}_n"), *[F.max(F.when(F.col("feature") == f, F.col("fence"))).alias(f"{tag}_{f}") for f in MARGINS]
-    )
+def leaning(sizes: DataFrame, counts: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """feature, v and p, a group's share of documents in the bucket: its own counts and the parent's share.
+
+    sizes: key, feature, total and the parent's own columns; parent: those, v and p.
+    """
+    shared = [c for c in parent.columns if c not in ("v", "p")]
+    grid = sizes.join(parent, shared).join(counts, [key, "feature", "v"], "left")
+    p = (F.coalesce("n", F.lit(0)) + F.lit(float(WEIGHT)) * F.col("p")) / (F.col("total") + F.lit(float(WEIGHT)))
+    return grid.select(key, "feature", "v", "total", p.alias("p"))
 
 
 def thresholds(counted: DataFrame) -> DataFrame:
-    """lang, source and a limit per feature, after falling back to larger groups."""
-    sketch = cut(sketches(counted))
-    source, lang, every = limits(sketch, ["lang", "source"], "s"), limits(sketch, ["lang"], "l"), limits(sketch, [], "a")
-    joined = source.alias("s").join(lang.alias("l"), F.col("s.lang").eqNullSafe(F.col("l.lang"))).crossJoin(F.broadcast(every))  # one row
-    pick = lambda f: F.when(F.col("s_n") >= MIN_GROUP, F.col(f"s_{f}")).when(F.col("l_n") >= MIN_GROUP, F.col(f"l_{f}")).otherwise(F.col(f"a_{f}"))
-    return cut(joined.select(F.col("s.lang").alias("lang"), F.col("s.source").alias("source"), *[pick(f).alias(f"max_{f}") for f in MARGINS]))
+    """lang, source and a limit per feature (max_*) for each group with a document that passes the base rules.
+
+    Groups are structs here: structs of null are equal, so a null lang or source joins like others.
+    """
+    sketch = cut(sketches(counted).select(F.struct("lang", "source").alias("group"), F.struct("lang").alias("family"), "feature", "v", "n"))
+    counts = lambda *key: sketch.groupBy(*key, "feature", "v").agg(F.sum("n").alias("n"))
+    sizes = lambda *key: sketch.groupBy(*key, "feature").agg(F.sum("n").alias("total"))
+    # at most some thousand buckets by the sketch's design
+    every = F.broadcast(counts().join(sizes(), "feature").select("feature", "v", (F.col("n") / F.col("total")).alias("p")))
+    family = leaning(sizes("family"), counts("family"), every, "family").select("family", "feature", "v", "p")
+    group = leaning(sizes("group", "family"), counts("group"), family, "group")
+    # whole thousandths of documents: their sums don't depend on the order
+    weighed = group.select("group", "feature", "v", F.floor(F.col("p") * (F.col("total") + F.lit(float(WEIGHT))) * 1000).alias("w"))
+    part = Window.partitionBy("group", "feature")
+    ranked = weighed.withColumn("upto", F.sum("w").over(part.orderBy("v"))).withColumn("all", F.sum("w").over(part))
+    at = lambda tenths: F.min(F.when(F.col("upto") * 10 >= F.col("all") * tenths, F.col("v")))
+    limit = ranked.groupBy("group", "feature").agg(at(5).alias("middle"), at(9).alias("high")).withColumn("limit", F.col("high") + width(F.col("high")) - 1 + FENCE * (F.col("high") - F.col("middle")))
+    return cut(limit.groupBy("group").agg(*[F.max(F.when(F.col("feature") == f, F.col("limit"))).alias(f"max_{f}") for f in FEATURES]).select("group.*", *[f"max_{f}" for f in FEATURES]))
 
 
 def judge(counted: DataFrame, limit: DataFrame | None = None) -> DataFrame:
@@ -117,10 +145,7 @@ def judge(counted: DataFrame, limit: DataFrame | None = None) -> DataFrame:
     renamed = limit.withColumnsRenamed({"lang": "limit_lang", "source": "limit_source"})
     renamed = F.broadcast(renamed) if limit.count() <= BROADCAST_GROUPS else renamed
     on = F.col("lang").eqNullSafe(F.col("limit_lang")) & F.col("source").eqNullSafe(F.col("limit_source"))
-    within = [F.coalesce(feature(f) <= F.col(f"max_{f}"), F.lit(True)) for f in MARGINS]
-    fine = ~base_failed()
-    for w in within:
-        fine = fine & w
+    fine = functools.reduce(lambda a, f: a & within(f, F.col(f"max_{f}")), FEATURES, ~base_failed())
     return counted.join(renamed, on, "left").select(*[F.col(f"`{c}`") for c in counted.columns], base_failed().alias("base_failed"), fine.alias("kept"))
 
 
@@ -136,10 +161,13 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def filter_quality(docs: DataFrame) -> DataFrame:
-    """The rows of docs that pass, with docs' own columns."""
-    counted = docs.select(F.struct("*").alias("row"), "lang", "source", text_counts("text").alias("q"))
-    limit = thresholds(counted.select("lang", "source", "q"))
-    return judge(counted, limit).filter("kept").select("row.*")
+    """The rows of docs that pass, with docs' own columns.
+
+    Rows are stored once with their counts, as Parquet in the shared folder: thresholds then read
+    the counts only, and the texts are not counted twice.
+    """
+    stored = stash(docs.select(F.struct("*").alias("row"), "lang", "source", text_counts("text").alias("q")), "counted")
+    return judge(stored, thresholds(stored.select("lang", "source", "q"))).filter("kept").select("row.*")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,31 +202,34 @@ WITH d AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM q
 ), f AS (
   SELECT doc_id, lang, source, base_failed, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) AS feature,
-    unnest([word_chars * 100 // greatest(n_words, 1), n_symbols * 1000 // greatest(word_chars, 1),
-      n_dup_lines * 1000 // greatest(n_lines, 1), n_repeat_words * 1000 // greatest(n_words, 1)]) AS x,
-    unnest([300, 50, 500, 400]) AS margin FROM b
+    unnest([word_chars, n_symbols, n_dup_lines, n_repeat_words]) AS part,
+    greatest(unnest([n_words, word_chars, n_lines, n_words]), 1) AS whole,
+    unnest([100, 1000, 1000, 1000]) AS scale, unnest([0, 1, 1, 6]) AS event FROM b
 ), s AS (
-  SELECT lang, source, feature, margin, CASE WHEN x < 64 THEN x ELSE x - x % (1::BIGINT << (length(bin(x)) - 6)) END AS v
-  FROM f WHERE NOT base_failed
+  SELECT lang, source, feature, CASE WHEN x < 64 THEN x ELSE x - x % (1::BIGINT << (length(bin(x)) - 6)) END AS v
+  FROM (SELECT *, part * scale // whole AS x FROM f WHERE NOT base_failed)
+), a AS (
+  SELECT feature, v, count(*) / sum(count(*)) OVER (PARTITION BY feature)::DOUBLE AS p FROM s GROUP BY 1, 2
+), l AS (
+  SELECT g.lang, g.feature, a.v, (coalesce(n, 0) + 1e2 * p) / (total + 1e2) AS p
+  FROM (SELECT lang, feature, count(*) AS total FROM s GROUP BY 1, 2) g JOIN a ON a.feature = g.feature
+  LEFT JOIN (SELECT lang, feature, v, count(*) AS n FROM s GROUP BY 1, 2, 3) c
+    ON c.lang IS NOT DISTINCT FROM g.lang AND c.feature = g.feature AND c.v = a.v
 ), g AS (
-  SELECT 1 AS level, lang, source, feature, margin, v FROM s
-  UNION ALL SELECT 2, lang, NULL, feature, margin, v FROM s
-  UNION ALL SELECT 3, NULL, NULL, feature, margin, v FROM s
+  SELECT g.lang, g.source, g.feature, l.v, (coalesce(n, 0) + 1e2 * p) / (total + 1e2) AS p, total
+  FROM (SELECT lang, source, feature, count(*) AS total FROM s GROUP BY 1, 2, 3) g
+  JOIN l ON l.lang IS NOT DISTINCT FROM g.lang AND l.feature = g.feature
+  LEFT JOIN (SELECT lang, source, feature, v, count(*) AS n FROM s GROUP BY 1, 2, 3, 4) c
+    ON c.lang IS NOT DISTINCT FROM g.lang AND c.source IS NOT DISTINCT FROM g.source AND c.feature = g.feature AND c.v = l.v
 ), r AS (
-  SELECT level, lang, source, feature, margin, v, count(*) OVER (w ORDER BY v) AS upto, count(*) OVER w AS total
-  FROM g WINDOW w AS (PARTITION BY level, lang, source, feature)
+  SELECT lang, source, feature, v, sum(u) OVER (w ORDER BY v) AS upto, sum(u) OVER w AS total
+  FROM (SELECT *, floor(p * (total + 1e2) * 1000)::BIGINT AS u FROM g) WINDOW w AS (PARTITION BY lang, source, feature)
 ), t AS (
-  SELECT level, lang, source, feature, max(total) AS total, min(v) FILTER (upto * 4 >= total * 3)
-    + greatest(3 * (min(v) FILTER (upto * 4 >= total * 3) - min(v) FILTER (upto * 4 >= total)), max(margin)) AS fence
+  SELECT lang, source, feature, min(v) FILTER (upto * 10 >= total * 9) AS high, min(v) FILTER (upto * 10 >= total * 5) AS middle
   FROM r GROUP BY ALL
-), p AS (
-  SELECT s.lang, s.source, s.feature,
-    CASE WHEN s.total >= 100 THEN s.fence WHEN l.total >= 100 THEN l.fence ELSE a.fence END AS fence
-  FROM (FROM t WHERE level = 1) s JOIN (FROM t WHERE level = 2) l ON s.lang IS NOT DISTINCT FROM l.lang AND s.feature = l.feature
-  JOIN (FROM t WHERE level = 3) a ON a.feature = s.feature
 ), v AS (
-  SELECT f.doc_id, bool_and(NOT f.base_failed AND coalesce(f.x <= p.fence, true)) AS kept
-  FROM f LEFT JOIN p ON f.lang IS NOT DISTINCT FROM p.lang AND f.source IS NOT DISTINCT FROM p.source AND f.feature = p.feature
+  SELECT f.doc_id, bool_and(NOT f.base_failed AND coalesce((part - event) * scale < (high + CASE WHEN high < 64 THEN 1 ELSE 1::BIGINT << (length(bin(high)) - 6) END + 3 * (high - middle)) * whole, true)) AS kept
+  FROM f LEFT JOIN t ON f.lang IS NOT DISTINCT FROM t.lang AND f.source IS NOT DISTINCT FROM t.source AND f.feature = t.feature
   GROUP BY f.doc_id
 )
 SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM b JOIN v USING (doc_id)

@@ -38,22 +38,65 @@ def brute_verdicts(rows):
             for name, v in f.items():
                 for key in ((lang, source, name), (lang, name), (name,)):
                     groups[key].append(low(v))
-    fence = {}
-    for key, vs in groups.items():
-        vs.sort()
-        q = lambda k, vs=vs: next(v for j, v in enumerate(vs, 1) if j * 4 >= len(vs) * k)
-        fence[key] = q(3) + max(3 * (q(3) - q(1)), Q.MARGINS[key[-1]])
+    limit = {}
+    count = lambda key: {v: groups[key].count(v) for v in set(groups[key])}
+    for key in [k for k in groups if len(k) == 3]:
+        (lang, _, name), own = key, count(key)
+        family, every = count((lang, name)), count((name,))
+        weight = {}
+        for v in sorted(every):
+            p = (family.get(v, 0) + 100 * (every[v] / len(groups[name,]))) / (len(groups[lang, name]) + 100)
+            p = (own.get(v, 0) + 100 * p) / (len(groups[key]) + 100)
+            weight[v] = int(p * (len(groups[key]) + 100.0) * 1000)
+        q = lambda tenths, weight=weight: next(v for v in weight if sum(w for u, w in weight.items() if u <= v) * 10 >= sum(weight.values()) * tenths)
+        top = q(9) if q(9) < 64 else (q(9) >> (q(9).bit_length() - 6)) + 1 << (q(9).bit_length() - 6)
+        limit[key] = (top if q(9) < 64 else top - 1) + 3 * (q(9) - q(5))
     out = {}
-    for i, (lang, source, f) in feats.items():
+    for i, text, lang, source in rows:
+        n, chars, symbols, lines, dups, reps = brute_counts(text)
         fine = not failed[i]
-        for name, v in f.items():
-            if (lang, source, name) in groups:
-                key = next(k for k in ((lang, source, name), (lang, name), (name,)) if len(k) == 1 or len(groups[k]) >= Q.MIN_GROUP)
-                fine &= v <= fence[key]
+        for name, part, whole, scale, event in (("word_length", chars, n, 100, 0), ("symbols", symbols, chars, 1000, 1), ("dup_lines", dups, lines, 1000, 1), ("repeats", reps, n, 1000, 6)):
+            if (lang, source, name) in limit:
+                fine &= (part - event) * scale // max(whole, 1) <= limit[lang, source, name]
         out[i] = failed[i], fine
     return out
 
 
+def prose(rng, n, rate):
+    """n different words, about rate of them with a symbol at their end."""
+    return " ".join(f"w{i}{rng.choice('abcdefgh')}" + "#" * (rng.random() < rate) for i in range(n))
+
+
+def test_spread_sets_the_limit(spark):
+    """Groups of one size and language that differ in spread get different limits, and so different verdicts on one text."""
+    rng = random.Random(3)
+    rows = [(i, prose(rng, 120, 0.0 if i % 3 else rng.random() * 0.6), "en", "plain" if i % 3 else "code") for i in range(900)]
+    suspect = prose(rng, 120, 0.5)
+    rows += [(1000, suspect, "en", "plain"), (1001, suspect, "en", "code")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    counted = df.select("lang", "source", Q.text_counts("text").alias("q"))
+    limit = {r.source: r for r in Q.thresholds(counted).collect()}
+    assert limit["plain"].max_symbols == 0 < 100 < limit["code"].max_symbols
+    got = {r.doc_id: r.kept for r in Q.quality_rules(df).collect()}
+    assert (got[1000], got[1001]) == (False, True)
+    assert all(got[i] for i in range(900) if i % 3)
+
+
+def test_small_groups_lean_on_their_language(spark, monkeypatch):
+    monkeypatch.setattr(Q, "WEIGHT", 20)
+    rng = random.Random(4)
+    rows = [(i, prose(rng, 80, 0.0), "en", "big") for i in range(300)] + [(i, prose(rng, 80, 0.3), "de", "other") for i in range(300, 600)]
+    rows += [(700, prose(rng, 80, 0.3), "en", "tiny"), (701, prose(rng, 80, 0.3), "de", "tiny")]
+    got = {r.doc_id: r.kept for r in Q.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert (got[700], got[701]) == (False, True)
+
+
+def test_very_long_text():
+    words = [f"w{i % 50_000}" for i in range(200_000)]
+    n, chars, symbols, lines, dups, repeats = Q.count_text(" ".join(words))
+    assert (n, symbols, lines, dups, repeats) == (200_000, 0, 1, 0, 200_000) and chars == sum(map(len, words))
+
+
 def test_adaptive_thresholds(spark):
     rng = random.Random(6)
     word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, n)))
