@@ -14,6 +14,7 @@ that counts words.
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 
@@ -124,7 +125,6 @@ RULES = [
     ("intel", "intel", r"intel (?:simplified software|open source) L"),
     ("rpsl", "realnetworks", r"realnetworks public source L"),
     ("rpl", "reciprocal public", r"reciprocal public L"),
-    ("nasa", "nasa", r"nasa open source agreement"),
     ("watcom", "watcom", r"(?:sybase open )?watcom public L"),
     ("fair", "fair", r"fair L"),
     ("ntp", "ntp", r"ntp L"),
@@ -146,7 +146,6 @@ RULES = [
     ("mit", "substantial portions", r"the above copyright notice and this permission notice(?: \(including the next paragraph\))? shall be included in all copies or substantial portions of the software"),
     ("mit", "warranty of any kind", r"the software is provided Qas isQ,? without warranty of any kind, express or implied"),
     ("mit-0", "person obtaining", r"permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files \(the QsoftwareQ\), to deal in the software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the software, and to permit persons to whom the software is furnished to do so\. the software"),
-    ("x11", "shall not be used in advertising", r"except as contained in this notice, the names? of .{1,80}? shall not be used in advertising"),
     ("bsd", "source and binary forms", r"redistribution and use(?: of this software)? in source and binary forms,? with or without modification,? (?:are|is) permitted"),
     ("bsd", "redistributions of source", r"redistributions of source code must retain the above copyright notice"),
     ("bsd", "redistributions in binary", r"redistributions in binary form must reproduce the above copyright notice"),
@@ -165,26 +164,20 @@ RULES = [
     ("zlib", "misrepresented", r"the origin of this software must not be misrepresented"),
     ("zlib", "altered source", r"altered source versions must be plainly marked as such"),
     ("boost", "organization obtaining", r"permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software"),
-    ("ncsa", "deal with the software", r"to deal with the software without restriction"),
     ("json", "not evil", r"the software shall be used for good, not evil"),
-    ("beerware", "buy me a beer", r"you can buy me a beer in return"),
     ("curl", "daniel stenberg", r"copyright \(c\) [0-9]{4}(?: ?- ?[0-9]{4})?,? daniel stenberg"),
     ("openssl", "openssl project", r"this product includes software developed by the openssl project"),
-    ("python", "making python", r"psf is making python(?: [0-9.]+)? available to licensee on an Qas isQ basis"),
-    ("python", "making python", r"cnri is making python(?: [0-9.]+)? available to licensee"),
     ("unicode", "data files", r"permission is hereby granted, free of charge, to any person obtaining a copy of (?:the unicode )?data files"),
     ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
     ("wtfpl", "do what the fuck", r"do what the fuck you want to(?: public L)?"),
     ("upl", "lrgrwrks", r"to deal in both \(a\) the software, and \(b\) any piece of software and/or hardware listed in the lrgrwrks\.txt"),
     ("blueoak", "permission to work", r"this L gives everyone as much permission to work with this software as possible"),
-    ("artistic", "package may be copied", r"the intent of this document is to state the conditions under which a package may be copied"),
     ("artistic", "artistic control", r"maintain(?:s)? some semblance of artistic control"),
     ("afl", "academic free", r"licensed under the academic free L version [123]\.[012]"),
     # the same of licenses with conditions on patents, files or networks
     ("apache", "except in compliance", r"you may not use (?:this|these) (?:file|work|software)s? except in compliance with the L"),
     ("apache", "applicable law or agreed", r"unless required by applicable law or agreed to in writing, software distributed under the L is distributed on an Qas isQ basis"),
     ("apache", "apache software foundation", r"licensed to the apache software foundation \(asf\) under one or more contributor L agreements"),
-    ("apache", "reproduction, and distribution", r"terms and conditions for use, reproduction, and distribution"),
     ("apache", "contributor hereby", r"each contributor hereby grants to you a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable (?:copyright|\(except as stated in this section\) patent) L"),
     ("mpl", "source code form", r"this source code form is subject to the terms of the mozilla public L"),
     ("mpl", "mpl was not", r"if a copy of the mpl was not distributed with this file"),
@@ -213,23 +206,18 @@ RULES = [
     ("gpl", "verbatim copies", r"everyone is permitted to copy and distribute verbatim copies of this L document"),
     ("gpl", "freedom to share", r"the Ls for most software (?:and other practical works )?are designed to take away your freedom to share and change"),
     ("gpl", "copyleft", r"the gnu general public L is a free, copyleft L for software"),
-    ("gpl", "special exception", r"as a special exception, the copyright holders of this library give you permission to link this library"),
     ("lgpl", "this library is free", r"this library is free software[;:,]? you can redistribute it and/or modify it"),
     ("lgpl", "this library is distributed", r"this library is distributed in the hope that it will be useful, but without any warranty"),
     ("agpl", "remote network", r"remote network interaction; use with the gnu general public L"),
     ("agpl", "interacting with it remotely", r"all users interacting with it remotely through a computer network"),
-    ("agpl", "network server software", r"specifically designed to ensure cooperation with the community in the case of network server software"),
     ("gfdl", "invariant sections", r"with no invariant sections, (?:with )?no front-cover texts,? and (?:with )?no back-cover texts"),
     ("gfdl", "documentation license", r"permission is granted to copy, distribute and/or modify this document under the terms of the gnu free documentation L"),
-    ("sspl", "functionality of the program", r"if you make the functionality of the program or a modified version available to third parties as a service"),
-    ("cpal", "set forth in exhibit b", r"the attribution information as set forth in exhibit b"),
     # of content, data and fonts
     ("creative-commons", "creative commons", r"this work is licensed under (?:the|a) creative commons"),
     ("cc0", "to the extent possible", r"to the extent possible under law, .{1,100}? (?:has|have) waived all copyright and related or neighbou?ring rights"),
     ("cc0", "automatically confer", r"the laws of most jurisdictions throughout the world automatically confer exclusive copyright and related rights"),
     ("cc-by", "appropriate credit", r"you must give appropriate credit, provide a link to the L, and indicate if changes were made"),
     ("cc-by-sa", "contributions under the same", r"you must distribute your contributions under the same L as the original"),
-    ("cc-by-nc", "commercial purposes", r"you may not use the material for commercial purposes"),
     ("ofl", "font software", r"this font software is licensed under the sil open font L"),
     ("ofl", "reserved font name", r"with reserved font names?"),
     ("odbl", "open database", r"this .{1,80}? is made available under the open database L"),
@@ -238,14 +226,10 @@ RULES = [
     ("public-domain", "public domain", r"(?:placed|released|dedicated) (?:in|into|to) the public domain"),
     ("public-domain", "public domain", r"i,? the copyright holder of this work,? (?:hereby )?release this work into the public domain"),
     # of terms with restrictions
-    ("elastic", "managed service", r"you may not provide the software to third parties as a hosted or managed service"),
-    ("bsl", "additional use grant", r"additional use grant"),
     ("bsl", "change date", r"change date:? .{1,40}? change L"),
     ("commons-clause", "right to sell", r"the L does not grant to you,? (?:and you do not have )?the right to sell the software"),
     ("polyform", "required notice", r"required notice: copyright .{1,100}? polyform"),
-    ("hippocratic", "human rights laws", r"the software shall not be used by any person or entity for any systems, activities, or other uses that violate any human rights laws"),
     ("llama", "intellectual property", r"a non-exclusive, worldwide, non-transferable and royalty-free limited L under meta's intellectual property"),
-    ("openrail", "derivatives of the model", r"you agree not to use the model or derivatives of the model"),
     ("proprietary", "all rights reserved", r"copyright (?:\(c\)|©)? ?[0-9]{4}(?: ?[-–,] ?[0-9]{4})* .{1,80}?\.? all rights reserved"),
     ("proprietary", "confidential", r"(?:this (?:file|software|document) (?:is|contains) )?(?:strictly )?(?:confidential and proprietary|proprietary and confidential)(?: information)?"),
     ("proprietary", "is strictly prohibited", r"unauthori[sz]ed copying of this (?:file|software|document),? via any medium,? is strictly prohibited"),
@@ -314,12 +298,14 @@ LEAD = r"(?:(?:licensed|released|distributed|published|available|offered|dual-li
 VERSION = r"(?:,? \(?v(?:ersion|\.)? ?[0-9][0-9.]*\)?(?: or (?:any )?later(?: version)?)?| [0-9]\.[0-9])?"
 NAMED = next(i for i, rule in enumerate(RULES) if rule[1] == "person obtaining")
 #: A text without any of these has no rule's match: every keyword, or the pattern's L, holds one of them. Single words, since
-#: sentences may be broken. "cc" must stand alone besides.
+#: sentences may be broken; words that ordinary pages seldom hold.
 GATE = (
-    "licen", "gpl", "spdx", "cc0", "creative", "domain", "permission", "grant", "warrant", "redistribut", "copyright", "advertising", "attribution", "endorse", "misrepresented", "altered", "evil", "beer", "openssl", "python", "restriction",
-    "lrgrwrks", "unencumbered", "fuck", "wtf", "artistic", "copied", "substantial", "reproduction", "reproduced", "mpl", "cddl", "lppl", "eupl", "cecill", "mulan", "invariant", "remotely", "cooperation", "functionality", "exception", "exhibit",
-    "waived", "commercial", "font", "hosted", "violate", "derivatives", "notice", "confidential", "unauthori", "gemma", "openrail", "polyform", "commons", ".org", "elastic.co", "cdla", "mariadb.com", "nationalarchives", "nasa", "bsd", "held",
+    "licen", "gpl", "spdx", "cc0", "hereby", "warrant", "redistribut", "copyright", "acknowledg", "attribution", "endorse", "misrepresented", "altered", "evil", "beerware", "beer-ware", "openssl", "lrgrwrks", "unencumbered", "fuck", "wtf", "artistic",
+    "cddl", "lppl", "eupl", "cecill", "mulan", "invariant", "remotely", "reserved", "reproduced", "confidential", "unauthori", "gemma", "openrail", "polyform", "commons", "mozilla.org", "eclipse.org", "sil.org", "copyleft", "cdla", "mariadb.com", "bsd",
+    "sublicense",
 )
+#: The same, but as words: the letters are part of common words.
+WHOLE = {"cc": r"(?<![a-z0-9])cc[^a-z0-9]", "mpl": r"(?<![a-z0-9])mpl(?![a-z])", "domain": r"public[\s*#/]*domain"}
 MARKS = r"[\s*#/]+"
 SPDX_ID = r"[a-z0-9][a-z0-9.+-]*"
 TAG = "spdx-license-identifier:"
@@ -409,14 +395,16 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """
     # one lower-cased copy decides which texts are looked at; those alone are folded and split
     seen = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("low", F.lower("text"))
-    alone = F.contains("low", F.lit("cc")) & F.rlike("low", F.lit(r"cc[^a-z0-9]"))
-    marked = seen.select("doc_id", "text", F.regexp_count("text", F.lit(ANY_CASE_WORD)).cast("long").alias("n_words"), (any_of(F.col("low"), GATE) | alone).alias("open"))
+    whole = [F.contains("low", F.lit(w)) & F.rlike("low", F.lit(x)) for w, x in WHOLE.items()]
+    marked = seen.select("doc_id", "text", F.regexp_count("text", F.lit(ANY_CASE_WORD)).cast("long").alias("n_words"), functools.reduce(lambda a, b: a | b, whole, any_of(F.col("low"), GATE)).alias("open"))
     lower = ascii_lower(F.col("text"))
+    # one element: what a lambda is given is computed once, not once for each rule
+    forms = F.array(F.struct(lower.alias("lower"), F.regexp_replace(lower, MARKS, " ").alias("folded")))
     when_open = lambda column, kind: F.when(F.col("open"), column).otherwise(F.array().cast(kind))
     found = marked.select(
         "doc_id", "n_words",
         when_open(with_words(lower), "array<struct<at:int,word:string>>").alias("phrases"),
-        when_open(detections(lower, F.regexp_replace(lower, MARKS, " ")), f"array<{DETECTION}>").alias("found"),
+        when_open(F.flatten(F.transform(forms, lambda x: detections(x["lower"], x["folded"]))), f"array<{DETECTION}>").alias("found"),
         F.when(F.col("open") & F.contains(lower, F.lit(TAG)), expression_labels(lower)).otherwise(F.array().cast("array<string>")).alias("expressed"),
     )
     first = F.create_map(*[F.lit(x) for p, lab in PHRASES.items() for x in (p.split()[0], lab)])
