@@ -41,14 +41,17 @@ ADDED = {
     "address": r"(?<![0-9A-Za-z])[0-9]{1,5} [A-Z][a-z]{2,20}(?: [A-Z][a-z]{2,20})? (?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Dr|Boulevard|Blvd|Court|Ct)(?![A-Za-z])",
     "secret": r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]{1,8000}+-----END [A-Z ]{0,30}PRIVATE KEY-----"
     r"|(?<![A-Za-z0-9_.-])eyJ[A-Za-z0-9_-]{10,2000}+\.[A-Za-z0-9_-]{10,4000}+(?:\.[A-Za-z0-9_-]{10,2000}+)?"
-    r"|(?<=(?i:password|passwd|passwort|pwd)[\"']{0,1} {0,2}[:=] {0,2}[\"']{0,1})[^\s\"':=]{6,64}(?![^\s\"',;)])"
+    r"|(?<=(?:[Pp]ass[Ww]ord|PASSWORD|[Pp]asswd|PASSWD|[Pp]asswort|[Pp]wd|PWD)[\"']{0,1} {0,2}[:=] {0,2}[\"']{0,1})[^\s\"':=]{6,64}(?![^\s\"',;)])"
     r"|(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])(?=[0-9_+/-]*+[A-Za-z])[A-Za-z0-9_+/-]{16,512}+={0,2}(?![A-Za-z0-9_+/=-])",
 }
 #: A text without this has no candidate of the kind (a cheap test before the pattern).
 NEEDS = {
     "local_phone": "[0-9]{2}", "id_number": "[0-9]{6}|[0-9]{2}-[0-9]{4}", "iban": "[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}", "written_email": r"[\[(<{] ?(?:at|AT|@) ?[\])>}]", "ipv6": "[0-9A-Fa-f]:[0-9A-Fa-f:]", "address": "[0-9] [A-Z]",
-    "secret": "[0-9][A-Za-z_+/-]|[A-Za-z_+/-][0-9]|PRIVATE KEY|(?i:password|passwd|passwort|pwd)",
+    "secret": "[0-9][A-Za-z_+/-]|[A-Za-z_+/-][0-9]",
 }
+#: Kinds of which every candidate has a digit, or one of the words.
+DIGITS = ("local_phone", "id_number", "iban", "address", "secret")
+WORDS = {"secret": ("PRIVATE KEY", "assw", "assW", "ASSW", "pwd", "Pwd", "PWD")}
 CONTEXT = 40
 GOOD_WORDS = {
     "local_phone": r"(?i)\b(?:phone|tel|call|fax|mobile|cell|whatsapp|telefon|telefono|teléfono|téléphone|numéro|handy|rufnummer|portable)[a-z.]*\W*(?:\w+\W+)?$",
@@ -328,6 +331,12 @@ def best_apart(every: Column) -> Column:
     return F.when(F.size(every) > 1, F.aggregate(F.array_sort(every), start, step, lambda a: F.concat(a["kept"], F.array(a["last"])))).otherwise(every)
 
 
+def may_hold(kind: str) -> Column:
+    """Whether the text can have a candidate of the kind; plain searches before patterns."""
+    pattern = F.rlike("text", F.lit(NEEDS[kind]))
+    return functools.reduce(lambda a, w: a | F.contains("text", F.lit(w)), WORDS.get(kind, ()), F.rlike("text", F.lit("[0-9]")) & pattern if kind in DIGITS else pattern)
+
+
 def find_pii(docs: DataFrame) -> DataFrame:
     """doc_id, text and one array of spans (start, end in code points, found) per kind, for every row;
     added kinds' spans have their score besides.
@@ -339,7 +348,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     nothing = F.array().cast("array<struct<start:int,end:int,found:string>>")
     matched = texts.select(
-        "*", *[base_matches(F.col("text"), k).alias(k) for k in BASE], *[F.when(F.rlike("text", F.lit(NEEDS[k])), matches(F.col("text"), F.lit(x))).otherwise(nothing).alias(f"_{k}") for k, x in ADDED.items()]
+        "*", *[base_matches(F.col("text"), k).alias(k) for k in BASE], *[F.when(may_hold(k), matches(F.col("text"), F.lit(x))).otherwise(nothing).alias(f"_{k}") for k, x in ADDED.items()]
     )
     every = F.concat(*[F.expr(candidates(k, f"_{k}", "text")).cast(f"array<{CANDIDATE}>") for k in ADDED])
     base = F.concat(*BASE)
