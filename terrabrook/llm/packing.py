@@ -11,7 +11,7 @@ that length in the tasks before, so no length's pieces ever meet in one place.
 from __future__ import annotations
 
 import base64
-import uuid
+import json
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import shared_folder, table
+from .common import stash, table
 
 CAPACITY = 2048
 END = 0
@@ -92,8 +92,14 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int = CAPACITY) -> lis
     return ranges
 
 
-def load_encoding(ranks_path: str):
-    """The byte-level BPE of a rank file, for ordinary text.
+def special_tokens(tokenizer_path: str) -> dict[str, int]:
+    """The special marks of a tokenizers file and their ids: the library cuts a text at them first."""
+    with open(tokenizer_path, encoding="utf-8") as file:
+        return {t["content"]: t["id"] for t in json.load(file).get("added_tokens", []) if t["special"]}
+
+
+def load_encoding(ranks_path: str, special: dict[str, int]):
+    """The byte-level BPE of a rank file, with special marks.
 
     Its ids equal those of the same vocabulary's tokenizers file (tests hold this), at several
     times the speed.
@@ -103,18 +109,22 @@ def load_encoding(ranks_path: str):
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(k): int(v) for k, v in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+
+def ids_of(encoding, text: str) -> np.ndarray:
+    return encoding.encode_to_numpy(text, allowed_special="all").astype("<u4")
 
 
-def default_ranks() -> str:
+def public_file(name: str) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return public_tokenizers.path(name)
 
 
-def cut_pieces(batches: Iterator[pa.RecordBatch], ranks_path: str, capacity: int) -> Iterator[pa.RecordBatch]:
+def cut_pieces(batches: Iterator[pa.RecordBatch], ranks_path: str, special: dict[str, int], capacity: int) -> Iterator[pa.RecordBatch]:
     """Tokenises doc_id, text into pieces, numbered within the task by length."""
-    encoding = load_encoding(ranks_path)
+    encoding = load_encoding(ranks_path, special)
     task = TaskContext.get().partitionId()
     numbers = [0] * (capacity + 1)
     end = np.array([END], "<u4")
@@ -124,7 +134,7 @@ def cut_pieces(batches: Iterator[pa.RecordBatch], ranks_path: str, capacity: int
         rows: list[tuple] = []
         size = 0
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            ids = np.concatenate((encoding.encode_to_numpy(text.as_py() or "", disallowed_special=()).astype("<u4"), end))
+            ids = np.concatenate((ids_of(encoding, text.as_py() or ""), end))
             head = len(ids) % capacity or min(len(ids), capacity)
             bounds = [0, *range(head, len(ids) + 1, capacity)]
             for piece, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
@@ -154,20 +164,19 @@ def place(batches: Iterator[pa.RecordBatch], ranges: np.ndarray) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([*rest, pa.array(sequence), pa.array(offset)], [*batch.schema.names[:-1], "sequence_id", "offset"])
 
 
-def pack_documents(docs: DataFrame, capacity: int = CAPACITY, ranks_path: str | None = None, with_ids: bool = True) -> DataFrame:
+def pack_documents(docs: DataFrame, capacity: int = CAPACITY, ranks_path: str | None = None, tokenizer_path: str | None = None, with_ids: bool = True) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset and (with_ids) ids for all pieces.
 
     ids are little-endian unsigned 32-bit token ids; each document ends in id 0.  A null text is
     empty: one piece of length 1.  A document longer than the capacity is cut into pieces of the
     capacity, of which the first may be shorter.  Rows that repeat a doc_id, or have none, are
     documents of their own.  Extra columns are not returned.  ids_crc32 is taken from the stored
-    ids.
+    ids.  tokenizer_path names the tokenizers file whose special marks become their ids, also inside
+    texts; ranks_path holds the same vocabulary's ranks.
     """
-    spark = docs.sparkSession
-    ranks_path = ranks_path or default_ranks()
-    stored = f"{shared_folder(spark)}/pieces-{uuid.uuid4().hex}"
-    docs.select("doc_id", "text").mapInArrow(lambda b: cut_pieces(b, ranks_path, capacity), PIECES).write.option("compression", "zstd").parquet(stored)
-    pieces = spark.read.parquet(stored)
+    ranks_path = ranks_path or public_file("byte_bpe_50k.tiktoken")
+    special = special_tokens(tokenizer_path or public_file("byte_bpe_50k.json"))
+    pieces = stash(docs.select("doc_id", "text").mapInArrow(lambda b: cut_pieces(b, ranks_path, special, capacity), PIECES), "pieces")
     counts = pieces.groupBy("task", "length").agg((F.max("number") + 1).alias("n"))
     before = counts.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("task")) - F.col("n")).select("task", "length", "before")
     total = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most capacity rows

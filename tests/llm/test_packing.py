@@ -1,8 +1,10 @@
+import functools
 import random
 import zlib
 from collections import defaultdict
 
 import public_tokenizers
+import pyarrow.parquet as pq
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -53,10 +55,28 @@ def test_ranges_equal_best_fit_decreasing(counts):
 
 def test_ids_equal_the_tokenizers_library():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    e = P.load_encoding(P.default_ranks())
-    texts = ["", " ", "Hello  world\n\n x", "éèß ñ 漢字 \U0001f600", "a" * 3000, "1234 5678's it'll <|endoftext|>", "\x00\x01 tab\t\ttab", "don't  DON'T"]
-    assert [e.encode_to_numpy(x, disallowed_special=()).tolist() for x in texts] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    e = encoding()
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>x", "<|endoftext", "", " ", "Hello  world\n\n x", "éèß ñ 漢字 \U0001f600", "a" * 3000, "1234 5678's it'll <|endoftext|>", "\x00\x01 tab\t\ttab", "don't  DON'T"]
+    texts += [x or "" for x in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist()]
+    assert [P.ids_of(e, x).tolist() for x in texts] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert P.ids_of(e, texts[0]).tolist() == [64, 220, 50256, 275]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \n'|<>endoftx")), max_size=40), st.booleans())
+def test_ids_equal_the_tokenizers_library_on_any_text(text, marked):
+    text = text.replace("|", "<|endoftext|>") if marked else text
+    assert P.ids_of(encoding(), text).tolist() == library().encode(text, add_special_tokens=False).ids
+
+
+@functools.cache
+def encoding():
+    return P.load_encoding(P.public_file("byte_bpe_50k.tiktoken"), P.special_tokens(P.public_file("byte_bpe_50k.json")))
+
+
+@functools.cache
+def library():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_pieces_and_places(spark):
@@ -65,10 +85,10 @@ def test_pieces_and_places(spark):
     rows += [(100, None), (101, ""), (7, rows[7][1]), (None, "no id")]
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, length string").repartition(5)
     got = P.pack_documents(df, capacity=256).collect()
-    e = P.load_encoding(P.default_ranks())
+    e = encoding()
     whole = defaultdict(list)
     for i, text in rows:
-        whole[i].append(e.encode_to_numpy(text or "").tolist() + [0])
+        whole[i].append(P.ids_of(e, text or "").tolist() + [0])
     parts = defaultdict(list)
     bins = defaultdict(list)
     for r in got:
