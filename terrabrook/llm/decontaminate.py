@@ -7,9 +7,11 @@ names were exchanged, and not when only the scaffold agrees.
 
 Every window has three templates: one in which a capitalised word inside a sentence is a <name>, one
 that lower-cases all words, so that text whose case or punctuation was lost still matches, and one in
-which a capitalised word that opens a sentence is a <name> too.  The third may hold ordinary words in
-its slots, so its values are judged apart.  Templates with more slots than literals match ordinary
-text; windows that are mostly numbers, which have no other template, match by their exact words.
+which a capitalised word that opens a sentence is a <name> too.  A run of names is one slot, so that
+"Mary Ann" may stand for "Alice"; windows count such places, and each template's hits are judged by
+themselves, as their places differ.  Templates with more slots than literals match ordinary text;
+windows that are mostly numbers, which have no other template, match by their exact words and count
+with the lower-cased ones.
 
 Documents are prefiltered by a bit set of fixed size (2**BLOOM_BITS) made from the benchmark's
 window hashes; what passes is joined as rows, whatever the size of the benchmark.
@@ -20,10 +22,11 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, table
@@ -81,9 +84,18 @@ class Vocabulary(dict):
         return row
 
 
-def canonical(text: str, vocabulary: Vocabulary) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The text's tokens, which of them are words, and of the words the codes and slots in each
-    channel (4 x n each) and which are units."""
+class Channel(NamedTuple):
+    """A text's places in one kind of template: the number of each place's first word (and of words, at the
+    end), its code, and whether it is a slot or a unit."""
+
+    first: np.ndarray
+    codes: np.ndarray
+    slots: np.ndarray
+    units: np.ndarray
+
+
+def canonical(text: str, vocabulary: Vocabulary) -> tuple[list[str], np.ndarray, list[Channel]]:
+    """The text's tokens, which of them are words, and the channels."""
     tokens = TOKEN.findall(text)
     if len(vocabulary) > VOCABULARY:
         vocabulary.clear()
@@ -99,9 +111,18 @@ def canonical(text: str, vocabulary: Vocabulary) -> tuple[list[str], np.ndarray,
     is_unit = after & (units != 0)
     lowered = np.where(is_unit, units, plain[rows])
     capital = (kinds == 2) & ~is_unit
-    name = capital & ~starts
-    codes = np.stack((np.where(name, NAME_CODE, lowered), lowered, np.where(capital, NAME_CODE, lowered), vocabulary.exact[rows]))
-    return tokens, np.flatnonzero(word), codes, np.stack((number | name, number, number | capital, np.zeros_like(number))), is_unit
+
+    def with_names(name: np.ndarray) -> Channel:
+        place = ~name | starts
+        if len(name):
+            place |= np.concatenate(([True], ~name[:-1]))
+        first = np.flatnonzero(place)
+        return Channel(np.append(first, len(name)), np.where(name, NAME_CODE, lowered)[first], (number | name)[first], is_unit[first])
+
+    every = np.arange(len(rows) + 1)
+    none = np.zeros_like(number)
+    channels = [with_names(capital & ~starts), Channel(every, lowered, number, is_unit), with_names(capital), Channel(every, vocabulary.exact[rows], none, none)]
+    return tokens, np.flatnonzero(word), channels
 
 
 def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
@@ -115,47 +136,54 @@ def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
     return out * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def template(words: list[str], slots: np.ndarray, units: np.ndarray, a: int, b: int) -> str:
-    """A window's template; a number in no slot stands for itself."""
+def template(words: list[str], channel: Channel, a: int, b: int) -> str:
+    """The template of the places a to b; a number in no slot stands for itself."""
     out = []
     for i in range(a, b):
-        w = words[i]
-        out.append((NUMBER if w[0].isdigit() else NAME) if slots[i] else f"<{DIMENSION[w.lower()]}>" if units[i] else w.lower())
+        w = words[channel.first[i]]
+        out.append((NUMBER if w[0].isdigit() else NAME) if channel.slots[i] else f"<{DIMENSION[w.lower()]}>" if channel.units[i] else w.lower())
     return " ".join(out)
 
 
+def slot_values(words: list[str], channel: Channel, a: int, b: int) -> list[str]:
+    return [" ".join(words[channel.first[i] : channel.first[i + 1]]) for i in range(a, b) if channel.slots[i]]
+
+
 def windows(batches: Iterator[pa.RecordBatch], sizes: list[int] | None, bloom: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Windows of (id, text) rows. sizes None: a benchmark item's own (WINDOW, or all of a shorter one)."""
+    """Windows of (id, text) rows. sizes None: a benchmark item's own (WINDOW places, or all of a shorter one)."""
     vocabulary = Vocabulary()
     schema = pa.schema([("id", pa.int64()), ("t", pa.int64()), ("channel", pa.int32()), ("size", pa.int32()), ("h", pa.int64()), ("at", pa.int32()), ("template", pa.string()), ("slots", pa.list_(pa.string())), ("windows", pa.int32())])
     for batch in batches:
         rows: list[tuple] = []
         for id_, text, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            if not text or id_ is None:
+            if not text:
                 continue
-            tokens, place, codes, slots, units = canonical(text, vocabulary)
+            tokens, place, channels = canonical(text, vocabulary)
             words: list[str] = []
-            for size in sizes or [min(WINDOW, len(place))]:
-                if size < MIN_WORDS or size > len(place):
+            for size in sizes or sorted({min(WINDOW, len(c.codes)) for c in channels}):
+                if size < MIN_WORDS:
                     continue
-                hashes = window_hashes(codes, size)
-                filled = np.zeros((len(slots), len(place) + 1), np.int64)
-                np.cumsum(slots, axis=1, out=filled[:, 1:])
-                usable = (size - (filled[:, size:] - filled[:, :-size])) * 2 >= size
-                usable[EXACT] = ~usable[LOWERED]
-                totals = usable.sum(axis=1).tolist()
-                totals[EXACT] = hashes.shape[1]
-                if bloom is not None:
-                    bit = (hashes >> np.uint64(64 - BLOOM_BITS)).astype(np.int64)
-                    usable &= (bloom[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
-                channels, places = (x.tolist() for x in np.nonzero(usable))
-                if places and not words:
-                    words = [tokens[i] for i in place.tolist()]
-                signed = hashes.view(np.int64)
-                rows.extend(
-                    (id_, t, c, size, int(signed[c, a]), a, template(words, slots[c], units & (c != EXACT), a, a + size), [words[i] for i in range(a, a + size) if slots[c][i]], totals[c])
-                    for c, a in zip(channels, places, strict=True)
-                )
+                literal = None
+                for kind, channel in enumerate(channels):
+                    n = len(channel.codes)
+                    if size > n or (sizes is None and size != min(WINDOW, n)):
+                        continue
+                    hashes = window_hashes(channel.codes, size)
+                    if kind == EXACT:
+                        usable, total = ~literal, len(hashes)
+                    else:
+                        filled = np.concatenate(([0], np.cumsum(channel.slots)))
+                        usable = (size - (filled[size:] - filled[:-size])) * 2 >= size
+                        total = int(usable.sum())
+                        literal = usable if kind == LOWERED else literal
+                    if bloom is not None:
+                        bit = (hashes >> np.uint64(64 - BLOOM_BITS)).astype(np.int64)
+                        usable = usable & (bloom[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+                    found = np.flatnonzero(usable).tolist()
+                    if found and not words:
+                        words = [tokens[i] for i in place.tolist()]
+                    signed = hashes.view(np.int64)
+                    rows.extend((id_, t, kind, size, int(signed[a]), a, template(words, channel, a, a + size), slot_values(words, channel, a, a + size), total) for a in found)
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
@@ -170,44 +198,38 @@ def bit_set(found: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def verdict(*channels: int) -> Column:
-    """Of a line: its windows found by these channels' templates, by these or exactly, the item's windows
-    that have a template (null without a hit of one) or need none, and the slots."""
-    templated, any_ = F.col("channel").isin(*channels), F.col("channel").isin(*channels, EXACT)
-    return F.struct(
-        F.size(F.collect_set(F.when(templated, F.col("at")))).alias("templated"), F.size(F.collect_set(F.when(any_, F.col("at")))).alias("hits"),
-        F.max(F.when(templated, F.col("windows"))).alias("usable"), F.max(F.when(F.col("channel") == EXACT, F.col("windows"))).alias("every"),
-        F.array_distinct(F.flatten(F.collect_set(F.when(any_, F.col("slots"))))).alias("slots"),
-    )
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, t (xxhash64 of the text), item_id, hits, windows, changed: one row per document and item found.
 
     An item is found if at least MIN_HITS of its windows (all, if it has fewer) occur in line in
-    the document and their slots are consistent: equal values of the item stand against equal
-    values of the document.  That holds with or without the templates in which a sentence's first
-    word is a slot.  Fewer than MIN_HITS exact windows count only if they are all of an item's
-    windows.  changed: some value differs, so the question was re-parameterised.
-    Null ids and null or empty texts find nothing, and so do items under MIN_WORDS words.  Repeated
-    rows give one result.  Extra columns are not read.
+    the document, as templates of one kind, and their slots are consistent: equal values of the item
+    stand against equal values of the document.  Fewer than MIN_HITS exact windows count only if they
+    are all of an item's windows.  changed: some value differs, so the question was re-parameterised.
+    A null doc_id is searched like any other; its texts are told apart by t.  Null item ids and null
+    or empty texts find nothing, and so do items under MIN_WORDS words.  Repeated rows give one
+    result.  Extra columns are not read.
     """
-    items = cut(benchmark.select(F.col("item_id").alias("id"), "text", F.lit(0).cast("long").alias("t")).mapInArrow(lambda b: windows(b, None, None), WINDOWS))
+    named = benchmark.filter(F.col("item_id").isNotNull())
+    items = cut(named.select(F.col("item_id").alias("id"), "text", F.lit(0).cast("long").alias("t")).mapInArrow(lambda b: windows(b, None, None), WINDOWS))
     sizes = [r["size"] for r in items.select("size").distinct().collect()]  # at most WINDOW values
     bloom = bit_set(items)
     rows = docs.select(F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("t")).mapInArrow(lambda b: windows(b, sizes, bloom), WINDOWS)
     pairs = rows.alias("d").join(items.alias("i"), ["size", "channel", "h", "template"]).select(
         F.col("d.id").alias("doc_id"), F.col("d.t").alias("t"), F.col("i.id").alias("item_id"), F.col("channel"), F.col("i.windows").alias("windows"),
+        F.when(F.col("channel") == EXACT, LOWERED).otherwise(F.col("channel")).alias("family"),
         F.col("i.at").alias("at"), (F.col("d.at") - F.col("i.at")).alias("line"), F.arrays_zip(F.col("i.slots").alias("was"), F.col("d.slots").alias("now")).alias("slots"),
     )
-    lines = pairs.groupBy("doc_id", "t", "item_id", "line").agg(F.max("windows").alias("windows"), verdict(INSIDE, LOWERED).alias("strict"), verdict(INSIDE, LOWERED, OPENING).alias("wide"))
-    verdicts = lines.select("doc_id", "t", "item_id", "windows", F.explode(F.array("strict", "wide")).alias("v"))
-    consistent = F.size(F.array_distinct(F.col("v.slots.was"))) == F.size("v.slots")
-    enough = (F.col("v.templated") >= F.least(F.lit(MIN_HITS), "v.usable")) | (F.col("v.hits") >= F.least(F.lit(MIN_HITS), "v.every"))
+    templated, exact = F.col("channel") != EXACT, F.col("channel") == EXACT
+    lines = pairs.groupBy("doc_id", "t", "item_id", "family", "line").agg(
+        F.size(F.collect_set(F.when(templated, F.col("at")))).alias("templated"), F.size(F.collect_set("at")).alias("hits"), F.max("windows").alias("windows"),
+        F.max(F.when(templated, F.col("windows"))).alias("usable"), F.max(F.when(exact, F.col("windows"))).alias("every"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
+    )
+    consistent = F.size(F.array_distinct(F.col("slots.was"))) == F.size("slots")
+    enough = (F.col("templated") >= F.least(F.lit(MIN_HITS), "usable")) | (F.col("hits") >= F.least(F.lit(MIN_HITS), "every"))
     return (
-        verdicts.filter(consistent & enough)
+        lines.filter(consistent & enough)
         .groupBy("doc_id", "t", "item_id")
-        .agg(F.max("v.hits").cast("long").alias("hits"), F.max("windows").cast("long").alias("windows"), F.max(F.exists("v.slots", lambda s: s["was"] != s["now"])).alias("changed"))
+        .agg(F.max("hits").cast("long").alias("hits"), F.max("windows").cast("long").alias("windows"), F.max(F.exists("slots", lambda s: s["was"] != s["now"])).alias("changed"))
     )
 
 
