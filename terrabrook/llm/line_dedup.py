@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, table
+from .common import ascii_lower, cut, stash, table
 
 WHITE = " \t\n\x0b\x0c\r"
 MIN_CHARS = 20
@@ -36,12 +36,14 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
         F.xxhash64(text).alias("t"),
         F.split(text, "\n").alias("lines"),
     )
-    exploded = (
+    # stored once: lines are split and hashed for both the count and the drop
+    exploded = stash(
         docs.filter(F.col("doc_id").isNotNull())
         .select(F.col("doc_id").alias("d"), F.xxhash64(text).alias("t"), F.posexplode(F.split(text, "\n")).alias("p", "line"))
         .select("d", "t", "p", line_key(F.col("line")).alias("key"))
         .filter(F.length("key") >= min_chars)
-        .select("d", "t", "p", F.xxhash64("key").alias("h"), F.xxhash64(F.lit(1), "key").alias("g"))
+        .select("d", "t", "p", F.xxhash64("key").alias("h"), F.xxhash64(F.lit(1), "key").alias("g")),
+        "lines",
     )
     # cut: the join below then has an exchange on either side, so that a hot line's rows can be split
     common = cut(
