@@ -7,9 +7,11 @@ least one of its bucket keeps connectivity in linear space, and no pair within a
 A bucket is a ball, so it never holds more fingerprints than the ball has points (2,081 for 64
 bits and radius 4), whatever the number of copies.
 
-Equal fingerprints are one node.  Before the ball, fingerprints that can have no partner leave:
-of 2r blocks of bits, partners within r bits agree on r blocks at least, so a fingerprint that
-shares no choice of r blocks with another is alone.
+Equal fingerprints are one node.  Before the ball, fingerprints that can have no partner leave: of
+2r blocks of bits, partners within r bits agree on r blocks at least, so they share a key, a choice
+of r blocks.  Among the fingerprints of one key (half of the bits) the distance is checked, so that
+chance partners, whose number grows with the square of the corpus, emit no ball.  Keys of more than
+CHECKED fingerprints are passed on whole.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ from .components import connected_components
 BITS = 64
 RADIUS = 4
 WORDS = 4
+#: Fingerprints of a key up to which distances are checked within it.
+CHECKED = 64
 UPPER_TO_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -103,12 +107,45 @@ def block_masks(radius: int) -> list[int]:
     return np.array([sum(c) for c in combinations(blocks, n - radius)], np.uint64).view(np.int64).tolist()
 
 
+def near_within_keys(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+    """side, key, fp in order of side and key -> the fp that have one of the same key within the radius.
+
+    All of a key with more than CHECKED fingerprints count as near.  Holds a batch and the last
+    CHECKED rows of the one before.
+    """
+    kept = None  # side, key, fp, near of the last rows
+    for batch in batches:
+        side, key, fp = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        near = np.zeros(len(fp), bool)
+        if kept is not None:
+            side, key, fp, near = (np.concatenate(x) for x in zip(kept, (side, key, fp, near), strict=True))
+        bits = fp.view(np.uint64)
+        for step in range(1, CHECKED + 1):
+            same = np.flatnonzero((key[step:] == key[:-step]) & (side[step:] == side[:-step])) if len(fp) > step else np.zeros(0, np.int64)
+            if not len(same):
+                break
+            hit = same if step == CHECKED else same[np.bitwise_count(bits[same] ^ bits[same + step]) <= radius]
+            near[hit] = near[hit + step] = True
+            if step == CHECKED and len(hit):  # a key of more than CHECKED: all between its first and last
+                cover = np.zeros(len(fp) + 1, np.int64)
+                np.add.at(cover, hit, 1)
+                np.add.at(cover, hit + step, -1)
+                near |= np.cumsum(cover[:-1]) > 0
+        done = max(0, len(fp) - CHECKED)
+        found = np.unique(fp[:done][near[:done]])
+        if len(found):
+            yield pa.RecordBatch.from_arrays([pa.array(found)], ["fp"])
+        kept = side[done:], key[done:], fp[done:], near[done:]
+    if kept is not None and kept[3].any():
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(kept[2][kept[3]]))], ["fp"])
+
+
 def with_partners(distinct: DataFrame, radius: int) -> DataFrame:
-    """The rows of distinct (fp) that agree with another fingerprint on all bits of a mask."""
+    """The rows of distinct (fp) that have another fingerprint within the radius, and perhaps some more."""
     masks = F.array(*[F.lit(m) for m in block_masks(radius)])
     keys = distinct.select("fp", F.posexplode(F.transform(masks, lambda m: F.col("fp").bitwiseAND(m))).alias("side", "key"))
-    shared = keys.groupBy("side", "key").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a <> b").select("side", "key")
-    return keys.join(shared, ["side", "key"], "left_semi").select("fp").distinct()
+    sorted_keys = keys.repartition("side", "key").sortWithinPartitions("side", "key").select("side", "key", "fp")
+    return sorted_keys.mapInArrow(lambda b: near_within_keys(b, radius), "fp long").distinct()
 
 
 def simhash_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -132,7 +169,9 @@ def simhash_components(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     parts = connected_components(simhash_links(distinct.select("fp"), radius))
     classes = distinct.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    named = classes.groupBy("component").agg(F.min("least").alias("component_id"))
+    # cut: the join below then has an exchange on either side, so that a large component can be split
+    classes = cut(classes)
+    named = cut(classes.groupBy("component").agg(F.min("least").alias("component_id")))
     members = classes.select("fp", "component").join(named, "component").select("fp", "component_id")
     return marked.join(members, "fp").select("doc_id", "fp", "component_id")
 

@@ -59,6 +59,29 @@ def test_links_match_brute_force(spark, monkeypatch):
             assert (ca == cb) == (want[a] == want[b])
 
 
+def test_near_within_keys(monkeypatch):
+    """Batches of any cut: exactly those with a near one of their key, and all of a key of more than CHECKED."""
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(simhash, "CHECKED", 5)
+    rng = random.Random(7)
+    rows = []
+    for side in range(3):
+        for key in range(40):
+            base = rng.getrandbits(63)
+            rows += [(side, key, base ^ sum(1 << b for b in rng.sample(range(63), rng.choice([0, 2, 9, 20])))) for _ in range(rng.choice([1, 1, 2, 3, 5, 6, 9]))]
+    rows = sorted(set(rows))
+    want = set()
+    for side, key in {r[:2] for r in rows}:
+        fps = [r[2] for r in rows if r[:2] == (side, key)]
+        want |= set(fps) if len(fps) > 5 else {a for a in fps if any(a != b and (a ^ b).bit_count() <= 4 for b in fps)}
+    for size in (1, 3, 7, 1000):
+        parts = [rows[i : i + size] for i in range(0, len(rows), size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in zip(*p)], ["side", "key", "fp"]) for p in parts]
+        assert {x for b in simhash.near_within_keys(iter(batches), 4) for x in b.column(0).to_pylist()} == want
+
+
 def test_components_of_texts(spark):
     rng = random.Random(1)
     base = [" ".join(rng.choice("alpha beta gamma delta eps zeta eta theta".split()) + str(rng.randrange(50)) for _ in range(400)) for _ in range(4)]
