@@ -4,10 +4,11 @@ from collections import defaultdict
 
 
 import corpus_pipeline as P
-from terrabrook.llm import packing
+from terrabrook.llm import common
 
 from .test_decontaminate import brute as brute_found
 from .test_line_dedup import brute as brute_lines
+from .test_packing import encoding
 from .test_quality import brute_verdicts
 from .test_simhash import brute_components, brute_fingerprint
 
@@ -55,7 +56,7 @@ def test_stages_and_run(spark, tmp_path):
         docs.write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
     assert {r.doc_id: (r.text, r.n_chars) for r in docs.collect()} == {i: (t, len(t)) for i, t in want.items()}
-    e = packing.load_encoding(packing.default_ranks())
+    e = encoding()
     tokens = defaultdict(int)
     for r in P.run(spark, folder).collect():
         tokens[r.doc_id] += r.length
