@@ -7,12 +7,13 @@ predecessor kept and none is computed twice.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrabrook.llm.common import cut, shared_folder, table
+from terrabrook.llm.common import cut, delete_folder, discard, shared_folder, table
 from terrabrook.llm.decontaminate import contaminated
 from terrabrook.llm.line_dedup import dedup_lines
 from terrabrook.llm.packing import pack_documents
@@ -53,9 +54,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item was found."""
-    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id", F.col("t").alias("_t"))
-    return without(docs.withColumn("_t", F.xxhash64("text")), found, ["doc_id", "_t"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Documents in which no benchmark item was found, also those without a doc_id."""
+    key = next(name for k in itertools.count() if (name := f"_text_{k}") not in docs.columns)
+    same = F.struct("doc_id", F.xxhash64("text").alias("t"))  # structs of null are equal
+    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.struct("doc_id", "t").alias(key))
+    return without(docs.withColumn(key, same), found, [key]).drop(key)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,10 +79,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir."""
+    """All stages over the documents of sf_dir.
+
+    What a stage and its operator stored is deleted once the next has written; the last stage's
+    rows stay, since the result reads them.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        discard(spark)
+        if k:
+            delete_folder(spark, f"{folder}/{k - 1}")
     return docs
