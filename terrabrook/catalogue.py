@@ -8,18 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import email, geo, text, url
 from .operators import analytics
+from .operators import records
 from .operators import relational as R
 from .plans import seeds
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-BOX = (40.30, -3.80, 40.50, -3.60)
+BOX = (47.10, 8.40, 47.30, 8.62)
 
 
 def query(oracle: str | None = None):
@@ -78,9 +79,9 @@ def bbox_prefilter(spark, sf_dir):
     return p.filter(box).filter(geo.haversine_m(F.lit(10.0), F.lit(20.0), F.col("lat"), F.col("lon")) <= 1_500_000).select("place_id", "lat", "lon")
 
 
-GRID = """steps AS (SELECT 1 / 111.32::DOUBLE AS a, 1 / (111.32::DOUBLE * cos(radians((40.30 + 40.50)::DOUBLE / 2))) AS b),
-counts AS (SELECT a, b, ceil((40.50::DOUBLE - 40.30::DOUBLE) / a - 0.5)::BIGINT AS n, ceil((-3.60::DOUBLE - -3.80::DOUBLE) / b - 0.5)::BIGINT AS m FROM steps),
-cells AS (SELECT i AS lat_index, j AS lon_index, 40.30::DOUBLE + a * (i + 0.5::DOUBLE) AS lat, -3.80::DOUBLE + b * (j + 0.5::DOUBLE) AS lon FROM counts, unnest(range(n)) AS x(i), unnest(range(m)) AS y(j))"""
+GRID = """steps AS (SELECT 1 / 111.32::DOUBLE AS a, 1 / (111.32::DOUBLE * cos(radians((47.10 + 47.30)::DOUBLE / 2))) AS b),
+counts AS (SELECT a, b, ceil((47.30::DOUBLE - 47.10::DOUBLE) / a - 0.5)::BIGINT AS n, ceil((8.62::DOUBLE - 8.40::DOUBLE) / b - 0.5)::BIGINT AS m FROM steps),
+cells AS (SELECT i AS lat_index, j AS lon_index, 47.10::DOUBLE + a * (i + 0.5::DOUBLE) AS lat, 8.40::DOUBLE + b * (j + 0.5::DOUBLE) AS lon FROM counts, unnest(range(n)) AS x(i), unnest(range(m)) AS y(j))"""
 
 
 @query(f"WITH {GRID} SELECT lat_index, lon_index, round(lat, 9) AS lat, round(lon, 9) AS lon, printf('%f,%f', lat, lon) AS geo FROM cells")
@@ -89,11 +90,11 @@ def grid_cells(spark, sf_dir):
     return cells.select("lat_index", "lon_index", F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"), geo.coordinate_text(F.col("lat"), F.col("lon")).alias("geo"))
 
 
-@query("""WITH b(box, s, w, n, e, km) AS (VALUES ('a', 38.0077, 23.6719, 38.0257, 23.6947, 0.5), ('b', 89.90, 0, 89.95, 20, 1), ('c', 40.30, -3.80, 40.50, -3.60, 1), ('d', 52.34, 13.09, 52.68, 13.76, 1)),
+@query("""WITH b(box, s, w, n, e, km) AS (VALUES ('a', 12.5010, 45.2500, 12.5320, 45.2810, 0.25), ('b', 88.70, 5, 88.75, 31, 1), ('c', 47.10, 8.40, 47.30, 8.62, 1), ('d', -33.95, 151.10, -33.60, 151.40, 2)),
 t AS (SELECT box, (n - s)::DOUBLE / (km / 111.32::DOUBLE) AS x, (e - w)::DOUBLE / (km / (111.32::DOUBLE * cos(radians((s + n)::DOUBLE / 2)))) AS y FROM b)
 SELECT box, (ceil(x) * ceil(y))::BIGINT AS estimate, (ceil(x - 0.5) * ceil(y - 0.5))::BIGINT AS generated FROM t""")
 def grid_estimate(spark, sf_dir):
-    boxes = {"a": ((38.0077, 23.6719, 38.0257, 23.6947), 0.5), "b": ((89.90, 0.0, 89.95, 20.0), 1.0), "c": (BOX, 1.0), "d": ((52.34, 13.09, 52.68, 13.76), 1.0)}
+    boxes = {"a": ((12.5010, 45.2500, 12.5320, 45.2810), 0.25), "b": ((88.70, 5.0, 88.75, 31.0), 1.0), "c": (BOX, 1.0), "d": ((-33.95, 151.10, -33.60, 151.40), 2.0)}
     product = lambda p: p[0] * p[1]
     return spark.createDataFrame([(k, product(seeds.axis_counts(b, km, True)), product(seeds.axis_counts(b, km))) for k, (b, km) in boxes.items()], "box string, estimate long, generated long")
 
@@ -162,10 +163,13 @@ def email_mailto(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.listed(email.page_emails(html)).alias("emails"))
 
 
-@query(rf"SELECT page_id, array_to_string(list_distinct(regexp_extract_all(html, '{ADDRESS}')), ', ') AS emails FROM pages WHERE len(regexp_extract_all(html, '{ADDRESS}')) = 1")
+@query(rf"""WITH m AS (SELECT page_id, regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']mailto:([^"''>]*)["'']', 1) AS links, regexp_extract_all(html, '{ADDRESS}') AS found FROM pages),
+l AS (SELECT page_id, found, list_filter(list_transform(links, lambda x: trim(split_part(x, '?', 1))), lambda x: regexp_full_match(x, '{ADDRESS}')) AS mailed FROM m),
+c AS (SELECT page_id, CASE WHEN len(mailed) > 0 THEN mailed ELSE found END AS e FROM l),
+u AS (SELECT page_id, e[i] AS email, min(i) AS first FROM c, unnest(range(1, len(e) + 1)) AS x(i) GROUP BY 1, 2)
+SELECT c.page_id, coalesce(string_agg(email, ', ' ORDER BY first), '') AS emails FROM c LEFT JOIN u USING (page_id) GROUP BY 1""")
 def email_pages(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").filter(F.size(F.regexp_extract_all("html", F.lit(email.ADDRESS), F.lit(0))) == 1)
-    return p.select("page_id", text.listed(email.page_emails(F.col("html"))).alias("emails"))
+    return table(spark, sf_dir, "pages").select("page_id", text.listed(email.page_emails(F.col("html"))).alias("emails"))
 
 
 @query("""WITH s AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN '' WHEN 1 THEN url WHEN 2 THEN 'https://facebook.com/' || page_id WHEN 3 THEN 'https://instagram.com/' || page_id ELSE 'https://twitter.com/' || page_id END AS site FROM pages)
@@ -227,13 +231,23 @@ def rating_histogram(spark, sf_dir):
     return analytics.rating_histogram(table(spark, sf_dir, "lineitem").select("l_suppkey", (F.col("l_linenumber") % 5 + 1).alias("rating")), "l_suppkey", "rating")
 
 
-@query("SELECT dayname(ts) AS day, hour(ts)::INT AS hour, count(*) AS traffic FROM events GROUP BY 1, 2")
+@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 9 = 0 THEN 'no map' ELSE day END AS day, CASE WHEN s_suppkey % 9 = 0 THEN -1 ELSE (s_suppkey + d) % 24 END AS hour, CASE WHEN s_suppkey % 9 = 0 THEN -1 ELSE s_suppkey % 50 + d END AS traffic
+FROM supplier, (VALUES (1, 'Monday'), (4, 'Thursday'), (7, 'Sunday'), (8, '')) AS x(d, day) WHERE s_suppkey % 9 <> 0 OR d = 1""")
 def popular_times(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select(text.day_name(F.weekday("ts") + 1).alias("day"), F.hour("ts").alias("hour"))
-    return e.groupBy("day", "hour").agg(F.count("*").alias("traffic"))
+    """A malformed item (every ninth) makes the whole map null."""
+    from .functions import paths
+    from .operators import places as PL
+
+    k = F.col("s_suppkey")
+    entry = lambda d: F.format_string(f'[{d},[[%d,%d]]]', (k + d) % 24, k % 50 + d)
+    days = F.concat(F.lit("["), F.concat_ws(",", entry(1), entry(4), entry(7), F.when(k % 9 == 0, F.lit('[8,["x"]]')).otherwise(entry(8))), F.lit("]"))
+    root = F.concat(F.lit("[" + "null," * 84 + "["), days, F.lit("]]"))
+    times = table(spark, sf_dir, "supplier").select("s_suppkey", PL.popular_times(paths.parsed(root)).alias("times"))
+    found = times.select("s_suppkey", F.explode_outer("times").alias("day", "hours"))
+    return found.select("s_suppkey", "day", F.explode_outer("hours").alias("hour", "traffic")).select("s_suppkey", F.coalesce("day", F.lit("no map")).alias("day"), *[F.coalesce(F.col(c).cast("long"), F.lit(-1)).alias(c) for c in ("hour", "traffic")])
 
 
-@query("""SELECT c_custkey::VARCHAR AS source_id, c_name AS name, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS rating, CASE WHEN c_custkey % 3 <> 0 THEN (c_custkey * 37 % 1800) / 10.0::DOUBLE END AS latitude,
+@query("""SELECT c_custkey::VARCHAR AS source_id, c_name AS name, 'google_maps' AS source, CASE WHEN c_custkey % 4 <> 0 THEN 'about ' || c_custkey END AS description, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS rating, CASE WHEN c_custkey % 3 <> 0 THEN (c_custkey * 37 % 1800) / 10.0::DOUBLE END AS latitude,
 n_name AS city, r_name AS state, CASE WHEN c_custkey % 2 = 0 THEN 'full_address=addr' || c_custkey || ';' ELSE '' END || CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'additional_emails=b@x.example;' END AS attributes
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def lead_projection(spark, sf_dir):
@@ -242,12 +256,12 @@ def lead_projection(spark, sf_dir):
     empty = [F.lit("").alias(c) for c in ("link", "plus_code", "status", "price_range", "timezone", "reviews_link", "thumbnail", "category", "web_site", "phone")]
     empty += [F.struct(F.lit("").alias("name"), F.lit("").alias("link")).alias(c) for c in ("owner", "menu")]
     p = joined.select(
-        F.col("c_name").alias("title"), k.cast("string").alias("data_id"), F.when(k % 3 != 0, k * 37 % 1800 / 10.0).otherwise(0.0).alias("latitude"), F.lit(0.0).alias("longitude"), F.col("c_acctbal").alias("review_rating"), F.lit(0).alias("review_count"),
+        F.col("c_name").alias("title"), k.cast("string").alias("data_id"), F.when(k % 3 != 0, k * 37 % 1800 / 10.0).otherwise(0.0).alias("latitude"), F.lit(0.0).alias("longitude"), F.col("c_acctbal").alias("review_rating"), F.lit(0).alias("review_count"), F.when(k % 4 != 0, F.concat(F.lit("about "), k)).otherwise("").alias("description"),
         F.concat(F.lit("addr"), k).alias("address"), F.struct(F.when(k % 2 == 0, "").otherwise("street").alias("street"), F.col("n_name").alias("city"), F.col("r_name").alias("state"), F.lit("").alias("country"), F.lit("").alias("postal_code"), F.lit("").alias("borough")).alias("complete_address"),
         F.array("c_mktsegment").alias("categories"), F.when(k % 5 == 0, F.array(F.lit("a@x.example"))).otherwise(F.array(F.lit("a@x.example"), F.lit("b@x.example"))).alias("emails"), *empty,
     )
     shown = F.array_join(F.transform("attributes", lambda a: F.concat(a["name"], F.lit("="), a["value"], F.lit(";"))), "")
-    return R.leads(p).select("source_id", "name", "rating", F.when(F.col("latitude").isNotNull() & (F.col("latitude") != 0), F.col("latitude")).alias("latitude"), "city", "state", shown.alias("attributes"))
+    return R.leads(p).select("source_id", "name", "source", "description", "rating", F.when(F.col("latitude").isNotNull() & (F.col("latitude") != 0), F.col("latitude")).alias("latitude"), "city", "state", shown.alias("attributes"))
 
 
 ORACLES["lead_projection"] = ORACLES["lead_projection"].replace("CASE WHEN c_custkey % 3 <> 0 THEN (c_custkey * 37 % 1800) / 10.0::DOUBLE END", "nullif(CASE WHEN c_custkey % 3 <> 0 THEN (c_custkey * 37 % 1800) / 10.0::DOUBLE ELSE 0 END, 0)")
@@ -325,21 +339,22 @@ def job_result_counts(spark, sf_dir):
     return R.result_counts(table(spark, sf_dir, "orders").select("o_orderkey"), table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey")
 
 
-@query("""SELECT count(*) FILTER (o_orderdate >= DATE '2001-01-01') AS jobs_today, (SELECT coalesce(sum(l_quantity), 0)::BIGINT FROM lineitem) AS total_results FROM orders""")
+@query("""SELECT count(*) FILTER (o_orderdate >= DATE '2001-01-01' AND o_orderkey % 3 <> 0) AS jobs_today, coalesce(sum(o_custkey % 7), 0)::BIGINT AS total_results FROM orders""")
 def dashboard_stats(spark, sf_dir):
-    jobs = table(spark, sf_dir, "orders").agg(F.count_if(F.col("o_orderdate") >= F.lit("2001-01-01").cast("date")).alias("jobs_today"))
-    return jobs.crossJoin(table(spark, sf_dir, "lineitem").agg(F.coalesce(F.sum("l_quantity"), F.lit(0)).cast("long").alias("total_results")))  # one row each
+    jobs = table(spark, sf_dir, "orders").select(F.when(F.col("o_orderkey") % 3 != 0, "scrape").otherwise("other").alias("kind"), F.col("o_orderdate").alias("created_at"), (F.col("o_custkey") % 7).alias("result_count"))
+    return records.dashboard(jobs, F.lit("2001-01-01").cast("date"))
 
 
-@query("""SELECT s_nationkey AS host, count(*) AS expected, count(*) FILTER (s_suppkey % 3 <> 0) AS up, coalesce(sum(s_suppkey) FILTER (s_suppkey % 3 <> 0), 0)::BIGINT AS jobs,
+@query("""SELECT s_nationkey AS host, count(*) AS expected, count(*) FILTER (s_suppkey % 3 <> 0) AS up, coalesce(sum(s_suppkey) FILTER (s_suppkey % 3 <> 0), 0)::BIGINT AS jobs, coalesce(sum(s_suppkey * 0.5) FILTER (s_suppkey % 3 <> 0), 0)::DOUBLE AS results_per_min,
 CASE WHEN count(*) FILTER (s_suppkey % 3 <> 0) = count(*) THEN 'ok' WHEN count(*) FILTER (s_suppkey % 3 <> 0) = 0 THEN 'down' ELSE 'degraded' END AS status FROM supplier GROUP BY 1""")
 def worker_rollup(spark, sf_dir):
-    return R.worker_rollup(table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("host"), (F.col("s_suppkey") % 3 != 0).alias("reachable"), F.col("s_suppkey").alias("jobs")))
+    return R.worker_rollup(table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("host"), (F.col("s_suppkey") % 3 != 0).alias("reachable"), F.col("s_suppkey").alias("jobs"), (F.col("s_suppkey") * 0.5).alias("results_per_min")))
 
 
-@query("SELECT o_orderkey, o_orderpriority, 'queued' AS status FROM orders ORDER BY o_orderpriority, o_orderdate, o_orderkey LIMIT 50")
+@query("SELECT o_orderkey, o_orderpriority, 'queued' AS status FROM orders WHERE o_orderstatus = 'O' ORDER BY o_orderpriority, o_orderdate, o_orderkey LIMIT 50")
 def claim_batch(spark, sf_dir):
-    return R.claim(table(spark, sf_dir, "orders"), [F.col("o_orderpriority"), F.col("o_orderdate"), F.col("o_orderkey")], 50).select("o_orderkey", "o_orderpriority", "status")
+    jobs = table(spark, sf_dir, "orders").withColumn("status", F.when(F.col("o_orderstatus") == "O", "new").otherwise("queued"))
+    return R.claim(jobs, [F.col("o_orderpriority"), F.col("o_orderdate"), F.col("o_orderkey")], 50).select("o_orderkey", "o_orderpriority", "status")
 
 
 @query("SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderdate < DATE '1998-01-01') GROUP BY 1")
@@ -389,21 +404,32 @@ def completion_barrier(spark, sf_dir):
     return R.barrier(jobs).select("o_orderkey", "places_found", "places_done", "done")
 
 
-@query("""WITH e AS (SELECT user_id AS job_id, event_id AS seq, CASE event_type WHEN 'signup' THEN 'register' WHEN 'purchase' THEN 'flush' WHEN 'error' THEN 'discard' ELSE 'add' END AS op FROM events),
-b AS (SELECT job_id, min(seq) FILTER (op = 'register') AS opened, min(seq) FILTER (op IN ('flush', 'discard')) AS closed, arg_min(op, seq) FILTER (op IN ('flush', 'discard')) AS ended FROM e GROUP BY 1),
-c AS (SELECT b.job_id, ended, count(*) FILTER (op = 'add' AND seq > opened AND (closed IS NULL OR seq < closed)) AS result_count, count(*) FILTER (op = 'add') AS adds FROM b JOIN e USING (job_id) GROUP BY 1, 2)
-SELECT job_id, result_count, adds - result_count AS dropped, CASE WHEN ended = 'discard' THEN 'discarded' WHEN ended IS NULL THEN 'running' WHEN result_count > 0 THEN 'completed' ELSE 'failed' END AS status FROM c""")
-def collector(spark, sf_dir):
+RUNS = """WITH e AS (SELECT user_id AS job_id, event_id AS seq, CASE event_type WHEN 'signup' THEN 'register' WHEN 'purchase' THEN 'flush' WHEN 'error' THEN 'discard' ELSE 'add' END AS op FROM events),
+r AS (SELECT *, count(*) FILTER (op = 'register') OVER (PARTITION BY job_id ORDER BY seq) AS run FROM e),
+f AS (SELECT *, min(seq) FILTER (op IN ('flush', 'discard')) OVER (PARTITION BY job_id, run) AS closed, max(run) OVER (PARTITION BY job_id) AS newest FROM r),
+g AS (SELECT job_id, run, count(*) FILTER (op = 'add' AND run > 0 AND (closed IS NULL OR seq < closed)) AS result_count, count(*) FILTER (op = 'add' AND (run = 0 OR seq > closed)) AS dropped,
+ max(op) FILTER (seq = closed) AS ended, max(newest) AS newest, count(*) FILTER (op = 'add') AS adds FROM f GROUP BY 1, 2)
+SELECT job_id, run, result_count, dropped, CASE WHEN run = 0 THEN 'unregistered' WHEN ended = 'discard' THEN 'discarded' WHEN ended = 'flush' AND result_count > 0 THEN 'completed' WHEN ended = 'flush' THEN 'failed'
+ WHEN run < newest THEN 'replaced' ELSE 'running' END AS status FROM g WHERE run > 0 OR adds > 0"""
+
+
+def collector_events(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
-    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("job_id"), F.col("event_id").alias("seq"), F.when(kind == "signup", "register").when(kind == "purchase", "flush").when(kind == "error", "discard").otherwise("add").alias("op"))
-    return R.collected(e).select("job_id", "result_count", "dropped", "status")
+    op = F.when(kind == "signup", "register").when(kind == "purchase", "flush").when(kind == "error", "discard").otherwise("add")
+    return events.select(F.col("user_id").alias("job_id"), F.col("event_id").alias("seq"), op.alias("op"), "ts")
+
+
+@query(RUNS)
+def collector(spark, sf_dir):
+    return R.collected(collector_events(table(spark, sf_dir, "events")))
 
 
-@query("""SELECT c_custkey, sha256('key' || c_custkey) AS key_hash, CASE WHEN c_custkey > 1000 THEN 'not found' WHEN c_custkey % 10 = 0 THEN 'revoked' ELSE 'ok' END AS verdict FROM customer""")
+@query("""SELECT c_custkey, CASE WHEN c_custkey > 1000 THEN 'not found' WHEN c_custkey % 10 = 0 THEN 'revoked' ELSE 'ok' END AS verdict, CASE WHEN c_custkey <= 1000 AND c_custkey % 10 <> 0 THEN c_name END AS key_name FROM customer""")
 def api_key_lookup(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select("c_custkey", F.sha2(F.concat(F.lit("key"), F.col("c_custkey")), 256).alias("key_hash"))
-    known = c.filter(F.col("c_custkey") <= 1000).select("key_hash", (F.col("c_custkey") % 10 == 0).alias("revoked"))
-    return c.join(known, "key_hash", "left").select("c_custkey", "key_hash", F.when(F.col("revoked").isNull(), "not found").when(F.col("revoked"), "revoked").otherwise("ok").alias("verdict"))
+    c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    key = F.concat(F.lit("key"), k)
+    keys = c.filter(k <= 1000).select(k.alias("id"), F.col("c_name").alias("name"), F.sha2(key, 256).alias("key_hash"), F.when(k % 10 == 0, F.lit("2024-01-01")).alias("revoked_at"))
+    return records.checked_keys(c.select("c_custkey", key.alias("key")), F.col("key"), keys).select("c_custkey", "verdict", "key_name")
 
 
 @query("""SELECT s_suppkey, 'c1,c' || s_suppkey || ',c3' AS codes, CASE WHEN s_suppkey = 1 THEN 'c1,c3' WHEN s_suppkey = 3 THEN 'c1,c3' WHEN s_suppkey % 2 = 0 THEN 'c1,c3' ELSE 'c' || s_suppkey || ',c3' END AS rest FROM supplier""")
@@ -414,22 +440,43 @@ def one_time_code(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select("s_suppkey", codes.alias("codes"), R.remove_first(codes, used).alias("rest"))
 
 
-@query("""SELECT s_suppkey, CASE WHEN st = 'provisioning' AND s_suppkey % 2 = 0 THEN 'active' WHEN st <> 'active' AND s_suppkey % 5 = 0 THEN 'active' ELSE st END AS status
-FROM (SELECT s_suppkey, ['provisioning', 'active', 'failed', 'deleted'][(s_suppkey % 4 + 1)::INT] AS st FROM supplier) WHERE st NOT IN ('deleted')""")
+WORKERS = "SELECT s_suppkey, ['provisioning', 'active', 'failed', 'deleted', 'deleting'][(s_suppkey % 5 + 1)::INT] AS st, CASE WHEN s_suppkey % 7 = 0 THEN '' ELSE 'ip' || s_suppkey END AS ip, s_suppkey % 11 = 0 AS gone FROM supplier"
+
+
+def workers(spark, sf_dir) -> DataFrame:
+    k = F.col("s_suppkey")
+    status = F.get(F.array(*[F.lit(x) for x in ("provisioning", "active", "failed", "deleted", "deleting")]), (k % 5).cast("int"))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", status.alias("status"), F.when(k % 7 == 0, "").otherwise(F.concat(F.lit("ip"), k)).alias("ip"), F.when(k % 11 == 0, F.lit("2024-01-01")).alias("deleted_at"))
+
+
+@query(f"SELECT s_suppkey, ip FROM ({WORKERS}) WHERE st NOT IN ('failed', 'deleted', 'deleting') AND ip <> '' AND NOT gone")
 def active_workers(spark, sf_dir):
+    from .operators import jobs
+
+    return jobs.active(workers(spark, sf_dir)).select("s_suppkey", "ip")
+
+
+@query(f"""SELECT s_suppkey, CASE WHEN s_suppkey % 13 = 0 THEN 'failed' WHEN st = 'provisioning' THEN 'active' WHEN st <> 'active' AND s_suppkey % 3 = 0 THEN 'active' ELSE st END AS status,
+CASE WHEN s_suppkey % 13 = 0 THEN '{{"a":1,"error":"no answer of ' || s_suppkey || '"}}' ELSE '{{"a":1}}' END AS metadata FROM ({WORKERS})""")
+def worker_states(spark, sf_dir):
     k = F.col("s_suppkey")
-    st = F.get(F.array(*[F.lit(x) for x in ("provisioning", "active", "failed", "deleted")]), (k % 4).cast("int"))
-    w = table(spark, sf_dir, "supplier").select("s_suppkey", st.alias("st")).filter(~F.col("st").isin("deleted"))
-    return w.select("s_suppkey", F.when((F.col("st") == "provisioning") & (k % 2 == 0), "active").when((F.col("st") != "active") & (k % 5 == 0), "active").otherwise(F.col("st")).alias("status"))
+    w = workers(spark, sf_dir).withColumn("status", records.reached(records.provisioned(F.col("status")), k % 3 == 0)).withColumn("metadata", F.lit('{"a":1}'))
+    return records.failed(w, k % 13 == 0, F.concat(F.lit("no answer of "), k)).select("s_suppkey", "status", "metadata")
 
 
-@query("""WITH r AS (SELECT o_orderkey, CASE WHEN o_custkey % 5 = 0 THEN '' ELSE 'q' END AS keyword, (o_orderkey % 25)::INT AS zoom, (o_orderkey % 120)::INT AS depth, (o_orderkey % 400)::INT AS timeout FROM orders)
-SELECT o_orderkey, CASE WHEN keyword = '' THEN 'keyword is required' WHEN zoom > 21 THEN 'zoom must be between 0 and 21' WHEN depth NOT BETWEEN 1 AND 100 THEN 'depth must be between 1 and 100' WHEN timeout NOT BETWEEN 1 AND 300 THEN 'timeout must be between 1 and 300' END AS error,
+@query("""WITH r AS (SELECT o_orderkey, CASE WHEN o_custkey % 5 = 0 THEN '' ELSE 'q' END AS keyword, (o_orderkey % 25)::INT AS zoom, (o_orderkey % 120)::INT AS depth, (o_orderkey % 400)::INT AS timeout,
+['', '1.5, 2.5', '91,0', '1,181', 'x,1', '1', '1,y'][(o_orderkey % 7 + 1)::INT] AS geo, o_orderkey % 6 = 0 AS fast FROM orders)
+SELECT o_orderkey, CASE WHEN keyword = '' THEN 'keyword is required' WHEN geo = '1' THEN 'geo_coordinates must contain exactly one comma' WHEN geo = 'x,1' THEN 'invalid latitude' WHEN geo = '1,y' THEN 'invalid longitude'
+WHEN geo = '91,0' THEN 'latitude must be between -90 and 90' WHEN geo = '1,181' THEN 'longitude must be between -180 and 180' WHEN fast AND geo = '' THEN 'geo_coordinates are required in fast mode' WHEN fast AND zoom = 0 THEN 'zoom is required in fast mode'
+WHEN zoom > 21 THEN 'zoom must be between 1 and 21' WHEN depth > 100 THEN 'max_depth must be between 0 and 100' WHEN timeout NOT BETWEEN 1 AND 300 THEN 'timeout must be between 1 and 300 seconds' END AS error,
 CASE WHEN timeout <= 0 OR timeout > 300 THEN 300 ELSE timeout END AS effective FROM r""")
 def request_validation(spark, sf_dir):
     k = F.col("o_orderkey")
-    r = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 5 == 0, "").otherwise("q").alias("keyword"), (k % 25).cast("int").alias("zoom"), (k % 120).cast("int").alias("depth"), (k % 400).cast("int").alias("timeout"))
-    error = seeds.request_errors(F.col("zoom"), F.lit(0.0), F.col("depth"), F.col("timeout"), F.col("keyword"), F.lit("en"))
+    geo_text = F.get(F.array(*[F.lit(x) for x in ("", "1.5, 2.5", "91,0", "1,181", "x,1", "1", "1,y")]), (k % 7).cast("int"))
+    r = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(F.col("o_custkey") % 5 == 0, "").otherwise("q").alias("keyword"), (k % 25).cast("int").alias("zoom"), (k % 120).cast("int").alias("depth"), (k % 400).cast("int").alias("timeout"), geo_text.alias("geo"), (k % 6 == 0).alias("fast")
+    )
+    error = seeds.request_errors(F.col("keyword"), F.col("geo"), F.col("zoom"), F.lit(0.0), F.col("depth"), F.col("timeout"), F.col("fast"))
     return r.select("o_orderkey", error.alias("error"), seeds.effective_timeout(F.col("timeout")).alias("effective"))
 
 
@@ -440,11 +487,10 @@ def geo_parse(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", geo.coordinates(given).alias("g")).select("c_custkey", "g.lat", "g.lon")
 
 
-@query("SELECT o_orderkey, o_totalprice / nullif(o_orderkey % 50, 0) AS per_minute FROM orders")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 500 = 0 THEN 0 ELSE round(o_custkey / ((o_orderkey % 500) / 60.0::DOUBLE), 6) END AS per_minute FROM orders")
 def average_rate(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.try_divide("o_totalprice", F.col("o_orderkey") % 50).alias("per_minute"))
-
-
+    rate = records.average_rate(F.col("o_custkey"), F.col("o_orderkey") % 500 + 0.75)
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.round(rate, 6).alias("per_minute"))
 
 
 @query("SELECT c_custkey, 1 + c_custkey % 400 AS seeds, CASE WHEN c_custkey % 3 = 0 THEN greatest(180, c_custkey % 500) ELSE greatest(60, (1 + c_custkey % 400) * 10 * 5 // 50 + 120) END AS seconds FROM customer")
@@ -454,12 +500,13 @@ def web_time_budget(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", (1 + k % 400).alias("seeds"), budget.cast("long").alias("seconds"))
 
 
-@query("""SELECT p_partkey, 'https://x.example/place?place_id=id' || p_partkey || '&a=1' AS given, 'id' || p_partkey AS place_id, p_partkey || '-' || (p_partkey % 12) || '-' || (p_partkey % 28) AS reviewed,
+@query("""SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'id' || p_partkey WHEN 1 THEN '0x1a:0x' || p_partkey WHEN 2 THEN '0x1a:0x2b' || p_partkey || ' b' WHEN 3 THEN '0x7f:0x' || p_partkey ELSE '' END AS place_id, p_partkey || '-' || (p_partkey % 12) || '-' || (p_partkey % 28) AS reviewed,
 CASE WHEN p_partkey % 8 BETWEEN 1 AND 7 THEN ['Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday'][(p_partkey % 8)::INT] ELSE '' END AS day FROM part""")
 def place_ids_and_dates(spark, sf_dir):
     k = F.col("p_partkey")
-    given = F.concat(F.lit("https://x.example/place?place_id=id"), k, F.lit("&a=1"))
-    return table(spark, sf_dir, "part").select("p_partkey", given.alias("given"), url.place_id(given).alias("place_id"), text.review_date(F.array(k, k % 12, k % 28)).alias("reviewed"), text.day_name(k % 8).alias("day"))
+    forms = ["https://x.example/place?place_id=id{}&a=1", "https://x.example/maps?data=!4m2!1s0x1a:0x{}!8m2", "https://x.example/maps/place/Some+Name/@1.5,2.5,17z/data=!3m1!4b1!1s0x1a%3A0x2b{}+b!3d", "https://x.example/maps?ftid=0x7f:0x{}", "https://x.example/none/{}"]
+    given = F.get(F.array(*[F.concat(F.lit(f.partition("{}")[0]), k, F.lit(f.partition("{}")[2])) for f in forms]), (k % 5).cast("int"))
+    return table(spark, sf_dir, "part").select("p_partkey", url.place_id(given).alias("place_id"), text.review_date(F.array(k, k % 12, k % 28)).alias("reviewed"), text.day_name(k % 8).alias("day"))
 
 
 @query("""SELECT p_partkey, substr('first' || chr(10) || p_name, 7) AS body, p_name || '!' AS unguarded, CASE WHEN p_partkey % 2 = 0 THEN 'street 1, town' ELSE p_name || ' street 1' END AS address FROM part""")
@@ -469,25 +516,33 @@ def payload_text(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", text.after_first_line(F.concat(F.lit("first\n"), name)).alias("body"), text.without_guard(F.concat(F.lit(")]}'\n"), name, F.lit("!"))).alias("unguarded"), text.address_of(name, address).alias("address"))
 
 
-@query("""SELECT user_id, count(*) AS touched FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) WHERE before IS NULL OR ts - before > INTERVAL 1 MINUTE GROUP BY 1""")
+@query("""WITH RECURSIVE e AS (SELECT user_id, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+w AS (SELECT user_id, event_id, ts, i, ts AS touched, true AS hit FROM e WHERE i = 1 UNION ALL
+SELECT e.user_id, e.event_id, e.ts, e.i, CASE WHEN w.touched < e.ts - INTERVAL 6 HOUR THEN e.ts ELSE w.touched END, w.touched < e.ts - INTERVAL 6 HOUR FROM w JOIN e ON e.user_id = w.user_id AND e.i = w.i + 1)
+SELECT user_id, event_id FROM w WHERE hit""")
 def conditional_touch(spark, sf_dir):
-    """Hits that touch last_used: none yet, or the last is over a minute old."""
-    from pyspark.sql.window import Window
-
-    before = F.lag("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    hits = table(spark, sf_dir, "events").select("user_id", "ts", before.alias("before"))
-    return hits.filter(F.col("before").isNull() | (F.col("ts") - F.col("before") > F.expr("interval 1 minute"))).groupBy("user_id").agg(F.count("*").alias("touched"))
+    """Hits that set last-used: none yet, or the last set is older than the gap (here six hours, so that both happen)."""
+    return R.touches(table(spark, sf_dir, "events"), "user_id", "ts", "event_id", 6 * 3600).select("user_id", "event_id")
 
 
-@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'expired' WHEN s_suppkey % 4 = 1 THEN 'absent' ELSE 'ok' END AS session, CASE WHEN s_suppkey % 4 <> 1 THEN 'v' || s_suppkey END AS setting FROM supplier""")
+@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'expired' WHEN s_suppkey % 4 = 1 THEN 'absent' ELSE 'ok' END AS session_state, CASE s_suppkey % 3 WHEN 0 THEN 'v' || s_suppkey WHEN 1 THEN 'hidden ' || s_suppkey END AS setting FROM supplier""")
 def session_and_config_lookup(spark, sf_dir):
     from datetime import datetime
 
-    k = F.col("s_suppkey")
-    s = table(spark, sf_dir, "supplier").select("s_suppkey")
-    sessions = s.filter(k % 4 != 1).select("s_suppkey", F.when(k % 4 == 0, F.lit(datetime(2024, 1, 1))).otherwise(F.lit(datetime(2026, 1, 1))).alias("expires_at"), F.concat(F.lit("v"), k).alias("setting"))
-    state = F.when(F.col("expires_at").isNull(), "absent").when(F.col("expires_at") < F.lit(datetime(2025, 1, 1)), "expired").otherwise("ok")
-    return s.join(sessions, "s_suppkey", "left").select("s_suppkey", state.alias("session"), "setting")
+    k, secret = F.col("s_suppkey"), F.lit("0123456789abcdef")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", k.cast("string").alias("name"))
+    sessions = s.filter(k % 4 != 1).select(k.alias("id"), F.when(k % 4 == 0, F.lit(datetime(2024, 1, 1))).otherwise(F.lit(datetime(2026, 1, 1))).alias("expires_at"))
+    hidden = F.base64(F.aes_encrypt(F.concat(F.lit("hidden "), k), secret))
+    config = s.filter(k % 3 != 2).select(k.cast("string").alias("key"), F.when(k % 3 == 0, F.concat(F.lit("v"), k)).otherwise(hidden).alias("value"), (k % 3 == 1).alias("encrypted"))
+    found = records.checked_sessions(s, "s_suppkey", sessions, F.lit(datetime(2025, 1, 1)))
+    return records.settings(found, "name", config, lambda v: records.aes_decrypted(v, secret)).select("s_suppkey", "session_state", "setting")
+
+
+@query("""SELECT o_orderkey AS id, o_orderdate AS created_at FROM orders WHERE o_orderkey % 8 IN (6, 7)""")
+def all_failed_jobs(spark, sf_dir):
+    k = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(k.alias("id"), F.get(F.array(*[F.lit(x) for x in STATES]), (k % 8).cast("int")).alias("state"), F.col("o_orderdate").alias("created_at"))
+    return records.all_jobs(rows, "failed").select("id", "created_at")
 
 
 @query("""SELECT c_custkey, 'Bob' AS name, len(list_distinct(['same text', CASE WHEN c_custkey % 2 = 0 THEN 'same text' ELSE 'x' END])) + CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 2 END AS kept FROM customer""")
@@ -522,6 +577,163 @@ def place_parse(spark, sf_dir):
     return parse_places(payloads(spark, sf_dir)).select("c_custkey", "title", "category", "address", "review_rating", "review_count", "latitude", "longitude", F.size("reviews_per_rating").alias("buckets"), "error")
 
 
+def quoted(c: Column) -> Column:
+    """A value as JSON text."""
+    return F.regexp_replace(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", "$1")
+
+
+def positional(values: dict[tuple[int, ...], Column]) -> Column:
+    """Nested JSON arrays with the values (columns of JSON text) at integer paths, null elsewhere."""
+    leaves: list[Column] = []
+
+    def text(at: dict) -> str:
+        if () in at:
+            leaves.append(at[()])
+            return "%s"
+        below: dict[int, dict] = {}
+        for path, value in at.items():
+            below.setdefault(path[0], {})[path[1:]] = value
+        return "[" + ",".join(text(below[i]) if i in below else "null" for i in range(max(below) + 1)) + "]"
+
+    template = text(values)
+    return F.format_string(template, *leaves)
+
+
+#: Text fields of a place: path in the payload's data and the field.
+PLACE_TEXTS = {
+    (27,): "link", (11,): "title", (178, 0, 0): "phone", (183, 2, 2, 0): "plus_code", (34, 4, 4): "status", (32, 1, 1): "description", (4, 3, 0): "reviews_link", (72, 0, 1, 6, 0): "thumbnail",
+    (30,): "timezone", (4, 2): "price_range", (10,): "data_id", (78,): "place_id",
+}
+
+
+@query(f"""WITH p AS (SELECT p_partkey AS k, p_partkey % 10 = 0 AS bad, p_name AS n FROM part)
+SELECT k AS p_partkey, {', '.join(f"CASE WHEN bad THEN '' ELSE '{f} ' || n || ' ' || k END AS {f}" for f in PLACE_TEXTS.values())}, CASE WHEN bad THEN '' ELSE 'cid' || k END AS cid,
+CASE WHEN bad THEN '' WHEN k % 3 = 0 THEN 'https://s.example/' || k ELSE 'plain' || k END AS web_site, CASE WHEN bad THEN '' ELSE 'kind ' || k % 7 END AS category, CASE WHEN bad THEN 0 ELSE k END AS review_count,
+CASE WHEN bad THEN 0 ELSE k % 50 / 10.0::DOUBLE END AS review_rating, CASE WHEN bad THEN 0 ELSE k % 90 + 0.25::DOUBLE END AS latitude, CASE WHEN bad THEN 0 ELSE -(k % 180) - 0.5::DOUBLE END AS longitude,
+CASE WHEN bad THEN '||' ELSE 'o' || k || '|owner ' || n || '|https://www.google.com/maps/contrib/o' || k END AS owner, CASE WHEN bad THEN '|' ELSE 'm' || k || '|menu' END AS menu,
+CASE WHEN bad THEN '|||||' ELSE 'b' || k || '|street|city ' || k % 5 || '|' || k || '|state|XX' END AS complete_address, CASE WHEN bad THEN '0,0,0,0,0' ELSE k % 2 || ',' || k % 3 || ',' || k % 4 || ',' || k % 5 || ',' || k % 6 END AS ratings,
+CASE WHEN bad THEN 'invalid json' WHEN k % 11 = 0 THEN 'short popular times' END AS error FROM p""")
+def place_fields(spark, sf_dir):
+    """All scalar fields, with broken payloads among the whole ones."""
+    from .operators.places import parse_places
+
+    k, n = F.col("p_partkey"), F.col("p_name")
+    values = {(6, *path): quoted(F.concat_ws(" ", F.lit(f), n, k)) for path, f in PLACE_TEXTS.items()}
+    site = F.when(k % 3 == 0, F.concat(F.lit("/url?q=https%3A%2F%2Fs.example%2F"), k, F.lit("&opi=1"))).otherwise(F.concat(F.lit("plain"), k))
+    values |= {
+        (6, 7, 0): quoted(site), (6, 13): F.concat(F.lit('["kind '), k % 7, F.lit('","other"]')), (6, 4, 8): k.cast("string"), (6, 4, 7): (k % 50 / 10.0).cast("string"), (6, 9, 2): (k % 90 + 0.25).cast("string"), (6, 9, 3): (-(k % 180) - 0.5).cast("string"),
+        (25, 3, 0, 13, 0, 0, 1): F.concat(F.lit('"cid'), k, F.lit('"')), (6, 57, 2): F.concat(F.lit('"o'), k, F.lit('"')), (6, 57, 1): quoted(F.concat(F.lit("owner "), n)), (6, 38, 0): F.concat(F.lit('"m'), k, F.lit('"')), (6, 38, 1): F.lit('"menu"'),
+        (6, 183, 1): F.concat(F.lit('["b'), k, F.lit('","street",7,"city '), k % 5, F.lit('","'), k, F.lit('","state","XX"]')), (6, 175, 3): F.concat(F.lit("["), F.concat_ws(",", *[k % i for i in range(2, 7)]), F.lit("]")),
+        (6, 84, 0): F.when(k % 11 == 0, "[[1,[[3]]]]").otherwise("[[1,[[3,4]]]]"),
+    }
+    broken = F.get(F.array(F.lit("not json"), F.lit(None).cast("string"), F.lit("[1,2]"), F.lit('[0,0,0,0,0,0,"x"]')), (k / 10 % 4).cast("int"))
+    found = parse_places(table(spark, sf_dir, "part").select("p_partkey", F.when(k % 10 == 0, broken).otherwise(positional(values)).alias("payload")))
+    parts = lambda c, *names: F.concat_ws("|", *[F.col(f"{c}.{x}") for x in names]).alias(c)
+    return found.select(
+        "p_partkey", *PLACE_TEXTS.values(), "cid", "web_site", "category", "review_count", "review_rating", "latitude", "longitude", parts("owner", "id", "name", "link"), parts("menu", "link", "source"),
+        parts("complete_address", "borough", "street", "city", "postal_code", "state", "country"), F.concat_ws(",", *[F.element_at("reviews_per_rating", i) for i in range(1, 6)]).alias("ratings"), "error",
+    )
+
+
+@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 3 THEN NULL ELSE 'Monday' END AS day, CASE s_suppkey % 4 WHEN 0 THEN '9-' || s_suppkey % 12 || ',late' WHEN 1 THEN 'old ' || s_suppkey WHEN 2 THEN 'second' END AS times FROM supplier
+UNION ALL SELECT s_suppkey, 'Friday', 'closed' FROM supplier WHERE s_suppkey % 4 = 0""")
+def open_hours(spark, sf_dir):
+    """New rows before old ones, a day's later row wins, days without times are left out, none give an empty map."""
+    from .functions import paths
+    from .operators import places as PL
+
+    k = F.col("s_suppkey")
+    new = F.concat(F.lit('[["Monday",null,null,[["9-'), k % 12, F.lit('"],["late"]]],["Sunday",[]],["Friday",["closed"]]]'))
+    old = F.concat(F.lit('[["Monday",["old '), k, F.lit('"]]]'))
+    twice = F.lit('[["Monday",["first"]],["Monday",["second",""]]]')
+    payload = F.when(k % 4 == 0, positional({(203, 0): new, (34, 1): old})).when(k % 4 == 1, positional({(34, 1): old})).when(k % 4 == 2, positional({(203, 0): twice})).otherwise("[1]")
+    hours = table(spark, sf_dir, "supplier").select("s_suppkey", PL.open_hours(paths.parsed(payload)).alias("hours"))
+    return hours.select("s_suppkey", F.explode_outer("hours").alias("day", "times")).select("s_suppkey", "day", F.array_join("times", ",").alias("times"))
+
+
+@query("""SELECT n_nationkey, i::BIGINT AS position, 'id' || n_nationkey || '-' || i AS id, n_name || ' ' || i AS title, 'road ' || i || ', 7' AS address, '12345' AS phone, 10 * n_nationkey + i AS review_count, n_nationkey + 0.5::DOUBLE AS latitude,
+'cat,<nil>' AS categories FROM nation, (VALUES (1), (3)) AS x(i) WHERE n_nationkey % 5 <> 0""")
+def search_parse(spark, sf_dir):
+    """Search pages behind a guard line; rows that aren't lists, and pages without two, give nothing."""
+    from .operators.places import parse_search
+
+    k, name = F.col("n_nationkey"), F.col("n_name")
+
+    def business(i: int) -> Column:
+        return positional({
+            (14, 0): F.concat(F.lit('"id'), k, F.lit(f'-{i}"')), (14, 11): quoted(F.concat(name, F.lit(f" {i}"))), (14, 2): F.lit(f'["road {i}",7]'), (14, 178, 0, 0): F.lit('"12 34 5"'), (14, 4, 8): (10 * k + i).cast("string"),
+            (14, 9, 2): (k + 0.5).cast("string"), (14, 9, 3): F.lit("1.5"), (14, 13): F.lit('["cat",null]'),
+        })
+
+    body = F.concat(F.lit('[["q",["header",'), business(1), F.lit(',"no list",'), business(3), F.lit("]]]"))
+    pages = table(spark, sf_dir, "nation").select("n_nationkey", F.concat(F.lit(")]}'\n"), F.when(k % 5 == 0, F.get(F.array(F.lit("x"), F.lit("[]"), F.lit('[["q",["header"]]]')), (k % 3).cast("int"))).otherwise(body)).alias("payload"))
+    found = parse_search(pages)
+    return found.select("n_nationkey", F.col("position").cast("long").alias("position"), "id", "title", "address", "phone", "review_count", "latitude", F.array_join("categories", ",").alias("categories"))
+
+
+@query("""SELECT c_custkey, 'next' || c_custkey AS next_token, 'Ann ' || c_custkey || '|' || (c_custkey % 5 + 1) || '|text ' || c_custkey || '|img' || c_custkey || '|2024-' || (c_custkey % 12) || '-7;Bob|0|||' AS reviews FROM customer WHERE c_custkey % 4 = 0
+UNION ALL SELECT c_custkey, '', 'Cy|3|short||' FROM customer WHERE c_custkey % 4 = 1 UNION ALL SELECT c_custkey, '', '' FROM customer WHERE c_custkey % 4 > 1""")
+def reviews_parse(spark, sf_dir):
+    """Review pages: a list in the third place or the first, authorless rows left out, short and broken pages empty."""
+    from .operators.places import parse_review_pages
+
+    k = F.col("c_custkey")
+    row = positional({
+        (0, 1, 4, 5, 0): F.concat(F.lit('"Ann '), k, F.lit('"')), (0, 2, 0, 0): (k % 5 + 1).cast("string"), (0, 2, 15, 0, 0): F.concat(F.lit('"text '), k, F.lit('"')), (0, 2, 2, 0, 1, 21, 7): F.concat(F.lit('["//img'), k, F.lit('","x"]')),
+        (0, 2, 2, 0, 1, 21, 6, 8): F.concat(F.lit("[2024,"), k % 12, F.lit(",7]")),
+    })
+    nobody, bob = F.lit('[[null,[],[[5]]]]'), F.lit('[[null,[null,null,null,null,["","","","","Bob"]]]]')
+    first = F.concat(F.lit("[null,"), F.concat(F.lit('"next'), k, F.lit('",[')), F.concat_ws(",", row, nobody, bob), F.lit("]]"))
+    body = F.when(k % 4 == 0, first).when(k % 4 == 1, F.lit('[[[[["","Cy"],[[3]],null,["short"]]]],null,null]')).when(k % 4 == 2, "[1]").otherwise("broken")
+    found = parse_review_pages(table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit(")]}'\n"), body).alias("payload")))
+    shown = F.transform("reviews", lambda r: F.concat_ws("|", r["Name"], r["Rating"], r["Description"], F.array_join(r["Images"], ","), r["When"]))
+    return found.select("c_custkey", "next_token", F.array_join(shown, ";").alias("reviews"))
+
+
+@query("""SELECT n_nationkey, CASE WHEN n_nationkey % 4 <> 3 THEN 'https://www.google.com/maps/rpc/listugcposts?authuser=0&hl=en&pb=!1m6!1s0x1%3A0x' || n_nationkey || '!6m4!4m1!1e1!4m1!1e3!2m2!1i20!2s' || CASE WHEN n_nationkey % 2 = 0 THEN 'to%2Fken+' || n_nationkey ELSE '' END ||
+'!5m2!1sreq' || n_nationkey || '!7e81!8m9!2b1!3b1!5b1!7b1!12m4!1b1!2b1!4m1!1e1!11m0!13m1!1e1' END AS url FROM nation""")
+def review_urls(spark, sf_dir):
+    k = F.col("n_nationkey")
+    place = F.when(k % 4 == 3, F.lit("https://x.example/none")).otherwise(F.concat(F.lit("https://x.example/maps/place/n/data=!3m1!1s0x1%3A0x"), k, F.lit("!8m2")))
+    token = F.when(k % 2 == 0, F.concat(F.lit("to/ken "), k))
+    return table(spark, sf_dir, "nation").select("n_nationkey", url.review_page_url(place, token, 20, F.concat(F.lit("req"), k)).alias("url"))
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'paged ' || c_custkey WHEN c_custkey % 3 = 1 THEN 'shown ' || c_custkey ELSE '' END AS names FROM customer""")
+def fallback_reviews(spark, sf_dir):
+    """Pages' reviews, else those of the rendered page, whose nameless rows are left out."""
+    from .operators.jobs import rendered_reviews
+    from .operators.places import with_fallback
+
+    k = F.col("c_custkey")
+    seen = lambda name: F.struct(name.alias("author"), F.lit("p").alias("picture"), F.lit(4).alias("rating"), F.lit("t").alias("text"), F.array(F.lit("i")).alias("images"), F.lit("w").alias("when"))
+    rendered = rendered_reviews(F.array(seen(F.lit("")), seen(F.when(k % 3 == 1, F.concat(F.lit("shown "), k)).otherwise(""))))
+    paged = rendered_reviews(F.array(seen(F.when(k % 3 == 0, F.concat(F.lit("paged "), k)).otherwise(""))))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.array_join(F.transform(with_fallback(paged, rendered), lambda r: r["Name"]), ",").alias("names"))
+
+
+CSV_TEXTS = ["input_id", "link", "title", "category", "address", "website", "phone", "plus_code", "cid", "status", "descriptions", "reviews_link", "thumbnail", "timezone", "price_range", "data_id", "place_id"]
+
+
+@query(f"""WITH p AS (SELECT p_partkey AS k, p_brand AS b, p_retailprice AS x FROM part)
+SELECT {', '.join(f"'{c} ' || k AS {c}" for c in CSV_TEXTS)}, '{{"Friday":["' || b || '"],"Monday":["9-5","a\\u003cb\\u003e\\u0026"]}}' AS open_hours, '{{"Monday":{{"10":1,"9":2}}}}' AS popular_times, k::VARCHAR AS review_count, printf('%f', k % 50 / 10.0::DOUBLE) AS review_rating,
+'{{"1":0,"2":' || k % 5 || '}}' AS reviews_per_rating, printf('%f', x) AS latitude, printf('%f', -x) AS longitude, '[{{"title":"t","image":"i' || k || '"}}]' AS images, 'null' AS reservations, '[]' AS order_online, '{{"link":"m","source":"s"}}' AS menu,
+'{{"id":"o","name":"' || b || '","link":""}}' AS owner, '{{"borough":"","street":"s' || k || '"}}' AS complete_address, 'null' AS about, '[]' AS user_reviews, 'null' AS user_reviews_extended, CASE WHEN k % 2 = 0 THEN 'a@x.example, b@x.example' ELSE '' END AS emails FROM p""")
+def place_csv(spark, sf_dir):
+    """All 34 columns."""
+    k, b, x = F.col("p_partkey"), F.col("p_brand"), F.col("p_retailprice").cast("double")
+    fields = {"website": "web_site", "descriptions": "description"}
+    none = lambda t: F.lit(None).cast(t)
+    p = table(spark, sf_dir, "part").select(
+        *[F.concat(F.lit(f"{c} "), k).alias(fields.get(c, c)) for c in CSV_TEXTS], F.create_map(F.lit("Monday"), F.array(F.lit("9-5"), F.lit("a<b>&")), F.lit("Friday"), F.array(b)).alias("open_hours"),
+        F.create_map(F.lit("Monday"), F.create_map(F.lit(9), F.lit(2), F.lit(10), F.lit(1))).alias("popular_times"), k.alias("review_count"), (k % 50 / 10.0).alias("review_rating"), F.create_map(F.lit(2), (k % 5).cast("int"), F.lit(1), F.lit(0)).alias("reviews_per_rating"),
+        x.alias("latitude"), (-x).alias("longitude"), F.array(F.struct(F.lit("t").alias("title"), F.concat(F.lit("i"), k).alias("image"))).alias("images"), none("array<string>").alias("reservations"), F.array().cast("array<string>").alias("order_online"),
+        F.struct(F.lit("m").alias("link"), F.lit("s").alias("source")).alias("menu"), F.struct(F.lit("o").alias("id"), b.alias("name"), F.lit("").alias("link")).alias("owner"), F.struct(F.lit("").alias("borough"), F.concat(F.lit("s"), k).alias("street")).alias("complete_address"),
+        none("array<string>").alias("about"), F.array().cast("array<string>").alias("user_reviews"), none("array<string>").alias("user_reviews_extended"), F.when(k % 2 == 0, F.array(F.lit("a@x.example"), F.lit("b@x.example"))).alias("emails"),
+    )
+    return R.place_csv(p)
+
+
 def stream_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream in one micro-batch, event time cast."""
     from pyspark.sql import types as T
@@ -537,7 +749,10 @@ def finished(spark: SparkSession, stream: DataFrame, name: str, mode: str = "app
     import uuid
 
     context = spark.sparkContext
-    folder = f"{context.getCheckpointDir() or spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp()}/{name}-{uuid.uuid4().hex}"
+    shared = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = f"{shared or tempfile.mkdtemp()}/{name}-{uuid.uuid4().hex}"
     query = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode(mode).trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")
@@ -553,11 +768,20 @@ def stream_dedup(spark, sf_dir):
 
 @query(ORACLES["fixed_window_rate_limit"].replace("greatest(3 - n, 0)::BIGINT AS remaining, start / 1000000.0::DOUBLE + 86400 AS reset_at", "").replace("AS allowed,  FROM", "AS allowed FROM").replace("n <= 3 AS allowed, ", "n <= 3 AS allowed "))
 def stream_rate_limit(spark, sf_dir):
-    from .streaming import STATE_STORE
+    from .streaming import state_store
     from .streaming import stream_rate_limit as limit
 
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    return finished(spark, limit(stream_of_events(spark, sf_dir), "user_id", "ts", "event_id", 86400, 3), "limit")
+    with state_store(spark):
+        return finished(spark, limit(stream_of_events(spark, sf_dir), "user_id", "ts", "event_id", 86400, 3), "limit")
+
+
+@query(f"SELECT job_id, run, result_count, status FROM ({RUNS}) WHERE status NOT IN ('running', 'unregistered')")
+def stream_collector(spark, sf_dir):
+    from .streaming import state_store
+    from .streaming import stream_collector as collect
+
+    with state_store(spark):
+        return finished(spark, collect(collector_events(stream_of_events(spark, sf_dir)), "ts", "60 days"), "collect").select("job_id", "run", "result_count", "status")
 
 
 @query("""SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 0 ELSE i END AS position, CASE WHEN page_id % 4 = 0 THEN 'https://x.example/maps/place/' || page_id ELSE '/p/' || page_id || '/' || i END AS link

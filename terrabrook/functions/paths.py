@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+NUMBER = "^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT)"
+
+
 def parsed(raw: Column) -> Column:
     """A variant, null if the text isn't JSON."""
     return F.try_parse_json(raw)
@@ -28,7 +31,11 @@ def text(v: Column, *path: int) -> Column:
 
 def number(v: Column, *path: int) -> Column:
     leaf = at(v, *path)
-    return F.coalesce(F.when(kind(leaf).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT)"), F.try_variant_get(leaf, "$", "double")), F.lit(0.0))
+    return F.coalesce(F.when(kind(leaf).rlike(NUMBER), F.try_variant_get(leaf, "$", "double")), F.lit(0.0))
+
+
+def is_number(v: Column, *path: int) -> Column:
+    return F.coalesce(kind(at(v, *path)).rlike(NUMBER), F.lit(False))
 
 
 def whole(v: Column, *path: int) -> Column:

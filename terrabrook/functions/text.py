@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -61,9 +62,31 @@ def float_text(col: Column) -> Column:
     return F.coalesce(F.format_string("%f", col.cast("double")), F.lit(""))
 
 
-def json_text(col: Column) -> Column:
-    """Compact JSON; null collections are the text null."""
-    return F.coalesce(F.to_json(col, {"ignoreNullFields": "false"}), F.lit("null"))
+# Characters that are escaped in JSON text, and their escapes.
+JSON_ESCAPES = {"<": "\\u003c", ">": "\\u003e", "&": "\\u0026", "\u2028": "\\u2028", "\u2029": "\\u2029"}
+
+
+def json_text(col: Column, kind: T.DataType | None = None) -> Column:
+    """Compact JSON; null collections are the text null, <, > and & are escaped.
+
+    With the column's type the keys of maps are sorted as text.
+    """
+    out = F.to_json(col if kind is None else with_sorted_keys(col, kind), {"ignoreNullFields": "false"})
+    for character, escape in JSON_ESCAPES.items():
+        out = F.replace(out, F.lit(character), F.lit(escape))
+    return F.coalesce(out, F.lit("null"))
+
+
+def with_sorted_keys(c: Column, kind: T.DataType) -> Column:
+    """The value with every map's entries in order of the keys' text."""
+    if isinstance(kind, T.MapType):
+        entries = F.transform(F.map_entries(c), lambda e: F.struct(e["key"].cast("string").alias("key"), with_sorted_keys(e["value"], kind.valueType).alias("value")))
+        return F.map_from_entries(F.array_sort(entries, lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: with_sorted_keys(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[with_sorted_keys(c[f.name], f.dataType).alias(f.name) for f in kind]))
+    return c
 
 
 def listed(col: Column) -> Column:
@@ -75,6 +98,7 @@ def review_date(parts: Column) -> Column:
     return F.when(F.size(parts) >= 3, F.concat_ws("-", *[F.get(parts, i).cast("long") for i in range(3)])).otherwise("")
 
 
+# Day names from 1.
 DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 

@@ -19,9 +19,9 @@ def unwrap(url: Column) -> Column:
 
 
 def normalized(url: Column) -> Column:
-    """unwrap, and a leading / made absolute."""
-    out = unwrap(url)
-    return F.when(F.startswith(out, F.lit("/")), F.concat(F.lit(HOST), out)).otherwise(out)
+    """unwrap; what wasn't a redirect and starts with / is made absolute. A redirect's target stays as it is."""
+    target = unwrap(url)
+    return F.when((target == url) & F.startswith(url, F.lit("/")), F.concat(F.lit(HOST), url)).otherwise(target)
 
 
 def search_url(query: Column, geo: Column, zoom: Column, lang: Column) -> Column:
@@ -55,15 +55,21 @@ def review_page_url(url: Column, token: Column, page_size: int, request: Column)
     return F.when(place_id(url) != "", F.concat(F.lit(f"{MAPS}/rpc/listugcposts?authuser=0&hl=en&pb="), pb))
 
 
-#: Tried in this order.
-PLACE_ID = [r"!1s([^!]+)", r"place_id=([^&]+)", r"/place/[^/]+/@[^/]+/data=!.*!1s([^!]+)"]
-PLACE_HEX = r"0x[0-9a-fA-F]+:0x[0-9a-fA-F]+"
+# Where a map URL carries a place id - a field of its data part, a query parameter, or two hex numbers anywhere.
+DATA_FIELD, QUERY_FIELD = "!1s", "place_id="
+HEX_PAIR = "0x[0-9a-fA-F]+:0x[0-9a-fA-F]+"
+
+
+def between(text: Column, mark: str, stop: str) -> Column:
+    """What follows the first mark up to stop or the end; null if that is nothing."""
+    rest = F.substring(text, F.instr(text, mark) + len(mark), F.length(text))
+    return F.nullif(F.when(F.contains(text, F.lit(mark)), F.substring_index(rest, stop, 1)), F.lit(""))
 
 
 def place_id(url: Column) -> Column:
-    """The place id in a URL, decoded; "" if none."""
-    found = [F.nullif(F.regexp_extract(url, p, 1), F.lit("")) for p in PLACE_ID]
-    return F.coalesce(*[F.coalesce(F.try_url_decode(f), f) for f in found], F.regexp_extract(url, PLACE_HEX, 0))
+    """The place id in a URL, decoded; "" if none. The data part comes first, bare hex numbers last."""
+    found = F.coalesce(between(url, DATA_FIELD, "!"), between(url, QUERY_FIELD, "&"))
+    return F.coalesce(F.try_url_decode(found), found, F.regexp_extract(url, HEX_PAIR, 0))
 
 
 def unescaped(quoted: Column) -> Column:

@@ -43,8 +43,8 @@ def enriched(places: DataFrame, found: DataFrame, key: str, value: str, order: s
 
     The children shrink to one row per key and value before they meet, then to one per key.
     """
-    firsts = found.groupBy(key, value).agg(F.min(order).alias("_o"))
-    lists = firsts.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_o", value))), lambda x: x[value]).alias(value))
+    firsts = found.groupBy(key, value).agg(F.struct(F.min(order)).alias("at")).select(key, F.struct("at", F.col(value).alias("v")).alias("first"))
+    lists = firsts.groupBy(key).agg(F.transform(F.array_sort(F.collect_list("first")), lambda x: x["v"]).alias(value))
     joined = places.join(lists, key, "left")
     return joined.withColumn(value, F.coalesce(value, F.slice(F.array(F.lit(None).cast(found.schema[value].dataType)), 1, 0)))
 
@@ -77,12 +77,13 @@ def active(workers: DataFrame) -> DataFrame:
     return workers.filter(~F.col("status").isin(*INACTIVE) & (F.col("ip") != "") & F.col("deleted_at").isNull())
 
 
-def newest(rows: DataFrame, time: str, key: str, deleted: str | None = None, **equal) -> DataFrame:
-    """Rows newest first, without soft-deleted ones, with the given values."""
+def newest(rows: DataFrame, time: str, key: str, deleted: str | None = None, limit: int | None = None, **equal) -> DataFrame:
+    """Rows newest first, without soft-deleted ones, with the given values; a positive limit keeps that many."""
     for column, value in equal.items():
         rows = rows if value is None else rows.filter(F.col(column) == value)
     rows = rows if deleted is None else rows.filter(F.col(deleted).isNull())
-    return rows.orderBy(F.desc(time), F.desc(key))
+    ordered = rows.orderBy(F.desc(time), F.desc(key))
+    return ordered.limit(limit) if limit and limit > 0 else ordered
 
 
 def retryable(jobs: DataFrame, limit: int = 1) -> DataFrame:

@@ -31,9 +31,10 @@ def open_hours(d: Column) -> Column:
 
 
 def popular_times(d: Column) -> Column:
-    """map<day, map<hour, traffic>>; null if any item is malformed."""
+    """map<day, map<hour, traffic>>; null if any item is malformed. A pair without two numbers is malformed,
+    one that is too short makes the whole place an error (short_pair)."""
     days = P.items(d, 84, 0)
-    bad = F.exists(days, lambda x: ~P.is_array(x) | ~P.is_array(x, 1) | F.exists(P.items(x, 1), lambda h: ~P.is_array(h)))
+    bad = F.exists(days, lambda x: ~P.is_array(x) | F.exists(P.items(x, 1), lambda h: ~P.is_array(h) | ~P.is_number(h, 0) | ~P.is_number(h, 1)))
 
     def entry(x: Column) -> Column:
         hours = F.transform(P.items(x, 1), lambda h: F.struct(P.whole(h, 0).cast("int").alias("key"), P.whole(h, 1).cast("int").alias("value")))
@@ -42,6 +43,11 @@ def popular_times(d: Column) -> Column:
     return F.when(~bad, P.last_wins(F.transform(days, entry)))
 
 
+def short_pair(d: Column) -> Column:
+    """Whether an hour's pair in the popular times has fewer than two values."""
+    return F.exists(P.items(d, 84, 0), lambda x: F.exists(P.items(x, 1), lambda h: P.is_array(h) & (F.size(P.items(h)) < 2)))
+
+
 def link_source(rows: Column, link: list[int], source: list[int]) -> Column:
     pairs = F.transform(rows, lambda r: F.struct(P.text(r, *link).alias("link"), P.text(r, *source).alias("source")))
     return F.filter(pairs, lambda p: (p["link"] != "") & (p["source"] != ""))
@@ -86,9 +92,14 @@ def reviews(rows: Column) -> Column:
 
 
 def parse_places(raw: DataFrame, column: str = "payload") -> DataFrame:
-    """The input's other columns, the place's fields, and error for payloads that hold no place."""
-    parsed = raw.withColumn("_root", P.parsed(F.col(column))).withColumn("_d", P.at(F.col("_root"), 6))
-    r, d = F.col("_root"), F.col("_d")
+    """The input's other columns, the place's fields, and error for payloads that hold no place.
+
+    Null, broken and short payloads give zero values and an error.  Other columns of the input must
+    not bear a field's name: ValueError names those that do.
+    """
+    root, data = ("_" * 8 + "root", "_" * 8 + "data")
+    parsed = raw.withColumn(root, P.parsed(F.col(column))).withColumn(data, P.at(F.col(root), 6))
+    r, d = F.col(root), F.col(data)
     t = lambda *p: P.text(d, *p)
     category = F.transform(P.items(d, 13), lambda c: P.text(c))
     orders = link_source(P.items(d, 75, 0, 1, 2), [1, 2, 0], [0, 0])
@@ -108,9 +119,11 @@ def parse_places(raw: DataFrame, column: str = "payload") -> DataFrame:
         "owner": F.struct(t(57, 2).alias("id"), t(57, 1).alias("name"), F.when(t(57, 2) != "", F.concat(F.lit(REVIEWER_LINK), t(57, 2))).otherwise("").alias("link")),
         "complete_address": F.struct(*[t(183, 1, i).alias(n) for i, n in ((0, "borough"), (1, "street"), (3, "city"), (4, "postal_code"), (5, "state"), (6, "country"))]),
         "about": about, "user_reviews": F.when(F.size(nested) > 0, nested).otherwise(flat),
-        "error": F.when(F.coalesce(F.size(P.items(r)) < 7, F.lit(True)) | ~P.is_array(r, 6), "invalid json"),
+        "error": F.when(F.coalesce(F.size(P.items(r)) < 7, F.lit(True)) | ~P.is_array(r, 6), "invalid json").when(short_pair(d), "short popular times"),
     }
     keep = [c for c in raw.columns if c != column]
+    if clash := sorted(set(keep) & set(fields)):
+        raise ValueError(f"columns with names of a place's fields: {', '.join(clash)}")
     return parsed.select(*keep, *[c.alias(n) for n, c in fields.items()])
 
 
@@ -120,12 +133,13 @@ def review_counts(raw: DataFrame, column: str = "payload") -> DataFrame:
 
 
 def parse_search(raw: DataFrame, column: str = "payload") -> DataFrame:
-    """A row per business of search payloads (guard line removed where the body has one)."""
-    body = F.when(F.startswith(F.col(column), F.lit("[")), F.col(column)).otherwise(after_first_line(F.col(column)))
-    rows = P.items(P.parsed(body), 0, 1)
+    """A row per business of search payloads. Their first line, the guard, is left out, whatever it holds; what
+    isn't a list of two or more gives no row (search_errors says why)."""
     keep = [c for c in raw.columns if c != column]
-    found = raw.select(*keep, F.posexplode(rows).alias("position", "item")).filter("position > 0").withColumn("b", P.at(F.col("item"), 14))
+    found = raw.select(F.struct(*[F.col(f"`{c}`") for c in keep], F.lit(True).alias("_")).alias("kept"), F.posexplode(P.items(search_root(F.col(column)), 0, 1)).alias("position", "item")).filter(F.col("position") > 0).filter(P.is_array(F.col("item")))
+    found = found.select("*", P.at(F.col("item"), 14).alias("b"))
     b = F.col("b")
+    keep = [F.col(f"kept.`{c}`") for c in keep]
     t = lambda *p: P.text(b, *p)
     as_text = lambda xs: F.transform(xs, lambda x: F.coalesce(F.try_variant_get(x, "$", "string"), F.lit("<nil>")))
     lat, lon = P.number(b, 9, 2), P.number(b, 9, 3)
@@ -136,6 +150,19 @@ def parse_search(raw: DataFrame, column: str = "payload") -> DataFrame:
     )
 
 
+def search_root(body: Column) -> Column:
+    return P.parsed(after_first_line(body))
+
+
+def search_errors(body: Column) -> Column:
+    """Why a search payload has no businesses; null if it has some."""
+    root = search_root(body)
+    return (
+        F.when(~P.is_array(root), "invalid json").when(F.size(P.items(root)) == 0, "empty data").when(F.size(P.items(root, 0)) == 0, "invalid business list")
+        .when(F.size(P.items(root, 0, 1)) < 2, "empty business list")
+    )
+
+
 def parse_review_pages(raw: DataFrame, column: str = "payload") -> DataFrame:
     """reviews and next_token of review pages."""
     root = P.parsed(without_guard(F.col(column)))

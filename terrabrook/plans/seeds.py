@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,21 @@ def bounding_box(text: str) -> tuple[float, float, float, float]:
     return south, west, north, east
 
 
+def box_columns(text: Column) -> Column:
+    """bounding_box as a column: struct of south, west, north, east and error, which names the first broken rule."""
+    parts = F.transform(F.split(text, ","), lambda p: F.trim(p).try_cast("double"))
+    south, west, north, east = (F.get(parts, i) for i in range(4))
+    finite = F.lit(True)
+    for v in (south, west, north, east):
+        finite = finite & ~F.isnan(v) & (F.abs(v) < float("inf"))
+    rules = [
+        (F.coalesce(F.size(parts), F.lit(0)) != 4, "a bounding box has four numbers"), (F.exists(parts, lambda p: p.isNull()), "bounding box values must be numbers"), (~finite, "bounding box values must be finite"),
+        (south >= north, "minLat must be less than maxLat"), (west >= east, "minLon must be less than maxLon"),
+    ]
+    rules += [(F.abs(v) > most, f"{name} must be between -{most} and {most}") for name, v, most in (("minLat", south, 90), ("maxLat", north, 90), ("minLon", west, 180), ("maxLon", east, 180))]
+    return F.struct(south.alias("south"), west.alias("west"), north.alias("north"), east.alias("east"), rule_errors(rules).alias("error"))
+
+
 def axis_counts(box: tuple[float, float, float, float], km: float, estimate: bool = False) -> tuple[int, int]:
     """Cells per axis: centres strictly below the far edge, or with estimate the rounded-up spans."""
     south, west, north, east = box
@@ -71,13 +87,28 @@ def check_zoom(zoom: int) -> None:
         raise ValueError("zoom must be between 1 and 21")
 
 
+def named(queries: DataFrame) -> DataFrame:
+    """queries with a uuid for each null or blank id."""
+    return queries.withColumn("id", F.when(F.coalesce("id", F.lit("")) == "", F.uuid()).otherwise(F.col("id")))
+
+
+#: Cells of a grid and keyword parts that are worth a broadcast; a grid's size is known before it is made.
+BROADCAST_CELLS = 1_000_000
+
+
 def seed_jobs(queries: DataFrame, lang: str = "en", depth: int = 1, geo: str = "", zoom: int = 15, fast: bool = False, radius: float = 0.0) -> DataFrame:
-    """A search job per query (text, id). Fast mode needs coordinates, a zoom of 1-21 and a radius."""
+    """A search job per query (text, id). A blank id becomes a random one, as in named().
+
+    Fast mode needs coordinates, a zoom of 1-21 and a radius.
+    """
+    queries = named(queries)
     if fast:
         parts = geo.replace(" ", "").split(",")
         if len(parts) != 2:
             raise ValueError("fast mode needs coordinates")
         lat, lon = map(float, parts)
+        if not (-90 <= lat <= 90 and -180 <= lon <= 180):
+            raise ValueError("coordinates must lie within -90..90 and -180..180")
         check_zoom(zoom)
         if radius < 0:
             raise ValueError("radius must not be negative")
@@ -86,8 +117,19 @@ def seed_jobs(queries: DataFrame, lang: str = "en", depth: int = 1, geo: str = "
 
 
 def grid_seed_jobs(queries: DataFrame, cells: DataFrame, zoom: int, lang: str = "en") -> DataFrame:
-    """Every query at every cell: a job is one of the two sides' product by definition."""
+    """Every query at every cell: a job is one of the two sides' product by definition.
+
+    ids are the query's and the cell's indices, so they are the same each time; a blank query id is a
+    uuid.  ValueError without a query or a cell.  Cells up to BROADCAST_CELLS are broadcast.
+    """
     check_zoom(zoom)
+    n = cells.count()
+    if not n:
+        raise ValueError("the grid has no cells")
+    if queries.isEmpty():
+        raise ValueError("there are no queries")
+    queries = named(queries)
+    cells = F.broadcast(cells) if n <= BROADCAST_CELLS else cells
     geo = coordinate_text(F.col("lat"), F.col("lon"))
     return queries.crossJoin(cells).select(
         F.concat_ws("-", F.col("id"), F.col("lat_index"), F.col("lon_index")).alias("id"), F.col("text"), geo.alias("geo"),
@@ -98,21 +140,28 @@ def grid_seed_jobs(queries: DataFrame, cells: DataFrame, zoom: int, lang: str =
 def keyword_chunks(keywords: DataFrame, key: str, order: str, size: int = 100) -> DataFrame:
     """part (from 0), n, keywords: non-blank trimmed keywords in order, size to a part.
 
-    Numbers come from counts per range partition, so no task sorts all rows.
+    Numbers come from counts per range partition, so no task sorts all rows.  ValueError without a
+    keyword.
     """
     clean = keywords.select(trim_white(F.col(key)).alias("k"), F.col(order).alias("o")).filter(F.col("k") != "")
+    if clean.isEmpty():
+        raise ValueError("there are no keywords")
     return numbered(clean, ["o", "k"]).groupBy(F.floor(F.col("number") / size).alias("part")).agg(
         F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("number", "k"))), lambda x: x["k"]), "|").alias("keywords")
     )
 
 
 def numbered(df: DataFrame, order: list[str], column: str = "number") -> DataFrame:
-    """Adds consecutive numbers from 0 in the given total order, without a single-partition window."""
+    """Adds consecutive numbers from 0 in the given total order, without a single-partition window.
+
+    df's own columns may have any names but the new one's.
+    """
+    part, inside, size, before = (next(f"_{stem}_{i}" for i in itertools.count() if f"_{stem}_{i}" not in df.columns) for stem in ("part", "inside", "size", "before"))
     ranged = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
-    tagged = ranged.withColumn("_part", F.spark_partition_id()).withColumn("_in", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    sizes = tagged.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).select("_part", "_before")  # a row per partition
-    return tagged.join(F.broadcast(before), "_part").withColumn(column, F.col("_in") + F.col("_before")).drop("_part", "_in", "_before")
+    tagged = ranged.withColumn(part, F.spark_partition_id()).withColumn(inside, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    sizes = tagged.groupBy(part).agg(F.count("*").alias(size))
+    starts = sizes.withColumn(before, F.sum(size).over(Window.orderBy(part)) - F.col(size)).select(part, before)  # a row per partition
+    return tagged.join(F.broadcast(starts), part).withColumn(column, F.col(inside) + F.col(before)).drop(part, inside, before)
 
 
 def rule_errors(rules: list[tuple[Column, str]]) -> Column:
@@ -120,12 +169,17 @@ def rule_errors(rules: list[tuple[Column, str]]) -> Column:
     return F.coalesce(*[F.when(broken, message) for broken, message in rules], F.lit(None).cast("string"))
 
 
-def request_errors(zoom: Column, radius: Column, depth: Column, timeout: Column, keyword: Column, lang: Column) -> Column:
-    """What is wrong with a scrape request after its defaults; null if nothing."""
+def request_errors(keyword: Column, geo: Column, zoom: Column, radius: Column, depth: Column, timeout: Column, fast: Column) -> Column:
+    """What is wrong with a scrape request after its defaults; null if nothing. No zoom is 0, no coordinates are blank."""
+    given = F.coalesce(geo, F.lit("")) != ""
+    lat, lon = (F.trim(F.get(F.split(geo, ","), i)).try_cast("double") for i in range(2))
+    zoom, fast = F.coalesce(zoom, F.lit(0)), F.coalesce(fast, F.lit(False))
     return rule_errors([
-        (F.coalesce(keyword, F.lit("")) == "", "keyword is required"), (F.length(lang) != 2, "lang must have two letters"),
-        (~zoom.between(0, 21), "zoom must be between 0 and 21"), (radius < 0, "radius must not be negative"),
-        (~depth.between(1, 100), "depth must be between 1 and 100"), (~timeout.between(1, 300), "timeout must be between 1 and 300"),
+        (F.coalesce(keyword, F.lit("")) == "", "keyword is required"), (given & (F.size(F.split(geo, ",")) != 2), "geo_coordinates must contain exactly one comma"),
+        (given & lat.isNull(), "invalid latitude"), (given & lon.isNull(), "invalid longitude"), (given & ~lat.between(-90, 90), "latitude must be between -90 and 90"), (given & ~lon.between(-180, 180), "longitude must be between -180 and 180"),
+        (fast & ~given, "geo_coordinates are required in fast mode"), (fast & (zoom == 0), "zoom is required in fast mode"),
+        (~zoom.between(0, 21), "zoom must be between 1 and 21"), (radius < 0, "radius must be non-negative"),
+        (~depth.between(0, 100), "max_depth must be between 0 and 100"), (~timeout.between(1, 300), "timeout must be between 1 and 300 seconds"),
     ])
 
 

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
+from .functions import email, geo, url
 from .plans.seeds import axis_counts, bounding_box, lat_step, lon_step
 
-#: Expression bodies: Catalyst inlines them, so they stay in the plan like built-in functions.
+#: name -> (parameters, result, the column function that the library uses itself).
 FUNCTIONS = {
-    "haversine_m(lat1 DOUBLE, lon1 DOUBLE, lat2 DOUBLE, lon2 DOUBLE) RETURNS DOUBLE": """
-      2 * 6371000 * asin(least(1, sqrt(power(sin((radians(lat2) - radians(lat1)) / 2), 2)
-        + cos(radians(lat1)) * cos(radians(lat2)) * power(sin((radians(lon2) - radians(lon1)) / 2), 2))))""",
-    "strip_nul(s STRING) RETURNS STRING": "replace(s, '\\u0000', '')",
-    "extract_emails(s STRING) RETURNS ARRAY<STRING>": r"array_distinct(regexp_extract_all(s, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)*\\.[A-Za-z]{2,}', 0))",
-    "unwrap_url(u STRING) RETURNS STRING": "CASE WHEN try_parse_url(u, 'PATH') = '/url' AND try_parse_url(u, 'QUERY', 'q') <> '' THEN try_url_decode(try_parse_url(u, 'QUERY', 'q')) ELSE u END",
-    "site_eligible(u STRING) RETURNS BOOLEAN": "coalesce(u, '') <> '' AND NOT (contains(u, 'facebook') OR contains(u, 'instragram') OR contains(u, 'twitter'))",
+    "haversine_m": ("lat1 DOUBLE, lon1 DOUBLE, lat2 DOUBLE, lon2 DOUBLE", "DOUBLE", geo.haversine_m),
+    "olc_encode": ("lat DOUBLE, lon DOUBLE", "STRING", geo.plus_code),
+    "strip_nul": ("s STRING", "STRING", lambda s: F.replace(s, F.lit("\u0000"), F.lit(""))),
+    "extract_emails": ("s STRING", "ARRAY<STRING>", email.text_emails),
+    "unwrap_url": ("u STRING", "STRING", url.unwrap),
+    "place_id": ("u STRING", "STRING", url.place_id),
+    "site_eligible": ("u STRING", "BOOLEAN", url.eligible_for_email),
+    "rating_histogram": ("ratings ARRAY<INT>", "MAP<INT, BIGINT>", lambda r: F.map_from_arrays(F.array(*[F.lit(i) for i in range(1, 6)]), F.array(*[(F.size(r) - F.size(F.array_remove(r, i))).cast("long") for i in range(1, 6)]))),
 }
 
 
@@ -31,7 +36,22 @@ class GridCells:
                 yield b[0] + d_lat * (i + 0.5), b[1] + d_lon * (j + 0.5)
 
 
+def place_from_json(spark: SparkSession, view: str, result: str, column: str = "payload") -> None:
+    """Makes the view result: the places parsed from a column of another view. A place has 34 fields, so it is a
+    view and not a function; columns that a query doesn't read are not parsed."""
+    from .operators.places import parse_places
+
+    parse_places(spark.table(view), column).createOrReplaceTempView(result)
+
+
+def sql_text(spark: SparkSession, parameters: str, function: Callable[..., Column]) -> str:
+    """A column function of the parameters as SQL text: what the analyzer makes of it, printed."""
+    row = spark.createDataFrame([], parameters.replace(" ", ": ").replace(",:", ","))
+    plan = row.select(function(*[F.col(c) for c in row.columns]).alias("out"))._jdf.queryExecution().analyzed()
+    return plan.expressions().head().child().sql()
+
+
 def register(spark: SparkSession) -> None:
-    for signature, body in FUNCTIONS.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")
+    for name, (parameters, result, function) in FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {result} RETURN {sql_text(spark, parameters, function)}")
     spark.udtf.register("grid_cells", udtf(GridCells, returnType="lat double, lon double"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -61,6 +62,85 @@ def stream_counts(events: DataFrame, job: str, time: str, late: str, gap: str) -
     return events.withWatermark(time, late).groupBy(job, F.session_window(time, gap)).agg(F.count("*").alias("result_count"))
 
 
+class Collector(StatefulProcessor):
+    """The run of a job as state: its number, results, dropped rows and whether it is open.
+
+    A run that ends gives its row at once; one that stays open for longer than the timeout in event time
+    gives its partial results, and completes if it has any.
+    """
+
+    def __init__(self, timeout_ms: int | None):
+        self.timeout_ms = timeout_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("run", "run long, taken long, dropped long, open boolean")
+
+    def output(self, key, rows: list[tuple[int, int, int, str]]) -> pd.DataFrame:
+        return pd.DataFrame([(key[0], *r) for r in rows], columns=["job_id", "run", "result_count", "dropped", "status"])
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        run, taken, dropped, is_open = self.state.get() if self.state.exists() else (0, 0, 0, False)
+        events, ended = pd.concat([r[["seq", "op", "t"]] for r in rows]).sort_values("seq"), []
+        for op, t in zip(events["op"], events["t"], strict=True):
+            if op == "register":
+                if is_open:
+                    ended.append((run, taken, dropped, "replaced"))
+                run, taken, dropped, is_open = run + 1, 0, 0, True
+                if self.timeout_ms is not None:
+                    for timer in list(self.handle.listTimers()):
+                        self.handle.deleteTimer(timer[0])
+                    self.handle.registerTimer(int(t) + self.timeout_ms)
+            elif op == "add":
+                taken, dropped = (taken + 1, dropped) if is_open else (taken, dropped + 1)
+            elif is_open:
+                ended.append((run, taken, dropped, "discarded" if op == "discard" else "completed" if taken else "failed"))
+                taken, dropped, is_open = 0, 0, False
+        self.state.update((int(run), int(taken), int(dropped), bool(is_open)))
+        yield self.output(key, ended)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        run, taken, dropped, is_open = self.state.get()
+        self.state.update((int(run), 0, 0, False))
+        yield self.output(key, [(run, taken, dropped, "completed" if taken else "failed")] if is_open else [])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_collector(events: DataFrame, time: str, late: str = "1 minute", timeout_s: int | None = None) -> DataFrame:
+    """job_id, run, result_count, dropped, status: a row for each run of a job when it ends (job_id, seq, op, time).
+
+    The rules of collected(); rows that come after a run's end are counted in the next one's state and
+    reach no result.  With a timeout a run that long open ends with what it has.
+    """
+    rows = events.withWatermark(time, late).select("job_id", "seq", "op", F.unix_millis(time).alias("t"), time)
+    mode = "none" if timeout_s is None else "eventTime"
+    kind = events.schema["job_id"].dataType.simpleString()
+    processor = Collector(None if timeout_s is None else timeout_s * 1000)
+    return rows.groupBy("job_id").transformWithStateInPandas(processor, f"job_id {kind}, run long, result_count long, dropped long, status string", "Append", mode)
+
+
+@contextlib.contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """The state store that stateful processors need, for the queries started inside; then the session's own again."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, STATE_STORE)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def run_every(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None], every: str = "1 minute", mode: str = "append") -> StreamingQuery:
+    """Processes what has come in each interval, until stopped."""
+    return stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(processingTime=every).foreachBatch(write).start()
+
+
 def run_available(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
     """Processes what is there in micro-batches and ends."""
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()

@@ -19,14 +19,14 @@ def parsed(spark):
 
 def test_golden_place(parsed):
     p = parsed[1]
-    assert (p.title, p.category, p.categories, p.address) == ("Kipriakon", "Restaurant", ["Restaurant", "Bar", ""], "Old port, Limassol 3042")
-    assert (p.cid, p.web_site, p.phone, p.plus_code) == ("3519", "http://site.example/a b", "25 101555", "M2CR+6X Limassol")
-    assert (p.review_count, p.review_rating, p.reviews_per_rating) == (396, 4.2, {1: 37, 2: 16, 3: 27, 4: 60, 5: 256})
-    assert p.open_hours == {"Monday": ["1–2 pm"], "Tuesday": ["9–5"]}
-    assert p.popular_times == {"Monday": {20: 100, 21: 80}, "Sunday": {9: 5}, "": {1: 2}}
+    assert (p.title, p.category, p.categories, p.address) == ("Blue Heron", "Restaurant", ["Restaurant", "Bar", ""], "7 Quay Lane, Aldmere 5120")
+    assert (p.cid, p.web_site, p.phone, p.plus_code) == ("70211", "http://heron.example/a b", "44 203117", "Q7HW+3V Aldmere")
+    assert (p.review_count, p.review_rating, p.reviews_per_rating) == (118, 3.7, {1: 8, 2: 5, 3: 11, 4: 40, 5: 54})
+    assert p.open_hours == {"Monday": ["3–4 pm"], "Tuesday": ["9–5"]}
+    assert p.popular_times == {"Monday": {18: 64, 19: 71}, "Sunday": {9: 5}, "": {1: 2}}
     assert [(i.title, i.image) for i in p.images] == [("All", "https://img")] and [tuple(x) for x in p.reservations] == [("https://book", "book.example")]
     assert [tuple(x) for x in p.order_online] == [("https://order", "order.example")] and tuple(p.menu) == ("https://menu", "menu.example")
-    assert p.owner.link.endswith("/1026") and p.complete_address.city == "Limassol" and p.complete_address.country == "CY"
+    assert p.owner.link.endswith("/8841") and p.complete_address.city == "Aldmere" and p.complete_address.country == "QX"
     assert [(a.id, [(o.name, o.enabled) for o in a.options]) for a in p.about] == [("svc", [("Delivery", True), ("Dine-in", False)]), ("empty", [])]
     assert p.error is None
 
@@ -35,8 +35,27 @@ def test_malformed_payloads_give_zero_values(parsed):
     for i in (2, 3, 5):
         assert parsed[i].error == "invalid json" and parsed[i].title == "" and parsed[i].review_count == 0
     assert parsed[4].error is None and parsed[4].categories == [] and parsed[4].reviews_per_rating == {k: 0 for k in range(1, 6)}
-    assert parsed[6].review_rating == 0.0 and parsed[6].title == "Kipriakon"
-    assert parsed[7].popular_times is None and parsed[7].latitude == 0.0
+    assert parsed[6].review_rating == 0.0 and parsed[6].title == "Blue Heron"
+    assert parsed[7].popular_times == {"Monday": {}} and parsed[7].latitude == 0.0
+
+
+def test_short_pairs_and_clashing_names(spark):
+    rows = [(1, json.dumps(put(place(), (6, 84, 0), [[1, [[5]]]]))), (2, json.dumps(put(place(), (6, 84, 0), [[1, [["x", 5]]]])))]
+    got = {r.id: r for r in PL.parse_places(spark.createDataFrame(rows, "id int, payload string")).collect()}
+    assert got[1].error == "short popular times" and got[2].error is None and got[2].popular_times is None
+    with pytest.raises(ValueError, match="title"):
+        PL.parse_places(spark.createDataFrame([("a", "b")], "title string, payload string"))
+
+
+def test_search_errors(spark):
+    bodies = {"g\nnope": "invalid json", "g\n[]": "empty data", "g\n[5]": "invalid business list", "g\n[[1,[2]]]": "empty business list", "g\n[[1,[2,[3]]]]": None}
+    df = spark.createDataFrame([(b,) for b in bodies], "b string")
+    assert [r.e for r in df.select(PL.search_errors(F.col("b")).alias("e")).collect()] == list(bodies.values())
+
+
+def test_a_lead_needs_a_title(spark):
+    df = PL.parse_places(spark.createDataFrame([(json.dumps(put(place(), (6, 11), "")),)], "payload string")).withColumn("emails", F.array().cast("array<string>"))
+    assert leads(df).first().error == "title is empty"
 
 
 def review(author="Ann", text="good", rating=5, image="//img.example/x", when=(2024, 3, 7), nested=True):
@@ -60,13 +79,13 @@ def test_search_pages(spark):
     for path in [(11,), (13,), (7, 0), (4, 7), (4, 8), (9, 2), (9, 3), (178, 0, 0), (34, 4, 4), (30,), (10,), (203, 0)]:
         put(b, path, PLACE[path])
     put(b, (0,), "id1")
-    put(b, (2,), ["Old port", "Limassol"])
+    put(b, (2,), ["7 Quay Lane", "Aldmere"])
     item = put([], (14,), b)
     body = json.dumps([[None, [["header"], item, item]]])
-    got = PL.parse_search(spark.createDataFrame([(1, body), (2, ")]}'\n" + body), (3, "[[null,[1]]]")], "q int, payload string")).collect()
-    assert sorted((r.q, r.position) for r in got) == [(1, 1), (1, 2), (2, 1), (2, 2)]
+    got = PL.parse_search(spark.createDataFrame([(1, body), (2, ")]}'\n" + body), (3, ")]}'\n[[null,[1]]]"), (4, "[]\n" + body), (5, None)], "q int, payload string")).collect()
+    assert sorted((r.q, r.position) for r in got) == [(2, 1), (2, 2), (4, 1), (4, 2)]
     r = got[0]
-    assert (r.id, r.address, r.phone, r.web_site, r.plus_code) == ("id1", "Old port, Limassol", "25101555", PLACE[7, 0], "8G6MM2CR+2X") or r.plus_code.startswith("8G6M")
+    assert (r.id, r.address, r.phone, r.web_site) == ("id1", "7 Quay Lane, Aldmere", "44203117", PLACE[7, 0]) and len(r.plus_code) == 11
 
 
 json_values = st.recursive(st.none() | st.booleans() | st.integers(-5, 5) | st.text(max_size=3), lambda x: st.lists(x, max_size=4), max_leaves=12)
@@ -82,10 +101,10 @@ def test_parsing_is_total(spark, trees):
 def test_leads_csv_and_nul(spark):
     df = PL.parse_places(spark.createDataFrame([(json.dumps(place()),)], "payload string")).withColumn("emails", F.array(F.lit("a@x.example"), F.lit("b@x.example")))
     lead = leads(df).first()
-    assert lead.source_id == "0x14:0xc8" and lead.email == "a@x.example" and lead.tags == ["Restaurant", "Bar", ""]
+    assert lead.source == "google_maps" and lead.description == "nice" and lead.error is None and lead.source_id == "0x2f:0xa1" and lead.email == "a@x.example" and lead.tags == ["Restaurant", "Bar", ""]
     assert "full_address" not in {a.name for a in lead.attributes} and {a.name: a.value for a in lead.attributes}["additional_emails"] == "b@x.example"
     row = csv_rows(df.select("title", "latitude", "open_hours", "review_count", "popular_times"), {"latitude": "lat"}).first()
-    assert row.lat == "34.670000" and row.review_count == "396" and json.loads(row.open_hours)["Tuesday"] == ["9–5"]
+    assert row.lat == "-12.250000" and row.review_count == "118" and json.loads(row.open_hours)["Tuesday"] == ["9–5"]
     table = place_csv(df)
     assert len(table.columns) == 34 and table.columns[7] == "website" and table.first().emails == "a@x.example, b@x.example" and table.first().descriptions == "nice"
     dirty = spark.createDataFrame([("a\0b", ["x\0"], {"k\0": "v\0"}, (1, "\0"))], "s string, a array<string>, m map<string,string>, t struct<n:int,s:string>")

@@ -3,7 +3,7 @@ from pyspark.sql import types as T
 
 from terrabrook import catalogue
 from terrabrook.operators import relational as R
-from terrabrook.streaming import event_stream, run_available, stream_counts
+from terrabrook.streaming import event_stream, run_available, run_every, state_store, stream_collector, stream_counts
 
 DATA = "/root/testdata/sf0.001"
 
@@ -23,3 +23,37 @@ def test_session_counts_over_files(spark, tmp_path):
     stream = stream_counts(event_stream(spark, f"{tmp_path}/in/*", schema, "ts"), "job", "ts", "0 seconds", "5 minutes")
     run_available(stream.select("job", "result_count"), f"{tmp_path}/state", lambda df, _: found.extend(map(tuple, df.collect())))
     assert sorted(found) == [(1, 1), (1, 2), (2, 1)]
+
+
+def test_stream_collector_equals_batch_and_times_out(spark, tmp_path):
+    events = catalogue.collector_events(spark.read.parquet(f"{DATA}/events.parquet"))
+    ended = R.collected(events).filter(~F.col("status").isin("running", "unregistered")).select("job_id", "run", "result_count", "status")
+    stream = catalogue.QUERIES["stream_collector"](spark, DATA)
+    assert sorted(map(tuple, stream.collect())) == sorted(map(tuple, ended.collect()))
+    rows = [("a", 1, "register", "2024-01-01 00:00:00"), ("a", 2, "add", "2024-01-01 00:01:00"), ("b", 1, "register", "2024-01-01 00:00:00"), ("z", 1, "register", "2024-01-01 02:00:00"), ("z", 2, "add", "2024-01-01 03:00:00")]
+    for i, part in enumerate((rows[:3], rows[3:4], rows[4:])):
+        spark.createDataFrame(part, "job_id string, seq long, op string, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+    schema = T.StructType([T.StructField("job_id", T.StringType()), T.StructField("seq", T.LongType()), T.StructField("op", T.StringType()), T.StructField("ts", T.TimestampNTZType())])
+    found = []
+    with state_store(spark):
+        timed = stream_collector(event_stream(spark, f"{tmp_path}/in/*", schema, "ts"), "ts", "0 seconds", timeout_s=600)
+        run_available(timed, f"{tmp_path}/state", lambda df, _: found.extend(map(tuple, df.collect())), "append")
+    assert sorted(f for f in found if f[0] != "z") == [("a", 1, 1, 0, "completed"), ("b", 1, 0, 0, "failed")]
+
+
+def test_state_store_is_set_back(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    with state_store(spark):
+        assert spark.conf.get(name).endswith("RocksDBStateStoreProvider")
+    assert spark.conf.get(name, None) == before
+
+
+def test_run_every(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/in")
+    found = []
+    stream = spark.readStream.schema("id long").parquet(f"{tmp_path}/in")
+    query = run_every(stream, f"{tmp_path}/state", lambda df, _: found.extend(r.id for r in df.collect()), "1 second")
+    query.processAllAvailable()
+    query.stop()
+    assert sorted(found) == [0, 1, 2]
