@@ -20,6 +20,7 @@ window hashes; what passes is joined as rows, whatever the size of the benchmark
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -38,6 +39,8 @@ MIN_WORDS = 4
 MIN_HITS = 6
 BLOOM_BITS = 22
 VOCABULARY = 500_000
+#: Characters of texts that are taken together.
+GROUP = 300_000
 UNITS = {
     "mass": "mg g kg gram grams kilogram kilograms ton tons tonne tonnes lb lbs pound pounds oz ounce ounces",
     "length": "mm cm m km meter meters metre metres kilometer kilometers kilometre kilometres inch inches foot feet yard yards mile miles",
@@ -85,28 +88,36 @@ class Vocabulary(dict):
 
 
 class Channel(NamedTuple):
-    """A text's places in one kind of template: the number of each place's first word (and of words, at the
-    end), its code, and whether it is a slot or a unit."""
+    """Places of some texts in one kind of template: the number of each place's first word (and of words, at the
+    end), its code, whether it is a slot or a unit, and its text's number."""
 
     first: np.ndarray
     codes: np.ndarray
     slots: np.ndarray
     units: np.ndarray
+    text: np.ndarray
 
 
-def canonical(text: str, vocabulary: Vocabulary) -> tuple[list[str], np.ndarray, list[Channel]]:
-    """The text's tokens, which of them are words, and the channels."""
-    tokens = TOKEN.findall(text)
+def canonical(texts: list[str], vocabulary: Vocabulary) -> tuple[list[str], np.ndarray, list[Channel]]:
+    """The texts' tokens in line, which of them are words, and the channels."""
+    found = [TOKEN.findall(t) for t in texts]
+    tokens = list(itertools.chain.from_iterable(found))
     if len(vocabulary) > VOCABULARY:
         vocabulary.clear()
     rows = np.fromiter(map(vocabulary.__getitem__, tokens), np.int64, len(tokens))
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    text = np.repeat(np.arange(len(found)), sizes)
     plain, unit = vocabulary.plain, vocabulary.unit
     kinds = vocabulary.kind[rows]
-    starts = np.concatenate(([True], kinds[:-1] == 0)) if len(rows) else np.zeros(0, bool)
+    fresh = np.ones(len(rows), bool)
+    fresh[1:] = text[1:] != text[:-1]
+    starts = fresh.copy()
+    starts[1:] |= kinds[:-1] == 0
     word = kinds > 0
-    rows, kinds, starts = rows[word], kinds[word], starts[word]
+    rows, kinds, starts, text = rows[word], kinds[word], starts[word], text[word]
     number = kinds == 1
-    after = np.concatenate(([False], number[:-1])) if len(rows) else number
+    after = np.zeros_like(number)
+    after[1:] = number[:-1] & (text[1:] == text[:-1])
     units = unit[rows]
     is_unit = after & (units != 0)
     lowered = np.where(is_unit, units, plain[rows])
@@ -114,14 +125,14 @@ def canonical(text: str, vocabulary: Vocabulary) -> tuple[list[str], np.ndarray,
 
     def with_names(name: np.ndarray) -> Channel:
         place = ~name | starts
-        if len(name):
-            place |= np.concatenate(([True], ~name[:-1]))
+        place[:1] = True
+        place[1:] |= ~name[:-1] | (text[1:] != text[:-1])
         first = np.flatnonzero(place)
-        return Channel(np.append(first, len(name)), np.where(name, NAME_CODE, lowered)[first], (number | name)[first], is_unit[first])
+        return Channel(np.append(first, len(name)), np.where(name, NAME_CODE, lowered)[first], (number | name)[first], is_unit[first], text[first])
 
     every = np.arange(len(rows) + 1)
     none = np.zeros_like(number)
-    channels = [with_names(capital & ~starts), Channel(every, lowered, number, is_unit), with_names(capital), Channel(every, vocabulary.exact[rows], none, none)]
+    channels = [with_names(capital & ~starts), Channel(every, lowered, number, is_unit, text), with_names(capital), Channel(every, vocabulary.exact[rows], none, none, text)]
     return tokens, np.flatnonzero(word), channels
 
 
@@ -136,7 +147,17 @@ def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
     return out * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def template(words: list[str], channel: Channel, a: int, b: int) -> str:
+class Words:
+    """Single words of canonical()'s tokens."""
+
+    def __init__(self, tokens: list[str], place: np.ndarray):
+        self.tokens, self.place = tokens, place
+
+    def __getitem__(self, i: int) -> str:
+        return self.tokens[self.place[i]]
+
+
+def template(words: Words, channel: Channel, a: int, b: int) -> str:
     """The template of the places a to b; a number in no slot stands for itself."""
     out = []
     for i in range(a, b):
@@ -145,47 +166,73 @@ def template(words: list[str], channel: Channel, a: int, b: int) -> str:
     return " ".join(out)
 
 
-def slot_values(words: list[str], channel: Channel, a: int, b: int) -> list[str]:
-    return [" ".join(words[channel.first[i] : channel.first[i + 1]]) for i in range(a, b) if channel.slots[i]]
+def slot_values(words: Words, channel: Channel, a: int, b: int) -> list[str]:
+    return [" ".join(words[j] for j in range(channel.first[i], channel.first[i + 1])) for i in range(a, b) if channel.slots[i]]
+
+
+ROW = pa.schema([("id", pa.int64()), ("t", pa.int64()), ("channel", pa.int32()), ("size", pa.int32()), ("h", pa.int64()), ("at", pa.int32()), ("template", pa.string()), ("slots", pa.list_(pa.string())), ("windows", pa.int32())])
+
+
+def text_windows(ids: list, ts: list, texts: list[str], sizes: list[int] | None, bloom: np.ndarray | None, vocabulary: Vocabulary) -> list[tuple]:
+    """The windows of some texts, all at once. sizes None: one text, an item, with its own size for each channel."""
+    tokens, place, channels = canonical(texts, vocabulary)
+    words, rows = Words(tokens, place), []
+    for size in sizes or sorted({min(WINDOW, len(c.codes)) for c in channels}):
+        if size < MIN_WORDS:
+            continue
+        literal = None
+        for kind, channel in enumerate(channels):
+            n = len(channel.codes)
+            if size > n or (sizes is None and size != min(WINDOW, n)):
+                continue
+            hashes = window_hashes(channel.codes, size)
+            whole = channel.text[size - 1 :] == channel.text[: n - size + 1]
+            if kind == EXACT:
+                usable, total = whole & ~literal, len(hashes)
+            else:
+                filled = np.concatenate(([0], np.cumsum(channel.slots)))
+                mostly = (size - (filled[size:] - filled[:-size])) * 2 >= size
+                literal = mostly if kind == LOWERED else literal
+                usable = whole & mostly
+                total = int(usable.sum())
+            if bloom is not None:
+                bit = (hashes >> np.uint64(64 - BLOOM_BITS)).astype(np.int64)
+                usable = usable & (bloom[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+            found = np.flatnonzero(usable)
+            begins = np.searchsorted(channel.text, channel.text[found])
+            signed = hashes.view(np.int64)
+            rows.extend(
+                (ids[channel.text[a]], ts[channel.text[a]], kind, size, int(signed[a]), a - b, template(words, channel, a, a + size), slot_values(words, channel, a, a + size), total)
+                for a, b in zip(found.tolist(), begins.tolist(), strict=True)
+            )
+    return rows
 
 
 def windows(batches: Iterator[pa.RecordBatch], sizes: list[int] | None, bloom: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Windows of (id, text) rows. sizes None: a benchmark item's own (WINDOW places, or all of a shorter one)."""
+    """Windows of (id, text, t) rows. sizes None: benchmark items' own (WINDOW places, or all of a shorter one).
+
+    Texts are taken together up to GROUP characters.
+    """
     vocabulary = Vocabulary()
-    schema = pa.schema([("id", pa.int64()), ("t", pa.int64()), ("channel", pa.int32()), ("size", pa.int32()), ("h", pa.int64()), ("at", pa.int32()), ("template", pa.string()), ("slots", pa.list_(pa.string())), ("windows", pa.int32())])
+
+    def emitted(group: list[tuple]) -> Iterator[pa.RecordBatch]:
+        rows = text_windows(*map(list, zip(*group, strict=True)), sizes, bloom, vocabulary)
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), ROW, strict=True)], schema=ROW)
+
     for batch in batches:
-        rows: list[tuple] = []
-        for id_, text, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+        group, size = [], 0
+        for id_, text, t in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+            text = text.as_py()
             if not text:
                 continue
-            tokens, place, channels = canonical(text, vocabulary)
-            words: list[str] = []
-            for size in sizes or sorted({min(WINDOW, len(c.codes)) for c in channels}):
-                if size < MIN_WORDS:
-                    continue
-                literal = None
-                for kind, channel in enumerate(channels):
-                    n = len(channel.codes)
-                    if size > n or (sizes is None and size != min(WINDOW, n)):
-                        continue
-                    hashes = window_hashes(channel.codes, size)
-                    if kind == EXACT:
-                        usable, total = ~literal, len(hashes)
-                    else:
-                        filled = np.concatenate(([0], np.cumsum(channel.slots)))
-                        usable = (size - (filled[size:] - filled[:-size])) * 2 >= size
-                        total = int(usable.sum())
-                        literal = usable if kind == LOWERED else literal
-                    if bloom is not None:
-                        bit = (hashes >> np.uint64(64 - BLOOM_BITS)).astype(np.int64)
-                        usable = usable & (bloom[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
-                    found = np.flatnonzero(usable).tolist()
-                    if found and not words:
-                        words = [tokens[i] for i in place.tolist()]
-                    signed = hashes.view(np.int64)
-                    rows.extend((id_, t, kind, size, int(signed[a]), a, template(words, channel, a, a + size), slot_values(words, channel, a, a + size), total) for a in found)
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+            group.append((id_, t, text))
+            size += len(text)
+            if size > GROUP or sizes is None:
+                yield from emitted(group)
+                group, size = [], 0
+        if group:
+            yield from emitted(group)
 
 
 def bit_set(found: DataFrame) -> np.ndarray:
