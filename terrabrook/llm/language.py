@@ -6,8 +6,10 @@ places they share, over the root of the product of their numbers of places.  LAN
 each language span the Nyström space; ridge regression there gives one weight vector per language.
 Whole texts are scored in batches: presence matrix x landmark matrix, then x coefficients.
 
-Learning sees at most PER_LANGUAGE rows of each language, drawn by a hash of their text, whatever
-the size of the table; all rows are scored.
+Learning sees at most PER_LANGUAGE rows of each of the LANGUAGES languages with most rows, drawn by a
+hash of their text, and at most ROWS in all, whatever the size of the table; all rows are scored.
+Places are shared: a very long text fills a good part of DIM, and so the kernel also counts chance
+meetings, the same for all languages.
 """
 
 from __future__ import annotations
@@ -30,9 +32,12 @@ DIM = 1 << DIM_BITS
 PER_LANGUAGE = 300
 LANDMARKS = 32
 RIDGE = 1e-2
-#: Counts per language are broadcast up to this many languages, and shuffled beyond.
-BROADCAST_LANGUAGES = 10_000
+#: Bounds of the whole sample: the languages with most rows, their rows and landmarks together.
+LANGUAGES = 500
+ROWS = 20_000
+MARKS = 2048
 BATCH = 64
+BLOCK = 256
 UNKNOWN = "und"
 LETTER = r"\p{L}"
 
@@ -57,17 +62,21 @@ def presence(texts: list[str]) -> np.ndarray:
 
 
 class Model:
-    """languages, landmark matrix (DIM x m, columns scaled) and coefficients (m x languages)."""
+    """languages, landmarks (packed presence vectors and their sizes) and coefficients (landmarks x languages).
+
+    What travels to the workers is a bit for each place of each landmark, at most MARKS * DIM bits;
+    workers unpack BLOCK landmarks at a time, and keep them if they are all.
+    """
 
     def __init__(self, bits: np.ndarray, labels: list[str]):
         """bits: presence vectors, packed, one per row; labels: their languages."""
         self.languages = sorted(set(labels))
         label = np.array(labels)
-        marks = np.concatenate([np.flatnonzero(label == x)[:LANDMARKS] for x in self.languages])
+        per = max(1, min(LANDMARKS, MARKS // len(self.languages)))
+        marks = np.concatenate([np.flatnonzero(label == x)[:per] for x in self.languages])
         size = np.sqrt(np.maximum(np.bitwise_count(bits).sum(axis=1, dtype=np.int64), 1))
-        self.landmarks = np.ascontiguousarray((np.unpackbits(bits[marks], axis=1) / size[marks, None].astype(np.float32)).T)
-        parts = [np.unpackbits(bits[i : i + BATCH], axis=1).astype(np.float32) @ self.landmarks for i in range(0, len(bits), BATCH)]
-        kernel = np.concatenate(parts) / size[:, None]
+        self.bits, self.size = bits[marks], size[marks].astype(np.float32)
+        kernel = np.concatenate([self.kernel(np.unpackbits(bits[i : i + BATCH], axis=1).astype(np.float32)) for i in range(0, len(bits), BATCH)])
         values, vectors = np.linalg.eigh(kernel[marks].astype(np.float64))
         good = values > 1e-6 * values[-1]
         root = vectors[:, good] / np.sqrt(values[good])
@@ -76,10 +85,25 @@ class Model:
         weights = np.linalg.solve(space.T @ space + RIDGE * len(bits) * np.diag([*np.ones(root.shape[1]), 0]) / len(self.languages) ** 2, space.T @ target)
         self.coefficients, self.bias = (root @ weights[:-1]).astype(np.float32), weights[-1].astype(np.float32)
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "unpacked"}
+
+    def landmarks(self) -> Iterator[np.ndarray]:
+        """Matrices of DIM x at most BLOCK landmarks, each over its size."""
+        if "unpacked" in self.__dict__:
+            yield self.unpacked
+            return
+        for at in range(0, len(self.bits), BLOCK):
+            block = np.ascontiguousarray((np.unpackbits(self.bits[at : at + BLOCK], axis=1) / self.size[at : at + BLOCK, None]).T.astype(np.float32))
+            if len(self.bits) <= BLOCK:
+                self.unpacked = block
+            yield block
+
+    def kernel(self, presences: np.ndarray) -> np.ndarray:
+        return np.concatenate([presences @ block for block in self.landmarks()], axis=1) / np.sqrt(np.maximum(presences.sum(axis=1), 1))[:, None]
+
     def scores(self, texts: list[str]) -> np.ndarray:
-        x = presence(texts)
-        kernel = (x @ self.landmarks) / np.sqrt(np.maximum(x.sum(axis=1), 1))[:, None]
-        return kernel @ self.coefficients + self.bias
+        return self.kernel(presence(texts)) @ self.coefficients + self.bias
 
 
 def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,14 +115,14 @@ def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(rows: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """A model from rows with text and lang; None if no row has both and a letter.
 
-    The driver gets at most per_language vectors of DIM bits for each language.
+    The driver gets at most per_language vectors of DIM bits for each language, ROWS in all.
     """
     usable = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(LETTER)).select("lang", "text", F.xxhash64("text").alias("h"))
-    counts = cut(usable.groupBy("lang").agg(F.count("*").alias("n")))
+    counts = cut(usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES))
+    per_language = max(1, min(per_language, ROWS // max(1, counts.count())))
     # a uniform draw of about three times the bound leaves little to rank, also for a hot language
     share = F.least(F.lit(1.0), F.lit(3.0 * per_language) / F.col("n"))
-    small = F.broadcast(counts) if counts.count() <= BROADCAST_LANGUAGES else counts
-    drawn = usable.join(small, "lang").filter(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30))
+    drawn = usable.join(F.broadcast(counts), "lang").filter(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30))
     ranked = drawn.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).filter(F.col("r") <= per_language)
     found = sorted((r.lang, bytes(r.bits)) for r in ranked.select("lang", "text").mapInArrow(packed, "lang string, bits binary").collect())
     if not found:
