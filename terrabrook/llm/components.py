@@ -16,7 +16,8 @@ from .common import cut
 def star(edges: DataFrame, small: bool) -> DataFrame:
     """edges (u > v). Large star: links each larger neighbour to the node's least neighbour or itself."""
     both = edges if small else edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    # cut: the join then has an exchange on either side, so that the rows of a hub can be split
+    least = cut(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
     joined = both.join(least, "u")
     if small:
         out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
