@@ -16,6 +16,7 @@ CHECKED fingerprints are passed on whole.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -27,12 +28,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, table
+from .common import cut, stash, table
 from .components import connected_components
 
 BITS = 64
 RADIUS = 4
 WORDS = 4
+#: Near duplicates: word prints of a text, words of a shingle, and the least similarity of their sets.
+WORD_PRINTS = 2
+VERIFIED = 5
+SIMILARITY = 0.8
+#: Words whose hashes a task remembers, and nodes that are broadcast.
+REMEMBERED = 500_000
+BROADCAST_NODES = 1_000_000
 #: Fingerprints of a key up to which distances are checked within it.
 CHECKED = 64
 UPPER_TO_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -176,6 +184,100 @@ def simhash_components(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return marked.join(members, "fp").select("doc_id", "fp", "component_id")
 
 
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode().translate(UPPER_TO_LOWER).split()
+
+
+def word_prints(words: list[bytes], hashes: dict[bytes, int], n: int = WORD_PRINTS) -> list[int]:
+    """n SimHashes of the set of a text's words, as signed longs; zeros without a word. hashes is a memory of words' hashes."""
+    if not words:
+        return [0] * n
+    if len(hashes) > REMEMBERED:
+        hashes.clear()
+    found = []
+    for w in set(words):
+        h = hashes.get(w)
+        if h is None:
+            h = hashes[w] = xxhash.xxh64_intdigest(w, 42)
+        found.append(h)
+    base, out = np.array(found, np.uint64), []
+    for k in range(n):
+        h = base ^ np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+        ones = sum(np.unpackbits(h[at : at + 4096].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64) for at in range(0, len(h), 4096))
+        out.append(int.from_bytes(np.packbits(ones * 2 > len(h)).tobytes(), "big", signed=True))
+    return out
+
+
+PRINTS = T.StructType([T.StructField("fp", T.LongType()), T.StructField("words", T.ArrayType(T.LongType()))])
+
+
+@F.pandas_udf(PRINTS)
+def all_prints(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """The fingerprint and the word prints of whole texts."""
+    hashes: dict[bytes, int] = {}
+    for texts in batches:
+        fp = np.array([fingerprint(x) for x in texts], np.uint64).view(np.int64)
+        yield pd.DataFrame({"fp": fp, "words": [word_prints(words_of(x), hashes) for x in texts]})
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Hashes of a text's different VERIFIED-word shingles; of its whole word sequence if it has fewer words."""
+    digest = xxhash.xxh64_intdigest
+    for texts in batches:
+        out = []
+        for text in texts:
+            w = words_of(text)
+            found = {digest(b" ".join(w[i : i + VERIFIED]), 42) for i in range(max(1, len(w) - VERIFIED + 1))}
+            out.append(np.fromiter(found, np.uint64, len(found)).view(np.int64))
+        yield pd.Series(out)
+
+
+def pairs_of(nodes: DataFrame, radius: int) -> DataFrame:
+    """a, b (a < b): of nodes (node, fp) each with the least node of its fingerprint, and those of linked fingerprints."""
+    least = cut(nodes.groupBy("fp").agg(F.min("node").alias("least")))
+    own = nodes.join(least, "fp").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    links = cut(simhash_links(least.select("fp"), radius))
+    left, right = least.select(F.col("fp").alias("u"), F.col("least").alias("x")), least.select(F.col("fp").alias("v"), F.col("least").alias("y"))
+    other = links.join(left, "u").join(right, "v").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return own.unionByName(other).filter("a < b").distinct()
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, group_id (the smallest doc_id of its group) for every doc_id of docs.
+
+    Documents are linked if their fingerprints are within the radius, as in simhash_components, and if
+    one of their word prints is and their sets of VERIFIED-word shingles have at least the Jaccard
+    similarity.  The first are links by definition; word prints only propose pairs, since single words
+    change less than shingles do, and each pair is checked on its whole texts.  Candidates are, as there,
+    each with the least of its bucket.
+
+    Equal texts are one group.  Null and empty texts are alike.  Rows that repeat a doc_id share a group.
+    Extra columns are not returned.
+    """
+    text = F.coalesce("text", F.lit(""))
+    marked = stash(docs.filter(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g"), all_prints("text").alias("p")), "prints")
+    texts = marked.groupBy("h", "g").agg(F.min("doc_id").alias("node"), F.first("p").alias("p"))
+    texts = cut(texts)
+    nodes = texts.select("node", F.col("p.fp").alias("fp"))
+    sure = pairs_of(nodes, radius)
+    proposed = functools.reduce(DataFrame.unionByName, [pairs_of(texts.select("node", F.get("p.words", k).alias("fp")), radius) for k in range(WORD_PRINTS)])
+    asked = cut(proposed.distinct().join(sure, ["a", "b"], "left_anti"))
+    wanted = cut(asked.select(F.col("a").alias("doc_id")).unionByName(asked.select(F.col("b").alias("doc_id"))).distinct())
+    mine = docs.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted, "doc_id", "left_semi").select("doc_id", shingles("text").alias("s"))
+    sets = cut(mine.groupBy("doc_id").agg(F.max("s").alias("s")))
+    both = asked.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    near = both.filter(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b")
+    parts = connected_components(sure.unionByName(near).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    # doc_ids of one text are joined by their node; a doc_id with several texts joins their groups
+    home = texts.select("h", "g", "node").join(parts, "node", "left").select("h", "g", F.coalesce("component", "node").alias("group_id"))
+    return marked.join(cut(home), ["h", "g"]).groupBy("doc_id").agg(F.min("group_id").alias("group_id"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"

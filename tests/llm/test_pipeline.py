@@ -1,3 +1,4 @@
+import os
 import random
 from collections import defaultdict
 
@@ -10,7 +11,7 @@ from .test_decontaminate import brute as brute_found
 from .test_line_dedup import brute as brute_lines
 from .test_packing import encoding
 from .test_quality import brute_verdicts
-from .test_simhash import brute_components, brute_fingerprint
+from .test_simhash import brute_groups
 
 
 def corpus():
@@ -35,8 +36,7 @@ def brute(rows, items):
     verdict = brute_verdicts([r[:4] for r in rows])
     left = {i: t for i, t, *_ in rows if verdict[i][1]}
     left = {i: t for _, i, _, _, t in brute_lines(list(left.items()))}
-    prints = {i: brute_fingerprint(t) for i, t in left.items()}
-    group = brute_components(prints)
+    group = brute_groups(left)
     left = {i: t for i, t in left.items() if group[i] == i}
     found = {d for d, _ in brute_found(list(left.items()), items)}
     return {i: t for i, t in left.items() if i not in found}
@@ -70,6 +70,26 @@ def test_empty_input(spark, tmp_path):
     assert P.run(spark, str(tmp_path)).collect() == []
 
 
+def test_null_ids_and_clashing_names(spark, tmp_path):
+    rng = random.Random(3)
+    item = " ".join("".join(rng.choice("aeiours") for _ in range(5)) for _ in range(20))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(None, item, "x"), (None, "clean words", "y"), (4, f"so {item}", "z"), (5, "clean words", "w")], "doc_id long, text string, _t string")
+    found = P.decontamination_stage(spark, docs, str(tmp_path))
+    assert found.columns == docs.columns and sorted(r["_t"] for r in found.collect()) == ["w", "y"]
+
+
+def test_nothing_is_left_behind(spark, tmp_path):
+    rows, items = corpus()
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    shared = common.shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(shared))
+    P.run(spark, str(tmp_path)).count()
+    new = [x for x in set(os.listdir(shared)) - before if not x.startswith("rdd-")]
+    assert len(new) == 1 and os.listdir(f"{shared}/{new[0]}") == [str(len(P.STAGES) - 1)]
+
+
 def test_one_row_of_repeated_doc_ids_stays(spark):
     rows = [(5, "one two three four five six"), (5, "one two three four five six"), (9, "other words stand here alone now"), (None, "x y z u v w")]
     docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
