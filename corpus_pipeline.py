@@ -18,7 +18,7 @@ from terrabrook.llm.decontaminate import contaminated
 from terrabrook.llm.line_dedup import dedup_lines
 from terrabrook.llm.packing import pack_documents
 from terrabrook.llm.quality import filter_quality
-from terrabrook.llm.simhash import simhash_components
+from terrabrook.llm.simhash import near_duplicates
 
 BROADCAST_ROWS = 100_000
 
@@ -42,13 +42,14 @@ def without(docs: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the row with the smallest doc_id, any one of equal doc_ids.
+    """Of each group of near duplicates the row with the smallest doc_id, any one of equal doc_ids.
 
-    Rows without a doc_id stay.
+    Groups are those of near_duplicates: SimHash links, and pairs of five-word similarity of 0.8 or more
+    that word prints propose.  Rows without a doc_id stay.
     """
-    found = cut(simhash_components(docs))
-    left = without(docs, found.filter("doc_id <> component_id").select("doc_id"), ["doc_id"])
-    if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+    found = cut(near_duplicates(docs))
+    left = without(docs, found.filter("doc_id <> group_id").select("doc_id"), ["doc_id"])
+    if docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
         return left
     return left.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.filter("doc_id is null"))
 
