@@ -538,6 +538,14 @@ def session_and_config_lookup(spark, sf_dir):
     return records.settings(found, "name", config, lambda v: records.aes_decrypted(v, secret)).select("s_suppkey", "session_state", "setting")
 
 
+@query("SELECT o_orderkey, o_orderkey AS back, true AS long_enough FROM orders")
+def job_id_codes(spark, sf_dir):
+    from .functions import ids
+
+    coded = table(spark, sf_dir, "orders").select("o_orderkey", ids.encoded_id(F.col("o_orderkey"), "salt").alias("code"))
+    return coded.select("o_orderkey", ids.decoded_id(F.col("code"), "salt").alias("back"), (F.length("code") >= 32).alias("long_enough"))
+
+
 @query("""SELECT o_orderkey AS id, o_orderdate AS created_at FROM orders WHERE o_orderkey % 8 IN (6, 7)""")
 def all_failed_jobs(spark, sf_dir):
     k = F.col("o_orderkey")
