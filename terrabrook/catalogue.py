@@ -888,3 +888,51 @@ def review_totals(spark, sf_dir):
     pages = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", (F.col("l_linenumber") % 2).alias("page")).agg(F.collect_list(r).alias("reviews"))
     lists = all_reviews(pages, "l_orderkey")
     return lists.select("l_orderkey", F.size("reviews").cast("long").alias("reviews"), F.aggregate("reviews", F.lit(0).cast("long"), lambda a, x: a + x["Rating"]).alias("stars"))
+
+
+@query("SELECT c_custkey, c_custkey AS review_count FROM customer")
+def review_counts(spark, sf_dir):
+    from .operators.places import review_counts as counts
+
+    return counts(payloads(spark, sf_dir))
+
+
+@query("SELECT n_nationkey::VARCHAR AS id, 'search' AS kind, 'https://www.google.com/maps/search/' || n_name || '+bar/@1.5,2.5,14z?hl=de' AS url, 3 AS depth FROM nation")
+def seed_jobs(spark, sf_dir):
+    queries = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("id"), F.concat("n_name", F.lit(" bar")).alias("text"))
+    return seeds.seed_jobs(queries, "de", 3, "1.5, 2.5", 14).select("id", "kind", "url", "depth")
+
+
+@query(r"""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'https://x.example/' || p_partkey || '?a=b' WHEN p_partkey % 3 = 1 THEN 'bad\q' || p_partkey ELSE 'plain' || p_partkey END AS link FROM part""")
+def unescaped_urls(spark, sf_dir):
+    k = F.col("p_partkey")
+    quoted_url = F.concat(F.lit("https:\\u002f\\/x.example\\/"), k, F.lit("?a\\u003db"))
+    given = F.when(k % 3 == 0, quoted_url).when(k % 3 == 1, F.concat(F.lit("bad\\q"), k)).otherwise(F.concat(F.lit("plain"), k))
+    return table(spark, sf_dir, "part").select("p_partkey", url.unescaped(given).alias("link"))
+
+
+@query("""SELECT n_name AS key, CASE WHEN n_nationkey % 4 = 0 THEN 'third' WHEN n_nationkey % 2 = 0 THEN 'second' ELSE 'first' END AS value, n_nationkey AS created FROM nation UNION ALL SELECT 'new ' || r_name, 'only', 100 FROM region""")
+def config_upsert(spark, sf_dir):
+    """Settings: the last value wins, the creation stays."""
+    n = table(spark, sf_dir, "nation").select(F.col("n_name").alias("key"), F.lit("first").alias("value"), F.col("n_nationkey").cast("long").alias("created"))
+    k = F.col("created")
+    change = lambda rows, value, seq: rows.select("key", F.lit(value).alias("value"), F.lit(100).cast("long").alias("created"), F.lit(seq).cast("long").alias("seq"))
+    new = table(spark, sf_dir, "region").select(F.concat(F.lit("new "), "r_name").alias("key"))
+    updates = change(n.filter(k % 4 == 0), "third", 2).unionByName(change(n.filter(k % 2 == 0), "second", 1)).unionByName(change(new, "only", 1))
+    return R.upsert_last_wins(n, updates, "key", "seq", ["created"])
+
+
+@query("""WITH o AS (SELECT o_orderkey % 3 AS kind, o_orderdate, o_orderstatus, TIMESTAMP '1998-01-01' AS now FROM orders)
+SELECT 'sessions' AS what, count(*) AS n FROM o WHERE kind = 0 AND o_orderdate >= now UNION ALL SELECT 'limits', count(*) FROM o WHERE kind = 1 AND o_orderdate >= now - INTERVAL 1 HOUR
+UNION ALL SELECT 'jobs', count(*) FROM o WHERE kind = 2 AND NOT (o_orderstatus = 'F' AND o_orderdate < now - INTERVAL 30 DAY)""")
+def cleanup_rows(spark, sf_dir):
+    """What stays of sessions, limits and jobs."""
+    from datetime import datetime
+
+    now = F.lit(datetime(1998, 1, 1)).cast("timestamp_ntz")
+    time = F.col("o_orderdate").cast("timestamp_ntz")
+    o, kind = table(spark, sf_dir, "orders"), F.col("o_orderkey") % 3
+    jobs = o.filter(kind == 2).select(F.when(F.col("o_orderstatus") == "F", "completed").otherwise("running").alias("state"), time.alias("finalized_at"))
+    left = {"sessions": records.open_sessions(o.filter(kind == 0).select(time.alias("expires_at")), now), "limits": records.recent_limits(o.filter(kind == 1).select(time.alias("reset_at")), now), "jobs": records.unfinished_or_recent(jobs, now)}
+    counts = [rows.agg(F.count("*").alias("n")).select(F.lit(what).alias("what"), "n") for what, rows in left.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
