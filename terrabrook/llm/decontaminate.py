@@ -19,7 +19,6 @@ window hashes; what passes is joined as rows, whatever the size of the benchmark
 
 from __future__ import annotations
 
-import hashlib
 import itertools
 import re
 from collections.abc import Iterator
@@ -27,6 +26,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,35 +57,45 @@ WINDOWS = "id long, t long, channel int, size int, h long, at int, template stri
 
 
 def code(token: str) -> int:
-    return int.from_bytes(hashlib.blake2b(token.encode(), digest_size=8).digest(), "little")
+    return xxhash.xxh64_intdigest(token.encode(), 42)
 
 
-NAME_CODE = np.uint64(code(NAME))
+NAME_CODE, NUMBER_CODE = np.uint64(code(NAME)), code(NUMBER)
+UNIT_CODE = {u: code(f"<{d}>") for u, d in DIMENSION.items()}
 
 
 class Vocabulary(dict):
     """Token -> row of plain (its code), exact (for a number, the code of its digits), kind (0 mark, 1 number, 2 capitalised, 3 other) and unit.
 
-    Forgets all when it grows beyond a bound, between two texts.
+    table() makes the rows of new tokens known; forget() empties all.
     """
 
     def __init__(self):
         super().__init__()
-        self.plain, self.exact, self.kind, self.unit = np.zeros(1024, np.uint64), np.zeros(1024, np.uint64), np.zeros(1024, np.int8), np.zeros(1024, np.uint64)
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.fresh: list[tuple[int, int, int, int]] = []
+        self.columns = (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, np.uint64))
 
     def __missing__(self, token: str) -> int:
-        row = len(self)
-        if row == len(self.plain):
-            self.plain, self.exact, self.kind, self.unit = (np.concatenate((x, np.zeros_like(x))) for x in (self.plain, self.exact, self.kind, self.unit))
+        row = self[token] = len(self)
         lower = token.lower()
-        number = token[0].isdigit()
-        self.exact[row] = code(lower)
-        self.plain[row] = code(NUMBER) if number else self.exact[row]
-        self.kind[row] = 0 if token in ".!?:\n" else 1 if number else 2 if token[0].isupper() else 3
-        self.unit[row] = code(f"<{DIMENSION[lower]}>") if lower in DIMENSION else 0
-        self[token] = row
+        exact = code(lower)
+        first = token[0]
+        if first.isdigit():
+            self.fresh.append((NUMBER_CODE, exact, 1, 0))
+        else:
+            self.fresh.append((exact, exact, 0 if token in ".!?:\n" else 2 if first.isupper() else 3, UNIT_CODE.get(lower, 0)))
         return row
 
+    def table(self) -> tuple[np.ndarray, ...]:
+        if self.fresh:
+            self.columns = tuple(np.concatenate((c, np.array(x, c.dtype))) for c, x in zip(self.columns, zip(*self.fresh, strict=True), strict=True))
+            self.fresh = []
+        return self.columns
+
 
 class Channel(NamedTuple):
     """Places of some texts in one kind of template: the number of each place's first word (and of words, at the
@@ -103,12 +113,12 @@ def canonical(texts: list[str], vocabulary: Vocabulary) -> tuple[list[str], np.n
     found = [TOKEN.findall(t) for t in texts]
     tokens = list(itertools.chain.from_iterable(found))
     if len(vocabulary) > VOCABULARY:
-        vocabulary.clear()
+        vocabulary.forget()
     rows = np.fromiter(map(vocabulary.__getitem__, tokens), np.int64, len(tokens))
     sizes = np.fromiter(map(len, found), np.int64, len(found))
     text = np.repeat(np.arange(len(found)), sizes)
-    plain, unit = vocabulary.plain, vocabulary.unit
-    kinds = vocabulary.kind[rows]
+    plain, exact, kind, unit = vocabulary.table()
+    kinds = kind[rows]
     fresh = np.ones(len(rows), bool)
     fresh[1:] = text[1:] != text[:-1]
     starts = fresh.copy()
@@ -132,7 +142,7 @@ def canonical(texts: list[str], vocabulary: Vocabulary) -> tuple[list[str], np.n
 
     every = np.arange(len(rows) + 1)
     none = np.zeros_like(number)
-    channels = [with_names(capital & ~starts), Channel(every, lowered, number, is_unit, text), with_names(capital), Channel(every, vocabulary.exact[rows], none, none, text)]
+    channels = [with_names(capital & ~starts), Channel(every, lowered, number, is_unit, text), with_names(capital), Channel(every, exact[rows], none, none, text)]
     return tokens, np.flatnonzero(word), channels
 
 
