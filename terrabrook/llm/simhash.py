@@ -38,6 +38,7 @@ WORDS = 4
 WORD_PRINTS = 2
 VERIFIED = 5
 SIMILARITY = 0.8
+ROUNDS = 3
 #: Words whose hashes a task remembers, and nodes that are broadcast.
 REMEMBERED = 500_000
 BROADCAST_NODES = 1_000_000
@@ -115,18 +116,19 @@ def block_masks(radius: int) -> list[int]:
     return np.array([sum(c) for c in combinations(blocks, n - radius)], np.uint64).view(np.int64).tolist()
 
 
-def near_within_keys(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """side, key, fp in order of side and key -> the fp that have one of the same key within the radius.
+def near_rows(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+    """side, key, fp and perhaps more, in order of side and key -> the rows that have one of the same key within the radius.
 
     All of a key with more than CHECKED fingerprints count as near.  Holds a batch and the last
     CHECKED rows of the one before.
     """
-    kept = None  # side, key, fp, near of the last rows
+    kept = names = None  # near and columns of the last rows
     for batch in batches:
-        side, key, fp = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        near = np.zeros(len(fp), bool)
+        names = batch.schema.names
+        columns = [np.zeros(batch.num_rows, bool), *(c.to_numpy(zero_copy_only=False) for c in batch.columns)]
         if kept is not None:
-            side, key, fp, near = (np.concatenate(x) for x in zip(kept, (side, key, fp, near), strict=True))
+            columns = [np.concatenate(x) for x in zip(kept, columns, strict=True)]
+        near, side, key, fp = columns[:4]
         bits = fp.view(np.uint64)
         for step in range(1, CHECKED + 1):
             same = np.flatnonzero((key[step:] == key[:-step]) & (side[step:] == side[:-step])) if len(fp) > step else np.zeros(0, np.int64)
@@ -140,20 +142,29 @@ def near_within_keys(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator
                 np.add.at(cover, hit + step, -1)
                 near |= np.cumsum(cover[:-1]) > 0
         done = max(0, len(fp) - CHECKED)
-        found = np.unique(fp[:done][near[:done]])
-        if len(found):
-            yield pa.RecordBatch.from_arrays([pa.array(found)], ["fp"])
-        kept = side[done:], key[done:], fp[done:], near[done:]
-    if kept is not None and kept[3].any():
-        yield pa.RecordBatch.from_arrays([pa.array(np.unique(kept[2][kept[3]]))], ["fp"])
+        if near[:done].any():
+            yield pa.RecordBatch.from_arrays([pa.array(c[:done][near[:done]]) for c in columns[1:]], names)
+        kept = [c[done:] for c in columns]
+    if kept is not None and kept[0].any():
+        yield pa.RecordBatch.from_arrays([pa.array(c[kept[0]]) for c in kept[1:]], names)
 
 
-def with_partners(distinct: DataFrame, radius: int) -> DataFrame:
-    """The rows of distinct (fp) that have another fingerprint within the radius, and perhaps some more."""
+def near_within_keys(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+    """The different fingerprints of near_rows."""
+    for found in near_rows(batches, radius):
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(found.column(2).to_numpy()))], ["fp"])
+
+
+def keys_of(distinct: DataFrame, radius: int) -> DataFrame:
+    """side, key, fp for every choice of blocks, in order within whole keys."""
     masks = F.array(*[F.lit(m) for m in block_masks(radius)])
     keys = distinct.select("fp", F.posexplode(F.transform(masks, lambda m: F.col("fp").bitwiseAND(m))).alias("side", "key"))
-    sorted_keys = keys.repartition("side", "key").sortWithinPartitions("side", "key").select("side", "key", "fp")
-    return sorted_keys.mapInArrow(lambda b: near_within_keys(b, radius), "fp long").distinct()
+    return keys.repartition("side", "key").sortWithinPartitions("side", "key").select("side", "key", "fp")
+
+
+def with_partners(distinct: DataFrame, radius: int) -> DataFrame:
+    """The rows of distinct (fp) that have another fingerprint within the radius, and perhaps some more."""
+    return keys_of(distinct, radius).mapInArrow(lambda b: near_within_keys(b, radius), "fp long").distinct()
 
 
 def simhash_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -236,46 +247,98 @@ def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series(out)
 
 
-def pairs_of(nodes: DataFrame, radius: int) -> DataFrame:
-    """a, b (a < b): of nodes (node, fp) each with the least node of its fingerprint, and those of linked fingerprints."""
-    least = cut(nodes.groupBy("fp").agg(F.min("node").alias("least")))
-    own = nodes.join(least, "fp").select(F.col("least").alias("a"), F.col("node").alias("b"))
-    links = cut(simhash_links(least.select("fp"), radius))
-    left, right = least.select(F.col("fp").alias("u"), F.col("least").alias("x")), least.select(F.col("fp").alias("v"), F.col("least").alias("y"))
-    other = links.join(left, "u").join(right, "v").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    return own.unionByName(other).filter("a < b").distinct()
+def key_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+    """side, key, fp in order of side and key -> u, v: each fp that near_within_keys finds, with the first of its key.
 
+    Links only propose: v needn't be within the radius of u.
+    """
+    first = last = None
+
+    def noted() -> Iterator[pa.RecordBatch]:
+        nonlocal first, last
+        for batch in batches:
+            side, key, fp = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            fresh = np.ones(len(fp), bool)
+            fresh[1:] = (key[1:] != key[:-1]) | (side[1:] != side[:-1])
+            if len(fp) and last == (side[0], key[0]):
+                fresh[0] = False
+            at = np.maximum.accumulate(np.where(fresh, np.arange(len(fp)), -1))
+            starts_here = np.where(at >= 0, fp[np.maximum(at, 0)], first if first is not None else 0)
+            if len(fp):
+                first, last = starts_here[-1], (side[-1], key[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(starts_here)], ["side", "key", "fp", "first"])
+
+    for found in near_rows(noted(), radius):
+        u, v = found.column(2).to_numpy(), found.column(3).to_numpy()
+        links = np.unique(np.stack((u, v)), axis=1)
+        links = links[:, links[0] != links[1]]
+        if links.shape[1]:
+            yield pa.RecordBatch.from_arrays([pa.array(links[0]), pa.array(links[1])], ["u", "v"])
+
+
+def print_groups(prints: DataFrame, radius: int) -> DataFrame:
+    """node, fp, part: nodes whose prints (fp) hang together by keys with a near print, or are equal, have one part."""
+    spark = prints.sparkSession
+    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    links = keys_of(prints.select("fp").distinct().repartition(width), radius).mapInArrow(lambda b: key_links(b, radius), "u long, v long")
+    parts = connected_components(links)
+    return cut(prints.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select("node", "fp", F.coalesce("component", "fp").alias("part")))
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, group_id (the smallest doc_id of its group) for every doc_id of docs.
 
-    Documents are linked if their fingerprints are within the radius, as in simhash_components, and if
-    one of their word prints is and their sets of VERIFIED-word shingles have at least the Jaccard
-    similarity.  The first are links by definition; word prints only propose pairs, since single words
-    change less than shingles do, and each pair is checked on its whole texts.  Candidates are, as there,
-    each with the least of its bucket.
+def with_least(nodes: DataFrame, by: list[str]) -> DataFrame:
+    """a, b (a < b): each node with the least of its group."""
+    least = cut(nodes.groupBy(*by).agg(F.min("node").alias("a")))
+    return nodes.join(least, by).select("a", F.col("node").alias("b")).filter("a < b")
 
-    Equal texts are one group.  Null and empty texts are alike.  Rows that repeat a doc_id share a group.
-    Extra columns are not returned.
-    """
-    text = F.coalesce("text", F.lit(""))
-    marked = stash(docs.filter(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g"), all_prints("text").alias("p")), "prints")
-    texts = marked.groupBy("h", "g").agg(F.min("doc_id").alias("node"), F.first("p").alias("p"))
-    texts = cut(texts)
-    nodes = texts.select("node", F.col("p.fp").alias("fp"))
-    sure = pairs_of(nodes, radius)
-    proposed = functools.reduce(DataFrame.unionByName, [pairs_of(texts.select("node", F.get("p.words", k).alias("fp")), radius) for k in range(WORD_PRINTS)])
-    asked = cut(proposed.distinct().join(sure, ["a", "b"], "left_anti"))
+
+def similar_pairs(docs: DataFrame, asked: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b: doc_ids) whose sets of VERIFIED-word shingles have at least the Jaccard similarity."""
     wanted = cut(asked.select(F.col("a").alias("doc_id")).unionByName(asked.select(F.col("b").alias("doc_id"))).distinct())
     mine = docs.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted, "doc_id", "left_semi").select("doc_id", shingles("text").alias("s"))
     sets = cut(mine.groupBy("doc_id").agg(F.max("s").alias("s")))
     both = asked.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
-    near = both.filter(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b")
-    parts = connected_components(sure.unionByName(near).select(F.col("a").alias("u"), F.col("b").alias("v")))
-    # doc_ids of one text are joined by their node; a doc_id with several texts joins their groups
-    home = texts.select("h", "g", "node").join(parts, "node", "left").select("h", "g", F.coalesce("component", "node").alias("group_id"))
-    return marked.join(cut(home), ["h", "g"]).groupBy("doc_id").agg(F.min("group_id").alias("group_id"))
+    return cut(both.filter(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b"))
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+    """doc_id, group_id (the smallest doc_id of its group) for every doc_id of docs.
+
+    Documents are linked if their fingerprints are within the radius, as in simhash_components, and if
+    word prints propose them and their sets of VERIFIED-word shingles have at least the Jaccard
+    similarity.  The first are links by definition.  Word prints are SimHashes of the set of words, which
+    change less than shingles do; nodes whose prints hang together are compared, on their whole texts,
+    with the least of equal prints and with the least doc_id of all; those unlike it are compared with the
+    least among themselves, and so on for some rounds.  So each text is compared with a few others, and the
+    links found are a part of all: README gives the measured recall.
+
+    Equal texts are one group.  Null and empty texts are alike.  Rows that repeat a doc_id share a group,
+    rows without one have none.  Extra columns are not returned.
+    """
+    text = F.coalesce("text", F.lit(""))
+    marked = stash(docs.filter(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g"), all_prints("text").alias("p")), "prints")
+    texts = cut(marked.groupBy("h", "g").agg(F.min("doc_id").alias("node"), F.first("p").alias("p")))
+    classes = cut(texts.groupBy(F.col("p.fp").alias("fp")).agg(F.min("node").alias("least")))
+    own = texts.select("node", F.col("p.fp").alias("fp")).join(classes, "fp").select(F.col("least").alias("u"), F.col("node").alias("v"))
+    linked = connected_components(simhash_links(classes.select("fp"), radius))
+    centre = cut(classes.join(linked.withColumnRenamed("node", "fp"), "fp").select("least", "component"))
+    sure = own.unionByName(centre.join(cut(centre.groupBy("component").agg(F.min("least").alias("u"))), "component").select("u", F.col("least").alias("v"))).filter("u <> v")
+    near, left = [], [print_groups(texts.select("node", F.get("p.words", k).alias("fp")), radius) for k in range(WORD_PRINTS)]
+    asked = functools.reduce(DataFrame.unionByName, [with_least(g, ["part"]).unionByName(with_least(g, ["fp"])) for g in left])
+    for _ in range(rounds):
+        asked = cut(asked.distinct())
+        if asked.isEmpty():
+            break
+        near.append(similar_pairs(docs, asked, similarity))
+        # centres and what was like its centre are settled; the rest look for another
+        settled = cut(near[-1].select(F.col("a").alias("node")).unionByName(near[-1].select(F.col("b").alias("node"))).distinct())
+        tried = asked.select(F.col("a").alias("node")).distinct()
+        left = [cut(g.join(settled.unionByName(tried).distinct(), "node", "left_anti")) for g in left]
+        asked = functools.reduce(DataFrame.unionByName, [with_least(g, ["part"]) for g in left])
+    links = functools.reduce(DataFrame.unionByName, [n.select(F.col("a").alias("u"), F.col("b").alias("v")) for n in near], sure)
+    parts = connected_components(links)
+    home = cut(texts.select("h", "g", "node").join(parts, "node", "left").select("h", "g", F.coalesce("component", "node").alias("group_id")))
+    return marked.join(home, ["h", "g"]).groupBy("doc_id").agg(F.min("group_id").alias("group_id"))
 
 
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
