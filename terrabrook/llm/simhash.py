@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, stash, table
+from .common import cut, cut_and_free, stash, table
 from .components import connected_components
 
 BITS = 64
@@ -277,11 +277,12 @@ def key_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Rec
 
 
 def print_groups(prints: DataFrame, radius: int) -> DataFrame:
-    """node, fp, part: nodes whose prints (fp) hang together by keys with a near print, or are equal, have one part."""
+    """node, fp, part: nodes whose prints (fp) are equal, or hang together by their keys with a near print, have one part."""
     spark = prints.sparkSession
     width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     links = keys_of(prints.select("fp").distinct().repartition(width), radius).mapInArrow(lambda b: key_links(b, radius), "u long, v long")
-    parts = connected_components(links)
+    # a print hangs on the least of its keys' first prints: one link for each, however many keys it shares
+    parts = connected_components(cut_and_free(links.groupBy("u").agg(F.min("v").alias("v"))))
     return cut(prints.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select("node", "fp", F.coalesce("component", "fp").alias("part")))
 
 
