@@ -11,7 +11,7 @@ from .test_decontaminate import brute as brute_found
 from .test_line_dedup import brute as brute_lines
 from .test_packing import encoding
 from .test_quality import brute_verdicts
-from .test_simhash import brute_groups
+from .test_simhash import brute_components, brute_fingerprint
 
 
 def corpus():
@@ -36,7 +36,7 @@ def brute(rows, items):
     verdict = brute_verdicts([r[:4] for r in rows])
     left = {i: t for i, t, *_ in rows if verdict[i][1]}
     left = {i: t for _, i, _, _, t in brute_lines(list(left.items()))}
-    group = brute_groups(left)
+    group = brute_components({i: brute_fingerprint(t) for i, t in left.items()})
     left = {i: t for i, t in left.items() if group[i] == i}
     found = {d for d, _ in brute_found(list(left.items()), items)}
     return {i: t for i, t in left.items() if i not in found}

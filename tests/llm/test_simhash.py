@@ -99,59 +99,3 @@ def test_empty_table_and_null_ids(spark):
     assert simhash.simhash_components(empty).collect() == []
     df = spark.createDataFrame([(None, "a b"), (4, "a b"), (4, "a b")], "doc_id long, text string")
     assert sorted(r.component_id for r in simhash.simhash_components(df).collect()) == [4, 4, 4]
-
-
-def shingle_set(text):
-    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-
-
-def similar(a, b):
-    return len(shingle_set(a) & shingle_set(b)) >= 0.8 * len(shingle_set(a) | shingle_set(b))
-
-
-def brute_groups(texts):
-    """doc_id -> smallest doc_id over links of fingerprints within 4 bits or five-word similarity of 0.8."""
-    prints = {i: brute_fingerprint(t) for i, t in texts.items()}
-    linked = {i: {j for j in texts if (prints[i] ^ prints[j]).bit_count() <= 4 or similar(texts[i], texts[j])} for i in texts}
-    out = {}
-    for start in sorted(texts):
-        todo = [start]
-        while todo:
-            if (i := todo.pop()) not in out:
-                out[i] = start
-                todo += linked[i]
-    return out
-
-
-def edited(rng, text, n):
-    words = text.split()
-    for i in rng.sample(range(len(words)), n):
-        words[i] = f"new{rng.randrange(10**6)}"
-    return " ".join(words)
-
-
-def test_near_copies_are_found(spark):
-    """Copies of 200 words with one to four changed: similarity 0.82 to 0.95."""
-    rng = random.Random(31)
-    page = lambda: " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(3000)}" for _ in range(200))
-    originals = [page() for _ in range(60)]
-    texts = {i: t for i, t in enumerate(originals)}
-    texts |= {1000 + i: edited(rng, t, 1 + i % 4) for i, t in enumerate(originals)}
-    texts |= {2000 + i: edited(rng, t, 40) for i, t in enumerate(originals[:20])}  # too far
-    want = brute_groups(texts)
-    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
-    got = {r.doc_id: r.group_id for r in simhash.near_duplicates(df).collect()}
-    assert set(got) == set(texts)
-    found = [got[1000 + i] == i for i in range(60)]
-    assert all(want[1000 + i] == i for i in range(60)) and sum(found) >= 56
-    assert all(got[i] in (want[i], i) for i in texts)  # never more than the links allow
-    assert all(got[2000 + i] == 2000 + i == want[2000 + i] for i in range(20))
-
-
-def test_near_duplicates_at_the_edges(spark):
-    page = " ".join(f"w{i}" for i in range(80))
-    rows = [(5, page), (5, page), (3, page + " tail"), (None, page), (9, None), (8, ""), (7, "a b"), (6, "a b"), (4, "a b c")]
-    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, group_id int")
-    assert {r.doc_id: r.group_id for r in simhash.near_duplicates(df).collect()} == {5: 3, 3: 3, 9: 8, 8: 8, 7: 6, 6: 6, 4: 4}
-    assert simhash.near_duplicates(df.limit(0)).collect() == []
