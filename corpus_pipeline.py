@@ -13,12 +13,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrabrook.llm.common import cut, delete_folder, discard, shared_folder, table
+from terrabrook.llm.common import cut, delete_folder, shared_folder, stored_for, table
 from terrabrook.llm.decontaminate import contaminated
 from terrabrook.llm.line_dedup import dedup_lines
 from terrabrook.llm.packing import pack_documents
 from terrabrook.llm.quality import filter_quality
-from terrabrook.llm.simhash import simhash_components
+from terrabrook.llm.simhash import surplus
 
 BROADCAST_ROWS = 100_000
 
@@ -35,30 +35,35 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
-def without(docs: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
-    """docs but for the keys in gone; these are broadcast up to BROADCAST_ROWS, and shuffled beyond."""
-    gone = cut(gone.distinct())
-    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, keys, "left_anti")
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a struct of doc_id and the text's hash (structs of null are equal), and its name."""
+    key = next(name for k in itertools.count() if (name := f"_text_{k}") not in docs.columns)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.withColumn(key, F.struct("doc_id", F.xxhash64(text).alias("t"))), key
+
+
+def without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """docs but for the keys in gone (doc_id, t); these are broadcast up to BROADCAST_ROWS, and shuffled beyond."""
+    gone = cut(gone.select(F.struct("doc_id", "t").alias(key)).distinct())
+    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, [key], "left_anti")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the row with the smallest doc_id, any one of equal doc_ids.
+    """One row of each SimHash component: that with the smallest doc_id, a null one counting as the largest.
 
-    Rows without a doc_id stay.
+    Rows that share a doc_id but not a text are documents of their own; of equal rows one stays.
     """
-    found = cut(simhash_components(docs))
-    left = without(docs, found.filter("doc_id <> component_id").select("doc_id"), ["doc_id"])
-    if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return left
-    return left.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.filter("doc_id is null"))
+    marked, key = keyed(docs)
+    gone, repeated = surplus(docs)
+    left = without(marked, gone, key)
+    return (left.dropDuplicates([key]) if repeated else left).drop(key)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item was found, also those without a doc_id."""
-    key = next(name for k in itertools.count() if (name := f"_text_{k}") not in docs.columns)
-    same = F.struct("doc_id", F.xxhash64("text").alias("t"))  # structs of null are equal
-    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.struct("doc_id", "t").alias(key))
-    return without(docs.withColumn(key, same), found, [key]).drop(key)
+    marked, key = keyed(docs)
+    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "t")
+    return without(marked, found, key).drop(key)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,15 +86,15 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir.
 
-    What a stage and its operator stored is deleted once the next has written; the last stage's
-    rows stay, since the result reads them.
+    What a stage's operator stored is deleted once the stage has written, and a stage's rows once the
+    next has; the last stage's rows stay, since the result reads them.  Other results' files stay.
     """
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        with stored_for(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
-        discard(spark)
         if k:
             delete_folder(spark, f"{folder}/{k - 1}")
     return docs

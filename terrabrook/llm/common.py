@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,32 +35,43 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-#: Folders that stash() made and discard() has not deleted.
-STASHED: list[str] = []
+#: The folders that stash() made in the open stored_for() of this thread; None outside of one.
+OWNED: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("owned", default=None)
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet in the shared folder and read again; readers fetch only the columns they need.
 
-    The folder stays until discard(), for what is returned is read later.
+    The folder stays, for what is returned is read later, unless stored_for() is open around the call.
     """
     folder = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    STASHED.append(folder)
+    if (owned := OWNED.get()) is not None:
+        owned.append(folder)
     df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.parquet(folder)
 
 
+@contextlib.contextmanager
+def stored_for(spark: SparkSession) -> Iterator[None]:
+    """For a run that writes its result inside: what stash() stored there is deleted at the end.
+
+    Folders of other runs, before, after or in other threads, stay.
+    """
+    owned: list[str] = []
+    token = OWNED.set(owned)
+    try:
+        yield
+    finally:
+        OWNED.reset(token)
+        for folder in owned:
+            delete_folder(spark, folder)
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def discard(spark: SparkSession) -> None:
-    """Deletes the folders of all stash() calls; for when their results are written."""
-    while STASHED:
-        delete_folder(spark, STASHED.pop())
-
-
 def cut(df: DataFrame) -> DataFrame:
     """df, written to the shared checkpoint folder so that lost executors cost no recomputation."""
     shared_folder(df.sparkSession)

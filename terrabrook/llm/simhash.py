@@ -158,24 +158,49 @@ def simhash_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return emitted.repartition(buckets, "variant").mapInArrow(link_buckets, "u long, v long")
 
 
+def simhash_classes(docs: DataFrame, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
+    """The rows of docs (doc_id, t, fp) and the classes of their fingerprints (fp, least, component).
+
+    t is the text's xxhash64, fp a signed long, least the smallest doc_id with the fingerprint, and
+    component the least fingerprint reachable.
+    """
+    marked = cut(docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"), fingerprints("text").alias("fp")))
+    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    parts = connected_components(simhash_links(distinct.select("fp"), radius))
+    classes = distinct.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    # cut: joins with it then have an exchange on either side, so that a large component can be split
+    return marked, cut(classes)
+
+
 def simhash_components(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """doc_id, fp (signed long), component_id for every row of docs.
 
     Null and empty texts have fingerprint zero and link like others.  Repeated rows have equal
     fingerprints and share a component.  A null doc_id gets a component too but never names one
-    unless all of its members are null.  Extra columns are not returned.
+    unless all of its members are null.  Where a doc_id repeats with other texts, two components may
+    have one name; simhash_classes tells them apart.  Extra columns are not returned.
     """
-    marked = cut(docs.select("doc_id", fingerprints("text").alias("fp")))
-    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    parts = connected_components(simhash_links(distinct.select("fp"), radius))
-    classes = distinct.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    # cut: the join below then has an exchange on either side, so that a large component can be split
-    classes = cut(classes)
+    marked, classes = simhash_classes(docs, radius)
     named = cut(classes.groupBy("component").agg(F.min("least").alias("component_id")))
     members = classes.select("fp", "component").join(named, "component").select("fp", "component_id")
     return marked.join(members, "fp").select("doc_id", "fp", "component_id")
 
 
+def surplus(docs: DataFrame, radius: int = RADIUS) -> tuple[DataFrame, bool]:
+    """(doc_id, t) of the rows that leave when one row of each component stays, and whether equal rows stay.
+
+    The row that stays has the smallest doc_id (a null one is the largest), then the smallest t.
+    The flag says that some (doc_id, t) that stays occurs more than once.
+    """
+    marked, classes = simhash_classes(docs, radius)
+    rows = marked.groupBy("fp", "doc_id", "t").count().join(classes.select("fp", "component"), "fp")
+    rows = cut(rows.select("component", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t").alias("row"), "count"))
+    first = cut(rows.groupBy("component").agg(F.min("row").alias("first"), F.count("*").alias("rows")))
+    gone = rows.join(first.filter("rows > 1"), "component").filter("row <> first").select("row.doc_id", "row.t")
+    repeated = rows.filter("count > 1").join(first, "component").filter("row = first")
+    return gone, not repeated.isEmpty()
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"

@@ -2,10 +2,10 @@ import os
 import random
 from collections import defaultdict
 
-
-
 import corpus_pipeline as P
 from terrabrook.llm import common
+from terrabrook.llm.line_dedup import op5_line_dedup
+from terrabrook.llm.packing import op3_best_fit_packing
 
 from .test_decontaminate import brute as brute_found
 from .test_line_dedup import brute as brute_lines
@@ -94,3 +94,27 @@ def test_one_row_of_repeated_doc_ids_stays(spark):
     rows = [(5, "one two three four five six"), (5, "one two three four five six"), (9, "other words stand here alone now"), (None, "x y z u v w")]
     docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted((r.doc_id or 0) for r in P.near_duplicate_stage(spark, docs, "").collect()) == [0, 5, 9]
+
+
+TEXTS = {
+    "a": "alpha beta gamma delta epsilon zeta", "b": "one two three four five six seven", "c": "red orange yellow green blue indigo violet",
+    "d": "mercury venus earth mars jupiter saturn", "e": "do re mi fa sol la ti do",
+}
+
+
+def test_distinct_texts_of_one_doc_id_stay(spark):
+    rows = [(5, "a"), (5, "b"), (6, "c"), (7, "c"), (7, "d"), (None, "c"), (None, "e"), (None, "e"), (8, "d")]
+    docs = spark.createDataFrame([(i, TEXTS[k], k) for i, k in rows], "doc_id long, text string, t string")
+    left = P.near_duplicate_stage(spark, docs, "")
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.t) for r in left.collect()) == [(0, "e"), (5, "a"), (5, "b"), (6, "c"), (7, "d")]
+
+
+def test_other_results_stay_readable(spark, tmp_path):
+    rows, items = corpus()
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    packed, lines = op3_best_fit_packing(spark, str(tmp_path)), op5_line_dedup(spark, str(tmp_path))
+    first = P.run(spark, str(tmp_path))
+    n = P.run(spark, str(tmp_path)).count()
+    assert first.count() == n and lines.count() == len(rows) and packed.select("doc_id").distinct().count() == len(rows)
