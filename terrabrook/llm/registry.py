@@ -1,6 +1,6 @@
 """The corpus operators' queries and their DuckDB SQL."""
 
-from . import chat, decontaminate, language, licenses, line_dedup, packing, pii, quality, simhash, suffix_dedup
+from . import chat, decontaminate, language, licenses, line_dedup, packing, pii, quality, simhash, suffix_dedup, vector_codes, whitening
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
@@ -13,10 +13,13 @@ QUERIES = {
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_pii": pii.op9_pii,
     "op10_license_scans": licenses.op10_license_scans,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op13_whitening": whitening.op13_whitening,
 }
 ORACLES = {
     "op2_quality_rules": quality.OP2_SQL,
     "op5_line_dedup": line_dedup.OP5_SQL,
     "op6_chat_formatting": chat.OP6_SQL,
     "op8_suffix_dedup": suffix_dedup.OP8_SQL,
+    "op11_vector_codes": vector_codes.OP11_SQL,
 }
