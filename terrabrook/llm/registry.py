@@ -1,6 +1,6 @@
 """The corpus operators' queries and their DuckDB SQL."""
 
-from . import chat, decontaminate, language, licenses, line_dedup, packing, pii, quality, simhash, suffix_dedup, vector_codes, whitening
+from . import chat, decontaminate, html_text, language, licenses, line_dedup, packing, pii, quality, simhash, suffix_dedup, vector_codes, whitening
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_pii": pii.op9_pii,
     "op10_license_scans": licenses.op10_license_scans,
     "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_html_text": html_text.op12_html_text,
     "op13_whitening": whitening.op13_whitening,
 }
 ORACLES = {
