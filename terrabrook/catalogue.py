@@ -751,8 +751,8 @@ def stream_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def finished(spark: SparkSession, stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Runs the stream over what is there into Parquet beside its checkpoint in the shared folder."""
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share: under the session's checkpoint folder, or a temporary one on a local master."""
     import tempfile
     import uuid
 
@@ -760,12 +760,32 @@ def finished(spark: SparkSession, stream: DataFrame, name: str, mode: str = "app
     shared = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not shared and not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    folder = f"{shared or tempfile.mkdtemp()}/{name}-{uuid.uuid4().hex}"
+    return f"{shared or tempfile.mkdtemp()}/{name}-{uuid.uuid4().hex}"
+
+
+def finished(spark: SparkSession, stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
+    """Runs the stream over what is there into Parquet beside its checkpoint in the shared folder."""
+    folder = shared_folder(spark, name)
     query = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode(mode).trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")
 
 
+@query("""SELECT o_orderkey::VARCHAR AS id, 0 AS part, 'order "' || o_orderpriority || '",' || chr(10) || o_orderkey AS title FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT o_orderkey::VARCHAR, 1, 'again' FROM orders WHERE o_orderstatus = 'O' AND o_orderkey % 7 = 0""")
+def parts_by_job(spark, sf_dir):
+    """Three jobs' results in one folder, of which F is written again and O gets a second part; O is read."""
+    from . import sources
+
+    folder = shared_folder(spark, "parts")
+    title = F.concat(F.lit('order "'), "o_orderpriority", F.lit('",\n'), "o_orderkey")
+    results = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("job"), F.col("o_orderkey").alias("id"), title.alias("title"))
+    sources.write_parts(results, folder, "job")
+    sources.write_parts(results.filter("job = 'F'").withColumn("title", F.lit("new")), folder, "job")
+    sources.write_parts(results.filter("job = 'O' and id % 7 = 0").withColumn("title", F.lit("again")), folder, "job", 1)
+    return sources.read_parts(spark, folder, "O")
+
+
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(spark, sf_dir):
     from .streaming import stream_dedup as dedup

@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..operators.relational import csv_rows, leads, place_csv, quarantined
+from ..operators.relational import csv_rows, place_csv, quarantined
+from .lead_sink import deliver_leads, read_ledger
+from .parts import checked_id, delete_parts, read_parts, write_parts
+from .sinks import FolderSink, Sink, register_sink
+from .tables import TableStore, store_rows, stream_to_table
+
+__all__ = [
+    "FolderSink", "Sink", "TableStore", "checked_id", "delete_parts", "deliver_leads", "read_ledger", "read_parts", "read_payloads", "read_query_lines", "read_result", "register_sink",
+    "register_writer", "store_rows", "stream_to_jdbc", "stream_to_table", "write_csv", "write_jdbc", "write_json", "write_parquet", "write_parts", "write_places", "write_results",
+]
 
 LOG = logging.getLogger(__name__)
 WRITERS: dict[str, Callable[[DataFrame, str], None]] = {}
@@ -47,20 +55,23 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_parts(df: DataFrame, path: str, job: str) -> None:
-    """CSV parts under a folder per job, on any file system Spark knows."""
-    csv_rows(df).write.mode("overwrite").partitionBy(job).option("header", True).csv(path)
-
-
 def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 50, **options: str) -> DataFrame:
-    """Appends the rows fit to store in batches; returns those set aside, with a NUL in any string, nested or not."""
-    good, bad = quarantined(df)
+    """Appends the rows fit to store in batches; returns those set aside, with a NUL in any string, nested or not.
+
+    df is computed once, into the checkpoint folder, so that a source that changes meanwhile has each
+    row on one side.  A failed append may leave rows, as JDBC writes have no ledger; tables.store_rows
+    has one, and sets aside what the database itself refuses.
+    """
+    good, bad = quarantined(df.checkpoint())
     good.write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", batch).options(**options).mode("append").save()
     return bad
 
 
 def stream_to_jdbc(stream: DataFrame, url: str, table: str, checkpoint: str, every: str = "1 minute", batch: int = 50, **options: str) -> StreamingQuery:
-    """Appends a stream to a table, a micro-batch each interval, in inserts of batch rows; unfit rows are logged by number."""
+    """Appends a stream to a table, a micro-batch each interval, in inserts of batch rows; unfit rows are logged by number.
+
+    A replayed batch is appended again; tables.stream_to_table stores each row once.
+    """
 
     def write(rows: DataFrame, number: int) -> None:
         unfit = write_jdbc(rows, url, table, batch, **options).count()
@@ -70,43 +81,6 @@ def stream_to_jdbc(stream: DataFrame, url: str, table: str, checkpoint: str, eve
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(processingTime=every).foreachBatch(write).start()
 
 
-FAILURES = "source_id string, name string, message string"
-
-
-def write_leads(places: DataFrame, create: Callable[[list[dict]], dict[int, str]], batch: int = 100) -> DataFrame:
-    """Sends the leads of places in bulks: create gets at most batch leads and returns messages by index.
-
-    Returns the failed rows (source_id, name, message), which don't fail the others; reading them is
-    what sends.  A place without a title fails the whole run.  Tasks hold one bulk each.
-    """
-    found = leads(places)
-    checked = found.withColumn("name", F.when(F.col("error").isNull(), F.col("name")).otherwise(F.raise_error(F.col("error")))).drop("error")
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def bulk(rows: list[dict]) -> pa.RecordBatch:
-            failed = create(rows)
-            columns = [[rows[i]["source_id"] for i in failed], [rows[i]["name"] for i in failed], list(failed.values())]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["source_id", "name", "message"])
-
-        waiting: list[dict] = []
-        for part in batches:
-            waiting += part.to_pylist()
-            while len(waiting) >= batch:
-                yield bulk(waiting[:batch])
-                waiting = waiting[batch:]
-        if waiting:
-            yield bulk(waiting)
-
-    return checked.mapInArrow(send, FAILURES)
-
-
-def checked_id(job: str) -> str:
-    """A job id that is safe in a path."""
-    if not job or any(part in job for part in ("/", "\\", "..")):
-        raise ValueError("invalid file name")
-    return job
-
-
 def read_result(spark: SparkSession, folder: str, job: str) -> DataFrame:
     """The stored CSV of a job, by its id; FileNotFoundError if there is none."""
     path = f"{folder}/{checked_id(job)}.csv"
@@ -116,12 +90,6 @@ def read_result(spark: SparkSession, folder: str, job: str) -> DataFrame:
     return spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
 
 
-def read_part(spark: SparkSession, folder: str, column: str, job: str) -> DataFrame:
-    """The rows of one job among the parts that write_parts stored; other parts are not read."""
-    checked_id(job)
-    return spark.read.option("header", True).csv(folder).filter(F.col(column).cast("string") == job)
-
-
 for _name, _write in (("csv", write_csv), ("json", write_json), ("parquet", write_parquet), ("places", write_places)):
     register_writer(_name, _write)
 

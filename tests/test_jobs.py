@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from terrabrook import sources
 from terrabrook.functions.html import feed_links_of
 from terrabrook.operators import jobs, records
-from terrabrook.operators.places import parse_places
 
 
 def test_feed_links():
@@ -97,26 +96,6 @@ def test_rates_and_limits(spark):
     assert [r.k for r in jobs.newest(rows, "t", "k", limit=2).collect()] == [4, 3] and jobs.newest(rows, "t", "k", limit=0).count() == 5
 
 
-def places_with(spark, titles):
-    from .test_places import json as text
-    from .test_places import place, put
-
-    rows = [(text.dumps(put(place(), (6, 11), t)),) for t in titles]
-    return parse_places(spark.createDataFrame(rows, "payload string")).withColumn("emails", F.array().cast("array<string>"))
-
-
-def test_lead_sink(spark):
-    sent = sources.write_leads(places_with(spark, [f"t{i}" for i in range(7)]).coalesce(1), bulk_of_three, batch=3).collect()
-    assert sorted((r.name, r.message) for r in sent) == [("t0", "of 3"), ("t3", "of 3"), ("t6", "of 1")]
-    with pytest.raises(Exception, match="title is empty"):
-        sources.write_leads(places_with(spark, ["a", ""]), bulk_of_three).collect()
-
-
-def bulk_of_three(rows):
-    assert len(rows) <= 3
-    return {0: f"of {len(rows)}"}
-
-
 def test_results_by_job(spark, tmp_path):
     df = spark.createDataFrame([("j1", 'say "a, b"\nnext', 1.5), ("j2", "z", 2.0)], "job string, t string, x double")
     sources.write_csv(df.filter("job = 'j1'").drop("job"), f"{tmp_path}/j1.csv")
@@ -126,8 +105,6 @@ def test_results_by_job(spark, tmp_path):
     for bad in ("../j1", "a/b", "a\\b", ""):
         with pytest.raises(ValueError):
             sources.read_result(spark, str(tmp_path), bad)
-    sources.write_parts(df, f"{tmp_path}/parts", "job")
-    assert sources.read_part(spark, f"{tmp_path}/parts", "job", "j2").first().x == "2.000000"
 
 
 def test_custom_writer_and_json(spark, tmp_path):
