@@ -2,16 +2,23 @@
 
 Every document gets its counts; documents that pass the base rules feed one quantile sketch for
 each (lang, source, feature).  A sketch is a set of log-linear buckets with their counts (relative
-error at most 1/32), so sketches merge by adding counts, in any order, with the same result, and
+error at most 1/128), so sketches merge by adding counts, in any order, with the same result, and
 hold a few hundred rows however large their group is.
 
-A group's limit is q90 (its bucket's upper end) + FENCE * (q90 - q50) of its own sketch; no constant stands in for a spread.
-Where at least nine of ten documents of a group have none of something, the limit is zero; otherwise
-it widens with the group's upper half.  A small group leans on its language, and a language on all:
-each sketch is taken with WEIGHT documents' worth of its parent's distribution, whatever its size,
-so thresholds change smoothly and no size is a switch.  A document is rejected if a feature exceeds
-its group's limit by more than one event (a symbol, a line, two like windows): one event makes a
-high rate in a short text.
+A group's limit comes from its own sketch: the middle q50, a unit, and a spread.  The unit is twice
+the lower quarter (q50 - q25), which the worst half of a group can't widen, and the share that one
+event (a symbol, a line, two like windows) makes in a document of the group's median size, so that
+features that most documents have none of have a unit too.  The spread is the mean logarithm of what
+lies BODY units above the middle, in units: every document adds to it, none has much weight, and no
+quantile decides at which share of bad documents it begins to grow.  The limit is
+middle + unit * (BODY + exp(REACH * spread) - 1).
+
+Where a group's spread is larger than its parent's (its language's, and a language's than that of
+all), its tail is the heavier one and the parent's counts: a source with more junk gets no looser
+rule for it.  A source that is of another kind as a whole differs in its middle and its unit.  A
+small group leans on its parent: each sketch is taken with WEIGHT documents' worth of the parent's
+distribution, whatever its size, so no size is a switch.  A document is rejected if a feature exceeds
+its group's limit by more than one event.
 """
 
 from __future__ import annotations
@@ -30,14 +37,17 @@ from .common import cut, stash, table
 MIN_WORDS = 50
 #: Documents' worth of the parent's distribution in every sketch.
 WEIGHT = 100
-FENCE = 3
+#: Units above the middle that count as a group's body, and how far a limit follows the spread beyond it.
+BODY, REACH = 4, 4
 #: Feature -> its counts (part per whole), the scale of its rate, and the part in one event.
 FEATURES = {
-    "word_length": ("word_chars", "n_words", 100, 0),
-    "symbols": ("n_symbols", "word_chars", 1000, 1),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 1),
-    "repeats": ("n_repeat_words", "n_words", 1000, 6),
+    "word_length": ("word_chars", "n_words", 10_000, 0),
+    "symbols": ("n_symbols", "word_chars", 1_000_000, 1),
+    "dup_lines": ("n_dup_lines", "n_lines", 1_000_000, 1),
+    "repeats": ("n_repeat_words", "n_words", 1_000_000, 6),
 }
+#: The sketches of the wholes, for the share of one event.
+SIZES = {f"{name}_size": (name, whole) for name, (_, whole, _, event) in FEATURES.items() if event}
 #: Thresholds are broadcast up to this many groups, and shuffled beyond.
 BROADCAST_GROUPS = 100_000
 
@@ -89,19 +99,20 @@ def within(name: str, limit: Column) -> Column:
 
 
 def bucket(v: Column) -> Column:
-    """The lower end of v's bucket: v with all but its six highest bits cleared."""
-    return F.when(v < 64, v).otherwise(v - v % width(v))
+    """The lower end of v's bucket: v with all but its eight highest bits cleared."""
+    return F.when(v < 256, v).otherwise(v - v % width(v))
 
 
 def width(v: Column) -> Column:
-    return F.when(v < 64, F.lit(1).cast("long")).otherwise(F.pow(F.lit(2.0), F.length(F.bin(v)) - 6).cast("long"))
+    return F.when(v < 256, F.lit(1).cast("long")).otherwise(F.pow(F.lit(2.0), F.length(F.bin(v)) - 8).cast("long"))
 
 
 def sketches(counted: DataFrame) -> DataFrame:
     """lang, source, feature, v, n: the sketch of each group, from rows with lang, source and q."""
+    given = {**{f: feature(f) for f in FEATURES}, **{s: F.col(f"q.{whole}") for s, (_, whole) in SIZES.items()}}
     return (
         counted.filter(~base_failed())
-        .select("lang", "source", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), feature(f).alias("x")) for f in FEATURES])).alias("f"))
+        .select("lang", "source", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), x.alias("x")) for f, x in given.items()])).alias("f"))
         .groupBy("lang", "source", F.col("f.feature").alias("feature"), bucket(F.col("f.x")).alias("v"))
         .agg(F.count("*").alias("n"))
     )
@@ -115,7 +126,27 @@ def leaning(sizes: DataFrame, counts: DataFrame, parent: DataFrame, key: str) ->
     shared = [c for c in parent.columns if c not in ("v", "p")]
     grid = sizes.join(parent, shared).join(counts, [key, "feature", "v"], "left")
     p = (F.coalesce("n", F.lit(0)) + F.lit(float(WEIGHT)) * F.col("p")) / (F.col("total") + F.lit(float(WEIGHT)))
-    return grid.select(key, "feature", "v", "total", p.alias("p"))
+    return grid.select(*dict.fromkeys([key, *shared]), "v", p.alias("p"))
+
+
+def shapes(shares: DataFrame) -> DataFrame:
+    """node, feature, middle, unit, spread of distributions (node, feature, v, p).
+
+    Shares count as whole billionths and logarithms as whole millionths: sums don't depend on their order.
+    """
+    part = Window.partitionBy("node", "feature")
+    weighed = shares.withColumn("w", F.floor(F.col("p") * 1e9))
+    ranked = weighed.withColumn("upto", F.sum("w").over(part.orderBy("v"))).withColumn("all", F.sum("w").over(part))
+    at = lambda quarters: F.min(F.when(F.col("upto") * 4 >= F.col("all") * quarters, F.col("v"))).over(part)
+    marked = ranked.withColumn("middle", at(2)).withColumn("quarter", at(1))
+    # the median sizes beside the features they belong to: an event's share is one of the features' size
+    size = F.coalesce(*[F.when(F.col("feature") == f, F.max(F.when(F.col("feature") == s, F.col("middle"))).over(Window.partitionBy("node"))) for s, (f, _) in SIZES.items()])
+    scales = F.create_map(*[F.lit(x) for f, (_, _, scale, event) in FEATURES.items() if event for x in (f, scale * event)])
+    one = F.coalesce(F.floor(scales[F.col("feature")] / F.greatest(size, F.lit(1))), F.lit(0))
+    unit = F.greatest(width(F.col("middle")), 2 * (F.col("middle") - F.col("quarter")) + one).cast("long")
+    excess = F.floor(F.log(1 + F.greatest(F.lit(0.0), (F.col("v") - F.col("middle")) / F.col("unit") - BODY)) * 1e6)
+    spread = F.sum(F.col("w") * excess) / F.sum("w") / 1e6
+    return marked.withColumn("unit", unit).filter(F.col("feature").isin(*FEATURES)).groupBy("node", "feature", "middle", "unit").agg(spread.alias("spread"))
 
 
 def thresholds(counted: DataFrame) -> DataFrame:
@@ -126,17 +157,22 @@ def thresholds(counted: DataFrame) -> DataFrame:
     sketch = cut(sketches(counted).select(F.struct("lang", "source").alias("group"), F.struct("lang").alias("family"), "feature", "v", "n"))
     counts = lambda *key: sketch.groupBy(*key, "feature", "v").agg(F.sum("n").alias("n"))
     sizes = lambda *key: sketch.groupBy(*key, "feature").agg(F.sum("n").alias("total"))
-    # at most some thousand buckets by the sketch's design
+    # some thousand buckets by the sketch's design, whatever the number of rows
     every = F.broadcast(counts().join(sizes(), "feature").select("feature", "v", (F.col("n") / F.col("total")).alias("p")))
-    family = leaning(sizes("family"), counts("family"), every, "family").select("family", "feature", "v", "p")
+    family = cut(leaning(sizes("family"), counts("family"), every, "family"))
     group = leaning(sizes("group", "family"), counts("group"), family, "group")
-    # whole thousandths of documents: their sums don't depend on the order
-    weighed = group.select("group", "feature", "v", F.floor(F.col("p") * (F.col("total") + F.lit(float(WEIGHT))) * 1000).alias("w"))
-    part = Window.partitionBy("group", "feature")
-    ranked = weighed.withColumn("upto", F.sum("w").over(part.orderBy("v"))).withColumn("all", F.sum("w").over(part))
-    at = lambda tenths: F.min(F.when(F.col("upto") * 10 >= F.col("all") * tenths, F.col("v")))
-    limit = ranked.groupBy("group", "feature").agg(at(5).alias("middle"), at(9).alias("high")).withColumn("limit", F.col("high") + width(F.col("high")) - 1 + FENCE * (F.col("high") - F.col("middle")))
-    return cut(limit.groupBy("group").agg(*[F.max(F.when(F.col("feature") == f, F.col("limit"))).alias(f"max_{f}") for f in FEATURES]).select("group.*", *[f"max_{f}" for f in FEATURES]))
+    node = lambda level, lang, source: F.struct(F.lit(level).alias("level"), lang.cast("string").alias("lang"), source.cast("string").alias("source")).alias("node")
+    none = F.lit(None)
+    levels = [every.withColumn("node", node(0, none, none)), family.withColumn("node", node(1, F.col("family.lang"), none)), group.withColumn("node", node(2, F.col("group.lang"), F.col("group.source")))]
+    shape = cut(shapes(functools.reduce(DataFrame.unionByName, [x.select("node", "feature", "v", "p") for x in levels])))
+    of = lambda level: shape.filter(F.col("node.level") == level)
+    spread_of = lambda level, name: of(level).select(node(1, F.col("node.lang"), none).alias("family"), "feature", F.col("spread").alias(name))
+    leaves = of(2).withColumn("family", node(1, F.col("node.lang"), none))
+    judged = leaves.join(spread_of(1, "in_lang"), ["family", "feature"]).join(spread_of(0, "in_all").drop("family"), "feature")
+    spread = F.least("spread", "in_lang", "in_all")
+    limit = F.col("middle") + BODY * F.col("unit") + F.floor(F.col("unit") * (F.exp(REACH * spread) - 1))
+    found = judged.groupBy("node").agg(*[F.max(F.when(F.col("feature") == f, limit)).alias(f"max_{f}") for f in FEATURES])
+    return cut(found.select("node.lang", "node.source", *[f"max_{f}" for f in FEATURES]))
 
 
 def judge(counted: DataFrame, limit: DataFrame | None = None) -> DataFrame:
@@ -204,10 +240,13 @@ WITH d AS (
   SELECT doc_id, lang, source, base_failed, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) AS feature,
     unnest([word_chars, n_symbols, n_dup_lines, n_repeat_words]) AS part,
     greatest(unnest([n_words, word_chars, n_lines, n_words]), 1) AS whole,
-    unnest([100, 1000, 1000, 1000]) AS scale, unnest([0, 1, 1, 6]) AS event FROM b
+    unnest([10000, 1000000, 1000000, 1000000]) AS scale, unnest([0, 1, 1, 6]) AS event FROM b
+), x AS (
+  SELECT lang, source, feature, part * scale // whole AS x FROM f WHERE NOT base_failed
+  UNION ALL SELECT lang, source, feature || '_size', CASE feature WHEN 'symbols' THEN word_chars WHEN 'dup_lines' THEN n_lines ELSE n_words END
+  FROM b, unnest(['symbols', 'dup_lines', 'repeats']) AS o(feature) WHERE NOT base_failed
 ), s AS (
-  SELECT lang, source, feature, CASE WHEN x < 64 THEN x ELSE x - x % (1::BIGINT << (length(bin(x)) - 6)) END AS v
-  FROM (SELECT *, part * scale // whole AS x FROM f WHERE NOT base_failed)
+  SELECT lang, source, feature, CASE WHEN x < 256 THEN x ELSE x - x % (1::BIGINT << (length(bin(x)) - 8)) END AS v FROM x
 ), a AS (
   SELECT feature, v, count(*) / sum(count(*)) OVER (PARTITION BY feature)::DOUBLE AS p FROM s GROUP BY 1, 2
 ), l AS (
@@ -216,19 +255,34 @@ WITH d AS (
   LEFT JOIN (SELECT lang, feature, v, count(*) AS n FROM s GROUP BY 1, 2, 3) c
     ON c.lang IS NOT DISTINCT FROM g.lang AND c.feature = g.feature AND c.v = a.v
 ), g AS (
-  SELECT g.lang, g.source, g.feature, l.v, (coalesce(n, 0) + 1e2 * p) / (total + 1e2) AS p, total
+  SELECT g.lang, g.source, g.feature, l.v, (coalesce(n, 0) + 1e2 * p) / (total + 1e2) AS p
   FROM (SELECT lang, source, feature, count(*) AS total FROM s GROUP BY 1, 2, 3) g
   JOIN l ON l.lang IS NOT DISTINCT FROM g.lang AND l.feature = g.feature
   LEFT JOIN (SELECT lang, source, feature, v, count(*) AS n FROM s GROUP BY 1, 2, 3, 4) c
     ON c.lang IS NOT DISTINCT FROM g.lang AND c.source IS NOT DISTINCT FROM g.source AND c.feature = g.feature AND c.v = l.v
+), every AS (
+  SELECT 0 AS level, NULL AS lang, NULL AS source, feature, v, p FROM a
+  UNION ALL SELECT 1, lang, NULL, feature, v, p FROM l UNION ALL SELECT 2, lang, source, feature, v, p FROM g
 ), r AS (
-  SELECT lang, source, feature, v, sum(u) OVER (w ORDER BY v) AS upto, sum(u) OVER w AS total
-  FROM (SELECT *, floor(p * (total + 1e2) * 1000)::BIGINT AS u FROM g) WINDOW w AS (PARTITION BY lang, source, feature)
+  SELECT level, lang, source, feature, v, w, sum(w) OVER (part ORDER BY v) AS upto, sum(w) OVER part AS total
+  FROM (SELECT *, floor(p * 1e9)::BIGINT AS w FROM every) WINDOW part AS (PARTITION BY level, lang, source, feature)
+), m AS (
+  SELECT level, lang, source, feature, min(v) FILTER (upto * 4 >= total * 2) AS middle, min(v) FILTER (upto * 4 >= total) AS quarter FROM r GROUP BY ALL
+), u AS (
+  SELECT m.level, m.lang, m.source, m.feature, m.middle, greatest(CASE WHEN m.middle < 256 THEN 1 ELSE 1::BIGINT << (length(bin(m.middle)) - 8) END, 2 * (m.middle - m.quarter)
+    + CASE m.feature WHEN 'word_length' THEN 0 WHEN 'repeats' THEN 6000000 // greatest(z.middle, 1) ELSE 1000000 // greatest(z.middle, 1) END) AS unit
+  FROM m LEFT JOIN m z ON z.level = m.level AND z.lang IS NOT DISTINCT FROM m.lang AND z.source IS NOT DISTINCT FROM m.source AND z.feature = m.feature || '_size'
+  WHERE m.feature NOT LIKE '%size'
+), h AS (
+  SELECT level, u.lang, u.source, feature, middle, unit,
+    sum(w * floor(ln(1 + greatest(0, (v - middle) / unit::DOUBLE - 4)) * 1e6)::BIGINT)::BIGINT / sum(w)::DOUBLE / 1e6 AS spread
+  FROM u JOIN r USING (level, feature) WHERE u.lang IS NOT DISTINCT FROM r.lang AND u.source IS NOT DISTINCT FROM r.source GROUP BY ALL
 ), t AS (
-  SELECT lang, source, feature, min(v) FILTER (upto * 10 >= total * 9) AS high, min(v) FILTER (upto * 10 >= total * 5) AS middle
-  FROM r GROUP BY ALL
+  SELECT g.lang, g.source, g.feature, g.middle + 4 * g.unit + floor(g.unit * (exp(4 * least(g.spread, l.spread, a.spread)) - 1))::BIGINT AS upper
+  FROM h g JOIN h l ON l.level = 1 AND l.lang IS NOT DISTINCT FROM g.lang AND l.feature = g.feature
+  JOIN h a ON a.level = 0 AND a.feature = g.feature WHERE g.level = 2
 ), v AS (
-  SELECT f.doc_id, bool_and(NOT f.base_failed AND coalesce((part - event) * scale < (high + CASE WHEN high < 64 THEN 1 ELSE 1::BIGINT << (length(bin(high)) - 6) END + 3 * (high - middle)) * whole, true)) AS kept
+  SELECT f.doc_id, bool_and(NOT f.base_failed AND coalesce((part - event) * scale < (upper + 1) * whole, true)) AS kept
   FROM f LEFT JOIN t ON f.lang IS NOT DISTINCT FROM t.lang AND f.source IS NOT DISTINCT FROM t.source AND f.feature = t.feature
   GROUP BY f.doc_id
 )

@@ -1,3 +1,4 @@
+import math
 import random
 from collections import defaultdict
 
@@ -26,37 +27,51 @@ def test_counts():
 
 def brute_verdicts(rows):
     """doc_id -> (base_failed, kept), with sketches as plain lists of buckets."""
-    low = lambda v: v if v < 64 else v >> (v.bit_length() - 6) << (v.bit_length() - 6)
+    low = lambda v: v if v < 256 else v >> (v.bit_length() - 8) << (v.bit_length() - 8)
+    rules = {"word_length": (10_000, 0), "symbols": (10**6, 1), "dup_lines": (10**6, 1), "repeats": (10**6, 6)}
     feats, failed = {}, {}
     for i, text, lang, source in rows:
         n, chars, symbols, lines, dups, reps = brute_counts(text)
         failed[i] = n < 50 or 100 * reps > 50 * n
-        feats[i] = (lang, source, {"word_length": chars * 100 // max(n, 1), "symbols": symbols * 1000 // max(chars, 1), "dup_lines": dups * 1000 // max(lines, 1), "repeats": reps * 1000 // max(n, 1)})
+        feats[i] = (lang, source, {"word_length": (chars, n), "symbols": (symbols, chars), "dup_lines": (dups, lines), "repeats": (reps, n)})
     groups = defaultdict(list)
     for i, (lang, source, f) in feats.items():
         if not failed[i]:
-            for name, v in f.items():
-                for key in ((lang, source, name), (lang, name), (name,)):
-                    groups[key].append(low(v))
-    limit = {}
+            for name, (part, whole) in f.items():
+                for level in ((lang, source), (lang,), ()):
+                    groups[*level, name, "rate"].append(low(part * rules[name][0] // max(whole, 1)))
+                    groups[*level, name, "size"].append(low(whole))
     count = lambda key: {v: groups[key].count(v) for v in set(groups[key])}
-    for key in [k for k in groups if len(k) == 3]:
-        (lang, _, name), own = key, count(key)
-        family, every = count((lang, name)), count((name,))
-        weight = {}
-        for v in sorted(every):
-            p = (family.get(v, 0) + 100 * (every[v] / len(groups[name,]))) / (len(groups[lang, name]) + 100)
-            p = (own.get(v, 0) + 100 * p) / (len(groups[key]) + 100)
-            weight[v] = int(p * (len(groups[key]) + 100.0) * 1000)
-        q = lambda tenths, weight=weight: next(v for v in weight if sum(w for u, w in weight.items() if u <= v) * 10 >= sum(weight.values()) * tenths)
-        top = q(9) if q(9) < 64 else (q(9) >> (q(9).bit_length() - 6)) + 1 << (q(9).bit_length() - 6)
-        limit[key] = (top if q(9) < 64 else top - 1) + 3 * (q(9) - q(5))
+
+    def share(level, *what):
+        own = count((*level, *what))
+        if not level:
+            return {v: n / sum(own.values()) for v, n in own.items()}
+        parent, total = share(level[:-1], *what), sum(own.values())
+        return {v: (own.get(v, 0) + 100.0 * p) / (total + 100.0) for v, p in parent.items()}
+
+    def shape(level, name):
+        def at(quarters, weights):
+            return next(v for v in sorted(weights) if sum(w for u, w in weights.items() if u <= v) * 4 >= sum(weights.values()) * quarters)
+
+        rates, sizes = ({v: int(p * 1e9) for v, p in share(level, name, what).items()} for what in ("rate", "size"))
+        scale, event = rules[name]
+        middle = at(2, rates)
+        unit = max(1 if middle < 256 else 1 << middle.bit_length() - 8, 2 * (middle - at(1, rates)) + scale * event // max(at(2, sizes), 1))
+        spread = sum(w * int(math.log(1 + max(0.0, (v - middle) / unit - 4)) * 1e6) for v, w in rates.items()) / sum(rates.values()) / 1e6
+        return middle, unit, spread
+
+    limit = {}
+    for lang, source in {(lang, source) for i, (lang, source, _) in feats.items() if not failed[i]}:
+        for name in rules:
+            (middle, unit, own), parents = shape((lang, source), name), [shape(level, name)[2] for level in ((lang,), ())]
+            limit[lang, source, name] = middle + 4 * unit + int(unit * (math.exp(4 * min(own, *parents)) - 1))
     out = {}
-    for i, text, lang, source in rows:
-        n, chars, symbols, lines, dups, reps = brute_counts(text)
+    for i, (lang, source, f) in feats.items():
         fine = not failed[i]
-        for name, part, whole, scale, event in (("word_length", chars, n, 100, 0), ("symbols", symbols, chars, 1000, 1), ("dup_lines", dups, lines, 1000, 1), ("repeats", reps, n, 1000, 6)):
+        for name, (part, whole) in f.items():
             if (lang, source, name) in limit:
+                scale, event = rules[name]
                 fine &= (part - event) * scale // max(whole, 1) <= limit[lang, source, name]
         out[i] = failed[i], fine
     return out
@@ -67,26 +82,44 @@ def prose(rng, n, rate):
     return " ".join(f"w{i}{rng.choice('abcdefgh')}" + "#" * (rng.random() < rate) for i in range(n))
 
 
-def test_spread_sets_the_limit(spark):
-    """Groups of one size and language that differ in spread get different limits, and so different verdicts on one text."""
+def limits(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    return {(r.lang, r.source): r for r in Q.thresholds(df.select("lang", "source", Q.text_counts("text").alias("q"))).collect()}
+
+
+def test_the_kind_of_a_source_sets_its_limit(spark):
+    """Groups of one size and language that differ as a whole get different limits, and so different verdicts on one text."""
     rng = random.Random(3)
-    rows = [(i, prose(rng, 120, 0.0 if i % 3 else rng.random() * 0.6), "en", "plain" if i % 3 else "code") for i in range(900)]
+    rows = [(i, prose(rng, 120, 0.0 if i % 3 else 0.2 + rng.random() * 0.4), "en", "plain" if i % 3 else "code") for i in range(900)]
     suspect = prose(rng, 120, 0.5)
     rows += [(1000, suspect, "en", "plain"), (1001, suspect, "en", "code")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    counted = df.select("lang", "source", Q.text_counts("text").alias("q"))
-    limit = {r.source: r for r in Q.thresholds(counted).collect()}
-    assert limit["plain"].max_symbols == 0 < 100 < limit["code"].max_symbols
-    got = {r.doc_id: r.kept for r in Q.quality_rules(df).collect()}
+    limit = limits(spark, rows)
+    assert 0 < 5 * limit["en", "plain"].max_symbols < limit["en", "code"].max_symbols
+    got = {r.doc_id: r.kept for r in Q.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert (got[1000], got[1001]) == (False, True)
-    assert all(got[i] for i in range(900) if i % 3)
+    assert all(got[i] for i in range(900))
+
+
+def test_more_junk_gives_no_looser_limit(spark):
+    """Sources of one kind with 0 to 20 % junk: limits differ by little, grow smoothly, and the junk goes everywhere."""
+    rng = random.Random(8)
+    rows, junk = [], set()
+    for percent in (0, 5, 9, 11, 15, 20):
+        for k in range(200):
+            i = len(rows)
+            bad = k * percent // 100 != (k + 1) * percent // 100
+            junk |= {i} if bad else set()
+            rows.append((i, prose(rng, 100, 0.8 if bad else 0.005), "en", f"junk{percent:02d}"))
+    limit = [limits(spark, rows)["en", f"junk{p:02d}"].max_symbols for p in (0, 5, 9, 11, 15, 20)]
+    assert min(limit) > 0 and max(limit) < 2 * min(limit) and limit[2] > 0.9 * limit[3]
+    got = {r.doc_id: r.kept for r in Q.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(got[i] for i in junk) and all(got[i] for i in got if i not in junk)
 
 
-def test_small_groups_lean_on_their_language(spark, monkeypatch):
-    monkeypatch.setattr(Q, "WEIGHT", 20)
+def test_small_groups_lean_on_their_language(spark):
     rng = random.Random(4)
-    rows = [(i, prose(rng, 80, 0.0), "en", "big") for i in range(300)] + [(i, prose(rng, 80, 0.3), "de", "other") for i in range(300, 600)]
-    rows += [(700, prose(rng, 80, 0.3), "en", "tiny"), (701, prose(rng, 80, 0.3), "de", "tiny")]
+    rows = [(i, prose(rng, 80, 0.0), "en", "big") for i in range(300)] + [(i, prose(rng, 80, 0.4), "de", "other") for i in range(300, 600)]
+    rows += [(700, prose(rng, 80, 0.4), "en", "tiny"), (701, prose(rng, 80, 0.4), "de", "tiny")]
     got = {r.doc_id: r.kept for r in Q.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert (got[700], got[701]) == (False, True)
 
