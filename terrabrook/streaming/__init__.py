@@ -5,8 +5,9 @@ from __future__ import annotations
 import contextlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -26,101 +27,189 @@ def stream_dedup(events: DataFrame, keys: list[str], time: str, late: str) -> Da
 
 
 class WindowLimiter(StatefulProcessor):
-    """The fixed-window limiter with (start, counter) per key as state."""
+    """The fixed-window limiter with (start, n) per key as state; a reset forgets the key.
 
-    def __init__(self, width_us: int):
-        self.width_us = width_us
+    With a time to live, Spark forgets keys that had no hit for so long.
+    """
+
+    def __init__(self, width_us: int, ttl_ms: int | None = None):
+        self.width_us, self.ttl_ms = width_us, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("window", "start long, n long")
+        self.state = handle.getValueState(LIMITER_STATE, "start long, n long", ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         start, n = self.state.get() if self.state.exists() else (0, 0)
         for pdf in rows:
             pdf = pdf.sort_values(["t", "o"])
-            starts, counts = [], []
-            for t in pdf["t"]:
+            starts, counts, hits = [], [], []
+            for t, o, reset in zip(pdf["t"].tolist(), pdf["o"].tolist(), pdf["reset"].tolist(), strict=True):
+                if reset:
+                    n = 0
+                    continue
                 start, n = (t, 1) if n == 0 or t >= start + self.width_us else (start, n + 1)
                 starts.append(start)
                 counts.append(n)
-            yield pd.DataFrame({"key": [key[0]] * len(pdf), "o": pdf["o"].to_numpy(), "n": counts, "start": starts})
-        self.state.update((int(start), int(n)))
+                hits.append(o)
+            yield pd.DataFrame({"key": [key[0]] * len(hits), "o": hits, "n": counts, "start": starts})
+        if n:
+            self.state.update((int(start), int(n)))
+        elif self.state.exists():
+            self.state.clear()
 
     def close(self) -> None:
         pass
 
 
-def stream_rate_limit(events: DataFrame, key: str, time: str, order: str, window_s: int, limit: int) -> DataFrame:
-    """Counter and verdict for every hit, over hits that arrive in order of time per key."""
-    rows = events.select(F.col(key).cast("long").alias("key"), F.col(order).cast("long").alias("o"), F.unix_micros(F.col(time)).alias("t"))
-    out = rows.groupBy("key").transformWithStateInPandas(WindowLimiter(window_s * 1_000_000), "key long, o long, n long, start long", "Append", "none")
+LIMITER_STATE = "window"
+
+
+def stream_rate_limit(events: DataFrame, key: str, time: str, order: str, window_s: int, limit: int, reset: Column | None = None, ttl_s: int | None = None) -> DataFrame:
+    """Counter and verdict for every hit, over hits that arrive in order of time per key.
+
+    Rows for which reset is true are no hits: they open the key's window anew.  With ttl_s a key
+    without a hit for so long (by the clock) leaves the state; take at least the window's length.
+    """
+    again = F.lit(False) if reset is None else F.coalesce(reset, F.lit(False))
+    rows = events.select(F.col(key).cast("long").alias("key"), F.col(order).cast("long").alias("o"), F.unix_micros(F.col(time)).alias("t"), again.alias("reset"))
+    processor = WindowLimiter(window_s * 1_000_000, None if ttl_s is None else ttl_s * 1000)
+    out = rows.groupBy("key").transformWithStateInPandas(processor, "key long, o long, n long, start long", "Append", "none" if ttl_s is None else "processingTime")
     return out.select(F.col("key").alias(key), F.col("o").alias(order), F.col("n").alias("counter"), (F.col("n") <= limit).alias("allowed"))
 
 
+def limiter_state(spark: SparkSession, checkpoint: str, window_s: int, limit: int, now: Column | None = None) -> DataFrame:
+    """key, counter, remaining, start and reset_at of every key in a limiter's checkpoint, read without a hit.
+
+    With now (a timestamp), keys whose window has passed are left out.
+    """
+    found = spark.read.format("statestore").option("stateVarName", LIMITER_STATE).load(checkpoint)
+    value = F.col("value.value") if "value" in found.schema["value"].dataType.names else F.col("value")  # with a time to live, it stands beside the value
+    rows = found.select(F.col("key.key").alias("key"), value["n"].alias("counter"), F.timestamp_micros(value["start"]).alias("start"))
+    rows = rows.withColumn("reset_at", F.col("start") + F.expr(f"interval {window_s} seconds"))
+    rows = rows if now is None else rows.filter(F.col("reset_at") > now)
+    return rows.select("key", "counter", F.greatest(F.lit(limit) - F.col("counter"), F.lit(0)).alias("remaining"), "start", "reset_at")
+
+
 def stream_counts(events: DataFrame, job: str, time: str, late: str, gap: str) -> DataFrame:
     """Results per job and session: a job with no result for gap is flushed; later ones are dropped."""
     return events.withWatermark(time, late).groupBy(job, F.session_window(time, gap)).agg(F.count("*").alias("result_count"))
 
 
+#: Codes of the collector's events; anything else is an add.
+REGISTER, ADD, DISCARD, FLUSH = 0, 1, 2, 3
+NEVER = np.iinfo(np.int64).max
+#: What a job may still deliver after its time, in seconds.
+GRACE_S = 90
+
+
 class Collector(StatefulProcessor):
-    """The run of a job as state: its number, results, dropped rows and whether it is open.
+    """The run of a job as state: its number, results, deadline and whether it is open.
+
+    Gives two kinds of rows: a run that ended (status), and how many adds of a micro-batch came
+    outside of an open run (dropped, no status).  Runs are found by searches in the sorted numbers of
+    the registrations and ends, so that adds cost no Python step each.
 
-    A run that ends gives its row at once; one that stays open for longer than the timeout in event time
-    gives its partial results, and completes if it has any.
+    With a timeout, a run has that long from its registration, by the events' times; a timer ends it
+    grace later by the chosen clock, until when adds of its time still count.  It then ends with what
+    it has: completed if that is anything, else failed.
     """
 
-    def __init__(self, timeout_ms: int | None):
-        self.timeout_ms = timeout_ms
+    def __init__(self, timeout_ms: int | None, grace_ms: int, by_clock: bool):
+        self.timeout_ms, self.grace_ms, self.by_clock = timeout_ms, grace_ms, by_clock
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("run", "run long, taken long, dropped long, open boolean")
+        self.state = handle.getValueState("run", "run long, taken long, deadline long, open boolean")
 
-    def output(self, key, rows: list[tuple[int, int, int, str]]) -> pd.DataFrame:
-        return pd.DataFrame([(key[0], *r) for r in rows], columns=["job_id", "run", "result_count", "dropped", "status"])
+    def output(self, key, rows: list[tuple]) -> pd.DataFrame:
+        frame = pd.DataFrame(rows, columns=["run", "result_count", "dropped", "status"]).astype({"run": "int64", "result_count": "int64", "dropped": "int64", "status": object})
+        frame.insert(0, "job_id", pd.Series([key[0]] * len(rows), dtype=object))
+        return frame
+
+    def set_timer(self, at_ms: int | None) -> None:
+        for (old,) in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        if at_ms is not None:
+            self.handle.registerTimer(int(at_ms))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        run, taken, dropped, is_open = self.state.get() if self.state.exists() else (0, 0, 0, False)
-        events, ended = pd.concat([r[["seq", "op", "t"]] for r in rows]).sort_values("seq"), []
-        for op, t in zip(events["op"], events["t"], strict=True):
-            if op == "register":
-                if is_open:
-                    ended.append((run, taken, dropped, "replaced"))
-                run, taken, dropped, is_open = run + 1, 0, 0, True
-                if self.timeout_ms is not None:
-                    for timer in list(self.handle.listTimers()):
-                        self.handle.deleteTimer(timer[0])
-                    self.handle.registerTimer(int(t) + self.timeout_ms)
-            elif op == "add":
-                taken, dropped = (taken + 1, dropped) if is_open else (taken, dropped + 1)
-            elif is_open:
-                ended.append((run, taken, dropped, "discarded" if op == "discard" else "completed" if taken else "failed"))
-                taken, dropped, is_open = 0, 0, False
-        self.state.update((int(run), int(taken), int(dropped), bool(is_open)))
-        yield self.output(key, ended)
+        """Holds three numbers of each of the key's events in the micro-batch."""
+        base, taken, deadline, is_open = self.state.get() if self.state.exists() else (0, 0, NEVER, False)
+        parts = [(r["seq"].to_numpy(np.int64), r["op"].to_numpy(np.int8), r["t"].to_numpy(np.int64)) for r in rows]
+        seq, op, t = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((op, seq))
+        seq, op, t = seq[order], op[order], t[order]
+        opened, ends = np.flatnonzero(op == REGISTER), np.flatnonzero((op == DISCARD) | (op == FLUSH))
+        runs = len(opened) + 1  # the one at hand and those registered now
+        is_run = np.ones(runs, bool)
+        is_run[0] = is_open
+        limits = np.full(runs, NEVER)
+        limits[0] = deadline
+        if self.timeout_ms is not None:
+            limits[1:] = t[opened] + self.timeout_ms
+        end_of, first = np.unique(np.searchsorted(seq[opened], seq[ends], "right"), return_index=True)
+        end_seq, end_op = np.full(runs, NEVER), np.full(runs, -1)
+        end_seq[end_of], end_op[end_of] = seq[ends][first], op[ends][first]
+        adds = op == ADD
+        run_of = np.searchsorted(seq[opened], seq[adds], "left")
+        within = is_run[run_of] & (seq[adds] < end_seq[run_of]) & (t[adds] <= limits[run_of])
+        counts = np.bincount(run_of[within], minlength=runs)
+        counts[0] += taken
+        dropped = np.bincount(run_of[~within], minlength=runs)
+        out = [(base + k, 0, int(dropped[k]), None) for k in np.flatnonzero(dropped)]
+        over = is_run & ((end_op >= 0) | (np.arange(runs) < runs - 1))
+        for k in np.flatnonzero(over):
+            status = "replaced" if end_op[k] < 0 else "discarded" if end_op[k] == DISCARD else "completed" if counts[k] else "failed"
+            out.append((base + k, int(counts[k]), 0, status))
+        still = bool(is_run[-1] and end_op[-1] < 0)
+        self.state.update((int(base + runs - 1), int(counts[-1]) if still else 0, int(limits[-1]), still))
+        if self.timeout_ms is not None and (len(opened) or (is_open and not still)):
+            now = timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms if self.by_clock else int(limits[-1])
+            self.set_timer(now + self.grace_ms if still else None)
+        yield self.output(key, out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        run, taken, dropped, is_open = self.state.get()
-        self.state.update((int(run), 0, 0, False))
-        yield self.output(key, [(run, taken, dropped, "completed" if taken else "failed")] if is_open else [])
+        run, taken, deadline, is_open = self.state.get()
+        self.state.update((int(run), 0, int(deadline), False))
+        yield self.output(key, [(run, taken, 0, "completed" if taken else "failed")] if is_open else [])
 
     def close(self) -> None:
         pass
 
 
-def stream_collector(events: DataFrame, time: str, late: str = "1 minute", timeout_s: int | None = None) -> DataFrame:
-    """job_id, run, result_count, dropped, status: a row for each run of a job when it ends (job_id, seq, op, time).
+def stream_collector(events: DataFrame, time: str, late: str = "1 minute", timeout_s: int | None = None, grace_s: int = GRACE_S, clock: str = "event") -> DataFrame:
+    """job_id, run, result_count, dropped, status: tagged rows of (job_id, seq, op, time) events, by the rules of collected().
 
-    The rules of collected(); rows that come after a run's end are counted in the next one's state and
-    reach no result.  With a timeout a run that long open ends with what it has.
+    A row with a status is a run that ended; one without counts adds of that run (0: before any) that
+    came after its end or before a registration.  ended_runs() and dropped_rows() split them,
+    collected_so_far() puts them together.  A job's events come in order of seq between micro-batches.
+    With a timeout a run that is open for longer, and grace_s more, ends with what it has; clock is
+    "event" (the watermark) or "processing" (the machine's time, for jobs that fall silent).
     """
-    rows = events.withWatermark(time, late).select("job_id", "seq", "op", F.unix_millis(time).alias("t"), time)
-    mode = "none" if timeout_s is None else "eventTime"
+    codes = F.when(F.col("op") == "register", REGISTER).when(F.col("op") == "discard", DISCARD).when(F.col("op") == "flush", FLUSH).otherwise(ADD)
+    rows = events.withWatermark(time, late).select("job_id", "seq", codes.alias("op"), F.unix_millis(time).alias("t"), time)
+    if clock not in ("event", "processing"):
+        raise ValueError("clock must be event or processing")
+    mode = "none" if timeout_s is None else "eventTime" if clock == "event" else "processingTime"
     kind = events.schema["job_id"].dataType.simpleString()
-    processor = Collector(None if timeout_s is None else timeout_s * 1000)
+    processor = Collector(None if timeout_s is None else timeout_s * 1000, grace_s * 1000, clock == "processing")
     return rows.groupBy("job_id").transformWithStateInPandas(processor, f"job_id {kind}, run long, result_count long, dropped long, status string", "Append", mode)
 
 
+def ended_runs(tagged: DataFrame) -> DataFrame:
+    return tagged.filter(F.col("status").isNotNull()).select("job_id", "run", "result_count", "status")
+
+
+def dropped_rows(tagged: DataFrame) -> DataFrame:
+    return tagged.filter(F.col("status").isNull()).select("job_id", "run", "dropped")
+
+
+def collected_so_far(tagged: DataFrame) -> DataFrame:
+    """What collected() has of the runs that ended, and of adds before any, from the collector's stored output."""
+    out = tagged.groupBy("job_id", "run").agg(F.sum("result_count").alias("result_count"), F.sum("dropped").alias("dropped"), F.max("status").alias("status"))
+    return out.withColumn("status", F.when(F.col("run") == 0, "unregistered").otherwise(F.col("status")))
+
+
 @contextlib.contextmanager
 def state_store(spark: SparkSession) -> Iterator[None]:
     """The state store that stateful processors need, for the queries started inside; then the session's own again."""
