@@ -28,6 +28,8 @@ from .spans import matches
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
+#: What stands before a name that is stated to be the license.
+STATED = r"(?:Ld under |Ls?(?: type| name)?Q ?[:=] ?Q|Ls? is )"
 #: label, keyword, pattern. A space stands for white space and comment marks, L for both spellings of license.
 RULES = [
     # names
@@ -276,6 +278,38 @@ RULES = [
     ("elastic", "elastic.co", r"elastic\.co/Ls?/elastic-L"),
     ("bsl", "mariadb.com", r"mariadb\.com/bsl11"),
     ("commons-clause", "commonsclause", r"commonsclause\.com"),
+    # statements without the word license behind the name
+    ("mit", "mit", STATED + r"(?:the )?mit(?:/x11|/expat)?"),
+    ("mit", "mit", r"L mit(?=[ \t]*(?:[.,;\n)]|$))"),
+    ("mit", "mit", r"mit[- ]Ld"),
+    ("apache", "apache", STATED + r"(?:the )?apache(?:[- ]v?(?:ersion )?[12](?:\.[01])?)?"),
+    ("apache", "apache", r"apache[- ]Ld"),
+    ("apache", "asl", STATED + r"(?:the )?asl ?2(?:\.0)?"),
+    ("bsd-2-clause", "bsd", STATED + r"(?:the )?(?:simplified bsd|freebsd)"),
+    ("bsd-3-clause", "bsd", STATED + r"(?:the )?(?:new bsd|modified bsd|revised bsd)"),
+    ("bsd", "bsd", STATED + r"(?:the )?bsd(?:-style)?(?![- ][234])"),
+    ("bsd", "bsd", r"bsd[- ]Ld"),
+    ("isc", "isc", STATED + r"(?:the )?isc"),
+    ("mpl", "mpl", STATED + r"(?:the )?mpl(?: ?v?[12](?:\.[01])?)?"),
+    ("mpl", "mozilla", STATED + r"(?:the )?mozilla public"),
+    ("epl", "epl", STATED + r"(?:the )?epl(?: ?v?[12](?:\.0)?)?"),
+    ("zlib", "zlib", STATED + r"(?:the )?zlib(?:/libpng)?"),
+    ("boost", "boost", STATED + r"(?:the )?boost(?: 1\.0)?"),
+    ("boost", "bsl-1.0", STATED + r"bsl-1\.0"),
+    ("unlicense", "unlicense", STATED + r"(?:the )?unlicense"),
+    ("postgresql", "postgresql", STATED + r"(?:the )?postgresql"),
+    ("python", "psf", STATED + r"(?:the )?psf(?: ?v?2)?"),
+    ("ofl", "ofl", STATED + r"(?:the )?(?:sil )?ofl(?: ?v?1\.1)?"),
+    ("public-domain", "public domain", STATED + r"public domain"),
+    ("proprietary", "proprietary", STATED + r"proprietary"),
+    # identifiers that stand alone
+    ("apache", "apache", r"apache[- ]?(?:v|version )?2\.0(?!\.?[0-9])"),
+    ("bsd-2-clause", "bsd", r"bsd[- ]2[- ]clause|(?:2|two)-clause bsd"),
+    ("bsd-3-clause", "bsd", r"bsd[- ]3[- ]clause|(?:3|three)-clause bsd"),
+    ("bsd-4-clause", "bsd", r"bsd[- ]4[- ]clause|(?:4|four)-clause bsd"),
+    ("mpl", "mpl-", r"mpl-[12]\.[01](?!\.?[0-9])"),
+    ("epl", "epl-", r"epl-[12]\.0(?!\.?[0-9])"),
+    ("cc0", "cc0-1.0", r"cc0-1\.0"),
 ]
 #: label, SPDX identifiers (pattern)
 SPDX = [
@@ -301,7 +335,7 @@ NAMED = next(i for i, rule in enumerate(RULES) if rule[1] == "person obtaining")
 GATE = (
     "licen", "gpl", "spdx", "cc0", "hereby", "warrant", "redistribut", "copyright", "acknowledg", "attribution", "endorse", "misrepresented", "altered", "evil", "beerware", "beer-ware", "openssl", "lrgrwrks", "unencumbered", "fuck", "wtf", "artistic",
     "cddl", "lppl", "eupl", "cecill", "mulan", "invariant", "remotely", "reserved", "reproduced", "confidential", "unauthori", "gemma", "openrail", "polyform", "commons", "mozilla.org", "eclipse.org", "sil.org", "copyleft", "cdla", "mariadb.com", "bsd",
-    "sublicense",
+    "sublicense", "apache", "epl-",
 )
 #: The same, but as words: the letters are part of common words.
 WHOLE = {"cc": r"(?<![a-z0-9])cc[^a-z0-9]", "mpl": r"(?<![a-z0-9])mpl(?![a-z])", "domain": r"public[\s*#/]*domain"}

@@ -130,3 +130,88 @@ def test_broken_names_and_expressions(spark):
     got = {r.doc_id: (r.labels, r.score) for r in L.scan_licenses(df).collect()}
     assert [got[i][0] for i in range(len(texts))] == list(texts.values())
     assert got[10][1] == 1.0
+
+
+#: Hand-written notices, none of them taken from the rules, with the label each should have.
+NOTICES = """mit|License: MIT
+mit|Licence MIT
+mit|Licensed under the MIT
+mit|"license": "MIT"
+mit|This package is MIT-licensed, see the file LICENSE.
+mit|Released under the MIT License (Expat).
+mit|license = "MIT"
+mit|You may use it under the terms of the MIT licence.
+mit|The license is MIT.
+mit|MIT licensed
+apache|Apache 2.0
+apache|License: Apache-2.0
+apache|Licensed under Apache 2.0, see NOTICE.
+apache|Licensed under the Apache License, Version 2.0 (the "License")
+apache|This code is Apache licensed.
+apache|"license": "Apache-2.0"
+apache|Available under the Apache Software License 2.0
+apache|License :: Apache v2
+apache|apache-2.0
+bsd-3-clause|BSD-3-Clause
+bsd-3-clause|License: 3-clause BSD
+bsd-3-clause|three-clause BSD
+bsd-3-clause|Distributed under the BSD 3-Clause License
+bsd-3-clause|Licensed under the New BSD
+bsd-2-clause|bsd-2-clause
+bsd-2-clause|the simplified BSD license applies
+bsd-2-clause|License: BSD 2-clause
+bsd|License: BSD
+bsd|BSD-licensed
+bsd|released under a BSD-style licence
+gpl|GPLv3
+gpl|License: GPL-2.0-or-later
+gpl|under the terms of the GNU GPL
+gpl|Licensed under GPL v2
+gpl|GNU General Public Licence version 3
+lgpl|LGPL-2.1
+lgpl|This library is under the GNU Lesser General Public License.
+agpl|AGPL-3.0-only
+agpl|GNU Affero General Public License v3.0
+isc|License: ISC
+isc|Licensed under the ISC licence
+mpl|MPL-2.0
+mpl|License: MPL 2.0
+mpl|Mozilla Public License, v. 2.0
+epl|EPL-2.0
+epl|Eclipse Public License 1.0
+zlib|license: zlib
+boost|Boost Software License 1.0
+unlicense|This is free and unencumbered software released into the public domain.
+unlicense|License: Unlicense
+cc0|CC0-1.0
+cc0|CC0 1.0 Universal
+cc-by|CC BY 4.0
+cc-by-sa|Text is available under CC BY-SA 3.0
+cc-by-nc|licensed under CC-BY-NC 4.0
+cc-by-sa|Creative Commons Attribution-ShareAlike 4.0 International
+wtfpl|WTFPL
+public-domain|License: public domain
+ofl|Fonts are licensed under the SIL Open Font License 1.1
+ofl|License: OFL 1.1
+postgresql|License: PostgreSQL
+python|License: PSF
+artistic|Artistic License 2.0
+0bsd|0BSD
+proprietary|License: proprietary
+proprietary|Copyright 2020 Foo Ltd. All rights reserved.
+eupl|EUPL 1.2
+cddl|Common Development and Distribution License (CDDL)
+odbl|Open Database License (ODbL)""".splitlines()
+STRANGERS = [
+    "Wir fahren mit dem Bus und mit der Bahn.", "The license plate was bent.", "He holds a fishing licence, mit or without a boat.", "Apache pilots flew low over the valley.", "The server runs Apache 2.4 on port 80.", "apache 2.0.54 was slow",
+    "A boost of the licence fee", "She reads the Epl table", "BSD systems are fast", "the permit is open", "Die Lizenz mit Auflagen", "isc and zlib are words here", "The driving license is valid for ten years", "Python is a snake and a language",
+]
+
+
+def test_recall_on_hand_written_notices(spark):
+    rows = [(i, *x.split("|", 1)) for i, x in enumerate(NOTICES)]
+    got = {r.doc_id: r.labels for r in L.scan_licenses(spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")).collect()}
+    missed = [(label, t, got[i]) for i, label, t in rows if label not in got[i]]
+    assert len(missed) <= 0.05 * len(rows), missed
+    strangers = L.scan_licenses(spark.createDataFrame(list(enumerate(STRANGERS)), "doc_id long, text string")).collect()
+    assert [(STRANGERS[r.doc_id], r.labels) for r in strangers if r.labels] == []
