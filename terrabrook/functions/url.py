@@ -61,9 +61,8 @@ HEX_PAIR = "0x[0-9a-fA-F]+:0x[0-9a-fA-F]+"
 
 
 def between(text: Column, mark: str, stop: str) -> Column:
-    """What follows the first mark up to stop or the end; null if that is nothing."""
-    rest = F.substring(text, F.instr(text, mark) + len(mark), F.length(text))
-    return F.nullif(F.when(F.contains(text, F.lit(mark)), F.substring_index(rest, stop, 1)), F.lit(""))
+    """What follows a mark up to stop or the end: of the first mark that is followed by anything; null if none is."""
+    return F.nullif(F.regexp_extract(text, f"{mark}([^{stop}]+)", 1), F.lit(""))
 
 
 def place_id(url: Column) -> Column:
