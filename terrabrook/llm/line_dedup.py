@@ -1,7 +1,7 @@
 """Line dedup: explode normalised lines, hash, count documents per hash, drop, reassemble by position.
 
-DataFrame functions only.  The lines themselves never move: what is exploded and shuffled is a
-128-bit hash and a position per line, and every document gets back the list of positions it loses.
+DataFrame functions only.  What is exploded, counted and joined by hash is a 128-bit hash and a
+position per line; the texts move once, split into lines, to meet the list of positions they lose.
 """
 
 from __future__ import annotations
