@@ -84,19 +84,33 @@ counts AS (SELECT a, b, ceil((47.30::DOUBLE - 47.10::DOUBLE) / a - 0.5)::BIGINT
 cells AS (SELECT i AS lat_index, j AS lon_index, 47.10::DOUBLE + a * (i + 0.5::DOUBLE) AS lat, 8.40::DOUBLE + b * (j + 0.5::DOUBLE) AS lon FROM counts, unnest(range(n)) AS x(i), unnest(range(m)) AS y(j))"""
 
 
-@query(f"WITH {GRID} SELECT lat_index, lon_index, round(lat, 9) AS lat, round(lon, 9) AS lon, printf('%f,%f', lat, lon) AS geo FROM cells")
+BOXES = """WITH t AS (SELECT s_suppkey, s_suppkey % 60 AS k, s_suppkey % 90 AS m, (1 + s_suppkey % 4) * 0.5::DOUBLE AS km FROM supplier WHERE s_suppkey % 7 <> 0),
+b AS (SELECT s_suppkey, km, (k || '.25')::DOUBLE AS s, (k || '.31')::DOUBLE AS n, (m || '.1')::DOUBLE AS w, (m || '.17')::DOUBLE AS e FROM t),
+steps AS (SELECT *, km / 111.32::DOUBLE AS a, km / (111.32::DOUBLE * cos(radians((s + n) / 2))) AS c FROM b),
+counts AS (SELECT *, greatest(0, ceil((n - s) / a - 0.5))::BIGINT AS rows, greatest(0, ceil((e - w) / c - 0.5))::BIGINT AS cols FROM steps)"""
+
+
+def supplier_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """s_suppkey, km and the parsed box of a text; every seventh text is malformed and has no box."""
+    k, m = (F.col("s_suppkey") % 60).cast("string"), (F.col("s_suppkey") % 90).cast("string")
+    given = F.concat(k, F.lit(".25,"), m, F.lit(".1, "), k, F.lit(".31,"), m, F.lit(".17"))
+    given = F.when(F.col("s_suppkey") % 14 == 0, "1,2,3").when(F.col("s_suppkey") % 7 == 0, F.concat(F.lit("91,2,"), k, F.lit(",x"))).otherwise(given)
+    boxes = table(spark, sf_dir, "supplier").select("s_suppkey", ((1 + F.col("s_suppkey") % 4) * F.lit(0.5)).alias("km"), seeds.box_columns(given).alias("box"))
+    return boxes.filter("box.error is null")
+
+
+@query(f"""{BOXES} SELECT s_suppkey, i AS lat_index, j AS lon_index, round(s + a * (i + 0.5::DOUBLE), 9) AS lat, round(w + c * (j + 0.5::DOUBLE), 9) AS lon,
+printf('%f,%f', s + a * (i + 0.5::DOUBLE), w + c * (j + 0.5::DOUBLE)) AS geo FROM counts, unnest(range(rows)) AS x(i), unnest(range(cols)) AS y(j)""")
 def grid_cells(spark, sf_dir):
-    cells = seeds.grid_cells(spark, BOX, 1.0)
-    return cells.select("lat_index", "lon_index", F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"), geo.coordinate_text(F.col("lat"), F.col("lon")).alias("geo"))
+    cells = seeds.cells_of_boxes(supplier_boxes(spark, sf_dir), "box", "km")
+    return cells.select("s_suppkey", "lat_index", "lon_index", F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"), geo.coordinate_text(F.col("lat"), F.col("lon")).alias("geo"))
 
 
-@query("""WITH b(box, s, w, n, e, km) AS (VALUES ('a', 12.5010, 45.2500, 12.5320, 45.2810, 0.25), ('b', 88.70, 5, 88.75, 31, 1), ('c', 47.10, 8.40, 47.30, 8.62, 1), ('d', -33.95, 151.10, -33.60, 151.40, 2)),
-t AS (SELECT box, (n - s)::DOUBLE / (km / 111.32::DOUBLE) AS x, (e - w)::DOUBLE / (km / (111.32::DOUBLE * cos(radians((s + n)::DOUBLE / 2)))) AS y FROM b)
-SELECT box, (ceil(x) * ceil(y))::BIGINT AS estimate, (ceil(x - 0.5) * ceil(y - 0.5))::BIGINT AS generated FROM t""")
+@query(f"{BOXES} SELECT s_suppkey, (ceil((n - s) / a) * ceil((e - w) / c))::BIGINT AS estimate, rows * cols AS generated FROM counts")
 def grid_estimate(spark, sf_dir):
-    boxes = {"a": ((12.5010, 45.2500, 12.5320, 45.2810), 0.25), "b": ((88.70, 5.0, 88.75, 31.0), 1.0), "c": (BOX, 1.0), "d": ((-33.95, 151.10, -33.60, 151.40), 2.0)}
     product = lambda p: p[0] * p[1]
-    return spark.createDataFrame([(k, product(seeds.axis_counts(b, km, True)), product(seeds.axis_counts(b, km))) for k, (b, km) in boxes.items()], "box string, estimate long, generated long")
+    box, km = F.col("box"), F.col("km")
+    return supplier_boxes(spark, sf_dir).select("s_suppkey", product(seeds.box_counts(box, km, True)).alias("estimate"), product(seeds.box_counts(box, km)).alias("generated"))
 
 
 @query(f"WITH {GRID} SELECT n_nationkey || '-' || lat_index || '-' || lon_index AS id, n_name AS text, printf('%f,%f', lat, lon) AS geo FROM nation, cells")

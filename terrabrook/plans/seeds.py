@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.geo import coordinate_text, lat_step, lon_step
+from ..functions.geo import KM_PER_DEGREE, LEAST_COSINE, coordinate_text, lat_step, lon_step
 from ..functions.text import trim_white
 from ..functions.url import fast_search_parameters, search_url
 
@@ -68,6 +68,31 @@ def axis_counts(box: tuple[float, float, float, float], km: float, estimate: boo
     return max(0, math.ceil((north - south) / d_lat - shift)), max(0, math.ceil((east - west) / d_lon - shift))
 
 
+def box_counts(box: Column, km: Column, estimate: bool = False) -> tuple[Column, Column]:
+    """axis_counts as columns, of a struct of south, west, north and east."""
+    shift = 0.0 if estimate else 0.5
+    d_lat, d_lon = box_steps(box, km)
+    return tuple(F.greatest(F.lit(0), F.ceil(span / step - shift)).cast("long") for span, step in ((box["north"] - box["south"], d_lat), (box["east"] - box["west"], d_lon)))
+
+
+def box_steps(box: Column, km: Column) -> tuple[Column, Column]:
+    """lat_step and lon_step as columns, at the middle of a box."""
+    size = F.when(km > 0, km).otherwise(1.0)
+    cosine = F.cos(F.radians((box["south"] + box["north"]) / 2))
+    least = F.when(cosine < 0, -LEAST_COSINE).otherwise(LEAST_COSINE)
+    return size / KM_PER_DEGREE, size / (F.lit(KM_PER_DEGREE) * F.when(F.abs(cosine) < LEAST_COSINE, least).otherwise(cosine))
+
+
+def cells_of_boxes(boxes: DataFrame, box: str, km: str) -> DataFrame:
+    """boxes with lat_index, lon_index, lat and lon: a row for each cell of each row's box; boxes without cells have none."""
+    b, size = F.col(box), F.col(km)
+    (n_lat, n_lon), (d_lat, d_lon) = box_counts(b, size), box_steps(b, size)
+    numbered = boxes.filter((n_lat > 0) & (n_lon > 0)).select("*", F.explode(F.sequence(F.lit(0).cast("long"), n_lat * n_lon - 1)).alias("cell"))
+    i, j = F.floor(F.col("cell") / n_lon), F.col("cell") % n_lon
+    found = numbered.select("*", i.alias("lat_index"), j.alias("lon_index"), (b["south"] + d_lat * (i + 0.5)).alias("lat"), (b["west"] + d_lon * (j + 0.5)).alias("lon"))
+    return found.drop("cell")
+
+
 def grid_cells(spark: SparkSession, box: tuple[float, float, float, float], km: float) -> DataFrame:
     """lat_index, lon_index, lat, lon of every cell centre, in latitude-major order of the indices.
 

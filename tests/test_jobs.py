@@ -115,3 +115,26 @@ def test_custom_writer_and_json(spark, tmp_path):
     assert seen == [(1, "here")]
     sources.write_results(df, "json", str(tmp_path / "j"))
     assert spark.read.text(str(tmp_path / "j")).first().value == '{"a":1,"b":null}'
+
+
+def test_boxes_of_a_column(spark):
+    """Column form of counts and cells against the driver's, on the boxes of the contract, at a pole and without a cell."""
+    from terrabrook.plans import seeds
+
+    boxes = [("38.0077,23.6719,38.0257,23.6947", 0.5), ("89.90,0,89.95,20", 1.0), ("40.30,-3.80,40.50,-3.60", 1.0), ("52.34,13.09,52.68,13.76", 1.0), ("89.9,0,90,1", 5.0), ("0,0,0.001,0.001", 9.0), ("1,1,2,2", 0.0), ("5,5,4,6", 1.0)]
+    df = spark.createDataFrame(boxes, "text string, km double").withColumn("box", seeds.box_columns(F.col("text")))
+    good = df.filter("box.error is null")
+    counts = {r.text: tuple(r[1:]) for r in good.select("text", *seeds.box_counts(F.col("box"), F.col("km")), *seeds.box_counts(F.col("box"), F.col("km"), True)).collect()}
+    assert counts == {t: (*seeds.axis_counts(seeds.bounding_box(t), km), *seeds.axis_counts(seeds.bounding_box(t), km, True)) for t, km in boxes[:-1]}
+    cells = seeds.cells_of_boxes(good.filter("km = 0.5"), "box", "km")
+    near = lambda rows: sorted((r.lat_index, r.lon_index, round(r.lat, 9), round(r.lon, 9)) for r in rows)
+    assert near(cells.collect()) == near(seeds.grid_cells(spark, seeds.bounding_box(boxes[0][0]), 0.5).collect()) and cells.count() == 16
+    assert seeds.cells_of_boxes(good.filter("km = 9"), "box", "km").collect() == []
+
+
+def test_place_ids_of_empty_marks(spark):
+    from terrabrook.functions.url import place_id
+
+    urls = {"x!1s!1sabc": "abc", "y!1s": "", "z?place_id=&place_id=q%20r&b": "q r", "m!1s!2d?place_id=k": "k", "0xaF:0x1": "0xaF:0x1", "n!1sa%2Fb!2": "a/b"}
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    assert {r.u: r.p for r in df.select("u", place_id(F.col("u")).alias("p")).collect()} == urls
