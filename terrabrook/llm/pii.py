@@ -7,7 +7,7 @@ gradient-boosted ensemble scores each candidate from its format, its own check (
 number areas, known key forms) and the words before it; scoring is DataFrame functions only.  The trees
 are fitted here on generated examples (fixed seed, TRAIN_ROWS of them) because the tables hold no
 labelled spans; half of the examples set, per kind, the least threshold at which precision is at least
-PRECISION.
+PRECISION.  No generator bounds a value's length but by its format, and all are linear in the text.
 """
 
 from __future__ import annotations
@@ -33,40 +33,48 @@ BASE = ("email", "ip", "card", "phone")
 
 #: Kinds the method adds, in the order of the spans column, with generator patterns.
 ADDED = {
-    "local_phone": r"(?<![0-9+.(/-])\(?[0-9]{2,5}\)?[ ./-]{1,2}[0-9]{2,5}(?:[ ./-][0-9]{2,5}){0,3}(?![0-9.-])",
+    "local_phone": r"(?<![0-9+/-])(?<![0-9][.,])(?:\([0-9]{2,5}\)|[0-9]{2,5})[ ./-]{1,2}[0-9]{2,8}(?:[ ./-][0-9]{2,8}){0,3}(?![0-9]|[.,/-][0-9])"
+    r"|(?<![A-Za-z0-9_+.,/$#-])[0-9]{9,11}(?![A-Za-z0-9_]|[.,/-][0-9])",
     "id_number": r"(?<![A-Za-z0-9.-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{1,2}[0-9]{6,8}[A-Z]?|[0-9]{8}[ -]?[A-Z])(?![A-Za-z0-9-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "written_email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[\[(<{] ?(?:at|AT|@) ?[\])>}] ?[A-Za-z0-9-]{1,63}+(?: ?(?:[\[(<{] ?(?:dot|DOT) ?[\])>}]|\.) ?[A-Za-z0-9-]{1,63}+)++",
+    "written_email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(<{] ?(?:at|AT|@) ?[\])>}] ?[A-Za-z0-9-]++(?: ?(?:[\[(<{] ?(?:dot|DOT) ?[\])>}]|\.) ?[A-Za-z0-9-]++)++"
+    r"|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?: (?:dot|DOT) [A-Za-z0-9._%+-]++)*+ (?:at|AT) [A-Za-z0-9-]++(?: (?:dot|DOT) [A-Za-z0-9-]++)*? (?:dot|DOT) (?:com|org|net|edu|gov|info|io|de|fr|es|uk|eu|co)(?![A-Za-z0-9-])",
     "ipv6": r"(?<![A-Za-z0-9:])(?=[0-9A-Fa-f]*+:[0-9A-Fa-f]*+:)(?:[0-9A-Fa-f]{1,4}:){1,7}:?[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}(?![A-Za-z0-9:])",
-    "address": r"(?<![0-9A-Za-z])[0-9]{1,5} [A-Z][a-z]{2,20}(?: [A-Z][a-z]{2,20})? (?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Dr|Boulevard|Blvd|Court|Ct)(?![A-Za-z])",
-    "secret": r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]{1,8000}+-----END [A-Z ]{0,30}PRIVATE KEY-----"
-    r"|(?<![A-Za-z0-9_.-])eyJ[A-Za-z0-9_-]{10,2000}+\.[A-Za-z0-9_-]{10,4000}+(?:\.[A-Za-z0-9_-]{10,2000}+)?"
-    r"|(?<=(?:[Pp]ass[Ww]ord|PASSWORD|[Pp]asswd|PASSWD|[Pp]asswort|[Pp]wd|PWD)[\"']{0,1} {0,2}[:=] {0,2}[\"']{0,1})[^\s\"':=]{6,64}(?![^\s\"',;)])"
-    r"|(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])(?=[0-9_+/-]*+[A-Za-z])[A-Za-z0-9_+/-]{16,512}+={0,2}(?![A-Za-z0-9_+/=-])",
+    "address": r"(?<![0-9A-Za-z])[0-9]{1,5} [A-Z][a-z]{2,20}(?: [A-Z][a-z]{2,20})? (?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Dr|Boulevard|Blvd|Court|Ct)(?![A-Za-z])"
+    r"|(?<![0-9A-Za-zÄÖÜäöüß])[A-ZÄÖÜ][a-zäöüß]{2,30}(?:straße|strasse|weg|platz|gasse|allee) [0-9]{1,4}[a-z]?(?![0-9A-Za-z])"
+    r"|(?<![0-9A-Za-z])[0-9]{1,4}(?: bis| ter)?,? (?:rue|avenue|boulevard|chemin|impasse)(?: (?:de|du|des|la|le|les)){0,2} (?:[dl]')?[A-ZÀ-Ý][a-zà-ÿ]{2,20}(?:[ -][A-ZÀ-Ý][a-zà-ÿ]{2,20})?(?![A-Za-z])"
+    r"|(?<![0-9A-Za-z])(?:Calle|calle|Avenida|avenida|Paseo|paseo|Plaza|plaza)(?: (?:de|del|la|las|los)){0,2} [A-ZÀ-Ý][a-zà-ÿ]{2,20}(?: [A-ZÀ-Ý][a-zà-ÿ]{2,20})?,? [0-9]{1,4}(?![0-9A-Za-z])",
+    "secret": r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----[A-Za-z0-9+/=\s]++-----END (?:[A-Z]+ ){0,3}PRIVATE KEY-----"
+    r"|(?<![A-Za-z0-9_.-])eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+(?:\.[A-Za-z0-9_-]{10,}+)?"
+    r"|(?<=(?:[Pp]ass[Ww]ord|PASSWORD|[Pp]asswd|PASSWD|[Pp]asswort|[Pp]wd|PWD)[\"']{0,1} {0,2}[:=] {0,2}[\"']{0,1})[^\s\"':=]{6,}(?![^\s\"',;)])"
+    r"|(?<=(?:[Pp]assword|[Pp]assphrase|[Pp]asscode|[Pp]asswort|[Cc]ontraseña|[Mm]ot de passe) {0,1}(?:is|was|ist|lautet|es|est|:) [\"']{0,1})(?=[^\s\"':=]*?[0-9!@#$%^&*])[^\s\"':=]{6,}(?<![.,;?)])"
+    r"|(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])(?=[0-9_+/-]*+[A-Za-z])[A-Za-z0-9_+/-]{16,}+={0,2}(?![A-Za-z0-9_+/=-])",
 }
 #: A text without this has no candidate of the kind (a cheap test before the pattern).
 NEEDS = {
-    "local_phone": "[0-9]{2}", "id_number": "[0-9]{6}|[0-9]{2}-[0-9]{4}", "iban": "[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}", "written_email": r"[\[(<{] ?(?:at|AT|@) ?[\])>}]", "ipv6": "[0-9A-Fa-f]:[0-9A-Fa-f:]", "address": "[0-9] [A-Z]",
+    "local_phone": "[0-9]{2}[) ./-]{1,3}[0-9]{2}|[0-9]{9}", "id_number": "[0-9]{6}|[0-9]{2}-[0-9]{4}", "iban": "[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}", "written_email": r"[\[(<{] ?(?:at|AT|@) ?[\])>}]| (?:dot|DOT) ", "ipv6": "[0-9A-Fa-f]:[0-9A-Fa-f:]", "address": "[0-9] [A-Z]|[a-zß] [0-9]|[0-9r],? [rabci]",
     "secret": "[0-9][A-Za-z_+/-]|[A-Za-z_+/-][0-9]",
 }
 #: Kinds of which every candidate has a digit, or one of the words.
 DIGITS = ("local_phone", "id_number", "iban", "address", "secret")
-WORDS = {"secret": ("PRIVATE KEY", "assw", "assW", "ASSW", "pwd", "Pwd", "PWD")}
+WORDS = {"secret": ("PRIVATE KEY", "assw", "assW", "ASSW", "pwd", "Pwd", "PWD", "assphrase", "asscode", "ontraseña", "ot de passe")}
 CONTEXT = 40
 GOOD_WORDS = {
-    "local_phone": r"(?i)\b(?:phone|tel|call|fax|mobile|cell|whatsapp|telefon|telefono|teléfono|téléphone|numéro|handy|rufnummer|portable)[a-z.]*\W*(?:\w+\W+)?$",
+    "local_phone": r"(?i)\b(?:phone|tel|call|fax|mobile|cell|whatsapp|telefon|telefono|teléfono|téléphone|numéro|handy|rufnummer|portable|móvil|ring|text|dial|reach|sms)[a-z.]*\W*(?:\w+\W+){0,2}$",
     "id_number": r"(?i)\b(?:ssn|social security|passport|national id|id card|dni|nie|ausweis|personal|reisepass|carte d'identité|passeport|pasaporte|licen[cs]e)(?: (?:no|number|nummer|num|id))?\.?\W*(?:\w+\W+)?$",
     "iban": r"(?i)\b(?:iban|account|konto|cuenta|compte|bank)\W*(?:\w+\W+)?$",
     "written_email": r"(?i)\b(?:mail|contact|write|reach|kontakt|correo|courriel)\W*(?:\w+\W+){0,2}$",
     "ipv6": r"(?i)\b(?:ip|ipv6|address|host|from|client|adresse)\W*(?:\w+\W+)?$",
-    "address": r"(?i)\b(?:address|lives?|at|home|ship|deliver|resid\w+|send)\W*(?:\w+\W+){0,2}$",
-    "secret": r"(?i)(?:api|access|secret|private|auth|signing|encryption|client|session|bearer|token|passw(?:or)?[dt]|passwd|pwd|credential|key)[a-z0-9_.-]*[\"']?\s*(?:[:=]|=>|:=| is )?\s*[\"'`]?(?:bearer |basic )?$",
+    "address": r"(?i)\b(?:address|lives?|at|home|ship|deliver|resid\w+|send|wohn\w+|adresse|anschrift|domicilio|direcci[oó]n|vive|habite|domicile)\W*(?:\w+\W+){0,2}$",
+    "secret": r"(?i)(?:api|access|secret|private|auth|signing|encryption|client|session|bearer|token|passw(?:or)?[dt]|passwd|pwd|credential|key|passphrase|passcode|passwort|contraseña|mot de passe)[a-z0-9_.-]*[\"']?\s*(?:[:=]|=>|:=| (?:is|was|ist|lautet|es|est) )?\s*[\"'`]?(?:bearer |basic )?$",
 }
-BAD_WORDS = r"(?i)\b(?:order|invoice|version|isbn|issn|doi|part|item|sku|ref|reference|model|build|serial|score|page|pages|chapter|time|date|year|total|no|nr|ticket|bestell|factura|commande|ratio|verse|line|commit|sha[0-9-]*|md5|checksum|digest|hash|revision|rev|etag|blob|tree|parent|integrity|uuid|guid|image|file|layer)[a-z.]*\W*(?:(?:no|number|nummer)\.?\W*)?$"
+BAD_WORDS = r"(?i)\b(?:order|invoice|version|isbn|issn|doi|part|item|sku|ref|reference|model|build|serial|score|page|pages|chapter|time|date|year|total|no|nr|ticket|bestell|factura|commande|ratio|verse|line|commit|sha[0-9-]*|md5|checksum|digest|hash|revision|rev|etag|blob|tree|parent|integrity|uuid|guid|image|file|layer|room|zimmer|salle|seat|row|gate|lot|section|fig|figure|table|numbers|population|id)[a-z.]*\W*(?:(?:no|number|nummer)\.?\W*)?$"
 #: A value after a sign of assignment; a value that stands in a row of a table or list.
 ASSIGNED, LISTED = r"[:=]\s*[\"'`]?$", r"(?:^|[\n\t,;|])\s*[\"']?$"
 KNOWN_SECRETS = r"^(?:AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|sk-|sk_live_|rk_live_|xox[abpsr]-|AIza|eyJ|-----BEGIN|npm_|pypi-|SG\.|hf_|ya29)"
 DNI = "TRWAGMYFPDXBNJZSQVHLCKE"
+#: A number before one of these, or a year before Court, counts something or dates it; it is no house number.
+NO_STREET = r"^[0-9]+ (?:Supreme|High|Federal|District|Superior|Appeals?|Circuit|Crown|Hour|Mile|Hard|Flash|Disk|Test|Wall|Tennis|Royal) |^(?:1[89]|20)[0-9]{2} .*Court$"
 FEATURES = ("length", "digits", "groups", "separators", "paren", "letters", "capitals", "distinct", "hex", "good", "bad", "assigned", "listed", "valid", "zero")
 TRAIN_ROWS = 7000
 TREES, DEPTH, RATE = 16, 4, 0.4
@@ -89,9 +97,11 @@ def valid(kind: str, found: str) -> bool:
     if kind == "ipv6":
         return ("::" in found) != (found.count(":") == 7) and bool(re.search(r"[A-Fa-f]|[0-9]{3}", found))
     if kind == "local_phone":
-        return 7 <= len(digits) <= 11 and not re.fullmatch(r"[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{4}[./-][0-9]{2}[./-][0-9]{2}|[0-9]{2}[./-][0-9]{2}[./-][0-9]{4}|[0-9]{4} ?[/-] ?[0-9]{4}", found)
+        return 7 <= len(digits) <= 12 and not re.fullmatch(r"[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{4}[./-][0-9]{2}[./-][0-9]{2}|[0-9]{2}[./-][0-9]{2}[./-][0-9]{4}|[0-9]{4} ?[/-] ?[0-9]{4}", found)
     if kind == "written_email":
         return bool(re.search(r"(?:com|org|net|edu|gov|info|io|de|fr|es|uk|eu|co)$", found))
+    if kind == "address":
+        return not re.search(NO_STREET, found)
     return bool(re.search(KNOWN_SECRETS, found)) if kind == "secret" else True
 
 
@@ -108,9 +118,11 @@ def valid_sql(kind: str) -> str:
     if kind == "ipv6":
         return "(contains(m.found, '::') <> (regexp_count(m.found, ':') = 7)) and m.found rlike '[A-Fa-f]|[0-9]{3}'"
     if kind == "local_phone":
-        return f"length({digits}) between 7 and 11 and not (m.found rlike '^(?:[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}|[0-9]{{4}}[./-][0-9]{{2}}[./-][0-9]{{2}}|[0-9]{{2}}[./-][0-9]{{2}}[./-][0-9]{{4}}|[0-9]{{4}} ?[/-] ?[0-9]{{4}})$')"
+        return f"length({digits}) between 7 and 12 and not (m.found rlike '^(?:[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}|[0-9]{{4}}[./-][0-9]{{2}}[./-][0-9]{{2}}|[0-9]{{2}}[./-][0-9]{{2}}[./-][0-9]{{4}}|[0-9]{{4}} ?[/-] ?[0-9]{{4}})$')"
     if kind == "written_email":
         return "m.found rlike '(?:com|org|net|edu|gov|info|io|de|fr|es|uk|eu|co)$'"
+    if kind == "address":
+        return f"not m.found rlike {literal(NO_STREET)}"
     return f"m.found rlike {literal(KNOWN_SECRETS)}" if kind == "secret" else "true"
 
 
@@ -146,14 +158,17 @@ def examples(kind: str, n: int) -> list[tuple[str, str, int]]:
     """Generated candidates: found, the text before it, and whether it is personal data.
 
     Neither format nor context decides alone: half of the positives stand in plain prose or in lists
-    without a word that names them, a fifth of the negatives behind a word that does, and negatives
-    share the positives' formats where only the context tells.
+    without a word that names them, a fifth of the negatives behind a word that does, and values of
+    formats that say little by themselves (weak) are positives behind such a word only.
     """
     rng = random.Random(f"{kind} 7")
     pick = rng.choice
     d = lambda k: "".join(pick("0123456789") for _ in range(k))
     of = lambda k, chars: "".join(pick(chars) for _ in range(k))
     word = lambda: "".join(pick("aeioulnrst") for _ in range(rng.randint(2, 8)))
+    name = lambda: "".join(pick("aeioulnrst") for _ in range(rng.randint(4, 9))).title()
+    house = lambda: str(rng.randint(1, 10 ** rng.randint(1, 4)))
+    tld = lambda: pick(("com", "org", "de", "net", "fr", "es"))
     mixed, hexes = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "0123456789abcdef"
 
     def with_digit(make):
@@ -188,28 +203,44 @@ def examples(kind: str, n: int) -> list[tuple[str, str, int]]:
     misleading = ["order ", "invoice no ", "version ", "ISBN ", "item ", "pages ", "ref ", "score ", "ticket ", "part number ", "build ", "commit ", "sha256: ", "md5 ", "checksum: ", "digest=", "revision ", "uuid ", "file ", 'etag: "']
     listed = ["\n", ", ", "; ", "\t", "| ", '\n"']
     own = {
-        "local_phone": lambda: pick([f"0{d(2)} {d(3)} {d(4)}", f"({d(3)}) {d(3)}-{d(4)}", f"0{d(3)}-{d(4)}", f"{d(3)}-{d(3)}-{d(4)}", f"0{d(1)} {d(2)} {d(2)} {d(2)} {d(2)}", f"{d(3)} {d(3)} {d(4)}", f"(0{d(2)}) {d(3)}-{d(4)}"]),
-        "id_number": lambda: pick([social(True), social(True), dni(True), f"{of(1, 'ABCXYZ')}{d(7)}", f"{of(1, 'CFGHJK')}{d(8)}"]),
+        "local_phone": lambda: pick([f"0{d(2)} {d(3)} {d(4)}", f"({d(3)}) {d(3)}-{d(4)}", f"0{d(3)}-{d(4)}", f"{d(3)}-{d(3)}-{d(4)}", f"0{d(1)} {d(2)} {d(2)} {d(2)} {d(2)}", f"{d(3)} {d(3)} {d(4)}", f"(0{d(2)}) {d(3)}-{d(4)}", f"0{d(2)} {d(7)}", f"0{d(3)} {d(6)}", f"01{d(2)} {d(8)}", f"0{d(3)}/{d(6)}", f"0{d(9)}", f"0{d(1)}.{d(2)}.{d(2)}.{d(2)}.{d(2)}"]),
+        "id_number": lambda: pick([social(True), dni(True)]),
         "iban": lambda: iban(True),
-        "written_email": lambda: f"{word()}{pick(('.', '', '_'))}{word()} {pick(('[at]', '(at)', '(@)', '{at}'))} {word()}{pick((' [dot] ', ' (dot) ', '.'))}{pick(('com', 'org', 'de', 'net', 'fr', 'es'))}",
-        "ipv6": lambda: pick([":".join(pick(("2001", "fe80", of(4, hexes), of(3, hexes), "db8")) for _ in range(8)), f"2001:db8::{of(4, hexes)}:{of(4, hexes)}", f"fe80::{of(3, hexes)}:{of(4, hexes)}:{of(4, hexes)}", f"2001:{of(3, hexes)}::{of(4, hexes)}:{of(2, hexes)}:{of(4, hexes)}"]),
-        "address": lambda: f"{d(rng.randint(1, 4))} {word().title()}er {pick(['Street', 'Avenue', 'Road', 'Lane', 'Drive'])}",
+        "written_email": lambda: pick([
+            f"{word()}{pick(('.', '', '_'))}{word()} {pick(('[at]', '(at)', '(@)', '{at}'))} {word()}{pick((' [dot] ', ' (dot) ', '.'))}{tld()}", f"{word()} at {word()} dot {tld()}", f"{word()} dot {word()} at {word()} dot {tld()}",
+        ]),
+        "ipv6": lambda: pick([":".join(pick(("2001", "fe80", of(4, hexes), of(3, hexes), "db8")) for _ in range(8)), f"2001:db8::{of(4, hexes)}:{of(4, hexes)}", f"fe80::{of(3, hexes)}:{of(4, hexes)}:{of(4, hexes)}", f"2001:{of(3, hexes)}::{of(4, hexes)}:{of(2, hexes)}:{of(4, hexes)}", f"{pick(('fe80', '2001:db8', 'fd' + d(2), '2a0' + d(1) + ':' + d(4)))}::{of(rng.randint(0, 3), hexes)}{d(1)}"]),
+        "address": lambda: pick([
+            f"{house()} {name()} {pick(['Street', 'Avenue', 'Road', 'Lane', 'Drive', 'St', 'Ave', 'Rd', 'Court', 'Boulevard'])}", f"{name()}{pick(['straße', 'weg', 'platz', 'allee'])} {house()}",
+            f"{house()} {pick(['rue', 'avenue', 'chemin'])} {pick(['de ', 'du ', ''])}{name()}", f"{pick(['Calle', 'Avenida', 'Paseo'])} {pick(['de ', ''])}{name()} {house()}",
+        ]),
         "secret": lambda: with_digit(lambda: pick([of(40, hexes), of(40, hexes), of(32, hexes), of(64, hexes), of(rng.randint(20, 60), mixed), of(40, mixed + "+/"), of(43, mixed) + "=", of(rng.randint(16, 24), mixed)])),
     }[kind]
     known = lambda: pick(["AKIA" + of(16, mixed[:26] + "234567"), "ghp_" + of(36, mixed), "sk-" + of(48, mixed), f"xoxb-{d(12)}-{d(12)}-{of(24, mixed)}", f"eyJ{of(20, mixed)}.eyJ{of(40, mixed)}.{of(43, mixed)}", "AIza" + of(35, mixed)])
     other = {
-        "local_phone": lambda: pick([f"{d(4)}-{d(2)}-{d(2)}", f"{d(2)}/{d(2)}/{d(4)}", f"{d(2)}.{d(2)}", f"{d(3)} {d(3)}", f"{d(4)} {d(4)} {d(4)}", f"{d(4)}-{d(4)}", f"{d(2)}-{d(2)}", f"{d(3)}.{d(2)}", f"{d(5)}/{d(2)}", f"{d(3)}-{d(2)}-{d(4)}"]),
-        "id_number": lambda: pick([f"{of(1, 'ABCXYZ')}{d(6)}", f"{of(2, 'ABCXYZ')}{d(6)}", social(False), dni(False)]),
+        "local_phone": lambda: pick([f"{d(4)}-{d(2)}-{d(2)}", f"{d(2)}/{d(2)}/{d(4)}", f"{d(2)}.{d(2)}", f"{d(3)} {d(3)}", f"{d(4)} {d(4)} {d(4)}", f"{d(4)}-{d(4)}", f"{d(2)}-{d(2)}", f"{d(3)}.{d(2)}", f"{d(5)}/{d(2)}", f"{d(3)}-{d(2)}-{d(4)}", f"0{d(2)}-{d(2)}-{d(4)}", f"{d(2)} {d(2)}", f"{d(2)} {d(2)} {d(2)}"]),
+        "id_number": lambda: pick([social(False), dni(False)]),
         "iban": lambda: iban(False),
         "written_email": lambda: f"{word()} (at) {word()}.{word()}xy",
-        "ipv6": lambda: pick([f"{d(2)}:{d(2)}:{d(2)}", f"{d(1)}:{d(2)}:{d(2)}:{d(2)}", ":".join(of(2, hexes) for _ in range(6))]),
-        "address": lambda: f"{d(4)} {word().title()} Court",
+        "ipv6": lambda: pick([f"{pick(('face', 'dead', 'Add', 'abe'))}::{pick(('bad', 'beef', 'cafe', 'Fed'))}", f"{d(2)}:{d(2)}:{d(2)}", f"{d(1)}:{d(2)}:{d(2)}:{d(2)}", ":".join(of(2, hexes) for _ in range(6))]),
+        "address": lambda: pick([f"{house()} {pick(['Supreme', 'High', 'Federal', 'District', 'Crown'])} Court", f"{house()} {pick(['Hour', 'Test', 'Hard', 'Flash'])} Drive", f"{pick((18, 19, 20))}{d(2)} {name()} Court", f"{house()} Mile Road"]),
         "secret": lambda: with_digit(lambda: pick([f"{of(8, hexes)}-{of(4, hexes)}-{of(4, hexes)}-{of(4, hexes)}-{of(12, hexes)}", f"{word()}_{word()}_{d(4)}_{word()}{word()}", f"{word()}-{d(4)}-{word()}-{word()}-{word()}", f"/{word()}/{word()}/{d(4)}/{d(2)}/{word()}", f"{word()}{word()}{word()}{d(3)}"])),
     }[kind]
+    run = lambda: " ".join(str(rng.randint(1, 9)) + d(1) for _ in range(rng.randint(4, 5)))
+    weak = {
+        "local_phone": lambda: pick([f"{rng.randint(1, 9)}{d(2)} {d(7)}", str(rng.randint(10**8, 10**10)), run(), run(), f"{rng.randint(1, 9)}{d(2)}{pick(' -')}{d(4)}", f"{d(3)} {d(3)} {d(3)}"]),
+        "id_number": lambda: pick([f"{of(1, 'ABCFGHJKXYZ')}{d(rng.randint(6, 8))}", f"{of(2, 'ABCXYZ')}{d(rng.randint(6, 7))}"]),
+        "secret": lambda: with_digit(lambda: of(rng.randint(8, 14), mixed + "!#$")),
+    }.get(kind)
     found = []
     for _ in range(n):
         prose, u = f"{word()} {word()}{pick((' ', ' ', '. ', ', '))}", rng.random()
-        if rng.random() < 0.5:
+        if weak and rng.random() < 0.3:
+            if kind == "secret":
+                found.append((weak(), prose + pick(["my password is ", "password: ", "the passphrase is ", 'pwd="', "Passwort ist "]), 1))
+            else:
+                found.append((weak(), prose + pick(leads), 1) if rng.random() < 0.5 else (weak(), prose + pick([*misleading, "", "", *listed]), 0))
+        elif rng.random() < 0.5:
             if kind == "secret":  # without a known form, only the context makes a random string a secret
                 known_form = rng.random() < 0.3
                 found.append((known(), prose + pick([*leads, "", *listed]), 1) if known_form else (own(), prose + pick(leads), 1))
