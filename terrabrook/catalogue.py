@@ -261,21 +261,25 @@ def popular_times(spark, sf_dir):
     return found.select("s_suppkey", "day", F.explode_outer("hours").alias("hour", "traffic")).select("s_suppkey", F.coalesce("day", F.lit("no map")).alias("day"), *[F.coalesce(F.col(c).cast("long"), F.lit(-1)).alias(c) for c in ("hour", "traffic")])
 
 
-@query("""SELECT c_custkey::VARCHAR AS source_id, c_name AS name, 'google_maps' AS source, CASE WHEN c_custkey % 4 <> 0 THEN 'about ' || c_custkey END AS description, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS rating, CASE WHEN c_custkey % 3 <> 0 THEN (c_custkey * 37 % 1800) / 10.0::DOUBLE END AS latitude,
-n_name AS city, r_name AS state, CASE WHEN c_custkey % 2 = 0 THEN 'full_address=addr' || c_custkey || ';' ELSE '' END || CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'additional_emails=b@x.example;' END AS attributes
-FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
-def lead_projection(spark, sf_dir):
+def lead_places(spark, sf_dir) -> DataFrame:
+    """Customers as places, with the fields that leads take."""
     k = F.col("c_custkey")
     joined = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     empty = [F.lit("").alias(c) for c in ("link", "plus_code", "status", "price_range", "timezone", "reviews_link", "thumbnail", "category", "web_site", "phone")]
     empty += [F.struct(F.lit("").alias("name"), F.lit("").alias("link")).alias(c) for c in ("owner", "menu")]
-    p = joined.select(
+    return joined.select(
         F.col("c_name").alias("title"), k.cast("string").alias("data_id"), F.when(k % 3 != 0, k * 37 % 1800 / 10.0).otherwise(0.0).alias("latitude"), F.lit(0.0).alias("longitude"), F.col("c_acctbal").alias("review_rating"), F.lit(0).alias("review_count"), F.when(k % 4 != 0, F.concat(F.lit("about "), k)).otherwise("").alias("description"),
         F.concat(F.lit("addr"), k).alias("address"), F.struct(F.when(k % 2 == 0, "").otherwise("street").alias("street"), F.col("n_name").alias("city"), F.col("r_name").alias("state"), F.lit("").alias("country"), F.lit("").alias("postal_code"), F.lit("").alias("borough")).alias("complete_address"),
         F.array("c_mktsegment").alias("categories"), F.when(k % 5 == 0, F.array(F.lit("a@x.example"))).otherwise(F.array(F.lit("a@x.example"), F.lit("b@x.example"))).alias("emails"), *empty,
     )
+
+
+@query("""SELECT c_custkey::VARCHAR AS source_id, c_name AS name, 'google_maps' AS source, CASE WHEN c_custkey % 4 <> 0 THEN 'about ' || c_custkey END AS description, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS rating, CASE WHEN c_custkey % 3 <> 0 THEN (c_custkey * 37 % 1800) / 10.0::DOUBLE END AS latitude,
+n_name AS city, r_name AS state, CASE WHEN c_custkey % 2 = 0 THEN 'full_address=addr' || c_custkey || ';' ELSE '' END || CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'additional_emails=b@x.example;' END AS attributes
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def lead_projection(spark, sf_dir):
     shown = F.array_join(F.transform("attributes", lambda a: F.concat(a["name"], F.lit("="), a["value"], F.lit(";"))), "")
-    return R.leads(p).select("source_id", "name", "source", "description", "rating", F.when(F.col("latitude").isNotNull() & (F.col("latitude") != 0), F.col("latitude")).alias("latitude"), "city", "state", shown.alias("attributes"))
+    return R.leads(lead_places(spark, sf_dir)).select("source_id", "name", "source", "description", "rating", F.when(F.col("latitude").isNotNull() & (F.col("latitude") != 0), F.col("latitude")).alias("latitude"), "city", "state", shown.alias("attributes"))
 
 
 ORACLES["lead_projection"] = ORACLES["lead_projection"].replace("CASE WHEN c_custkey % 3 <> 0 THEN (c_custkey * 37 % 1800) / 10.0::DOUBLE END", "nullif(CASE WHEN c_custkey % 3 <> 0 THEN (c_custkey * 37 % 1800) / 10.0::DOUBLE ELSE 0 END, 0)")
@@ -981,3 +985,150 @@ def cleanup_rows(spark, sf_dir):
     left = {"sessions": records.open_sessions(o.filter(kind == 0).select(time.alias("expires_at")), now), "limits": records.recent_limits(o.filter(kind == 1).select(time.alias("reset_at")), now), "jobs": records.unfinished_or_recent(jobs, now)}
     counts = [rows.agg(F.count("*").alias("n")).select(F.lit(what).alias("what"), "n") for what, rows in left.items()]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN 'https://book/' || p_partkey || '|book ' || p_partkey ELSE '' END AS reservations,
+CASE WHEN p_partkey % 3 = 1 THEN 'https://flat/1|flat 1;https://flat/2|flat ' || p_partkey ELSE 'https://order/' || p_partkey || '|order ' || p_partkey END AS orders,
+CASE WHEN p_partkey % 6 = 0 THEN '' ELSE 'All ' || p_name || '|https://img/' || p_partkey END AS images,
+CASE WHEN p_partkey % 5 = 0 THEN '' ELSE 'svc|Service ' || p_partkey || '|Delivery:true,Dine-in:' || (p_partkey % 2 = 1) || ';empty|Empty|' END AS about FROM part""")
+def place_lists(spark, sf_dir):
+    """Reservations, orders (the nested list before the flat one), images and about: entries without a link, source, title or name are left out."""
+    from .operators.places import parse_places
+
+    k, null = F.col("p_partkey"), F.lit("null")
+    text = lambda *parts: quoted(F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts]))
+    json = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    order = lambda source, link: json("[[", source, "],[null,null,[", link, "]]]")
+    flat = json("[", order(text("flat 1"), text("https://flat/1")), ",", order(text("flat ", k), text("https://flat/2")), "]")
+    image = lambda title, link: json("[null,null,", title, ",[[null,null,null,null,null,null,[", link, "]]]]")
+    values = {
+        (6, 46): F.when(k % 4 == 0, json("[[", text("https://book/", k), ",", text("book ", k), '],["","x"],["https://no.source",""]]')).when(k % 4 == 1, "[]").when(k % 4 == 2, '"text"').otherwise(null),
+        (6, 75, 0, 1, 2): F.when(k % 3 == 1, null).otherwise(json("[", order(text("order ", k), text("https://order/", k)), ",[]]")), (6, 75, 0, 0, 2): F.when(k % 3 == 0, null).otherwise(flat),
+        (6, 171, 0): F.when(k % 6 == 0, "[[7]]").otherwise(json("[", image(text("All ", F.col("p_name")), text("https://img/", k)), ",", image(F.lit('""'), text("https://none")), "]")),
+        (6, 100, 1): F.when(k % 5 == 0, null).otherwise(json('[["svc",', text("Service ", k), ',[["x","Delivery",[null,[[1]]]],["y","",[null,[[1]]]],["z","Dine-in",[null,[[', k % 2, ']]]]]],["empty","Empty",[]]]')),
+    }
+    found = parse_places(table(spark, sf_dir, "part").select("p_partkey", positional(values).alias("payload")))
+    pairs = lambda c, a, b: F.array_join(F.transform(c, lambda x: F.concat_ws("|", x[a], x[b])), ";")
+    options = lambda a: F.array_join(F.transform(a["options"], lambda o: F.concat_ws(":", o["name"], o["enabled"])), ",")
+    about = F.array_join(F.transform("about", lambda a: F.concat_ws("|", a["id"], a["name"], options(a))), ";")
+    return found.select("p_partkey", pairs("reservations", "link", "source").alias("reservations"), pairs("order_online", "link", "source").alias("orders"), pairs("images", "title", "image").alias("images"), about.alias("about"))
+
+
+@query("""WITH t AS (SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE p_name || ' é' || p_partkey END AS t FROM part), x AS (SELECT p_partkey, hex(encode(t)) AS x FROM t),
+h AS (SELECT p_partkey, list_reduce([14695981039346656037::HUGEINT] || list_transform(range(0, length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::INT::HUGEINT), lambda h, v: xor((h * 1099511628211) % 18446744073709551616, v)) AS h FROM x WHERE x IS NOT NULL)
+SELECT t.p_partkey, CASE WHEN h >= 9223372036854775808 THEN h - 18446744073709551616 ELSE h END::BIGINT AS hash FROM t LEFT JOIN h USING (p_partkey)""")
+def fnv_hashes(spark, sf_dir):
+    from .functions import ids
+
+    k = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select("p_partkey", ids.fnv_hash(F.when(k % 7 == 1, "").when(k % 7 > 1, F.concat("p_name", F.lit(" é"), k))).alias("hash"))
+
+
+@query("""SELECT f AS format, o_orderkey::VARCHAR AS id, 'order "' || o_orderpriority || '",' || chr(10) || o_clerk AS title, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus ELSE '' END AS status
+FROM orders, (VALUES ('csv'), ('json'), ('lines'), ('parquet')) AS x(f)""".replace("o_clerk", "o_custkey"))
+def results_by_format(spark, sf_dir):
+    """Results written by each writer, and by a registered format, and read again: quotes and line feeds come back."""
+    from . import sources
+
+    title = F.concat(F.lit('order "'), "o_orderpriority", F.lit('",\n'), "o_custkey")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), title.alias("title"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus")).alias("status"))
+    folder = shared_folder(spark, "formats")
+    for kind in ("csv", "json", "parquet"):
+        sources.write_results(rows, kind, f"{folder}/{kind}")
+    sources.register_sink(spark, "lines", sources.FolderSink)
+    rows.write.format("lines").mode("append").option("path", f"{folder}/lines").save()
+    schema = rows.schema
+    found = {
+        "csv": spark.read.schema(schema).csv(f"{folder}/csv", header=True, escape='"', multiLine=True), "json": spark.read.schema(schema).json(f"{folder}/json"), "lines": spark.read.schema(schema).json(f"{folder}/lines"), "parquet": spark.read.parquet(f"{folder}/parquet"),
+    }
+    every = [df.select(F.lit(kind).alias("format"), "id", "title", F.when(F.coalesce("status", F.lit("null")) == "null", "").otherwise(F.col("status")).alias("status")) for kind, df in found.items()]
+    return every[0].unionByName(every[1]).unionByName(every[2]).unionByName(every[3])
+
+
+@query("""SELECT c_custkey::VARCHAR AS source_id, c_name AS name, 1::BIGINT AS delivered, (c_custkey % 7 = 0)::BIGINT AS refused FROM customer""")
+def lead_delivery(spark, sf_dir):
+    """Leads sent twice under one name: the service refuses some of the first run, and the second sends only those."""
+    from . import sources
+
+    def refusing(leads: list[dict], key: str) -> dict[int, str]:
+        return {i: "try later" for i, lead in enumerate(leads) if int(lead["source_id"]) % 7 == 0}
+
+    ledger = shared_folder(spark, "ledger")
+    places = lead_places(spark, sf_dir)
+    sources.deliver_leads(places, refusing, ledger, "customers")
+    sources.deliver_leads(places, lambda leads, key: {}, ledger, "customers")
+    sent = sources.read_ledger(spark, ledger, "customers")
+    return sent.groupBy("source_id", "name").agg(F.count_if(F.col("message").isNull()).alias("delivered"), F.count_if(F.col("message") == "try later").alias("refused"))
+
+
+@query("""WITH e AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events), s AS (SELECT user_id, ts, sum(CASE WHEN before IS NULL OR ts >= before + INTERVAL 6 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM e),
+g AS (SELECT user_id, epoch_us(min(ts)) AS started_us, max(ts) AS last, count(*) AS result_count FROM s GROUP BY user_id, n)
+SELECT user_id, started_us, result_count FROM g WHERE last + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""")
+def stream_sessions(spark, sf_dir):
+    """Results per job and session, of sessions that the watermark has passed."""
+    from .streaming import stream_counts
+
+    counts = stream_counts(stream_of_events(spark, sf_dir), "user_id", "ts", "1 day", "6 hours")
+    return finished(spark, counts.select("user_id", F.unix_micros("session_window.start").alias("started_us"), "result_count"), "sessions")
+
+
+@query("""SELECT c_custkey, 'Ann ' || c_custkey || '|' || c_custkey % 6 || '|' || c_name || ';Cy|0|' AS reviews FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT c_custkey, 'Ann ' || c_custkey || '|' || c_custkey % 6 || '|' || c_name FROM customer WHERE c_custkey % 3 = 1
+UNION ALL SELECT c_custkey, '' FROM customer WHERE c_custkey % 3 = 2""")
+def rendered_page_reviews(spark, sf_dir):
+    """Reviews of rendered pages; those without an author, or with an empty one, are left out."""
+    from .operators.jobs import rendered_reviews
+
+    k = F.col("c_custkey")
+    row = lambda author, rating, text: F.struct(author.alias("author"), F.lit("").alias("picture"), rating.cast("double").alias("rating"), text.alias("text"), F.array(F.lit("i")).alias("images"), F.lit("").alias("when"))
+    first = row(F.when(k % 3 < 2, F.concat(F.lit("Ann "), k)), k % 6, F.col("c_name"))
+    rows = F.array(first, row(F.lit(""), F.lit(4), F.lit("nobody")), row(F.when(k % 3 == 0, "Cy").otherwise(""), F.lit(0), F.lit("")))
+    shown = F.transform(rendered_reviews(rows), lambda r: F.concat_ws("|", r["Name"], r["Rating"], r["Description"]))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.array_join(shown, ";").alias("reviews"))
+
+
+@query("SELECT 'all' AS mode, o_custkey, o_orderkey FROM orders UNION ALL SELECT 'first', o_custkey, min(o_orderkey) FROM orders GROUP BY o_custkey")
+def dedup_modes(spark, sf_dir):
+    """The first result of each key, and all of them where dedup is switched off."""
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    either = lambda mode, on: R.first_wins(rows, ["o_custkey"], ["o_orderkey"], enabled=on).select(F.lit(mode).alias("mode"), "o_custkey", "o_orderkey")
+    return either("all", False).unionByName(either("first", True))
+
+
+@query("SELECT 'results' AS counter, count(*) AS n FROM lineitem UNION ALL SELECT 'jobs', count(*) FROM orders UNION ALL SELECT 'open jobs', count(*) FROM orders WHERE o_orderstatus = 'O'")
+def result_counters(spark, sf_dir):
+    """Counters observed while the rows are written, without a pass of their own."""
+    from .operators.jobs import counted
+
+    orders = table(spark, sf_dir, "orders")
+    seen = {}
+    for name, rows in (("results", table(spark, sf_dir, "lineitem")), ("jobs", orders), ("open jobs", orders.filter("o_orderstatus = 'O'"))):
+        watched, counter = counted(rows.select(rows.columns[0]), name)
+        watched.write.format("noop").mode("overwrite").save()
+        seen[name] = counter.get["rows"]
+    return spark.createDataFrame(list(seen.items()), "counter string, n long")
+
+
+@query("""SELECT p_name || ' ' || p_partkey AS text, CASE WHEN p_partkey % 3 = 0 THEN 'id' || p_partkey END AS given, p_partkey % 3 <> 0 AS random, 1::BIGINT AS rows_of_id FROM part WHERE p_partkey % 5 <> 0""")
+def query_file(spark, sf_dir):
+    """A file of query lines, with blank ones: read, parsed, and an id of its own for each query without one."""
+    k = F.col("p_partkey")
+    line = F.when(k % 5 == 0, "  ").otherwise(F.concat("p_name", F.lit(" "), k, F.when(k % 3 == 0, F.concat(F.lit(" #!# id"), k)).otherwise("")))
+    folder = shared_folder(spark, "queries")
+    table(spark, sf_dir, "part").select(line.alias("value")).write.text(folder)
+    from . import sources
+
+    named = seeds.named(seeds.parse_query_lines(sources.read_query_lines(spark, folder)))
+    random = F.col("id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    found = named.groupBy("id").agg(F.min("text").alias("text"), F.count("*").alias("rows_of_id"))
+    return found.select("text", F.when(~random, F.col("id")).alias("given"), random.alias("random"), "rows_of_id")
+
+
+@query("SELECT o_orderkey, o_orderpriority AS status, o_orderpriority || '+' || o_orderstatus || '+' AS list, 'k' || o_orderkey || '=' || o_orderstatus AS map, o_orderkey % 2 = 0 AS no_struct FROM orders")
+def nul_strip_nested(spark, sf_dir):
+    """NUL characters in structs, arrays, and keys and values of maps; null structs and null entries stay."""
+    nul = F.lit("\u0000")
+    s = F.struct(F.concat("o_orderpriority", nul).alias("status"), F.array(F.concat(nul, "o_orderpriority"), F.concat("o_orderstatus", nul, nul), nul, F.lit(None)).alias("list"))
+    dirty = table(spark, sf_dir, "orders").select("o_orderkey", s.alias("s"), F.create_map(F.concat(F.lit("k"), nul, "o_orderkey"), F.concat(nul, "o_orderstatus")).alias("m"), F.when(F.col("o_orderkey") % 2 == 1, s).alias("maybe"))
+    clean = R.strip_nul(dirty)
+    entries = F.array_join(F.transform(F.map_entries("m"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+    return clean.select("o_orderkey", F.col("s.status").alias("status"), F.array_join("s.list", "+").alias("list"), entries.alias("map"), F.col("maybe").isNull().alias("no_struct"))

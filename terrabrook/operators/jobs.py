@@ -31,10 +31,18 @@ def place_errors(title: Column, category: Column) -> Column:
     return rule_errors([(F.coalesce(title, F.lit("")) == "", "title is empty"), (F.coalesce(category, F.lit("")) == "", "category is empty")])
 
 
+def may_hold_feed(html: Column) -> Column:
+    """Whether a page names a feed, or a character reference may spell it."""
+    return F.contains(html, F.lit("feed")) | F.contains(html, F.lit("&"))
+
+
 def place_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """A row per place link: the page's own URL if it is a single place, else its feed's links."""
+    """A row per place link: the page's own URL if it is a single place, else its feed's links.
+
+    Only pages whose text can hold a feed reach the parser; null pages have no link.
+    """
     single = pages.filter(single_place(F.col(url))).select(url, F.lit(0).alias("position"), F.col(url).alias("link"))
-    feed = pages.filter(~single_place(F.col(url))).select(url, F.posexplode(feed_links(html)).alias("position", "link"))
+    feed = pages.filter(~single_place(F.col(url))).select(url, F.posexplode(feed_links(F.when(may_hold_feed(F.col(html)), F.col(html)))).alias("position", "link"))
     return single.unionByName(feed)
 
 
