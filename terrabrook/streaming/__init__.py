@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -102,16 +103,79 @@ NEVER = np.iinfo(np.int64).max
 GRACE_S = 90
 
 
+#: Groups of jobs whose state a micro-batch goes through together, where no timer needs a key of its own.
+BUCKETS = 1024
+
+
+class Step(NamedTuple):
+    """What a micro-batch makes of some jobs: rows of output by job, and the run at hand of each job afterwards."""
+
+    job: np.ndarray
+    rows: pd.DataFrame
+    run: np.ndarray
+    taken: np.ndarray
+    deadline: np.ndarray
+    open: np.ndarray
+
+
+def collect_step(job: np.ndarray, seq: np.ndarray, op: np.ndarray, t: np.ndarray, base: np.ndarray, taken: np.ndarray, deadline: np.ndarray, is_open: np.ndarray, timeout_ms: int | None) -> Step:
+    """The collector's rules over events of many jobs at once, without a Python step an event or a job.
+
+    job holds places in base, taken, deadline and is_open, the jobs' runs so far; each has an event.
+    Runs are numbered through: a job's one at hand, then those it registers now.
+    """
+    order = np.lexsort((op, seq, job))
+    job, seq, op, t = job[order], seq[order], op[order], t[order]
+    at = np.arange(len(job))
+    begins = np.flatnonzero(np.r_[True, job[1:] != job[:-1]])  # of each job's events
+    ties = np.maximum.accumulate(np.where(np.r_[True, (job[1:] != job[:-1]) | (seq[1:] != seq[:-1])], at, 0))  # first event of the same number
+    opens = op == REGISTER
+    before = np.cumsum(opens) - opens
+    first_run = before[begins] + np.arange(len(begins))
+    last_run = np.r_[first_run[1:], opens.sum() + len(begins)] - 1
+    runs = int(last_run[-1]) + 1
+    run_job = np.repeat(np.arange(len(begins)), last_run - first_run + 1)
+    is_run = np.ones(runs, bool)
+    is_run[first_run] = is_open
+    limits = np.full(runs, NEVER)
+    if timeout_ms is not None:
+        limits[before[opens] + job[opens] + 1] = t[opens] + timeout_ms
+    limits[first_run] = deadline
+    ends, adds = (op == DISCARD) | (op == FLUSH), op == ADD
+    end_of, first = np.unique(before[ends] + job[ends], return_index=True)  # a registration comes before the ends of its number
+    end_seq, end_op = np.full(runs, NEVER), np.full(runs, -1)
+    end_seq[end_of], end_op[end_of] = seq[ends][first], op[ends][first]
+    run_of = before[ties[adds]] + job[adds]  # but after the adds of its number
+    within = is_run[run_of] & (seq[adds] < end_seq[run_of]) & (t[adds] <= limits[run_of])
+    counts = np.bincount(run_of[within], minlength=runs)
+    counts[first_run] += taken
+    dropped = np.bincount(run_of[~within], minlength=runs)
+    is_last = np.zeros(runs, bool)
+    is_last[last_run] = True
+    over = np.flatnonzero(is_run & ((end_op >= 0) | ~is_last))
+    status = np.select([end_op[over] < 0, end_op[over] == DISCARD, counts[over] > 0], ["replaced", "discarded", "completed"], "failed").astype(object)
+    late = np.flatnonzero(dropped)
+    number = np.arange(runs) - first_run[run_job] + base[run_job]
+    rows = {"run": np.r_[number[late], number[over]], "result_count": np.r_[np.zeros(len(late), np.int64), counts[over]], "dropped": np.r_[dropped[late], np.zeros(len(over), np.int64)], "status": np.r_[np.full(len(late), None, object), status]}
+    still = is_run[last_run] & (end_op[last_run] < 0)
+    return Step(run_job[np.r_[late, over]], pd.DataFrame(rows), number[last_run], np.where(still, counts[last_run], 0), limits[last_run], still)
+
+
+def whole(rows: Iterator[pd.DataFrame], *columns: str) -> list[np.ndarray]:
+    """The columns of a key's rows of the micro-batch, each in one piece."""
+    parts = [[r[c].to_numpy() for c in columns] for r in rows]
+    return [np.concatenate(x) for x in zip(*parts, strict=True)]
+
+
 class Collector(StatefulProcessor):
     """The run of a job as state: its number, results, deadline and whether it is open.
 
     Gives two kinds of rows: a run that ended (status), and how many adds of a micro-batch came
-    outside of an open run (dropped, no status).  Runs are found by searches in the sorted numbers of
-    the registrations and ends, so that adds cost no Python step each.
+    outside of an open run (dropped, no status).
 
     With a timeout, a run has that long from its registration, by the events' times; a timer ends it
     grace later by the chosen clock, until when adds of its time still count.  It then ends with what
-    it has: completed if that is anything, else failed.
+    it has: completed if that is anything, else failed.  Timers belong to a key, so each job is one.
     """
 
     def __init__(self, timeout_ms: int | None, grace_ms: int, by_clock: bool):
@@ -121,10 +185,9 @@ class Collector(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("run", "run long, taken long, deadline long, open boolean")
 
-    def output(self, key, rows: list[tuple]) -> pd.DataFrame:
-        frame = pd.DataFrame(rows, columns=["run", "result_count", "dropped", "status"]).astype({"run": "int64", "result_count": "int64", "dropped": "int64", "status": object})
-        frame.insert(0, "job_id", pd.Series([key[0]] * len(rows), dtype=object))
-        return frame
+    def output(self, key, rows: pd.DataFrame) -> pd.DataFrame:
+        rows.insert(0, "job_id", pd.Series([key[0]] * len(rows), dtype=object))
+        return rows
 
     def set_timer(self, at_ms: int | None) -> None:
         for (old,) in list(self.handle.listTimers()):
@@ -134,44 +197,51 @@ class Collector(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         """Holds three numbers of each of the key's events in the micro-batch."""
-        base, taken, deadline, is_open = self.state.get() if self.state.exists() else (0, 0, NEVER, False)
-        parts = [(r["seq"].to_numpy(np.int64), r["op"].to_numpy(np.int8), r["t"].to_numpy(np.int64)) for r in rows]
-        seq, op, t = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((op, seq))
-        seq, op, t = seq[order], op[order], t[order]
-        opened, ends = np.flatnonzero(op == REGISTER), np.flatnonzero((op == DISCARD) | (op == FLUSH))
-        runs = len(opened) + 1  # the one at hand and those registered now
-        is_run = np.ones(runs, bool)
-        is_run[0] = is_open
-        limits = np.full(runs, NEVER)
-        limits[0] = deadline
-        if self.timeout_ms is not None:
-            limits[1:] = t[opened] + self.timeout_ms
-        end_of, first = np.unique(np.searchsorted(seq[opened], seq[ends], "right"), return_index=True)
-        end_seq, end_op = np.full(runs, NEVER), np.full(runs, -1)
-        end_seq[end_of], end_op[end_of] = seq[ends][first], op[ends][first]
-        adds = op == ADD
-        run_of = np.searchsorted(seq[opened], seq[adds], "left")
-        within = is_run[run_of] & (seq[adds] < end_seq[run_of]) & (t[adds] <= limits[run_of])
-        counts = np.bincount(run_of[within], minlength=runs)
-        counts[0] += taken
-        dropped = np.bincount(run_of[~within], minlength=runs)
-        out = [(base + k, 0, int(dropped[k]), None) for k in np.flatnonzero(dropped)]
-        over = is_run & ((end_op >= 0) | (np.arange(runs) < runs - 1))
-        for k in np.flatnonzero(over):
-            status = "replaced" if end_op[k] < 0 else "discarded" if end_op[k] == DISCARD else "completed" if counts[k] else "failed"
-            out.append((base + k, int(counts[k]), 0, status))
-        still = bool(is_run[-1] and end_op[-1] < 0)
-        self.state.update((int(base + runs - 1), int(counts[-1]) if still else 0, int(limits[-1]), still))
-        if self.timeout_ms is not None and (len(opened) or (is_open and not still)):
-            now = timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms if self.by_clock else int(limits[-1])
+        before = self.state.get() if self.state.exists() else (0, 0, NEVER, False)
+        was_open = before[3]
+        seq, op, t = whole(rows, "seq", "op", "t")
+        step = collect_step(np.zeros(len(seq), np.int64), seq, op, t, *(np.array([x]) for x in before), self.timeout_ms)
+        still, deadline = bool(step.open[0]), int(step.deadline[0])
+        self.state.update((int(step.run[0]), int(step.taken[0]), deadline, still))
+        if self.timeout_ms is not None and ((op == REGISTER).any() or (was_open and not still)):
+            now = timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms if self.by_clock else deadline
             self.set_timer(now + self.grace_ms if still else None)
-        yield self.output(key, out)
+        yield self.output(key, step.rows)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         run, taken, deadline, is_open = self.state.get()
         self.state.update((int(run), 0, int(deadline), False))
-        yield self.output(key, [(run, taken, 0, "completed" if taken else "failed")] if is_open else [])
+        ended = [(run, taken, 0, "completed" if taken else "failed")] if is_open else []
+        frame = pd.DataFrame(ended, columns=["run", "result_count", "dropped", "status"])
+        yield self.output(key, frame.astype({"run": "int64", "result_count": "int64", "dropped": "int64", "status": object}))
+
+    def close(self) -> None:
+        pass
+
+
+class BucketCollector(StatefulProcessor):
+    """The collector without a timeout: a key is a bucket of jobs, and the state maps each job to its run.
+
+    A micro-batch reads and writes the state of the jobs that it has events of, and only where it changes.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.runs = handle.getMapState("runs", "job string", "run long, taken long, open boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        """Holds a bucket's events of the micro-batch: job, number and kind."""
+        names, seq, op = whole(rows, "job", "seq", "op")
+        job, names = pd.factorize(names, use_na_sentinel=False)
+        names = [None if pd.isna(name) else name for name in names]
+        before = [self.runs.getValue((name,)) or (0, 0, False) for name in names]
+        base, taken, is_open = (np.array(x) for x in zip(*before, strict=True))
+        step = collect_step(job, seq, op, np.zeros(len(seq), np.int64), base, taken, np.full(len(names), NEVER), is_open, None)
+        after = zip(step.run.tolist(), step.taken.tolist(), step.open.tolist(), strict=True)
+        for name, old, new in zip(names, before, after, strict=True):
+            if new != tuple(old):
+                self.runs.updateValue((name,), new)
+        step.rows.insert(0, "job", np.array(names, object)[step.job])
+        yield step.rows
 
     def close(self) -> None:
         pass
@@ -185,15 +255,20 @@ def stream_collector(events: DataFrame, time: str, late: str = "1 minute", timeo
     collected_so_far() puts them together.  A job's events come in order of seq between micro-batches.
     With a timeout a run that is open for longer, and grace_s more, ends with what it has; clock is
     "event" (the watermark) or "processing" (the machine's time, for jobs that fall silent).
+    Without one, jobs share the calls of their bucket.  job_id: text or whole numbers, or null.
     """
     codes = F.when(F.col("op") == "register", REGISTER).when(F.col("op") == "discard", DISCARD).when(F.col("op") == "flush", FLUSH).otherwise(ADD)
-    rows = events.withWatermark(time, late).select("job_id", "seq", codes.alias("op"), F.unix_millis(time).alias("t"), time)
     if clock not in ("event", "processing"):
         raise ValueError("clock must be event or processing")
-    mode = "none" if timeout_s is None else "eventTime" if clock == "event" else "processingTime"
     kind = events.schema["job_id"].dataType.simpleString()
-    processor = Collector(None if timeout_s is None else timeout_s * 1000, grace_s * 1000, clock == "processing")
-    return rows.groupBy("job_id").transformWithStateInPandas(processor, f"job_id {kind}, run long, result_count long, dropped long, status string", "Append", mode)
+    timed = events.withWatermark(time, late)
+    if timeout_s is None:
+        rows = timed.select(F.pmod(F.xxhash64("job_id"), F.lit(BUCKETS)).alias("bucket"), F.col("job_id").cast("string").alias("job"), "seq", codes.alias("op"), time)
+        out = rows.groupBy("bucket").transformWithStateInPandas(BucketCollector(), "job string, run long, result_count long, dropped long, status string", "Append", "none")
+        return out.select(F.col("job").cast(kind).alias("job_id"), "run", "result_count", "dropped", "status")
+    rows = timed.select("job_id", "seq", codes.alias("op"), F.unix_millis(time).alias("t"), time)
+    processor = Collector(timeout_s * 1000, grace_s * 1000, clock == "processing")
+    return rows.groupBy("job_id").transformWithStateInPandas(processor, f"job_id {kind}, run long, result_count long, dropped long, status string", "Append", "eventTime" if clock == "event" else "processingTime")
 
 
 def ended_runs(tagged: DataFrame) -> DataFrame:

@@ -170,6 +170,27 @@ def test_ties_follow_the_batch_rules(spark):
     assert found == {r.run: (r.result_count, r.dropped, r.status) for r in batch}
 
 
+def test_jobs_share_the_calls_of_a_bucket(spark, tmp_path):
+    """3,000 jobs, ids that no float holds and null, over three micro-batches: the batch's result, and no more keys than buckets."""
+    spread = F.xxhash64("id")
+    op = F.get(F.array(*[F.lit(x) for x in ("register", "add", "add", "flush", "add", "discard", "add")]), F.pmod(spread, F.lit(7)).cast("int"))
+    job = F.when(F.col("id") % 3001 < 3000, F.col("id") % 3001 + F.lit(2**53))
+    events = spark.range(36_000).select(job.alias("job_id"), F.floor(F.col("id") / 3001).alias("seq"), op.alias("op"), F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("ts"))
+    for k in range(3):
+        events.filter(F.floor(F.col("seq") / 4) == k).coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+        time.sleep(0.02)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
+    with state_store(spark):
+        run_available(stream_collector(stream, "ts", "60 days"), f"{tmp_path}/state", lambda df, n: df.write.parquet(f"{tmp_path}/out/{n}"))
+        keys = spark.read.format("statestore").option("stateVarName", "runs").load(f"{tmp_path}/state").select("key").distinct().count()
+    found = S.collected_so_far(spark.read.parquet(f"{tmp_path}/out/*")).select("job_id", "run", "result_count", "dropped", "status")
+    assert found.filter("job_id is null").count() > 0
+    found = found.na.fill(-1, ["job_id"])
+    batch = R.collected(events.na.fill(-1, ["job_id"])).filter("status <> 'running'").select(*found.columns)
+    assert found.exceptAll(batch).count() == batch.exceptAll(found).count() == 0 < batch.count()
+    assert keys <= S.BUCKETS < found.select("job_id").distinct().count()
+
+
 def test_timeout_by_the_machine_s_time(spark, tmp_path):
     """A running stream whose job falls silent: no later event moves a watermark."""
     spark.createDataFrame([("a", 1, "register"), ("a", 2, "add"), ("b", 1, "register")], "job_id string, seq long, op string").withColumn("ts", F.current_timestamp()).coalesce(1).write.parquet(f"{tmp_path}/in")
